@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from opinia.functions import rows
 from opinia.operators.terms import term_counts
 
 
@@ -75,17 +76,17 @@ def term_label_association(counts: DataFrame, n_pos: int, n_neg: int, min_df: in
 
 def strategy_stats(frames: dict[str, DataFrame], words: str = "words") -> DataFrame:
     """``(strategy, n_docs, n_tokens, n_terms)`` for token lists made in different ways."""
-    rows = None
+    table = None
     for name, df in frames.items():
         lists = df.select(words)
         size = lists.agg(F.count("*").alias("n_docs"), F.sum(F.size(words)).alias("n_tokens"))
         # Repeats are dropped inside each document before the distinct terms are counted.
-        terms = lists.select(F.explode(F.array_distinct(words)).alias("t")).distinct().agg(
+        terms = rows.explode(lists, [], F.array_distinct(words), "t").distinct().agg(
             F.count("*").alias("n_terms")
         )
         row = size.withColumn("strategy", F.lit(name)).join(
             F.broadcast(terms.withColumn("strategy", F.lit(name))), "strategy"
         )
         row = row.select("strategy", "n_docs", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "n_terms")
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+        table = row if table is None else table.unionByName(row)
+    return table

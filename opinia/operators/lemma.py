@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinia.functions import rows
 from opinia.operators.joins import lookup_join
 from opinia.operators.tokens import map_tokens
 
@@ -22,14 +23,14 @@ def derive_lemmas(words: DataFrame, endings: list[str] = ENDINGS, min_stem: int
         F.array(
             *[
                 F.when(
-                    F.col("token").endswith(e) & (F.length("token") - len(e) >= min_stem),
-                    F.expr(f"left(token, length(token) - {len(e)})"),
+                    F.col("form").endswith(e) & (F.length("form") - len(e) >= min_stem),
+                    F.expr(f"left(form, length(form) - {len(e)})"),
                 )
                 for e in endings
             ]
         )
     )
-    forms = words.select(F.col("token").alias("form"), F.explode(stems).alias("stem"))
+    forms = rows.explode(words.withColumnRenamed("token", "form"), ["form"], stems, "stem")
     known = words.select(F.col("token").alias("stem"))
     return forms.join(known, "stem").groupBy("form").agg(F.min("stem").alias("lemma"))
 
@@ -48,7 +49,7 @@ def lemmatize_wide(
     df: DataFrame, lemmas: DataFrame, tokens: str = "tokens", counts: DataFrame | None = None
 ) -> DataFrame:
     """The same on an annotation array: only tokens that have another lemma are regrouped."""
-    places = df.select("doc_id", F.posexplode(F.col(f"{tokens}.result")).alias("i", "token"))
+    places = rows.posexplode(df, ["doc_id"], f"{tokens}.result", "i", "token")
     changed = _as_lookup(lemmas).where(F.col("lemma") != F.col("token"))
     hits = lookup_join(places, changed, ["token"], "inner", ["doc_id", "i"], counts)
     return map_tokens(df, hits.select("doc_id", "i", F.col("lemma").alias("value")), tokens)

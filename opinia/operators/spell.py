@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinia.functions import rows
 from opinia.functions import text as X
 from opinia.operators.joins import heavy_keys, lookup_join, sliced_join
 from opinia.operators.tokens import map_tokens
@@ -47,16 +48,14 @@ def candidates(
     odd = odd.where(F.length("token") <= longest + max_distance)
     words = dictionary.select(F.col("word").alias("candidate"), "freq")
     if max_distance == 1:
-        left = odd.select(
-            "token", F.explode(X.edit_keys(F.col("token"), True, transpositions)).alias("key")
-        )
-        right = words.select(
-            "candidate", "freq", F.explode(X.edit_keys(F.col("candidate"), False, transpositions)).alias("key")
+        left = rows.explode(odd, ["token"], X.edit_keys(F.col("token"), True, transpositions), "key")
+        right = rows.explode(
+            words, ["candidate", "freq"], X.edit_keys(F.col("candidate"), False, transpositions), "key"
         )
         return left.join(right, "key").select("token", "candidate", F.lit(1).alias("distance"), "freq")
-    left = odd.select("token", F.explode(X.delete_keys(F.col("token"), max_distance)).alias("key"))
-    right = words.select(
-        "candidate", "freq", F.explode(X.delete_keys(F.col("candidate"), max_distance)).alias("key")
+    left = rows.explode(odd, ["token"], X.delete_keys(F.col("token"), max_distance), "key")
+    right = rows.explode(
+        words, ["candidate", "freq"], X.delete_keys(F.col("candidate"), max_distance), "key"
     )
     near = (
         left.join(right, "key")
@@ -92,7 +91,7 @@ def correct_wide(
     df: DataFrame, corrections: DataFrame, tokens: str = "tokens", counts: DataFrame | None = None
 ) -> DataFrame:
     """Apply ``(token, corrected)`` to an annotation array."""
-    places = df.select("doc_id", F.posexplode(F.col(f"{tokens}.result")).alias("i", "token"))
+    places = rows.posexplode(df, ["doc_id"], f"{tokens}.result", "i", "token")
     hits = lookup_join(
         places, corrections.select("token", "corrected"), ["token"], "inner", ["doc_id", "i"], counts
     )
@@ -119,7 +118,7 @@ def neighbours(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
         return F.transform(ts, place)
 
-    return df.select("doc_id", F.inline(X.let(F.col(tokens), with_neighbours)))
+    return rows.inline(df, ["doc_id"], X.let(F.col(tokens), with_neighbours), "token")
 
 
 def bigram_lm(df: DataFrame, tokens: str = "tokens") -> DataFrame:

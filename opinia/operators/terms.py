@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinia.functions import rows
 from opinia.functions import text as X
 from opinia.operators.joins import heavy_keys, sliced_join
 from opinia.operators.order import running_sums
@@ -17,7 +18,7 @@ def ngrams(df: DataFrame, words: str = "words", out: str = "bigrams", n: int = 2
 def term_counts(df: DataFrame, words: str = "words") -> DataFrame:
     """``(doc_id, ..., token, tf)``: raw counts per document, without a shuffle."""
     others = [c for c in df.columns if c != words]
-    return df.select(*others, F.inline(X.token_counts(F.col(words))))
+    return rows.inline(df, others, X.token_counts(F.col(words)), "token")
 
 
 def term_freq(df: DataFrame, words: str = "words") -> DataFrame:
@@ -89,7 +90,7 @@ def top_terms(stats: DataFrame, k: int = 50) -> DataFrame:
 
 def top_ngrams(df: DataFrame, words: str = "words", n: int = 2, k: int = 50) -> DataFrame:
     """The most frequent n-grams with their share in each class. ``df`` has ``label``."""
-    grams = df.select("label", F.explode(X.ngrams(F.col(words), n)).alias("ngram"))
+    grams = rows.explode(df, ["label"], X.ngrams(F.col(words), n), "ngram")
     return (
         grams.groupBy("ngram")
         .agg(

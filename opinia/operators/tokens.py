@@ -6,9 +6,10 @@ token, for corpus-level counts and joins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinia.functions import rows
 from opinia.functions import text as X
 
 
@@ -54,7 +55,7 @@ def assemble(df: DataFrame, text: str = "text", out: str = "document", trim: boo
 
 def sentences(docs: DataFrame) -> DataFrame:
     """``(doc_id, sent, sentence)``."""
-    return docs.select("doc_id", F.posexplode(X.sentences(F.col("text"))).alias("sent", "sentence"))
+    return rows.posexplode(docs, ["doc_id"], X.sentences(F.col("text")), "sent", "sentence")
 
 
 def sentence_tokens(docs: DataFrame) -> DataFrame:
@@ -62,8 +63,26 @@ def sentence_tokens(docs: DataFrame) -> DataFrame:
     per_sentence = F.transform(
         X.sentences(F.col("text")), lambda s: F.regexp_extract_all(s, F.lit(X.RULE_TOKENS), F.lit(0))
     )
-    return docs.select("doc_id", F.posexplode(per_sentence).alias("sent", "ts")).select(
-        "doc_id", "sent", F.posexplode("ts").alias("pos", "token")
+    return long_tokens(docs, per_sentence)
+
+
+def long_tokens(docs: DataFrame, per_sentence: Column) -> DataFrame:
+    """``(doc_id, sent, pos, token)`` from token lists per sentence."""
+    by_sentence = rows.posexplode(docs, ["doc_id"], per_sentence, "sent", "ts")
+    return rows.posexplode(by_sentence, ["doc_id", "sent"], "ts", "pos", "token")
+
+
+def token_table(
+    docs: DataFrame,
+    pattern: str = X.TOKENS,
+    lowercase: bool = True,
+    offsets: bool = False,
+) -> DataFrame:
+    """``(doc_id, sent, pos, token[, begin, end])`` by a custom token pattern."""
+    if offsets:
+        return to_long(annotate(docs, "tokens", pattern, lowercase, True))
+    return long_tokens(
+        docs, F.transform(X.sentences(F.col("text")), lambda s: X.extract(s, pattern, lowercase))
     )
 
 
@@ -85,7 +104,7 @@ def annotate(
 
 def to_long(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """``(doc_id, sent, pos, token, ...)`` from an annotation array."""
-    return df.select("doc_id", F.explode(tokens).alias("t")).select(
+    return rows.explode(df, ["doc_id"], tokens, "t").select(
         "doc_id", "t.sent", "t.pos", F.col("t.result").alias("token"), *_offsets(df, tokens)
     )
 

@@ -144,22 +144,21 @@ def sentence_tokens(spark, sf):
 
 @query
 def token_table(spark, sf):
-    long = tokens.to_long(tokens.annotate(docs(spark, sf), offsets=True))
+    long = tokens.token_table(docs(spark, sf), offsets=True)
     return long.withColumnsRenamed({"begin": "char_begin", "end": "char_end"})
 
 
 @query
 def stopwords_table(spark, sf):
     stop = spark.createDataFrame([(w,) for w in lists.default_stop_words()], "word string")
-    long = tokens.to_long(tokens.annotate(docs(spark, sf)))
-    return stopwords.remove_stop_table(long, stop)
+    return stopwords.remove_stop_table(tokens.token_table(docs(spark, sf)), stop)
 
 
 @query
 def lemmatize(spark, sf):
     stats = stored_stats(doc_words(spark, sf))
     lemmas = materialize(lemma.derive_lemmas(stats), "lemmas")
-    return lemma.lemmatize(tokens.to_long(tokens.annotate(docs(spark, sf))), lemmas, stats)
+    return lemma.lemmatize(tokens.token_table(docs(spark, sf)), lemmas, stats)
 
 
 def spelling_tables(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
