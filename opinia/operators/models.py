@@ -74,7 +74,7 @@ def nb_train(train: DataFrame, words: str = "words") -> tuple[DataFrame, Column]
     ``weight`` is ``ln P(token | 1) - ln P(token | 0)`` with counts smoothed by one, so a
     document's score is the prior plus the weighted sum of its term counts.
     """
-    counts = materialize(class_counts(train, words), "nb-counts")
+    counts = materialize(class_counts(train, words), "nb-counts", "token")
     size = counts.agg(F.count("*"), F.sum("n_pos"), F.sum("n_neg")).first()
     vocab, total_pos, total_neg = size[0], size[1] or 0, size[2] or 0
     docs_pos, docs_neg = class_sizes(train)

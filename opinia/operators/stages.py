@@ -21,7 +21,7 @@ from opinia.session import materialize
 def _words(df: DataFrame, column: str) -> DataFrame:
     """Term statistics of an annotation column, stored."""
     listed = df.select("doc_id", F.col(f"{column}.result").alias("words"))
-    return materialize(terms.term_stats(listed), "words")
+    return materialize(terms.term_stats(listed), "words", "token")
 
 
 class Annotate(Transformer):
@@ -61,7 +61,7 @@ class SpellCheck(Estimator):
             known = spell.corpus_dictionary(words, self.min_count)
         bigrams = None
         if self.context:
-            bigrams = materialize(spell.bigram_lm(df, self.column), "bigrams")
+            bigrams = materialize(spell.bigram_lm(df, self.column), "bigrams", "token")
         return SpellCheckModel(words, known, bigrams, self.max_distance, self.column)
 
 
@@ -83,7 +83,9 @@ class SpellCheckModel(Model):
     def _transform(self, df: DataFrame) -> DataFrame:
         here = _words(df, self.column)
         odd = spell.suspects(here, self.dictionary)
-        cands = materialize(spell.candidates(odd, self.dictionary, self.max_distance), "candidates")
+        cands = materialize(
+            spell.candidates(odd, self.dictionary, self.max_distance), "candidates", "token"
+        )
         if self.bigrams is None:
             fixes = materialize(spell.best_candidates(cands), "corrections")
             return spell.correct_wide(df, fixes, self.column, here)

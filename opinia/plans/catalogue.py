@@ -59,7 +59,7 @@ def labelled_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_stats(df: DataFrame) -> DataFrame:
-    return materialize(terms.term_stats(df), "words")
+    return materialize(terms.term_stats(df), "words", "token")
 
 
 # Sources
@@ -188,8 +188,8 @@ def bigram_lm(spark, sf):
 def spell_context(spark, sf):
     stats, _, cands = spelling_tables(spark, sf)
     annotated = tokens.annotate(docs(spark, sf))
-    pairs = materialize(spell.bigram_lm(annotated), "bigrams")
-    fixed = spell.correct_in_context(annotated, stats, pairs, materialize(cands, "candidates"))
+    pairs = materialize(spell.bigram_lm(annotated), "bigrams", "token")
+    fixed = spell.correct_in_context(annotated, stats, pairs, materialize(cands, "candidates", "token"))
     return fixed.select("doc_id", "sent", "pos", "token", "corrected")
 
 

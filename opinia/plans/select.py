@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -54,7 +56,7 @@ def tune(
     folds: int = 3,
     train_percent: int = 75,
     seed: int = SEED,
-    parallelism: int = 2,
+    parallelism: int = 4,
     key: str = "doc_id",
 ):
     """Search ``points`` on ``(doc_id, label, features)``; returns ``(rows, best fitted model)``.
@@ -84,9 +86,15 @@ def tune(
         try:
             fit_on = marked.where(F.col("part") == "train")
             check_on = marked.where(F.col("part") == "test")
-            values = [0.0] * len(points)
-            for index, fitted in model.fitMultiple(fit_on, points):
-                values[index] = score.evaluate(fitted.transform(check_on))
+            fits = model.fitMultiple(fit_on, points)
+
+            def next_value(_):
+                index, fitted = next(fits)
+                return index, score.evaluate(fitted.transform(check_on))
+
+            with ThreadPool(max(1, min(parallelism, len(points)))) as pool:
+                found = pool.map(inheritable_thread_target(features.sparkSession)(next_value), points)
+            values = [value for _, value in sorted(found)]
             best_model = model.fit(marked, points[values.index(max(values))])
         finally:
             marked.unpersist()
@@ -110,40 +118,62 @@ def experiment_matrix(
     num_features: int = 1 << 18,
     search: str | None = None,
     num_bins: int = 0,
+    parallelism: int = 3,
 ) -> DataFrame:
     """``(pipeline, model, params, metric, value)`` for each strategy and model.
 
     ``models`` maps a model name to its parameters. Spelling and lemmas are learned from
     the training part and applied once for all strategies; features are fitted once per
-    strategy and kept for all models on it. AUC is reported on both parts, under its name.
+    strategy and kept for all models on it; ``parallelism`` strategies run at a time. AUC is
+    reported on both parts, under its name.
     """
     spark = train.sparkSession
     models = {"lr": {}, "dt": {}} if models is None else models
-    cleaner = Pipeline(stages=cleaning_stages(spelling)).fit(train)
-    columns = ["doc_id", "label", "tokens"]
-    clean_train = materialize(cleaner.transform(train).select(*columns), "clean-train")
-    clean_test = materialize(cleaner.transform(test).select(*columns), "clean-test")
+    clean_train, clean_test = clean_parts(train, test, spelling)
     score = evaluator(num_bins)
-    rows = []
-    for strategy in strategies:
+
+    def of_strategy(strategy: str) -> list[tuple]:
         fitted = Pipeline(stages=vector_stages(strategy, vectorizer, num_features)).fit(clean_train)
         parts = {
             "train": fitted.transform(clean_train).select("doc_id", "label", "features").persist(),
             "test": fitted.transform(clean_test).select("doc_id", "label", "features").persist(),
         }
+        rows = []
         try:
             for name, params in models.items():
-                model, chosen = estimator(name, **params), dict(params)
+                model = estimator(name, **params)
                 if search:
                     found, best = tune(parts["train"], model, how=search)
                     described = found.where("is_best").first()["params"]
                 else:
                     best = model.fit(parts["train"])
-                    described = ",".join(f"{k}={v}" for k, v in sorted(chosen.items()))
+                    described = ",".join(f"{k}={v}" for k, v in sorted(params.items()))
                 for part, frame in parts.items():
                     value = float(score.evaluate(best.transform(frame)))
                     rows.append((strategy, name, described, f"auc_{part}", value))
         finally:
             for frame in parts.values():
                 frame.unpersist()
-    return results_frame(spark, rows)
+        return rows
+
+    with ThreadPool(max(1, min(parallelism, len(strategies)))) as pool:
+        rows = pool.map(inheritable_thread_target(spark)(of_strategy), list(strategies))
+    return results_frame(spark, [row for part in rows for row in part])
+
+
+def clean_parts(train: DataFrame, test: DataFrame, spelling: str = "context") -> tuple[DataFrame, DataFrame]:
+    """Both parts as ``(doc_id, label, tokens)`` after the cleaning stages.
+
+    What a stage learns comes from the training part. Each stage's output is stored before
+    the next one reads it, since fitting and transforming would each compute it again.
+    """
+    columns = ["doc_id", "label"]
+    parts = [train.select(*columns, "text"), test.select(*columns, "text")]
+    for stage in cleaning_stages(spelling):
+        fitted = stage.fit(parts[0]) if isinstance(stage, Estimator) else stage
+        name = type(stage).__name__.lower()
+        parts = [
+            materialize(fitted.transform(part).select(*columns, "tokens"), f"{name}-{i}", "doc_id")
+            for i, part in enumerate(parts)
+        ]
+    return parts[0], parts[1]

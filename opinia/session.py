@@ -42,13 +42,26 @@ def scratch_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a stored table that has fewer splits than the session has cores.
+
+    A small table often sits in one row group, which one task would read and process alone.
+    A table of cluster size already has more splits than cores and is returned as it is, so
+    no shuffle is added there. Hashing by ``key`` keeps retries deterministic.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
+def materialize(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used for corpus-level aggregates (vocabulary, bigram counts, candidates) that several
     branches of one job read: without it each branch would tokenize the corpus again. The
     written table outlives executors and keeps column pruning and size statistics, which a
-    cached or checkpointed RDD would not.
+    cached or checkpointed RDD would not. ``key`` asks for :func:`spread` by that column.
     """
     spark = df.sparkSession
     base = scratch_dir(spark)
@@ -56,4 +69,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         return df
     path = f"{base.rstrip('/')}/opinia/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    return stored if key is None else spread(stored, key)

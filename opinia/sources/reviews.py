@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinia.session import spread
+
 REVIEW_SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -49,19 +51,6 @@ def read_table(spark: SparkSession, source: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{source}/{name}.parquet") if source else spark.table(name)
 
 
-def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Use all cores on inputs that have fewer splits than the session has cores.
-
-    A small table often sits in one row group, which one task would read and process alone.
-    A table of cluster size already has more splits than cores and is returned as it is, so
-    no shuffle of the text is added there. Hashing by ``key`` keeps retries deterministic.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def load_reviews(
     spark: SparkSession,
     source: str,
@@ -77,7 +66,7 @@ def load_reviews(
         F.col(text_col).isNull().alias("text_was_null"),
         *keep,
     )
-    return spread(df)
+    return spread(df, "doc_id")
 
 
 def with_label(df: DataFrame, label_col: str, out: str = "label") -> DataFrame:
