@@ -208,19 +208,27 @@ def apply_edits(tokens: Column, edits: Column) -> Column:
     return let(tokens, cut)
 
 
-def _variants(token: Column, replacement: str) -> Column:
+def _variants(token: Column, replacement: str, kind: str = "") -> Column:
+    """``kind`` followed by the token with each character in turn replaced."""
+    marked = F.concat(F.lit(kind), token) if kind else token
+    first = len(kind) + 1
     return F.transform(
-        F.sequence(F.lit(1), F.length(token)),
-        lambda i: F.overlay(token, F.lit(replacement), i, F.lit(1)),
+        F.sequence(F.lit(first), F.length(token) + len(kind)),
+        lambda i: F.overlay(marked, F.lit(replacement), i, F.lit(1)),
     )
 
 
-def _keys(kind: str, variants: Column) -> Column:
-    """Join keys; variants of very long tokens are digested so that a row stays small."""
-    return F.transform(
-        variants,
-        lambda v: F.concat(F.lit(kind), F.when(F.length(v) > LONG_TOKEN, F.md5(v)).otherwise(v)),
-    )
+def _swaps(token: Column, kind: str) -> Column:
+    """``kind`` followed by the token with each two neighbours in turn exchanged."""
+    marked = F.concat(F.lit(kind), token)
+    pair = lambda i: F.concat(F.substring(marked, i + 1, F.lit(1)), F.substring(marked, i, F.lit(1)))
+    return F.when(
+        F.length(token) > 1,
+        F.transform(
+            F.sequence(F.lit(len(kind) + 1), F.length(token) + len(kind) - 1),
+            lambda i: F.overlay(marked, pair(i), i, F.lit(2)),
+        ),
+    ).otherwise(F.array().cast("array<string>"))
 
 
 def edit_keys(token: Column, is_suspect: bool, transpositions: bool) -> Column:
@@ -230,31 +238,18 @@ def edit_keys(token: Column, is_suspect: bool, transpositions: bool) -> Column:
     with a character too few equals a shortened word, and a substitution leaves the same
     pattern once that position is blanked. Each kind has its own key prefix, so unlike a
     plain delete neighbourhood no pair at a larger distance is produced, and each pair is
-    produced once.
+    produced once. Keys of very long tokens are digested, so that they stay small.
     """
     too_long, too_short, substituted = "+", "-", "*"
-    deletes = _variants(token, "")
-    itself = F.array(token)
     if is_suspect:
-        longer = deletes
+        parts = [_variants(token, "", too_long), F.array(F.concat(F.lit(too_short), token))]
         if transpositions:
-            swaps = F.when(
-                F.length(token) > 1,
-                F.transform(
-                    F.sequence(F.lit(1), F.length(token) - 1),
-                    lambda i: F.overlay(
-                        token,
-                        F.concat(F.substring(token, i + 1, F.lit(1)), F.substring(token, i, F.lit(1))),
-                        i,
-                        F.lit(2),
-                    ),
-                ),
-            ).otherwise(F.array().cast("array<string>"))
-            longer = F.concat(deletes, swaps)
-        keys = F.concat(_keys(too_long, longer), _keys(too_short, itself))
+            parts.append(_swaps(token, too_long))
     else:
-        keys = F.concat(_keys(too_long, itself), _keys(too_short, deletes))
-    return F.array_distinct(F.concat(keys, _keys(substituted, _variants(token, WILD))))
+        parts = [F.array(F.concat(F.lit(too_long), token)), _variants(token, "", too_short)]
+    keys = F.concat(*parts, _variants(token, WILD, substituted))
+    digest = lambda key: F.when(F.length(key) > LONG_TOKEN, F.md5(key)).otherwise(key)
+    return F.array_distinct(F.when(F.length(token) < LONG_TOKEN - 1, keys).otherwise(F.transform(keys, digest)))
 
 
 def delete_keys(token: Column, depth: int) -> Column:
@@ -262,9 +257,9 @@ def delete_keys(token: Column, depth: int) -> Column:
     level = F.array(token)
     reached = level
     for _ in range(depth):
-        level = F.array_distinct(F.flatten(F.transform(level, lambda t: _variants_or_none(t))))
+        level = F.array_distinct(F.flatten(F.transform(level, _variants_or_none)))
         reached = F.concat(reached, level)
-    return F.array_distinct(_keys("", reached))
+    return F.array_distinct(reached)
 
 
 def _variants_or_none(token: Column) -> Column:

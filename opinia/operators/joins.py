@@ -19,19 +19,20 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def heavy_keys(counts: DataFrame, on: Sequence[str], weight: str) -> DataFrame:
+def heavy_keys(counts: DataFrame, on: Sequence[str], weight: str) -> DataFrame | None:
     """The keys that hold more than one shuffle partition's fair share of the rows, and into
-    how many slices (``_slices``) to cut each.
+    how many slices (``_slices``) to cut each; None when there is no such key.
 
     ``counts`` is a stored table with one row per key. With P shuffle partitions fewer than
     P keys can hold more than 1/P of the rows, and their slices add up to less than 2P, so
     the result is small enough to broadcast whatever the data.
     """
     partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = counts.agg(F.sum(weight)).first()[0] or 0
-    return counts.where(F.col(weight) * F.lit(partitions) > F.lit(total)).select(
-        *on, F.ceil(F.col(weight) * F.lit(partitions) / F.lit(total or 1)).cast("int").alias("_slices")
-    )
+    total, largest = counts.agg(F.sum(weight), F.max(weight)).first()
+    if not total or largest * partitions <= total:
+        return None
+    share = F.col(weight) * F.lit(partitions) / F.lit(float(total))
+    return counts.where(share > 1).select(*on, F.ceil(share).cast("int").alias("_slices"))
 
 
 def sliced_join(
@@ -66,7 +67,7 @@ def sliced_join(
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
         .drop("_slices")
     )
-    return cut.join(copies, [*on, "_slice"], how).drop("_slice")
+    return cut.join(copies.hint("merge"), [*on, "_slice"], how).drop("_slice")
 
 
 def lookup_join(
@@ -79,13 +80,20 @@ def lookup_join(
     weight: str = "n",
     max_broadcast: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join rows to a lookup table: broadcast when the lookup is counted to be small, the
-    sliced join otherwise. ``counts`` is a stored table of the rows per key of ``left``;
-    without it they are counted."""
+    """Join rows to a lookup table: broadcast when the lookup is counted to be small, a
+    merge join otherwise, sliced where keys are heavy.
+
+    ``counts`` is a stored table of the rows per key of ``left``; without it they are
+    counted. The strategy is always named, because the optimizer takes an exploded side for
+    as small as the arrays it came from and could broadcast it.
+    """
     on = list(on)
     if fits(lookup, max_broadcast):
         return left.join(F.broadcast(lookup), on, how)
     if counts is None:
         counts = materialize(left.groupBy(*on).agg(F.count("*").alias("n")), "key-counts")
         weight = "n"
-    return sliced_join(left, lookup, on, how, heavy_keys(counts, on, weight), spread_by)
+    heavy = heavy_keys(counts, on, weight)
+    if heavy is None:
+        return left.join(lookup.hint("merge"), on, how)
+    return sliced_join(left, lookup, on, how, heavy, spread_by)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinia.operators.insight import class_counts
-from opinia.operators.joins import heavy_keys, sliced_join
+from opinia.operators.joins import lookup_join
 from opinia.operators.terms import term_counts
 from opinia.session import materialize
 
@@ -98,14 +98,13 @@ def nb_score(docs: DataFrame, weights: DataFrame, prior: Column, words: str = "w
     Terms unseen in training are skipped, and a document without known terms gets the prior.
     The score is rounded so that equal documents tie whatever the order of summation.
     """
-    heavy = heavy_keys(weights, ["token"], "n")
-    hits = sliced_join(
+    hits = lookup_join(
         term_counts(docs.select("doc_id", words), words),
         weights.select("token", "weight"),
         ["token"],
         "inner",
-        heavy,
         ["doc_id"],
+        weights,
     )
     sums = hits.groupBy("doc_id").agg(F.sum(F.col("tf") * F.col("weight")).alias("evidence"))
     score = F.round(prior + F.coalesce("evidence", F.lit(0.0)), 6)

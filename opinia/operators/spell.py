@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from opinia.functions import rows
 from opinia.functions import text as X
-from opinia.operators.joins import heavy_keys, lookup_join, sliced_join
+from opinia.operators.joins import lookup_join
 from opinia.operators.tokens import map_tokens
 from opinia.session import materialize
 
@@ -52,13 +52,14 @@ def candidates(
         right = rows.explode(
             words, ["candidate", "freq"], X.edit_keys(F.col("candidate"), False, transpositions), "key"
         )
-        return left.join(right, "key").select("token", "candidate", F.lit(1).alias("distance"), "freq")
+        # The optimizer does not see that the keys multiply the rows, and would broadcast them.
+        return left.join(right.hint("merge"), "key").select("token", "candidate", F.lit(1).alias("distance"), "freq")
     left = rows.explode(odd, ["token"], X.delete_keys(F.col("token"), max_distance), "key")
     right = rows.explode(
         words, ["candidate", "freq"], X.delete_keys(F.col("candidate"), max_distance), "key"
     )
     near = (
-        left.join(right, "key")
+        left.join(right.hint("merge"), "key")
         .withColumn("distance", F.levenshtein("token", "candidate", max_distance))
         .where(F.col("distance") >= 0)
         .select("token", "candidate", "distance", "freq")
@@ -98,16 +99,16 @@ def correct_wide(
     return map_tokens(df, hits.select("doc_id", "i", F.col("corrected").alias("value")), tokens)
 
 
-def neighbours(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """``(doc_id, i, sent, pos, prev, token, next)``: each token with its neighbours in the
-    same sentence, read from the array, so no window is needed."""
+def neighbours(df: DataFrame, tokens: str = "tokens", min_length: int = 0) -> DataFrame:
+    """``(doc_id, i, sent, pos, prev, token, next)``: each token of some length with its
+    neighbours in the same sentence, read from the array, so no window is needed."""
 
     def with_neighbours(ts):
         def place(t, i):
             # The token just before position 0 and past the end is null.
             before = F.when(i > 0, F.get(ts, i - 1))
             after = F.get(ts, i + 1)
-            return F.struct(
+            found = F.struct(
                 i.cast("int").alias("i"),
                 t["sent"].alias("sent"),
                 t["pos"].alias("pos"),
@@ -115,6 +116,7 @@ def neighbours(df: DataFrame, tokens: str = "tokens") -> DataFrame:
                 t["result"].alias("token"),
                 F.when(after["sent"] == t["sent"], after["result"]).alias("next"),
             )
+            return found if min_length <= 1 else F.when(F.length(t["result"]) >= min_length, found)
 
         return F.transform(ts, place)
 
@@ -152,56 +154,30 @@ def correct_in_context(
     counts = words if counts is None else counts
     vocab = words.count()
     seen = words.select(F.col("token").alias("candidate"), F.col("n").alias("c"))
-    listed = (
+    listed = materialize(
         cands.join(seen, "candidate", "left")
         .groupBy("token")
         .agg(
             F.collect_list(
                 F.struct("candidate", "distance", "freq", F.coalesce("c", F.lit(0)).alias("c"))
             ).alias("cands")
-        )
+        ),
+        "listed",
+        "token",
     )
     pairs = cands.select("token", "candidate")
     # Rows per suspect: a caller's dictionary can make a frequent token a suspect.
     odd = counts.join(pairs.select("token").distinct(), "token", "left_semi").select("token", "n")
     odd = materialize(odd, "suspect-counts")
-    heavy_odd = heavy_keys(odd, ["token"], "n")
-    after_pairs = sliced_join(
-        bigrams.select("prev", "token"), pairs, ["token"], "inner", heavy_odd, ["prev"]
-    )
-    seen_after = (
-        after_pairs.join(
-            bigrams.select("prev", F.col("token").alias("candidate"), F.col("n").alias("c")),
-            ["prev", "candidate"],
-        )
-        .groupBy("prev", "token")
-        .agg(F.map_from_entries(F.collect_list(F.struct("candidate", "c"))).alias("after"))
-    )
-    before_pairs = sliced_join(
-        bigrams.select(F.col("prev").alias("token"), F.col("token").alias("next")),
-        pairs,
-        ["token"],
-        "inner",
-        heavy_odd,
-        ["next"],
-    )
-    seen_before = (
-        before_pairs.join(
-            bigrams.select(
-                F.col("prev").alias("candidate"), F.col("token").alias("next"), F.col("n").alias("c")
-            ),
-            ["candidate", "next"],
-        )
-        .groupBy("token", "next")
-        .agg(F.map_from_entries(F.collect_list(F.struct("candidate", "c"))).alias("before"))
-    )
-    places = lookup_join(neighbours(df, tokens), listed, ["token"], "inner", ["doc_id", "i"], counts)
-    heavy_after = heavy_keys(bigrams, ["prev", "token"], "n")
-    places = sliced_join(places, seen_after, ["prev", "token"], "left", heavy_after, ["doc_id", "i"])
-    heavy_before = heavy_after.select(
-        F.col("prev").alias("token"), F.col("token").alias("next"), "_slices"
+    followed = bigrams.select(F.col("prev").alias("token"), F.col("token").alias("next"), "n")
+    seen_after = _seen(bigrams, "prev", pairs, odd, "after")
+    seen_before = _seen(followed, "next", pairs, odd, "before")
+    shortest = pairs.agg(F.min(F.length("token"))).first()[0] or 0
+    places = lookup_join(
+        neighbours(df, tokens, shortest), listed, ["token"], "inner", ["doc_id", "i"], counts
     )
-    places = sliced_join(places, seen_before, ["token", "next"], "left", heavy_before, ["doc_id", "i"])
+    places = lookup_join(places, seen_after, ["prev", "token"], "left", ["doc_id", "i"], bigrams)
+    places = lookup_join(places, seen_before, ["token", "next"], "left", ["doc_id", "i"], followed)
 
     def count_in(seen, word):
         return F.coalesce(F.try_element_at(F.col(seen), word), F.lit(0))
@@ -218,6 +194,25 @@ def correct_in_context(
     return places.select("doc_id", "i", "sent", "pos", "token", best.alias("corrected"))
 
 
+def _seen(
+    bigrams: DataFrame, side: str, pairs: DataFrame, odd: DataFrame, out: str
+) -> DataFrame:
+    """``(token, side, out)``: for each suspect and each word seen on one side of it, which of
+    its candidates were seen next to that word, and how often. ``bigrams`` is
+    ``(token, side, n)``, ``pairs`` ``(token, candidate)``, ``odd`` the rows per suspect.
+
+    Stored, since it is read for its size and for the join.
+    """
+    possible = lookup_join(bigrams.select(side, "token"), pairs, ["token"], "inner", [side], odd)
+    known = bigrams.select(side, F.col("token").alias("candidate"), F.col("n").alias("c"))
+    seen = (
+        possible.join(known.hint("merge"), [side, "candidate"])
+        .groupBy(side, "token")
+        .agg(F.map_from_entries(F.collect_list(F.struct("candidate", "c"))).alias(out))
+    )
+    return materialize(seen, f"seen-{out}", "token")
+
+
 def correct_in_context_wide(df: DataFrame, corrected: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Apply the output of :func:`correct_in_context` to an annotation array."""
     return map_tokens(df, corrected.select("doc_id", "i", F.col("corrected").alias("value")), tokens)

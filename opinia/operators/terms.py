@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinia.functions import rows
 from opinia.functions import text as X
-from opinia.operators.joins import heavy_keys, sliced_join
+from opinia.operators.joins import lookup_join
 from opinia.operators.order import running_sums
 
 
@@ -60,9 +60,7 @@ def tf_idf(counts: DataFrame, weights: DataFrame) -> DataFrame:
     The document frequency is also the number of ``counts`` rows per token, so it says
     which tokens to spread; ``weights`` should be a stored table, since it is read for both.
     """
-    joined = sliced_join(
-        counts, weights, ["token"], "inner", heavy_keys(weights, ["token"], "df"), ["doc_id"]
-    )
+    joined = lookup_join(counts, weights, ["token"], "inner", ["doc_id"], weights, "df")
     return joined.select("doc_id", "token", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tf_idf"))
 
 
