@@ -360,17 +360,13 @@ def hashed_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     tf = HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=NUM_FEATURES)
     fitted = IDF(inputCol="rawFeatures", outputCol="features").fit(tf.transform(train))
     columns = ["doc_id", "label", "features"]
-    return tuple(fitted.transform(tf.transform(part)).select(*columns) for part in (train, test))
+    vectors = fitted.transform(tf.transform(train)).select(*columns)
+    return materialize(vectors, "vectors"), fitted.transform(tf.transform(test)).select(*columns)
 
 
 def ml_scores(spark, sf, name: str, **params) -> DataFrame:
     train, test = hashed_parts(spark, sf)
-    train.persist()
-    try:
-        model = models.estimator(name, **params).fit(train)
-    finally:
-        train.unpersist()
-    predictions = model.transform(test)
+    predictions = models.estimator(name, **params).fit(train).transform(test)
     return predictions.select(
         "doc_id", "label", models.score_column(predictions).alias("score"), "prediction"
     )
@@ -402,11 +398,8 @@ def coef_terms(spark, sf):
     counter = StableCountVectorizer(input="words", vocab_size=NUM_FEATURES, min_df=2).fit(train)
     counted = counter.transform(train)
     weighted = IDF(inputCol="rawFeatures", outputCol="features").fit(counted).transform(counted)
-    weighted = weighted.select("label", "features").persist()
-    try:
-        model = models.estimator("lr", maxIter=10, regParam=0.01).fit(weighted)
-    finally:
-        weighted.unpersist()
+    weighted = materialize(weighted.select("label", "features"), "vectors")
+    model = models.estimator("lr", maxIter=10, regParam=0.01).fit(weighted)
     # One row per vocabulary entry, which NUM_FEATURES bounds.
     rows = [(i, t, float(c)) for i, (t, c) in enumerate(zip(counter.vocabulary, model.coefficients))]
     return spark.createDataFrame(rows, "index int, token string, coefficient double")

@@ -68,36 +68,30 @@ def tune(
     points = list(points or param_grid(model))
     score = evaluator()
     if how == "cv":
-        folded = features.withColumn("fold", hash_bucket(key, seed, folds).cast("int")).persist()
-        try:
-            search = CrossValidator(
-                estimator=model,
-                estimatorParamMaps=points,
-                evaluator=score,
-                numFolds=folds,
-                foldCol="fold",
-                parallelism=parallelism,
-            ).fit(folded)
-        finally:
-            folded.unpersist()
+        folded = features.withColumn("fold", hash_bucket(key, seed, folds).cast("int"))
+        search = CrossValidator(
+            estimator=model,
+            estimatorParamMaps=points,
+            evaluator=score,
+            numFolds=folds,
+            foldCol="fold",
+            parallelism=parallelism,
+        ).fit(materialize(folded, "folds"))
         values, best_model = list(search.avgMetrics), search.bestModel
     elif how == "tvs":
-        marked = features.withColumn("part", split_column(key, train_percent, seed)).persist()
-        try:
-            fit_on = marked.where(F.col("part") == "train")
-            check_on = marked.where(F.col("part") == "test")
-            fits = model.fitMultiple(fit_on, points)
-
-            def next_value(_):
-                index, fitted = next(fits)
-                return index, score.evaluate(fitted.transform(check_on))
-
-            with ThreadPool(max(1, min(parallelism, len(points)))) as pool:
-                found = pool.map(inheritable_thread_target(features.sparkSession)(next_value), points)
-            values = [value for _, value in sorted(found)]
-            best_model = model.fit(marked, points[values.index(max(values))])
-        finally:
-            marked.unpersist()
+        marked = materialize(features.withColumn("part", split_column(key, train_percent, seed)), "parts")
+        fit_on = marked.where(F.col("part") == "train")
+        check_on = marked.where(F.col("part") == "test")
+        fits = model.fitMultiple(fit_on, points)
+
+        def next_value(_):
+            index, fitted = next(fits)
+            return index, score.evaluate(fitted.transform(check_on))
+
+        with ThreadPool(max(1, min(parallelism, len(points)))) as pool:
+            found = pool.map(inheritable_thread_target(features.sparkSession)(next_value), points)
+        values = [value for _, value in sorted(found)]
+        best_model = model.fit(marked, points[values.index(max(values))])
     else:
         raise ValueError(f"unknown search {how!r}; known: tvs, cv")
     best = values.index(max(values))
@@ -135,25 +129,21 @@ def experiment_matrix(
     def of_strategy(strategy: str) -> list[tuple]:
         fitted = Pipeline(stages=vector_stages(strategy, vectorizer, num_features)).fit(clean_train)
         parts = {
-            "train": fitted.transform(clean_train).select("doc_id", "label", "features").persist(),
-            "test": fitted.transform(clean_test).select("doc_id", "label", "features").persist(),
+            part: materialize(fitted.transform(df).select("doc_id", "label", "features"), f"vectors-{part}")
+            for part, df in (("train", clean_train), ("test", clean_test))
         }
         rows = []
-        try:
-            for name, params in models.items():
-                model = estimator(name, **params)
-                if search:
-                    found, best = tune(parts["train"], model, how=search)
-                    described = found.where("is_best").first()["params"]
-                else:
-                    best = model.fit(parts["train"])
-                    described = ",".join(f"{k}={v}" for k, v in sorted(params.items()))
-                for part, frame in parts.items():
-                    value = float(score.evaluate(best.transform(frame)))
-                    rows.append((strategy, name, described, f"auc_{part}", value))
-        finally:
-            for frame in parts.values():
-                frame.unpersist()
+        for name, params in models.items():
+            model = estimator(name, **params)
+            if search:
+                found, best = tune(parts["train"], model, how=search)
+                described = found.where("is_best").first()["params"]
+            else:
+                best = model.fit(parts["train"])
+                described = ",".join(f"{k}={v}" for k, v in sorted(params.items()))
+            for part, frame in parts.items():
+                value = float(score.evaluate(best.transform(frame)))
+                rows.append((strategy, name, described, f"auc_{part}", value))
         return rows
 
     with ThreadPool(max(1, min(parallelism, len(strategies)))) as pool:
@@ -164,16 +154,15 @@ def experiment_matrix(
 def clean_parts(train: DataFrame, test: DataFrame, spelling: str = "context") -> tuple[DataFrame, DataFrame]:
     """Both parts as ``(doc_id, label, tokens)`` after the cleaning stages.
 
-    What a stage learns comes from the training part. Each stage's output is stored before
-    the next one reads it, since fitting and transforming would each compute it again.
+    What a stage learns comes from the training part; it is applied to both parts in one
+    job. Each stage's output is stored before the next one reads it, since fitting and
+    transforming would each compute it again. A document is in one of the parts only.
     """
-    columns = ["doc_id", "label"]
-    parts = [train.select(*columns, "text"), test.select(*columns, "text")]
+    columns = ["doc_id", "label", "part"]
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    both = both.select(*columns, "text")
     for stage in cleaning_stages(spelling):
-        fitted = stage.fit(parts[0]) if isinstance(stage, Estimator) else stage
+        fitted = stage.fit(both.where("part = 'train'")) if isinstance(stage, Estimator) else stage
         name = type(stage).__name__.lower()
-        parts = [
-            materialize(fitted.transform(part).select(*columns, "tokens"), f"{name}-{i}", "doc_id")
-            for i, part in enumerate(parts)
-        ]
-    return parts[0], parts[1]
+        both = materialize(fitted.transform(both).select(*columns, "tokens"), name, "doc_id")
+    return tuple(both.where(F.col("part") == part).drop("part") for part in ("train", "test"))

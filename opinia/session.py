@@ -29,7 +29,7 @@ def scratch_dir(spark: SparkSession) -> str | None:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
     Where it is unset, a local master gets a fresh temporary folder. On a cluster there is
-    no safe default, so None is returned and callers keep the lineage.
+    no safe default, so the answer is None.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
@@ -58,15 +58,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def materialize(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
-    Used for corpus-level aggregates (vocabulary, bigram counts, candidates) that several
-    branches of one job read: without it each branch would tokenize the corpus again. The
+    Used for what several branches or passes of one job read: corpus-level aggregates
+    (vocabulary, bigram counts, candidates), which each branch would otherwise compute from
+    the text again, and training vectors, which learners pass over many times. The
     written table outlives executors and keeps column pruning and size statistics, which a
     cached or checkpointed RDD would not. ``key`` asks for :func:`spread` by that column.
     """
     spark = df.sparkSession
     base = scratch_dir(spark)
     if base is None:
-        return df
+        # Without a shared folder the lineage stays, and lost blocks are computed again.
+        return df.persist()
     path = f"{base.rstrip('/')}/opinia/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
