@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from opinia.functions import lists
 from opinia.functions import text as X
-from opinia.operators import evaluate, insight, lemma, models, spell, stopwords, terms, tokens
-from opinia.operators.features import hashing_tf
+from opinia.operators import evaluate, features, insight, lemma, models, spell, stopwords, terms, tokens
 from opinia.operators.stages import StableCountVectorizer
 from opinia.plans import select
 from opinia.session import materialize
@@ -262,9 +261,9 @@ def top_tf_idf(spark, sf):
 
 
 @query
-def hashing_tf_20(spark, sf):
+def hashing_tf(spark, sf):
     words = tokens.tokenize_regex(docs(spark, sf))
-    hashed = hashing_tf(words, num_features=20)
+    hashed = features.hashing_tf(words, num_features=20)
     buckets = F.posexplode(vector_to_array("rawFeatures")).alias("bucket", "tf")
     return hashed.select("doc_id", buckets).where(F.col("tf") > 0)
 
@@ -272,7 +271,7 @@ def hashing_tf_20(spark, sf):
 @query
 def hashing_tf_mass(spark, sf):
     words = tokens.tokenize_regex(docs(spark, sf))
-    hashed = hashing_tf(words, num_features=20)
+    hashed = features.hashing_tf(words, num_features=20)
     mass = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, x: a + x)
     return hashed.select("doc_id", mass.alias("mass"))
 
@@ -426,14 +425,21 @@ def experiment_matrix(spark, sf):
     return select.experiment_matrix(train, test, num_features=NUM_FEATURES)
 
 
+def nb_results(spark, sf) -> DataFrame:
+    """The naive Bayes metrics as rows of the result store."""
+    predictions = materialize(nb_predictions(spark, sf), "predictions")
+    found = {
+        "accuracy": evaluate.accuracy(predictions).first()["accuracy"],
+        "auc_test": evaluate.auc(predictions).first()["auc"],
+    }
+    return reviews.results_frame(spark, [("sw_none", "nb", "", m, v) for m, v in found.items()])
+
+
+@query
+def results_frame(spark, sf):
+    return nb_results(spark, sf).withColumn("value", rounded("value"))
+
+
 @query
 def report(spark, sf):
-    """The naive Bayes metrics as lines of the result store."""
-    predictions = materialize(nb_predictions(spark, sf), "predictions")
-    accuracy_value = evaluate.accuracy(predictions).first()["accuracy"]
-    auc_value = evaluate.auc(predictions).first()["auc"]
-    rows = [
-        ("sw_none", "nb", "", "accuracy", accuracy_value),
-        ("sw_none", "nb", "", "auc_test", auc_value),
-    ]
-    return reviews.report_lines(reviews.results_frame(spark, rows))
+    return reviews.report_lines(nb_results(spark, sf))

@@ -2,7 +2,7 @@
 
 They are written from the definitions, not from the Spark plans: tokens come from splitting
 at separators, document frequencies from distinct counts, candidates from a delete
-neighbourhood checked by edit distance, AUC from mid-ranks.
+neighbourhood checked by edit distance, AUC from mid-ranks, hash buckets from the hash.
 """
 
 from __future__ import annotations
@@ -27,6 +27,43 @@ TOKEN_WORDS = r"""list_filter(string_split_regex(text, '[^a-zA-Z0-9_'']'), lambd
 SENTENCES = r"""list_filter(string_split(
     regexp_replace(text, '([.!?]+)\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"""
 
+# The constants of the 32-bit MurmurHash3.
+MURMUR_C1, MURMUR_C2, MURMUR_ADD = 0xCC9E2D51, 0x1B873593, 0xE6546B64
+MURMUR_F1, MURMUR_F2, MURMUR_SEED = 0x85EBCA6B, 0xC2B2AE35, 42
+LOW = 0xFFFFFFFF
+
+
+def rotated(x: str, bits: int) -> str:
+    return f"((({x}) << {bits} & {LOW}) | (({x}) >> {32 - bits}))"
+
+
+def times(x: str, factor: int) -> str:
+    return f"(({x}) * {factor}::UBIGINT & {LOW})"
+
+
+def mixed(k: str) -> str:
+    return times(rotated(times(k, MURMUR_C1), 15), MURMUR_C2)
+
+
+def murmur(word: str) -> str:
+    """The signed 32-bit hash of an ASCII word, by the published definition."""
+    byte = lambda at: f"CAST(coalesce(ord(nullif(substr({word}, {at}, 1), '')), 0) AS UBIGINT)"
+    four = lambda at: " + ".join(f"{byte(f'{at} + {i}')} * {256**i}" for i in range(1, 4))
+    block = f"list_transform(range(0, length({word}) // 4), lambda j: {byte('4 * j + 1')} + {four('4 * j + 1')})"
+    with_block = f"xor(h, {mixed('k')})"
+    step = f"(({rotated(with_block, 13)}) * 5 + {MURMUR_ADD}) & {LOW}"
+    body = f"list_reduce(list_prepend({MURMUR_SEED}::UBIGINT, {block}), lambda h, k: {step})"
+    rest = f"4 * (length({word}) // 4) + 1"
+    tail = mixed(f"{byte(rest)} + {four(rest)}")
+    shifted = lambda h, bits: f"xor({h}, ({h}) >> {bits})"
+    return (
+        f"(SELECT CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 ELSE CAST(h AS BIGINT) END "
+        f"FROM (SELECT {shifted('h', 16)} AS h FROM (SELECT {times(shifted('h', 13), MURMUR_F2)} AS h "
+        f"FROM (SELECT {times(shifted('h', 16), MURMUR_F1)} AS h "
+        f"FROM (SELECT xor(xor({body}, {tail}), length({word})::UBIGINT) AS h)))))"
+    )
+
+
 # Common table expressions, by name, with what they stand on.
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "labelled": (
@@ -222,6 +259,12 @@ BODIES: dict[str, str] = {
     "top_tf_idf": """SELECT doc_id, CAST(rank AS INTEGER) AS rank, token, tf, tf_idf FROM (
         SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tf_idf DESC, token) AS rank FROM tfidf)
         WHERE rank <= 5""",
+    "hashing_tf": f"""SELECT doc_id, CAST((bucket + 20) % 20 AS INTEGER) AS bucket, CAST(sum(n) AS DOUBLE) AS tf
+        FROM (SELECT doc_id, token, count(*) AS n FROM (
+            SELECT doc_id, unnest({REGEX_WORDS}) AS token FROM documents) GROUP BY ALL)
+        JOIN (SELECT token, {murmur('token')} % 20 AS bucket FROM (
+            SELECT DISTINCT unnest({REGEX_WORDS}) AS token FROM documents)) USING (token)
+        GROUP BY ALL""",
     "hashing_tf_mass": f"SELECT doc_id, CAST(len({REGEX_WORDS}) AS DOUBLE) AS mass FROM documents",
     "top_bigrams": f"""SELECT ngram, count(*) AS n, count(*) FILTER (label = 1) AS n_pos,
             count(*) FILTER (label = 0) AS n_neg,
@@ -273,6 +316,11 @@ BODIES: dict[str, str] = {
             FROM (SELECT label, rank() OVER (ORDER BY score)
                 + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS mid FROM preds))""",
 }
+NB_METRICS = f"""SELECT 'accuracy' AS metric, accuracy AS value FROM ({BODIES['accuracy']})
+    UNION ALL SELECT 'auc_test', auc FROM ({BODIES['auc']})"""
+BODIES["results_frame"] = f"""SELECT 'sw_none' AS pipeline, 'nb' AS model, '' AS params, metric, value
+    FROM ({NB_METRICS})"""
+BODIES["report"] = f"""SELECT printf('sw_none - nb: %s=%.6f', metric, value) AS line FROM ({NB_METRICS})"""
 
 
 def statement(name: str) -> str:

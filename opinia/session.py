@@ -43,14 +43,14 @@ def scratch_dir(spark: SparkSession) -> str | None:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a stored table that has fewer splits than the session has cores.
+    """Use all cores on a stored table whose splits would leave half of them idle.
 
     A small table often sits in one row group, which one task would read and process alone.
-    A table of cluster size already has more splits than cores and is returned as it is, so
-    no shuffle is added there. Hashing by ``key`` keeps retries deterministic.
+    A table of cluster size has more splits than cores and is returned as it is, so no
+    shuffle is added there. Hashing by ``key`` keeps retries deterministic.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() * 2 > cores:
         return df
     return df.repartition(cores, key)
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from opinia.sources import reviews
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, TWINS = contract.queries(), contract.oracle_sql()
@@ -29,11 +30,11 @@ def test_against_sql(spark, sql, name):
     assert check.differences(found.toPandas(), sql.execute(TWINS[name]).df()) is None
 
 
-@pytest.mark.parametrize("name", ["hashing_tf_20", "score_lr", "score_dt", "score_svc", "score_rf"])
+@pytest.mark.parametrize("name", ["hashing_tf", "score_lr", "score_dt", "score_svc", "score_rf"])
 def test_rows_only(spark, name):
     rows = QUERIES[name](spark, FOLDER).collect()
     assert rows
-    if name == "hashing_tf_20":
+    if name == "hashing_tf":
         assert {r["bucket"] for r in rows} <= set(range(20)) and all(r["tf"] > 0 for r in rows)
     elif name != "score_svc":
         assert all(0 <= r["score"] <= 1 for r in rows)
@@ -62,3 +63,15 @@ def test_per_document_queries_add_no_shuffle(spark, name):
 def test_arrays_are_computed_once(spark):
     for name in ("term_counts", "token_table", "sentences"):
         assert "DataFilters: []" in plan_of(QUERIES[name](spark, FOLDER))
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["corpus_profile", "vocabulary", "tf_idf", "spell_correct", "spell_context", "finish", "buzzwords",
+     "split_train_test", "score_nb", "auc"],
+)
+def test_layout_does_not_matter(spark, sql, monkeypatch, name):
+    read = reviews.read_table
+    monkeypatch.setattr(reviews, "read_table", lambda *a: read(*a).repartition(7))
+    found = QUERIES[name](spark, FOLDER).toPandas()
+    assert check.differences(found, sql.execute(TWINS[name]).df()) is None
