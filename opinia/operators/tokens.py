@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from opinia.functions import rows
 from opinia.functions import text as X
+from opinia.session import materialize
 
 
 def tokenize_ws(df: DataFrame, out: str = "words", drop_empty: bool = False) -> DataFrame:
@@ -134,7 +135,9 @@ def finish(df: DataFrame, tokens: str = "tokens", out: str = "finished") -> Data
 def map_tokens(df: DataFrame, edits: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Replace tokens by position. ``edits`` is ``(doc_id, i, value)``, ``i`` counting all
     tokens of the document from 0. Only the edits are regrouped; a document's tokens move
-    once, with its row."""
+    once, with its row. The edits stem from ``df`` itself, so they are stored: otherwise
+    each further step would compute everything before it twice."""
+    edits = materialize(edits, "edits", "doc_id")
     lists = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("_edits"))
     return (
         df.join(lists, "doc_id", "left")
