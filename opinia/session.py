@@ -45,12 +45,13 @@ def scratch_dir(spark: SparkSession) -> str | None:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use all cores on a stored table whose splits would leave half of them idle.
 
-    A small table often sits in one row group, which one task would read and process alone.
-    A table of cluster size has more splits than cores and is returned as it is, so no
-    shuffle is added there. Hashing by ``key`` keeps retries deterministic.
+    A small file is one row group, which one task reads and processes alone: Spark plans
+    about one split per core for it, but all but one are empty. So files are counted too,
+    unless there are clearly more splits than cores, as for any table of cluster size; such
+    a table is returned as it is. Hashing by ``key`` keeps retries deterministic.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
+    if df.rdd.getNumPartitions() > 2 * cores or len(df.inputFiles()) * 2 > cores:
         return df
     return df.repartition(cores, key)
 
