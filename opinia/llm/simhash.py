@@ -23,11 +23,12 @@ columns other than the id and the text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinia.llm.common import Scratch, split_words, utf8
@@ -110,15 +111,19 @@ def _segments(count: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def _ball(value, width: int, radius: int) -> list:
-    """All values within ``radius`` bits of a segment's value, and how to say them in SQL."""
-    from itertools import combinations
-
-    return [
-        value.bitwiseXOR(F.lit(sum(1 << k for k in flips)).cast("long"))
-        for r in range(radius + 1)
-        for flips in combinations(range(width), r)
-    ]
+def _ball(segment: int, value: Column, width: int, radius: int) -> Column:
+    """(seg, key) of the values within ``radius`` bits of a segment's value that are not below it."""
+    near = F.array(
+        *[
+            value.bitwiseXOR(F.lit(sum(1 << k for k in flips)).cast("long"))
+            for r in range(radius + 1)
+            for flips in combinations(range(width), r)
+        ]
+    )
+    # The number of parameters tells these functions whether an index is wanted.
+    return F.transform(
+        F.filter(near, lambda x: x >= value), lambda x: F.struct(F.lit(segment).alias("seg"), x.alias("key"))
+    )
 
 
 def links(fps: DataFrame, scratch: Scratch, distance: int = 3, segments: int = 2, hot: int = HOT) -> DataFrame:
@@ -135,16 +140,8 @@ def links(fps: DataFrame, scratch: Scratch, distance: int = 3, segments: int = 2
     crowded = scratch.store(
         entries.groupBy("seg", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot), "hot-keys"
     )
-    # Of two values that differ, the one with the smaller value probes; equal values are told apart below.
-    balls = F.concat(
-        *[
-            F.transform(
-                F.filter(F.array(*_ball(c, w, radius)), lambda x, c=c: x >= c),
-                lambda x, k=k: F.struct(F.lit(k).alias("seg"), x.alias("key")),
-            )
-            for k, (c, (_, w)) in enumerate(zip(cut, spans))
-        ]
-    )
+    # Of two values that differ, the smaller one probes; equal values probe each other.
+    balls = F.concat(*[_ball(k, c, w, radius) for k, (c, (_, w)) in enumerate(zip(cut, spans))])
     probes = fps.select(F.col("fp").alias("probe"), F.explode(balls).alias("e")).select("e.seg", "e.key", "probe")
     near = F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= distance
     few = (
