@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinia.llm import mixing, packing, simhash
+from opinia.llm import mixing, packing, quality, simhash
 from opinia.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,11 @@ FROM p LEFT JOIN x ON p.doc_id = x.doc_id
 
 
 SQL["op9_mixing"] = _mixing_sql()
+
+
+@query
+def op7_quality(spark, sf):
+    """The label model's verdict on every document."""
+    found = quality.judge(table(spark, sf, "documents"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *base, "base_failed", "kept", "posterior")
