@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinia.llm import mixing, packing, quality, simhash
-from opinia.llm.common import table
+from opinia.llm import mixing, packing, quality, simhash, toxicity
+from opinia.llm.common import bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,3 +100,10 @@ def op7_quality(spark, sf):
     found = quality.judge(table(spark, sf, "documents"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select("doc_id", *base, "base_failed", "kept", "posterior")
+
+
+@query
+def op5_toxicity(spark, sf):
+    """The machine's score of every document; learnt from labels that are not held out."""
+    found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"), sample=8000, threshold=0.3)
+    return found.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "worst_sentence")
