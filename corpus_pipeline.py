@@ -17,7 +17,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their place in sequences of 2,048 tokens."""
-    pieces = packing.token_pieces(docs, catalogue.tokenizer_path(), 2048)
+    pieces = catalogue.pieces_of(docs, 2048)
     return packing.pack(pieces, 2048)
 
 

@@ -19,10 +19,15 @@ def query(fn):
     return fn
 
 
-def tokenizer_path() -> str:
-    import public_tokenizers
+def pieces_of(docs: DataFrame, capacity: int = 2048) -> DataFrame:
+    """Token pieces by the public vocabulary of 50,257 byte-level tokens.
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    ``byte_bpe_50k.tiktoken`` has the ranks of ``byte_bpe_50k.json``; the ids are the same.
+    """
+    import public_tokenizers as public
+
+    special = {"<|endoftext|>": 50256}
+    return packing.token_pieces(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, special, capacity)
 
 
 @query
@@ -34,7 +39,7 @@ def op1_simhash(spark, sf):
 @query
 def op2_packing(spark, sf):
     """Pieces of at most 2,048 tokens in as few sequences as the method finds."""
-    pieces = packing.token_pieces(table(spark, sf, "documents"), tokenizer_path(), 2048)
+    pieces = pieces_of(table(spark, sf, "documents"), 2048)
     digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(digest, 2048)
 

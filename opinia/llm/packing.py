@@ -19,6 +19,7 @@ than the id and the text are not read.
 
 from __future__ import annotations
 
+import base64
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -31,83 +32,49 @@ from opinia.llm.common import Scratch, utf8
 
 #: Rows of one length that are ranked by one task.
 SLICE = 100_000
-#: Distinct words with their ids that a worker keeps; it starts anew beyond.
-CACHE = 200_000
-
-_words: dict[tuple[str, bool], dict[str, bytes]] = {}
-_tokenizers: dict[tuple[str, bool], object] = {}
-
-
-def _tokenizer(path: str, plain: bool):
-    if (path, plain) not in _tokenizers:
-        from tokenizers import Tokenizer
-
-        found = Tokenizer.from_file(path)
-        found.encode_special_tokens = plain
-        _tokenizers[path, plain] = found
-        _words[path, plain] = {}
-    return _tokenizers[path, plain], _words[path, plain]
-
-
-def _cuts(text: str) -> list[str]:
-    """The text in parts that a byte-level tokenizer encodes independently: it begins a new
-    part at each blank after something that is not white space, as no token spans that."""
-    out: list[str] = []
-    ended = False
-    for k, part in enumerate(text.split(" ")):
-        part = " " + part if k else part
-        if ended:
-            out.append(part)
-        elif out:
-            out[-1] += part
-        else:
-            out.append(part)
-        ended = not part[-1:].isspace() and part != ""
-    return out
 
+_encodings: dict[tuple[str, str], object] = {}
 
-def encode(texts: list[str], path: str, plain: bool = False) -> list[bytes]:
-    """The ids of each text, as little-endian unsigned 32-bit numbers.
 
-    Words repeat, so each distinct part is encoded once and kept, up to :data:`CACHE` parts.
-    """
-    tokenizer, known = _tokenizer(path, plain)
-    parts = [_cuts(t) for t in texts]
-    new = list({p for ps in parts for p in ps if p not in known})
-    if len(known) + len(new) > CACHE:
-        known.clear()
-        new = list({p for ps in parts for p in ps})
-    for k in range(0, len(new), 4096):
-        some = new[k : k + 4096]
-        for p, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False)):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, ps)) for ps in parts]
+def encoding(ranks_path: str, pattern: str, special: dict[str, int]):
+    """A byte-level tokenizer from a rank file; one for each worker."""
+    key = (ranks_path, pattern)
+    if key not in _encodings:
+        import tiktoken
+
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        _encodings[key] = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    return _encodings[key]
 
 
 def token_pieces(
     docs: DataFrame,
-    tokenizer_path: str,
+    ranks_path: str,
+    pattern: str,
+    special: dict[str, int],
     capacity: int = 2048,
     end_id: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
-    plain: bool = False,
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: each document's tokens and the end token, in
     pieces of at most ``capacity``. All pieces of a longer document are full but the first.
-    ``ids`` are little-endian unsigned 32-bit numbers. ``plain`` makes the strings of special
-    tokens ordinary text.
+    ``ids`` are little-endian unsigned 32-bit numbers. ``special`` tokens' strings in a text become
+    these tokens; leave it empty to make them ordinary text.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, allowed = encoding(ranks_path, pattern, special), set(special)
         for whole in found:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
-                texts = [x.decode("utf-8", "replace") for x in b.column("_text").to_pylist()]
                 rows, piece, start, length, ids = [], [], [], [], []
-                for k, tokens in enumerate(encode(texts, tokenizer_path, plain)):
-                    tokens += end
+                for k, text in enumerate(b.column("_text").to_pylist()):
+                    text = text.decode("utf-8", "replace")
+                    tokens = np.array(tokenizer.encode(text, allowed_special=allowed, disallowed_special=()), "<u4")
+                    tokens = tokens.tobytes() + end
                     n = len(tokens) // 4
                     cut = 0
                     for p in range(-(-n // capacity)):
