@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinia.llm import mixing, packing, quality, simhash, toxicity
+from opinia.llm import mixing, packing, quality, sharding, simhash, suffix_lm, toxicity
 from opinia.llm.common import bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,25 @@ def op5_toxicity(spark, sf):
     """The machine's score of every document; learnt from labels that are not held out."""
     found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"), sample=8000, threshold=0.3)
     return found.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "worst_sentence")
+
+
+@query
+def op8_suffix_lm(spark, sf):
+    """Base score and suffix-tree score of every document; a tenth is not learnt from."""
+    return suffix_lm.score(table(spark, sf, "documents"), held_out=10, least=1e-6, frequent=4e-6)
+
+
+@query
+def op6_sharding(spark, sf):
+    """From six old shards, in which sources are together, to eight of equal bytes."""
+    old = F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(6))
+    found = sharding.reshard(table(spark, sf, "documents"), old, [1] * 8)
+    return found.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
+        F.crc32(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

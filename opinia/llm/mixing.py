@@ -168,6 +168,17 @@ def mix(
     return found.withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def expand(docs: DataFrame, copies: str = "copies") -> DataFrame:
-    """A row for each copy."""
-    return docs.where(F.col(copies) > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(copies)))).drop("_copy")
+def mixed(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
+    """The rows of ``docs``, all columns, as often as :func:`mix` copies them.
+
+    Decisions find their rows by a hash of all columns. Rows that are equal throughout share
+    their copies, so each such group is joined once, with the sum.
+    """
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(docs.columns)])
+    decided = mix(docs, id_col, extra=(mark.alias("_mark"),), **settings)
+    copies = decided.groupBy("_mark", F.col("doc_id").alias("_id")).agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    marked = docs.withColumn("_mark", mark)
+    same = (marked["_mark"] == copies["_mark"]) & marked[id_col].eqNullSafe(copies["_id"])
+    found = marked.join(copies.hint("shuffle_merge"), same).drop("_id").drop(copies["_mark"])
+    once = found.dropDuplicates(["_mark", id_col])
+    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
