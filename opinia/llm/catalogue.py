@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinia.llm import mixing, packing, quality, sharding, simhash, suffix_lm, toxicity
-from opinia.llm.common import bucket, table
+from opinia.llm import mixing, packing, quality, sharding, simhash, suffix_lm, toxicity, warc
+from opinia.llm.common import Scratch, bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -134,3 +134,30 @@ def op6_sharding(spark, sf):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op4_warc(spark, sf):
+    """Pages written as archives and read back by the chain of their records."""
+    scratch = Scratch(spark, "warc")
+    folder = scratch.path("archives")
+    warc.write_warc(table(spark, sf, "pages"), folder, scratch, least=1000)
+    records = warc.read_warc(spark, folder, scratch)
+    page = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1).try_cast("long")
+    return records.select(
+        page("record_id").alias("page_id"),
+        "payload_length",
+        F.coalesce(F.sha1("payload"), F.regexp_extract("digest", "^sha1:(.*)$", 1)).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        page("refers_to").alias("refers_to"),
+    ).withColumnRenamed("payload_length", "payload_bytes")
+
+
+SQL["op4_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+d AS (SELECT *, sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM d
+"""
