@@ -25,7 +25,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; the labels are those of the corpus."""
-    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"), sample=8000, threshold=0.3)
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"), sample=6000, threshold=0.3)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

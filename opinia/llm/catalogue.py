@@ -110,7 +110,7 @@ def op7_quality(spark, sf):
 @query
 def op5_toxicity(spark, sf):
     """The machine's score of every document; learnt from labels that are not held out."""
-    found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"), sample=8000, threshold=0.3)
+    found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"), sample=6000, threshold=0.3)
     return found.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "worst_sentence")
 
 

@@ -29,6 +29,7 @@ columns other than the id and the text are only carried where a caller asks for
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -237,15 +238,17 @@ class _Landmarks:
 
     def similar(self, words: list[str]) -> np.ndarray:
         """Kernel values of words and landmarks."""
-        out = np.zeros((len(words), len(self.words)))
-        for k in range(0, len(words), 1000):
-            units = [core(w) for w in words[k : k + 1000]]
+        out = np.zeros((len(words), len(self.words)), np.float32)
+        for k in range(0, len(words), 200):
+            units = [core(w) for w in words[k : k + 200]]
             rows, codes, values = self._sparse(units)
             at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-            hit = self.codes[at] == codes
-            part = np.zeros((len(units), len(self.words)), np.float32)
-            np.add.at(part, rows[hit], values[hit, None] * self.by_code[at[hit]])
-            out[k : k + len(units)] = part / norms(np.array([len(u) + 1 for u in units]))[:, None]
+            hit = np.flatnonzero(self.codes[at] == codes)
+            hit = hit[np.argsort(rows[hit], kind="stable")]
+            if hit.size:
+                owner, first = np.unique(rows[hit], return_index=True)
+                out[k + owner] = np.add.reduceat(values[hit, None] * self.by_code[at[hit]], first, axis=0)
+            out[k : k + len(units)] /= norms(np.array([len(u) + 1 for u in units]))[:, None]
         return out
 
     def vectors(self, words: list[str]) -> np.ndarray:
@@ -256,48 +259,89 @@ class _Landmarks:
         return Machine(self.codes, (self.by_code[:-1] @ alpha).astype(np.float32), float(w[-1]), np.zeros(5))
 
 
+class _Bags:
+    """Labelled documents as numbers: the words of all sentences, where sentences begin, and
+    the document of each sentence."""
+
+    def __init__(self, texts: list[str]) -> None:
+        numbers: dict[str, int] = {}
+        ids, starts, owner = array("i"), array("q"), array("q")
+        for doc, text in enumerate(texts):
+            for words in words_of(text):
+                starts.append(len(ids))
+                owner.append(doc)
+                ids.extend([numbers.setdefault(w, len(numbers)) for w in words])
+        self.words = list(numbers)
+        self.ids = np.frombuffer(ids, np.int32) if len(ids) else np.zeros(0, np.int32)
+        self.starts = np.array(starts, np.int64)
+        self.owner = np.array(owner, np.int64)
+        self.lengths = np.bincount(self.owner, np.diff(np.append(self.starts, len(self.ids))), len(texts))
+
+    def documents_with(self, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word, how many clean and how many toxic documents have it."""
+        docs = np.repeat(self.owner, np.diff(np.append(self.starts, len(self.ids))))
+        pairs = np.unique(self.ids.astype(np.int64) * len(label) + docs)
+        word, toxic = pairs // len(label), label[pairs % len(label)] > 0
+        return (np.bincount(word[~toxic], minlength=len(self.words)), np.bincount(word[toxic], minlength=len(self.words)))
+
+    def worst(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each sentence, its largest margin and a word that has it."""
+        if not len(self.starts):
+            return np.zeros(0), np.zeros(0, np.int64)
+        each = margins[self.ids]
+        top = np.maximum.reduceat(each, self.starts)
+        sizes = np.diff(np.append(self.starts, len(self.ids)))
+        is_top = np.flatnonzero(each == np.repeat(top, sizes))
+        first = is_top[np.searchsorted(is_top, self.starts)]
+        return top, self.ids[first]
+
+
 def train(
-    texts: list[str], toxic: list[int], landmarks: int = 256, rounds: int = 3, witnesses: int = 3
+    texts: list[str], toxic: list[int], landmarks: int = 192, rounds: int = 3, witnesses: int = 3
 ) -> Machine | None:
     """A machine from labelled documents; None unless both classes are there."""
     y = np.array(toxic)
     if not (0 < y.sum() < len(y)):
         return None
-    docs = [list(words_of(t)) for t in texts]
-    # How often words are in toxic and in clean documents.
-    seen: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    for sentences, label in zip(docs, toxic):
-        for w in {core(w) for s in sentences for w in s}:
-            seen[label][w] = seen[label].get(w, 0) + 1
-    n0, n1 = len(y) - y.sum(), y.sum()
-    odds = {
-        w: (np.log((a + 0.5) / (n1 + 1)) - np.log((seen[0].get(w, 0) + 0.5) / (n0 + 1))) * np.sqrt(a)
-        for w, a in seen[1].items()
-        if len(w) >= ORDER - 1
-    }
-    common = sorted((w for w in seen[0] if len(w) >= ORDER - 1), key=lambda w: (-seen[0][w], w))
-    up = sorted(odds, key=lambda w: (-odds[w], w))[: landmarks // 2]
-    marks = _Landmarks(up + [w for w in common if w not in set(up)][: landmarks - len(up)])
-
-    start = [w for w in up if odds[w] >= odds[up[0]] / 4]
-    words = start + common[:4000]
-    sign = np.concatenate((np.ones(len(start)), -np.ones(len(words) - len(start))))
+    bags = _Bags(texts)
+    if not bags.words:
+        return None
+    clean_in, toxic_in = bags.documents_with(y)
+    n1, n0 = y.sum(), len(y) - y.sum()
+    odds = (np.log((toxic_in + 0.5) / (n1 + 1)) - np.log((clean_in + 0.5) / (n0 + 1))) * np.sqrt(toxic_in)
+    long_enough = np.array([len(core(w)) >= ORDER - 1 for w in bags.words])
+    by_odds = np.argsort(np.where(long_enough, -odds, np.inf), kind="stable")
+    by_count = np.argsort(np.where(long_enough, -clean_in, 1), kind="stable")
+    up = [k for k in by_odds[: landmarks // 2] if odds[k] > 0]
+    common = [k for k in by_count[:4000] if clean_in[k] > 0 and k not in set(up)]
+    marks = _Landmarks([bags.words[k] for k in up + common[: landmarks - len(up)]])
+
+    first = [k for k in up if odds[k] >= odds[up[0]] / 4]
+    pairs = {(k, 1): 1 for k in first} | {(k, -1): 1 for k in common}
     for step in range(rounds + 1):
-        weight = np.where(sign > 0, (sign < 0).sum() / max(1, (sign > 0).sum()), 1.0)
-        machine = marks.machine(_svm(marks.vectors(words), sign, weight, 1.0))
-        worst: list[tuple[str, int]] = []
-        features = []
-        for sentences, label in zip(docs, toxic):
-            margins = machine.sentence_margins(sentences) if sentences else np.zeros(0)
-            features.append(machine.document_features(margins, sum(map(len, sentences))))
-            for k in np.argsort(-margins, kind="stable")[:witnesses]:
-                # Of a toxic document the worst sentence is positive, and others if they look so.
-                if not label or k == margins.argmax() or margins[k] > 0:
-                    worst.append((max(sentences[k], key=machine._known.__getitem__), label))
+        sign = np.array([side for _, side in pairs], float)
+        weight = np.array(list(pairs.values()), float)
+        weight[sign > 0] *= weight[sign < 0].sum() / max(1.0, weight[sign > 0].sum())
+        x = marks.vectors([bags.words[k] for k, _ in pairs])
+        machine = marks.machine(_svm(x, sign, weight, 1.0))
+        top, word = bags.worst(machine.margins(bags.words))
         if step == rounds:
             break
-        words = [w for w, _ in worst] + common[:4000]
-        sign = np.array([1.0 if label else -1.0 for _, label in worst] + [-1.0] * (len(words) - len(worst)))
+        pairs = {(k, -1): 1 for k in common}
+        # The sentences of each document, the worst first.
+        order = np.lexsort((-top, bags.owner))
+        place = np.arange(len(order)) - np.searchsorted(bags.owner[order], bags.owner[order])
+        for k, rank in zip(order, place):
+            if rank < witnesses:
+                label = y[bags.owner[k]]
+                # Of a toxic document the worst sentence is positive, and others if they look so.
+                if not label or rank == 0 or top[k] > 0:
+                    key = (int(word[k]), 1 if label else -1)
+                    pairs[key] = pairs.get(key, 0) + 1
+    edges = np.searchsorted(bags.owner, np.arange(len(y) + 1))
+    features = [
+        machine.document_features(top[a:b], n) for a, b, n in zip(edges, edges[1:], bags.lengths)
+    ]
     machine.logistic = _logistic(np.array(features), y)
     return machine
 
@@ -318,7 +362,7 @@ def labelled_sample(
 def score(
     docs: DataFrame,
     labels: DataFrame,
-    sample: int = 8000,
+    sample: int = 6000,
     threshold: float = 0.3,
     id_col: str = "doc_id",
     text_col: str = "text",
