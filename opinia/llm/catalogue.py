@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinia.llm import mixing, packing, quality, sharding, simhash, suffix_lm, toxicity, warc
+from opinia.llm import ann, mixing, packing, quality, sharding, simhash, suffix_lm, toxicity, warc
 from opinia.llm.common import Scratch, bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,9 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
 FROM d
 """
+
+
+@query
+def op10_prefix_forest(spark, sf):
+    """The ten nearest found of every hundredth vector."""
+    return ann.search(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10, trees=10, recall=0.95)
