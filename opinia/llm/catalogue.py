@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinia.llm import ann, mixing, packing, quality, sharding, simhash, suffix_lm, toxicity, warc
+from opinia.llm import ann, mixing, packing, quality, sharding, simhash, suffix_lm, toxicity, urlfilter, warc
 from opinia.llm.common import Scratch, bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,73 @@ FROM d
 def op10_prefix_forest(spark, sf):
     """The ten nearest found of every hundredth vector."""
     return ann.search(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10, trees=10, recall=0.95)
+
+
+#: 2024-01-01 in seconds; captures and list changes fall into the 400 days from then on.
+DAY, START = 86_400, 1_704_067_200
+
+
+def drawn(text):
+    """A number that the text decides."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def captures_and_changes(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Captures: the pages, each with a time of its id. List changes: of every page, one of a
+    list that its host tells, at a time that its URL tells: in turns its domain, its host and
+    its URL's first two segments are listed or, by every third page, taken off."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.lit(START) + F.pmod(F.col("page_id") * 7919, F.lit(400 * DAY)))
+    host = urlfilter.host_of(F.col("url"))
+    start = F.array_join(F.slice(urlfilter.segments_of(F.col("url")), 1, 2), "/")
+    turn = F.pmod("page_id", F.lit(20))
+    key = (
+        F.when(turn == 0, F.concat(F.lit("d:"), host))
+        .when(turn == 1, F.concat(F.lit("d:"), F.array_join(F.slice(F.split(host, r"\."), -3, 3), ".")))
+        .otherwise(F.concat(F.lit("u:"), host, F.lit("/"), start))
+    )
+    changes = pages.select(
+        F.element_at(F.array(*map(F.lit, ("gambling", "malware", "spam"))), (drawn(host) % 3 + 1).cast("int")).alias("list"),
+        key.alias("key"),
+        (F.lit(START) + drawn(F.col("url")) % (400 * DAY)).alias("changed_at"),
+        (F.pmod("page_id", F.lit(3)) != 0).alias("listed"),
+    )
+    return captures, changes
+
+
+@query
+def op3_url_filter(spark, sf):
+    """Every page against the entries that were active when it was fetched."""
+    captures, changes = captures_and_changes(spark, sf)
+    found = urlfilter.filter_urls(captures, changes)
+    return found.select("page_id", "host", "fetched_at", "blocked", "n_active", "entry", "lists")
+
+
+SQL["op3_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, url, 1704067200 + (page_id * 7919) % 34560000 AS fetched_at,
+    nullif(regexp_replace(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '\.$', ''), '') AS host,
+    regexp_extract_all(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '[^/]+') AS segments
+  FROM pages),
+c AS (
+  SELECT ['gambling', 'malware', 'spam'][('0x' || substr(md5(host), 1, 8))::BIGINT % 3 + 1] AS list,
+    CASE page_id % 20 WHEN 0 THEN 'd:' || host WHEN 1 THEN 'd:' || array_to_string(string_split(host, '.')[-3:], '.')
+      ELSE 'u:' || host || '/' || array_to_string(segments[1:2], '/') END AS key,
+    1704067200 + ('0x' || substr(md5(url), 1, 8))::BIGINT % 34560000 AS changed_at, page_id % 3 <> 0 AS listed
+  FROM p),
+o AS (SELECT list, key, changed_at, min(listed) AS listed FROM c WHERE list IS NOT NULL AND key IS NOT NULL GROUP BY ALL),
+i AS (SELECT *, lead(changed_at) OVER (PARTITION BY list, key ORDER BY changed_at) AS until FROM o),
+k AS (
+  SELECT page_id, fetched_at, 'd:' || array_to_string(string_split(host, '.')[j:], '.') AS key
+  FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS j FROM p WHERE host IS NOT NULL)
+  UNION ALL
+  SELECT page_id, fetched_at, 'u:' || host || '/' || array_to_string(segments[1:j], '/')
+  FROM (SELECT *, unnest(range(1, least(len(segments), 2) + 1)) AS j FROM p WHERE host IS NOT NULL)),
+a AS (
+  SELECT page_id, count(*) AS n_active, first(k.key ORDER BY -length(k.key), k.key) AS entry,
+    array_to_string(list_sort(list(DISTINCT list)), ',') AS lists
+  FROM k JOIN i ON k.key = i.key AND i.listed AND i.changed_at <= fetched_at AND (until IS NULL OR fetched_at < until)
+  GROUP BY page_id)
+SELECT page_id, host, fetched_at, n_active IS NOT NULL AS blocked, coalesce(n_active, 0)::BIGINT AS n_active, entry, lists
+FROM p LEFT JOIN a USING (page_id)
+"""
