@@ -15,12 +15,18 @@ TOKENS = r"[a-zA-Z0-9_']+"
 TOKENS_HYPHEN = r"[a-zA-Z0-9_'\-]+"
 TOKENS_UNICODE = r"[\p{L}\p{N}_']+"
 # A word with inner apostrophes or hyphens, or a run of other marks.
-RULE_TOKENS = r"[\p{L}\p{N}_]+(?:['\-][\p{L}\p{N}_]+)*|[^\s\p{L}\p{N}_]+"
+# The possessive loop keeps the regex engine from recursing once per part.
+RULE_TOKENS = r"[\p{L}\p{N}_]+(?:['\-][\p{L}\p{N}_]+)*+|[^\s\p{L}\p{N}_]+"
 # White space that follows an end mark, written so that the regex engine looks back only
 # from white space.
 SENTENCE_GAP = r"\s(?<=[.!?]\s)\s*"
 
+# What the regex engine takes for white space, as a set to trim: trimming by a pattern is
+# quadratic in a run of blanks.
+BLANKS = " \t\n\x0b\f\r"
+
 WILD = "\u0001"
+# Pairs of up to this length meet by patterns of one edit, longer ones by halves.
 LONG_TOKEN = 48
 
 
@@ -37,7 +43,7 @@ def ws_words(text: Column, drop_empty: bool = False) -> Column:
     """Lower-cased split on single white space. As in the Spark ML tokenizer, inner and
     leading empty tokens stay and trailing ones go; ``drop_empty`` removes all of them."""
     lowered = F.lower(text)
-    trimmed = F.regexp_replace(lowered, r"\s+$", "")
+    trimmed = F.rtrim(lowered, F.lit(BLANKS))
     blank = (trimmed == "") & (lowered != "")
     words = F.when(blank, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s", -1))
     return F.array_remove(words, "") if drop_empty else words
@@ -238,18 +244,72 @@ def edit_keys(token: Column, is_suspect: bool, transpositions: bool) -> Column:
     with a character too few equals a shortened word, and a substitution leaves the same
     pattern once that position is blanked. Each kind has its own key prefix, so unlike a
     plain delete neighbourhood no pair at a larger distance is produced, and each pair is
-    produced once. Keys of very long tokens are digested, so that they stay small.
+    produced once.
+
+    All patterns of a token take the square of its length, so pairs whose longer token has more
+    than ``LONG_TOKEN`` characters meet by halves instead: an edit leaves the first or the last
+    half of the shorter length as it was. These four keys are digests, and such pairs have to be
+    verified (:func:`one_edit`).
     """
     too_long, too_short, substituted = "+", "-", "*"
+    none = F.array().cast("array<string>")
     if is_suspect:
-        parts = [_variants(token, "", too_long), F.array(F.concat(F.lit(too_short), token))]
+        own = [_variants(token, "", too_long)]
         if transpositions:
-            parts.append(_swaps(token, too_long))
+            own.append(_swaps(token, too_long))
+        # The word is the longer one of this pair.
+        below = F.when(F.length(token) < LONG_TOKEN, F.array(F.concat(F.lit(too_short), token))).otherwise(none)
     else:
-        parts = [F.array(F.concat(F.lit(too_long), token)), _variants(token, "", too_short)]
-    keys = F.concat(*parts, _variants(token, WILD, substituted))
-    digest = lambda key: F.when(F.length(key) > LONG_TOKEN, F.md5(key)).otherwise(key)
-    return F.array_distinct(F.when(F.length(token) < LONG_TOKEN - 1, keys).otherwise(F.transform(keys, digest)))
+        own = [F.array(F.concat(F.lit(too_long), token)), _variants(token, "", too_short)]
+        below = none
+    own.append(_variants(token, WILD, substituted))
+    size = F.length(token)
+    patterns = F.when(size <= LONG_TOKEN, F.concat(*own)).otherwise(none)
+    return F.array_distinct(F.concat(patterns, below, _halves(token, size), _halves(token, size + 1)))
+
+
+def _halves(token: Column, longest: Column) -> Column:
+    """Digests of the first and the last half, for pairs whose longer token has ``longest`` characters."""
+    half = F.floor((longest - 2) / 2).cast("int")
+
+    def key(kind: str, part: Column) -> Column:
+        return F.concat(F.lit(kind), longest.cast("string"), F.lit(":"), F.md5(part.cast("binary")))
+
+    ends = F.array(key("<", F.substring(token, F.lit(1), half)), key(">", F.substring(token, F.length(token) - half + 1, half)))
+    return F.when(longest > LONG_TOKEN, ends).otherwise(F.array().cast("array<string>"))
+
+
+def met_once(key: Column, a: Column, b: Column) -> Column:
+    """Whether a pair that met by halves did so by their own length, and by the first half if
+    that is equal, so that of up to four meetings one counts."""
+    longest = F.greatest(F.length(a), F.length(b))
+    half = F.floor((longest - 2) / 2).cast("int")
+    named = F.substring_index(F.substring(key, F.lit(2), F.length(key)), ":", 1)
+    same = F.substring(a, F.lit(1), half) == F.substring(b, F.lit(1), half)
+    return (named == longest.cast("string")) & (key.startswith("<") | ~same)
+
+
+def one_edit(a: Column, b: Column, transpositions: bool) -> Column:
+    """Whether one edit turns one into the other, in time linear in their length: what follows
+    the first difference decides."""
+
+    def from_first(at: Column) -> Column:
+        rest = lambda word, k: F.substring(word, at + k, F.length(word))
+        same = F.length(a) == F.length(b)
+        found = (
+            (same & (rest(a, 1) == rest(b, 1)))
+            | ((F.length(a) == F.length(b) + 1) & (rest(a, 1) == rest(b, 0)))
+            | ((F.length(b) == F.length(a) + 1) & (rest(a, 0) == rest(b, 1)))
+        )
+        if transpositions:
+            one = lambda word, k: F.substring(word, at + k, F.lit(1))
+            found |= same & (one(a, 0) == one(b, 1)) & (one(a, 1) == one(b, 0)) & (rest(a, 2) == rest(b, 2))
+        return found
+
+    differs = F.array_position(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), F.lit(True))
+    # Without a difference in what both have, it is at the end of the shorter one.
+    first = F.when(differs > 0, differs).otherwise(F.least(F.length(a), F.length(b)) + 1).cast("int")
+    return (a != b) & let(first, from_first)
 
 
 def delete_keys(token: Column, depth: int) -> Column:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from opinia.functions import rows
 from opinia.operators.terms import term_counts
 
 
@@ -58,8 +57,9 @@ def buzzwords(counts: DataFrame, k: int = 25, min_count: int = 5) -> DataFrame:
     return best(1).unionByName(best(0))
 
 
-def term_label_association(counts: DataFrame, n_pos: int, n_neg: int, min_df: int = 5) -> DataFrame:
-    """``(token, df, chi2, pmi)``: how far a term's presence depends on the label.
+def term_label_association(counts: DataFrame, n_pos: int, n_neg: int, low: int = 5) -> DataFrame:
+    """``(token, df, chi2, pmi, low_count)``: how far a term's presence depends on the label.
+    ``low_count`` marks terms of fewer than ``low`` documents, whose numbers mean little.
 
     ``counts`` is :func:`class_counts`; ``n_pos`` and ``n_neg`` are documents per class.
     """
@@ -69,24 +69,34 @@ def term_label_association(counts: DataFrame, n_pos: int, n_neg: int, min_df: in
     spread = (a + b) * (c + d) * F.lit(float(n_pos)) * F.lit(float(n_neg))
     chi2 = F.when(spread > 0, F.lit(n) * (a * d - b * c) * (a * d - b * c) / spread).otherwise(0.0)
     pmi = F.when(a > 0, F.log(a * F.lit(n) / ((a + b) * F.lit(float(n_pos)))))
-    return counts.where(F.col("df_pos") + F.col("df_neg") >= min_df).select(
-        "token", (F.col("df_pos") + F.col("df_neg")).alias("df"), chi2.alias("chi2"), pmi.alias("pmi")
+    df = F.col("df_pos") + F.col("df_neg")
+    return counts.select(
+        "token", df.alias("df"), chi2.alias("chi2"), pmi.alias("pmi"), (df < low).alias("low_count")
     )
 
 
-def strategy_stats(frames: dict[str, DataFrame], words: str = "words") -> DataFrame:
-    """``(strategy, n_docs, n_tokens, n_terms)`` for token lists made in different ways."""
-    table = None
-    for name, df in frames.items():
-        lists = df.select(words)
-        size = lists.agg(F.count("*").alias("n_docs"), F.sum(F.size(words)).alias("n_tokens"))
-        # Repeats are dropped inside each document before the distinct terms are counted.
-        terms = rows.explode(lists, [], F.array_distinct(words), "t").distinct().agg(
-            F.count("*").alias("n_terms")
-        )
-        row = size.withColumn("strategy", F.lit(name)).join(
-            F.broadcast(terms.withColumn("strategy", F.lit(name))), "strategy"
-        )
-        row = row.select("strategy", "n_docs", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), "n_terms")
-        table = row if table is None else table.unionByName(row)
-    return table
+def strategy_stats(stats: DataFrame, n_docs: int, dropped: dict[str, list[str]]) -> DataFrame:
+    """``(strategy, n_docs, n_tokens, n_terms)`` for each strategy's list of dropped words.
+
+    Dropping stop words is a matter of each token, so the counts of all strategies come from
+    one pass over ``stats (token, df, n)``, a row per distinct term.
+    """
+    sums = []
+    for name, words in dropped.items():
+        left = ~F.lower("token").isin(sorted({w.lower() for w in words})) if words else F.lit(True)
+        sums += [
+            F.coalesce(F.sum(F.when(left, F.col("n"))), F.lit(0)).alias(f"{name}_tokens"),
+            F.count(F.when(left, F.lit(1))).alias(f"{name}_terms"),
+        ]
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("strategy"),
+                F.lit(n_docs).cast("long").alias("n_docs"),
+                F.col(f"{name}_tokens").alias("n_tokens"),
+                F.col(f"{name}_terms").alias("n_terms"),
+            )
+            for name in dropped
+        ]
+    )
+    return stats.agg(*sums).select(F.inline(each))

@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 
 from opinia.session import materialize
 
-# A lookup side is broadcast only when it is counted to have no more rows than this.
+# A lookup side is broadcast only when it is counted to have no more rows and bytes than this.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than needed to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes, as text.
+
+    A plain aggregate, added up in every task; ``df`` should be a stored table.
+    """
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    rows, total = df.agg(F.count("*"), F.sum(size)).first()
+    return rows <= max_rows and (total or 0) <= max_bytes
 
 
 def heavy_keys(counts: DataFrame, on: Sequence[str], weight: str) -> DataFrame | None:

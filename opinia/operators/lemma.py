@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinia.functions import rows
 from opinia.operators.joins import lookup_join
 from opinia.operators.tokens import map_tokens
+from opinia.session import materialize
 
 # Endings that the corpus-derived lemma table strips.
 ENDINGS = ["ing", "ed", "tion", "s"]
@@ -36,7 +37,7 @@ def derive_lemmas(words: DataFrame, endings: list[str] = ENDINGS, min_stem: int
 
 
 def _as_lookup(lemmas: DataFrame) -> DataFrame:
-    return lemmas.groupBy(F.col("form").alias("token")).agg(F.min("lemma").alias("lemma"))
+    return materialize(lemmas.groupBy(F.col("form").alias("token")).agg(F.min("lemma").alias("lemma")), "lemma-lookup")
 
 
 def lemmatize(long: DataFrame, lemmas: DataFrame, counts: DataFrame | None = None) -> DataFrame:

@@ -53,7 +53,13 @@ def candidates(
             words, ["candidate", "freq"], X.edit_keys(F.col("candidate"), False, transpositions), "key"
         )
         # The optimizer does not see that the keys multiply the rows, and would broadcast them.
-        return left.join(right.hint("merge"), "key").select("token", "candidate", F.lit(1).alias("distance"), "freq")
+        pairs = left.join(right.hint("merge"), "key")
+        a, b = F.col("token"), F.col("candidate")
+        # Long pairs meet by halves, and have to be checked.
+        checked = X.met_once(F.col("key"), a, b) & X.one_edit(a, b, transpositions)
+        return pairs.where(~F.col("key").rlike("^[<>]") | checked).select(
+            "token", "candidate", F.lit(1).alias("distance"), "freq"
+        )
     left = rows.explode(odd, ["token"], X.delete_keys(F.col("token"), max_distance), "key")
     right = rows.explode(
         words, ["candidate", "freq"], X.delete_keys(F.col("candidate"), max_distance), "key"
@@ -149,7 +155,8 @@ def correct_in_context(
     were seen after ``prev``, those seen before ``next``. Only pairs that were seen are
     stored. ``words`` and ``bigrams`` are what the model was learned from, ``counts`` the
     term statistics of ``df`` where that is another text. All of them, and ``cands``, should
-    be stored tables.
+    be stored tables. Pairs are spread by how often ``df`` itself has them, which the model
+    need not know.
     """
     counts = words if counts is None else counts
     vocab = words.count()
@@ -163,7 +170,6 @@ def correct_in_context(
             ).alias("cands")
         ),
         "listed",
-        "token",
     )
     pairs = cands.select("token", "candidate")
     # Rows per suspect: a caller's dictionary can make a frequent token a suspect.
@@ -176,8 +182,8 @@ def correct_in_context(
     places = lookup_join(
         neighbours(df, tokens, shortest), listed, ["token"], "inner", ["doc_id", "i"], counts
     )
-    places = lookup_join(places, seen_after, ["prev", "token"], "left", ["doc_id", "i"], bigrams)
-    places = lookup_join(places, seen_before, ["token", "next"], "left", ["doc_id", "i"], followed)
+    places = lookup_join(places, seen_after, ["prev", "token"], "left", ["doc_id", "i"])
+    places = lookup_join(places, seen_before, ["token", "next"], "left", ["doc_id", "i"])
 
     def count_in(seen, word):
         return F.coalesce(F.try_element_at(F.col(seen), word), F.lit(0))
@@ -210,7 +216,7 @@ def _seen(
         .groupBy(side, "token")
         .agg(F.map_from_entries(F.collect_list(F.struct("candidate", "c"))).alias(out))
     )
-    return materialize(seen, f"seen-{out}", "token")
+    return materialize(seen, f"seen-{out}")
 
 
 def correct_in_context_wide(df: DataFrame, corrected: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -21,7 +21,7 @@ from opinia.session import materialize
 def _words(df: DataFrame, column: str) -> DataFrame:
     """Term statistics of an annotation column, stored."""
     listed = df.select("doc_id", F.col(f"{column}.result").alias("words"))
-    return materialize(terms.term_stats(listed), "words", "token")
+    return materialize(terms.term_stats(listed), "words")
 
 
 class Annotate(Transformer):
@@ -61,7 +61,7 @@ class SpellCheck(Estimator):
             known = spell.corpus_dictionary(words, self.min_count)
         bigrams = None
         if self.context:
-            bigrams = materialize(spell.bigram_lm(df, self.column), "bigrams", "token")
+            bigrams = materialize(spell.bigram_lm(df, self.column), "bigrams")
         return SpellCheckModel(words, known, bigrams, self.max_distance, self.column)
 
 
@@ -84,7 +84,7 @@ class SpellCheckModel(Model):
         here = _words(df, self.column)
         odd = spell.suspects(here, self.dictionary)
         cands = materialize(
-            spell.candidates(odd, self.dictionary, self.max_distance), "candidates", "token"
+            spell.candidates(odd, self.dictionary, self.max_distance), "candidates"
         )
         if self.bigrams is None:
             fixes = materialize(spell.best_candidates(cands), "corrections")
@@ -103,20 +103,19 @@ class Lemmatize(Estimator):
         self.lemmas, self.column = lemmas, column
 
     def _fit(self, df: DataFrame) -> LemmatizeModel:
-        words = _words(df, self.column)
         table = self.lemmas
         if table is None:
-            table = materialize(lemma.derive_lemmas(words), "lemmas")
-        return LemmatizeModel(table, words, self.column)
+            table = materialize(lemma.derive_lemmas(_words(df, self.column)), "lemmas")
+        return LemmatizeModel(table, self.column)
 
 
 class LemmatizeModel(Model):
-    def __init__(self, lemmas: DataFrame, words: DataFrame, column: str):
+    def __init__(self, lemmas: DataFrame, column: str):
         super().__init__()
-        self.lemmas, self.words, self.column = lemmas, words, column
+        self.lemmas, self.column = lemmas, column
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return lemma.lemmatize_wide(df, self.lemmas, self.column, self.words)
+        return lemma.lemmatize_wide(df, self.lemmas, self.column)
 
 
 class DropStopWords(Transformer):

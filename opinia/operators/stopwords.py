@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opinia.functions import lists
 from opinia.functions import text as X
 from opinia.operators.joins import lookup_join
+from opinia.session import materialize
 
 
 def remove_stop_words(
@@ -34,7 +35,8 @@ def remove_stop_table(long: DataFrame, stop: DataFrame, keep: Iterable[str] = li
     words = stop.select(F.lower("word").alias("token")).where(F.col("token").isNotNull())
     if kept:
         words = words.where(~F.col("token").isin(kept))
-    return lookup_join(long, words.distinct(), ["token"], "left_anti", ["doc_id", "sent", "pos"]).select(
+    stored = materialize(words.distinct(), "stop-words")
+    return lookup_join(long, stored, ["token"], "left_anti", ["doc_id", "sent", "pos"]).select(
         *long.columns
     )
 

@@ -70,15 +70,18 @@ def top_per_document(scored: DataFrame, value: str, k: int = 5) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
 
 
-def vocabulary(stats: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1, name: str = "vocab") -> DataFrame:
-    """``(index, token, n, df)``: the most frequent terms, ties by token, so that indexes do
-    not depend on the data layout. Ranks come from range partitions, not from one sort."""
+def vocabulary(
+    stats: DataFrame, vocab_size: int | None = None, min_df: int = 1, name: str = "vocab"
+) -> DataFrame:
+    """``(index, token, n, df)``: all terms, the most frequent first, ties by token, so that
+    indexes do not depend on the data layout; or the first ``vocab_size`` of them. Ranks come
+    from range partitions, not from one sort."""
     order = [F.desc("n"), F.asc("token")]
     counted = stats.where(F.col("df") >= min_df).withColumn("one", F.lit(1))
     ranked = running_sums(counted, order, {"one": "index"}, name)
-    return ranked.where(F.col("index") < vocab_size).select(
-        F.col("index").cast("int").alias("index"), "token", "n", "df"
-    )
+    if vocab_size is not None:
+        ranked = ranked.where(F.col("index") < vocab_size)
+    return ranked.select(F.col("index").cast("long").alias("index"), "token", "n", "df")
 
 
 def top_terms(stats: DataFrame, k: int = 50) -> DataFrame:

@@ -40,7 +40,7 @@ def token_count(df: DataFrame, words: str = "words", out: str = "tokens") -> Dat
 def assemble(df: DataFrame, text: str = "text", out: str = "document", trim: bool = True) -> DataFrame:
     """The text as a one-element annotation array; null counts as ''."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    whole = F.regexp_replace(whole, r"^\s+|\s+$", "") if trim else whole
+    whole = F.trim(whole, F.lit(X.BLANKS)) if trim else whole
     return df.withColumn(
         out,
         F.array(
@@ -137,7 +137,7 @@ def map_tokens(df: DataFrame, edits: DataFrame, tokens: str = "tokens") -> DataF
     tokens of the document from 0. Only the edits are regrouped; a document's tokens move
     once, with its row. The edits stem from ``df`` itself, so they are stored: otherwise
     each further step would compute everything before it twice."""
-    edits = materialize(edits, "edits", "doc_id")
+    edits = materialize(edits, "edits")
     lists = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("_edits"))
     return (
         df.join(lists, "doc_id", "left")

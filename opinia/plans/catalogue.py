@@ -58,7 +58,7 @@ def labelled_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_stats(df: DataFrame) -> DataFrame:
-    return materialize(terms.term_stats(df), "words", "token")
+    return materialize(terms.term_stats(df), "words")
 
 
 # Sources
@@ -187,8 +187,8 @@ def bigram_lm(spark, sf):
 def spell_context(spark, sf):
     stats, _, cands = spelling_tables(spark, sf)
     annotated = tokens.annotate(docs(spark, sf))
-    pairs = materialize(spell.bigram_lm(annotated), "bigrams", "token")
-    fixed = spell.correct_in_context(annotated, stats, pairs, materialize(cands, "candidates", "token"))
+    pairs = materialize(spell.bigram_lm(annotated), "bigrams")
+    fixed = spell.correct_in_context(annotated, stats, pairs, materialize(cands, "candidates"))
     return fixed.select("doc_id", "sent", "pos", "token", "corrected")
 
 
@@ -297,18 +297,19 @@ def term_label_assoc(spark, sf):
     labels = reviews.labelled_docs(spark, sf)
     n_pos, n_neg = models.class_sizes(labels)
     found = insight.term_label_association(insight.class_counts(labelled_words(spark, sf)), n_pos, n_neg)
-    return found.select("token", "df", rounded("chi2").alias("chi2"), rounded("pmi").alias("pmi"))
+    return found.select(
+        "token", "df", rounded("chi2").alias("chi2"), rounded("pmi").alias("pmi"), "low_count"
+    )
 
 
 @query
 def strategy_stats(spark, sf):
-    words = doc_words(spark, sf)
-    frames = {
-        "sw_pre": stopwords.remove_stop_words(words, out="words", keep=lists.NEGATIONS),
-        "sw_cstm": stopwords.remove_stop_words(words, out="words", stop=lists.CUSTOM_STOP_WORDS),
-        "sw_none": words,
+    dropped = {
+        "sw_pre": lists.without(lists.default_stop_words()),
+        "sw_cstm": lists.CUSTOM_STOP_WORDS,
+        "sw_none": [],
     }
-    return insight.strategy_stats(frames)
+    return insight.strategy_stats(terms.term_stats(doc_words(spark, sf)), docs(spark, sf).count(), dropped)
 
 
 # Split, naive Bayes and its evaluation
@@ -348,9 +349,9 @@ def auc(spark, sf):
     return evaluate.auc(nb_predictions(spark, sf)).withColumn("auc", rounded("auc"))
 
 
-# Spark ML classifiers. The width and the label imbalance of the data matter here, not the
-# score: see the tests for learnability.
-NUM_FEATURES = 4096
+# Spark ML classifiers, at the default width and with the default iterations and trees. The
+# label imbalance of the data matters here, not the score: see the tests for learnability.
+NUM_FEATURES = 1 << 18
 
 
 def hashed_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -373,7 +374,7 @@ def ml_scores(spark, sf, name: str, **params) -> DataFrame:
 
 @query
 def score_lr(spark, sf):
-    return ml_scores(spark, sf, "lr", maxIter=10)
+    return ml_scores(spark, sf, "lr")
 
 
 @query
@@ -383,23 +384,23 @@ def score_dt(spark, sf):
 
 @query
 def score_rf(spark, sf):
-    return ml_scores(spark, sf, "rf", numTrees=10, maxDepth=5, seed=models.SEED)
+    return ml_scores(spark, sf, "rf", maxDepth=5, seed=models.SEED)
 
 
 @query
 def score_svc(spark, sf):
-    return ml_scores(spark, sf, "svc", maxIter=10)
+    return ml_scores(spark, sf, "svc")
 
 
 @query
 def coef_terms(spark, sf):
     train, _ = models.split_train_test(labelled_words(spark, sf))
-    counter = StableCountVectorizer(input="words", vocab_size=NUM_FEATURES, min_df=2).fit(train)
+    counter = StableCountVectorizer(input="words", vocab_size=NUM_FEATURES).fit(train)
     counted = counter.transform(train)
     weighted = IDF(inputCol="rawFeatures", outputCol="features").fit(counted).transform(counted)
     weighted = materialize(weighted.select("label", "features"), "vectors")
-    model = models.estimator("lr", maxIter=10, regParam=0.01).fit(weighted)
-    # One row per vocabulary entry, which NUM_FEATURES bounds.
+    model = models.estimator("lr", regParam=0.01).fit(weighted)
+    # One row per vocabulary entry; a model on the driver needs the bound NUM_FEATURES.
     rows = [(i, t, float(c)) for i, (t, c) in enumerate(zip(counter.vocabulary, model.coefficients))]
     return spark.createDataFrame(rows, "index int, token string, coefficient double")
 

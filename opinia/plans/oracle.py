@@ -251,8 +251,8 @@ BODIES: dict[str, str] = {
     "term_freq": """SELECT doc_id, token, CAST(tf AS INTEGER) AS tf,
         round(tf / CAST(sum(tf) OVER (PARTITION BY doc_id) AS DOUBLE), 9) + 0.0 AS freq FROM tf""",
     "doc_freq": "SELECT token, df FROM stats",
-    "vocabulary": """SELECT CAST(row_number() OVER (ORDER BY n DESC, token) - 1 AS INTEGER) AS index, token, n, df
-        FROM stats ORDER BY n DESC, token LIMIT 262144""",
+    "vocabulary": """SELECT CAST(row_number() OVER (ORDER BY n DESC, token) - 1 AS BIGINT) AS index, token, n, df
+        FROM stats""",
     "top_terms": "SELECT token, n, df FROM stats ORDER BY n DESC, token LIMIT 50",
     "idf": "SELECT token, df, round(idf, 6) + 0.0 AS idf FROM idfs",
     "tf_idf": "SELECT doc_id, token, tf, tf_idf FROM tfidf",
@@ -287,15 +287,14 @@ BODIES: dict[str, str] = {
         WHERE rank <= 25""",
     "term_label_assoc": """SELECT token, df, round(n * (a * d - b * c) * (a * d - b * c)
                 / ((a + b) * (c + d) * np * nn), 6) + 0.0 AS chi2,
-            round(CASE WHEN a > 0 THEN ln(a * n / ((a + b) * np)) END, 6) + 0.0 AS pmi
+            round(CASE WHEN a > 0 THEN ln(a * n / ((a + b) * np)) END, 6) + 0.0 AS pmi, df < 5 AS low_count
         FROM (SELECT token, df, n, np, nn, a, b, np - a AS c, nn - b AS d FROM (
             SELECT token, count(DISTINCT doc_id) AS df,
                 CAST(count(DISTINCT doc_id) FILTER (label = 1) AS DOUBLE) AS a,
                 CAST(count(DISTINCT doc_id) FILTER (label = 0) AS DOUBLE) AS b
             FROM lwords GROUP BY token) t,
             (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (label = 1) AS DOUBLE) AS np,
-                CAST(count(*) FILTER (label = 0) AS DOUBLE) AS nn FROM labelled) s)
-        WHERE df >= 5""",
+                CAST(count(*) FILTER (label = 0) AS DOUBLE) AS nn FROM labelled) s)""",
     "strategy_stats": f"""SELECT strategy, (SELECT count(*) FROM documents) AS n_docs,
             count(*) AS n_tokens, count(DISTINCT token) AS n_terms
         FROM (SELECT 'sw_none' AS strategy, token FROM words

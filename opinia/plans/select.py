@@ -17,13 +17,14 @@ from opinia.operators.models import SEED, estimator, hash_bucket, split_column
 from opinia.session import materialize
 from opinia.sources.reviews import results_frame
 
-# The grids. The deepest tree that Spark ML accepts has depth 30, so larger
-# depths are cut to it.
+# The grids. The deepest tree that Spark ML accepts has depth 30, which stands
+# for the larger depths of the grid.
 LR_REG_PARAM = [0.1, 0.01]
 LR_MAX_ITER = [1, 5, 10, 25]
 DT_MAX_BINS = [10, 50, 100]
 DT_MAX_DEPTH = [10, 50, 100]
 DEEPEST_TREE = 30
+USABLE_DEPTHS = [10, 30]
 
 
 def param_grid(model) -> list[dict]:
@@ -33,8 +34,7 @@ def param_grid(model) -> list[dict]:
     if name == "LogisticRegression":
         grid = grid.addGrid(model.regParam, LR_REG_PARAM).addGrid(model.maxIter, LR_MAX_ITER)
     elif name == "DecisionTreeClassifier":
-        depths = sorted({min(d, DEEPEST_TREE) for d in DT_MAX_DEPTH})
-        grid = grid.addGrid(model.maxBins, DT_MAX_BINS).addGrid(model.maxDepth, depths)
+        grid = grid.addGrid(model.maxBins, DT_MAX_BINS).addGrid(model.maxDepth, USABLE_DEPTHS)
     return grid.build()
 
 
@@ -66,6 +66,10 @@ def tune(
     does not depend on the data layout. Ties go to the earlier point.
     """
     points = list(points or param_grid(model))
+    for point in points:
+        for param, value in point.items():
+            if param.name == "maxDepth" and value > DEEPEST_TREE:
+                raise ValueError(f"depth {value}: Spark ML grows trees to depth {DEEPEST_TREE}")
     score = evaluator()
     if how == "cv":
         folded = features.withColumn("fold", hash_bucket(key, seed, folds).cast("int"))
@@ -164,5 +168,5 @@ def clean_parts(train: DataFrame, test: DataFrame, spelling: str = "context") ->
     for stage in cleaning_stages(spelling):
         fitted = stage.fit(both.where("part = 'train'")) if isinstance(stage, Estimator) else stage
         name = type(stage).__name__.lower()
-        both = materialize(fitted.transform(both).select(*columns, "tokens"), name, "doc_id")
+        both = materialize(fitted.transform(both).select(*columns, "tokens"), name)
     return tuple(both.where(F.col("part") == part).drop("part") for part in ("train", "test"))

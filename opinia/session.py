@@ -25,52 +25,59 @@ def local_session(cores: int | str = 8, app: str = "opinia", memory: str = "12g"
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str | None:
+def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Where it is unset, a local master gets a fresh temporary folder. On a cluster there is
-    no safe default, so the answer is None.
+    Where it is unset, a session on a local master gets a folder of its own, once. On a
+    cluster there is no folder that all executors are known to see, so that is an error.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
-        return configured
-    if sc.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="opinia-", dir="/tmp")
-        sc.setCheckpointDir(folder)
-        return folder
-    return None
+        return str(configured)
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="opinia-")
+    sc.setCheckpointDir(folder)
+    return folder
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a stored table whose splits would leave half of them idle.
+class Scope:
+    """Removes the tables that :func:`materialize` wrote inside it, when it is left.
 
-    A small file is one row group, which one task reads and processes alone: Spark plans
-    about one split per core for it, but all but one are empty. So files are counted too,
-    unless there are clearly more splits than cores, as for any table of cluster size; such
-    a table is returned as it is. Hashing by ``key`` keeps retries deterministic.
+    Results that read these tables have to be written or collected before that.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > 2 * cores or len(df.inputFiles()) * 2 > cores:
-        return df
-    return df.repartition(cores, key)
 
+    _open: list[Scope] = []
 
-def materialize(df: DataFrame, name: str, key: str | None = None) -> DataFrame:
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scope:
+        Scope._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scope._open.remove(self)
+        for path in self.paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used for what several branches or passes of one job read: corpus-level aggregates
     (vocabulary, bigram counts, candidates), which each branch would otherwise compute from
     the text again, and training vectors, which learners pass over many times. The
     written table outlives executors and keeps column pruning and size statistics, which a
-    cached or checkpointed RDD would not. ``key`` asks for :func:`spread` by that column.
+    cached or checkpointed RDD would not. An open :class:`Scope` removes it at its end.
     """
     spark = df.sparkSession
-    base = scratch_dir(spark)
-    if base is None:
-        # Without a shared folder the lineage stays, and lost blocks are computed again.
-        return df.persist()
-    path = f"{base.rstrip('/')}/opinia/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    base = scratch_dir(spark).rstrip("/")
+    path = f"{base}/opinia/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
-    return stored if key is None else spread(stored, key)
+    if Scope._open:
+        Scope._open[-1].paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinia.session import spread
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -66,7 +65,7 @@ def load_reviews(
         F.col(text_col).isNull().alias("text_was_null"),
         *keep,
     )
-    return spread(df, "doc_id")
+    return df
 
 
 def with_label(df: DataFrame, label_col: str, out: str = "label") -> DataFrame:
