@@ -17,8 +17,8 @@ logistic model on a document's sentence margins gives the score.
 In the end the margin of a word is linear in its quadruples, so a table of the quadruples of
 the landmarks is all that the tasks need, and each distinct word is scored once a worker.
 
-The model is fitted on at most ``sample`` labelled documents (by a hash of the id), on the
-driver; every document is scored, with its whole text.
+The model is fitted on at most ``sample`` labelled documents (by a hash of the id), in one
+task; every document is scored, with its whole text.
 
 Defined results: a null or empty text has no sentence and gets the score of a document
 without words; null labels and labels without a document are not used; without labelled
@@ -28,6 +28,7 @@ columns other than the id and the text are only carried where a caller asks for
 
 from __future__ import annotations
 
+import pickle
 import re
 from array import array
 from collections.abc import Iterator
@@ -348,15 +349,32 @@ def train(
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str, label_col: str
-) -> tuple[list[str], list[int]]:
-    """At most ``sample`` labelled documents, by the least hash of their ids, held-out rows apart."""
+) -> DataFrame:
+    """``(_text, _label)`` of at most ``sample`` labelled documents, by the least hash of their ids,
+    held-out rows apart."""
     known = labels.where(
         F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (bucket(id_col, 4) != 2)
     ).select(F.col(id_col).alias("_id"), (F.col(label_col) > 0).cast("int").alias("_label"))
     chosen = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     found = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    rows = found.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id").limit(sample).collect()
-    return [r["_text"] for r in rows], [r["_label"] for r in rows]
+    known = found.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    return known.select("_text", "_label")
+
+
+def fit(known: DataFrame) -> Machine | None:
+    """:func:`train` on a bounded sample, in one task, so that its memory is not the driver's."""
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[str] = []
+        toxic: list[int] = []
+        for b in found:
+            texts += b.column("_text").to_pylist()
+            toxic += b.column("_label").to_pylist()
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, toxic))], pa.binary())], names=["machine"])
+
+    rows = known.coalesce(1).mapInArrow(run, "machine binary").collect()
+    return pickle.loads(bytes(rows[0]["machine"])) if rows else None
 
 
 def score(
@@ -371,7 +389,7 @@ def score(
 ) -> DataFrame:
     """``carry`` columns, ``score``, ``worst_sentence`` (its number from 0; null without one) and
     ``predicted``. Documents whose crc32(id) mod 4 is 2 lend no labels."""
-    machine = train(*labelled_sample(docs, labels, sample, id_col, text_col, label_col))
+    machine = fit(labelled_sample(docs, labels, sample, id_col, text_col, label_col))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
     kept = docs.select(*carry, utf8(text_col).alias("_text"))
     names = kept.columns[:-1]
