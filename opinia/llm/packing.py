@@ -209,25 +209,13 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     scratch = Scratch(spark, "packing")
     stored = scratch.store(pieces, "pieces")
     counts = {r["length"]: r["n"] for r in stored.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    runs = sorted(plan(counts, capacity))
-    # By length and first rank, in one sorted array; a rank is below 2 ** 44.
-    keys = np.array([(r[0] << 44) + r[1] for r in runs], np.int64)
-    rest = np.array([r[1:] for r in runs], np.int64).reshape(-1, 5)
-    table = spark.sparkContext.broadcast((keys, rest))
-
-    names = pieces.columns
-
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, rest = table.value
-        for b in found:
-            length, rank = (b.column(c).to_numpy(zero_copy_only=False) for c in ("length", "_rank"))
-            at = np.searchsorted(keys, (length << 44) + rank, "right") - 1
-            first, _, copies, sequence, offset = rest[at].T
-            along, inside = np.divmod(rank - first, copies)
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in names), pa.array(sequence + along), pa.array(offset + inside * length)],
-                names=[*names, "sequence_id", "offset"],
-            )
+    # A row for each length that occurs, at most `capacity`, with its runs in order.
+    runs = spark.createDataFrame(
+        plan(counts, capacity), "length long, first long, bins long, copies long, sequence long, at long"
+    )
+    placed = runs.groupBy("length").agg(
+        F.sort_array(F.collect_list(F.struct("first", "copies", "sequence", "at"))).alias("_runs")
+    )
 
     # Lengths that more than one task should rank, and into how many slices; at most `capacity`.
     wide = {n: -(-c // SLICE) for n, c in sorted(counts.items()) if c > SLICE}
@@ -246,6 +234,12 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     )
     ranked = sliced.withColumn("_own", F.row_number().over(own) - 1).join(starts, ["length", "_slice"])
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_own"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.select(*pieces.columns, "_rank").mapInArrow(run, f"{schema}, sequence_id long, offset long")
-
+    # The last run that begins at or before the piece's rank.
+    run = F.element_at(F.filter("_runs", lambda r: r["first"] <= F.col("_rank")), -1)
+    found = ranked.join(F.broadcast(placed), "length").withColumn("_run", run)
+    along = F.col("_rank") - F.col("_run.first")
+    return found.select(
+        *pieces.columns,
+        (F.col("_run.sequence") + F.floor(along / F.col("_run.copies"))).cast("long").alias("sequence_id"),
+        (F.col("_run.at") + along % F.col("_run.copies") * F.col("length")).cast("long").alias("offset"),
+    )

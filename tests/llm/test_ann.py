@@ -40,7 +40,7 @@ def test_recall(spark, monkeypatch):
 
 
 def test_ties_copies_and_unusable_vectors(spark):
-    rows = [(i, [1.0] * 8) for i in range(60)] + [(i, [float(i % 3), 1, 2, 3, 4, 5, 6, 7]) for i in range(60, 90)]
+    rows = [(i, [1.0] * 8) for i in range(60)] + [(i, [float(x) for x in (i % 3, 1, 2, 3, 4, 5, 6, 7)]) for i in range(60, 90)]
     rows += [(100, None), (120, [0.0] * 8), (140, [float("nan")] * 8), (160, [None] + [1.0] * 7), (180, [1.0] * 5), (None, [1.0] * 8), (0, [1.0] * 8)]
     found, true = search(spark, rows), brute(rows, lambda i: i % 20 == 0, 10)
     assert found.keys() == true.keys()
