@@ -54,7 +54,22 @@ def test_preview_is_ordered(spark, folder):
 
 def test_stored_tables_use_the_configured_folder(spark, raw):
     base = scratch_dir(spark)
-    stored = materialize(raw, "probe", "doc_id")
+    stored = materialize(raw, "probe")
     assert stored.schema == raw.schema and stored.count() == 9
     assert all(base.split(":", 1)[-1].strip("/") in f for f in stored.inputFiles())
-    assert stored.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+class Elsewhere:
+    """As much of a session as is asked for the folder, on a cluster without one."""
+
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+    class sparkContext:
+        master = "spark://driver:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Elsewhere)

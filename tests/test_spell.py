@@ -139,11 +139,11 @@ def test_context_spelling_corrects_unseen_text(spark, corpus):
 def test_context_spelling_beyond_the_broadcast_size(spark, corpus, monkeypatch):
     annotated = tokens.annotate(corpus)
     stats = materialize(
-        terms.term_stats(tokens.finish(annotated, out="words").select("doc_id", "words")), "words", "token"
+        terms.term_stats(tokens.finish(annotated, out="words").select("doc_id", "words")), "words"
     )
     known = spell.corpus_dictionary(stats)
-    cands = materialize(spell.candidates(spell.suspects(stats, known), known), "cands", "token")
-    pairs = materialize(spell.bigram_lm(annotated), "bigrams", "token")
+    cands = materialize(spell.candidates(spell.suspects(stats, known), known), "cands")
+    pairs = materialize(spell.bigram_lm(annotated), "bigrams")
 
     def run():
         fixed = spell.correct_in_context(annotated, stats, pairs, cands)
