@@ -139,7 +139,8 @@ def assign(
         ),
         "positions",
     )
-    begins = placed.groupBy("_old", "_filler").agg(F.min("_at").alias("_begin"))
+    # Two rows for each old shard.
+    begins = F.broadcast(placed.groupBy("_old", "_filler").agg(F.min("_at").alias("_begin")))
     middle = F.col("_at") - F.col("_begin") + F.col("_size") / 2
     schema = "_old int, _filler int, shard int, start long, before int"
     loads, cuts, flows = np.zeros(len(whole), np.int64), [], []
