@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -119,25 +119,28 @@ def prefix_sums(
     )
 
 
-def arrow_schema(ddl: Iterable[tuple[str, object]]):
+#: The struct column in which a whole row is carried through a Python task.
+ROW = "_row"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one, so that their names do not matter."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW)
+
+
+def texts_of(batch, carried: str | None) -> list[bytes]:
+    """The UTF-8 texts of a batch: of ``_text``, or of this field of the carried row, so that the
+    text is not sent twice. Null counts as empty."""
     import pyarrow as pa
 
-    return pa.schema(list(ddl))
+    if carried is None:
+        return batch.column("_text").to_pylist()
+    column = batch.column(ROW).field(batch.column(ROW).type.get_field_index(carried))
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def batches(rows: Iterator[tuple], schema, size: int = 8192):
-    """Record batches of ``size`` rows from an iterator of tuples."""
+def release() -> None:
+    """Gives memory that Arrow keeps for later batches back at the end of a task."""
     import pyarrow as pa
 
-    chunk: list[tuple] = []
-    for row in rows:
-        chunk.append(row)
-        if len(chunk) == size:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(zip(*chunk), schema)], schema=schema
-            )
-            chunk = []
-    if chunk:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=f.type) for c, f in zip(zip(*chunk), schema)], schema=schema
-        )
+    pa.default_memory_pool().release_unused()

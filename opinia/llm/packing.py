@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch, utf8
+from opinia.llm.common import Scratch, release, utf8
 
 #: Rows of one length that are ranked by one task.
 SLICE = 100_000
@@ -95,6 +95,7 @@ def token_pieces(
                     ],
                     names=["doc_id", "piece", "start", "length", "ids"],
                 )
+        release()
 
     kept = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("_text"))
     kind = kept.schema["doc_id"].dataType.simpleString()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinia.llm.common import BLANKS, Scratch, split_words, utf8
+from opinia.llm.common import BLANKS, ROW, Scratch, release, split_words, texts_of, utf8, whole_row
 
 #: Characters that prose has few of.
 SYMBOLS = b"#*$%&|<>"
@@ -103,22 +103,25 @@ def counts(text: bytes) -> tuple[int, ...]:
 
 
 def text_counts(docs: DataFrame, text_col: str = "text", carry: tuple = ()) -> DataFrame:
-    """``carry`` columns and the numbers of :data:`COUNTS`, as longs."""
-    kept = docs.select(*carry, utf8(text_col).alias("_text"))
-    names = kept.columns[:-1]
+    """``carry`` columns (or the whole row) and the numbers of :data:`COUNTS`, as longs."""
+    carried = docs.select(*carry)
+    names = carried.columns
+    inside = text_col if names == [ROW] else None
+    kept = carried if inside else docs.select(*carry, utf8(text_col).alias("_text"))
     schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]] + [f"{c} long" for c in COUNTS]
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema] + [f"{c} long" for c in COUNTS]
     )
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in found:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
-                rows = [counts(t) for t in b.column("_text").to_pylist()]
+                rows = [counts(t) for t in texts_of(b, inside)]
                 numbers = np.array(rows, np.int64).reshape(-1, len(COUNTS)).T
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(n) for n in names), *(pa.array(x) for x in numbers)], names=[*names, *COUNTS]
                 )
+        release()
 
     return kept.mapInArrow(run, schema)
 
@@ -242,5 +245,4 @@ def judge(
 
 def keep_good(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`judge` keeps."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return judge(docs, text_col, (row,), **settings).where("kept").select("_row.*")
+    return judge(docs, text_col, (whole_row(docs),), **settings).where("kept").select(f"{ROW}.*")

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinia.llm.common import bucket, utf8
+from opinia.llm.common import ROW, bucket, release, texts_of, utf8, whole_row
 
 ORDER = 4
 SPAN = 7
@@ -140,6 +140,11 @@ class Machine:
     def __getstate__(self):
         return {**self.__dict__, "_table": None, "_known": {}}
 
+    def forget(self) -> None:
+        """Drops what can be made anew: a worker outlives its task."""
+        self._table = None
+        self._known.clear()
+
     def margins(self, words: list[str]) -> np.ndarray:
         """The margin of each word."""
         if self._table is None:
@@ -372,6 +377,7 @@ def fit(known: DataFrame) -> Machine | None:
             toxic += b.column("_label").to_pylist()
         if texts:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, toxic))], pa.binary())], names=["machine"])
+        release()
 
     rows = known.coalesce(1).mapInArrow(run, "machine binary").collect()
     return pickle.loads(bytes(rows[0]["machine"])) if rows else None
@@ -391,10 +397,12 @@ def score(
     ``predicted``. Documents whose crc32(id) mod 4 is 2 lend no labels."""
     machine = fit(labelled_sample(docs, labels, sample, id_col, text_col, label_col))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    kept = docs.select(*carry, utf8(text_col).alias("_text"))
-    names = kept.columns[:-1]
+    carried = docs.select(*carry)
+    names = carried.columns
+    inside = text_col if names == [ROW] else None
+    kept = carried if inside else docs.select(*carry, utf8(text_col).alias("_text"))
     schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]] + ["score double", "worst_sentence int"]
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema] + ["score double", "worst_sentence int"]
     )
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,7 +410,7 @@ def score(
         for whole in found:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
-                texts = [t.decode("utf-8", "replace") for t in b.column("_text").to_pylist()]
+                texts = [t.decode("utf-8", "replace") for t in texts_of(b, inside)]
                 rows = [machine.score(t) for t in texts] if machine else [(0.0, None)] * len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -412,12 +420,14 @@ def score(
                     ],
                     names=[*names, "score", "worst_sentence"],
                 )
+        if machine:
+            machine.forget()
+        release()
 
     return kept.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    found = score(docs, labels, text_col=text_col, carry=(row,), **settings)
-    return found.where("predicted = 0").select("_row.*")
+    found = score(docs, labels, text_col=text_col, carry=(whole_row(docs),), **settings)
+    return found.where("predicted = 0").select(f"{ROW}.*")
