@@ -75,3 +75,35 @@ def test_better_than_the_base_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = S.score(docs).where("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_rare_contexts_are_retained_and_scored(spark):
+    """The tree of tables is the one of one process, with contexts seen twice; whether the tasks hold
+    all states, some or none of them, scores are the same."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
+    rows = docs.collect()
+    split = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in rows}
+    learnt = [w for i, w in split.items() if zlib.crc32(str(i).encode()) % 10]
+    found, n = np.unique(S.windows([p for d in learnt for p in S.segments(S.stream(d))])[0], return_counts=True)
+    moves, contexts = [], []
+    for k in range(S.DEPTH + 1):
+        move, at = np.unique(found & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+        context, to = np.unique(move >> 8, return_inverse=True)
+        c = np.bincount(at, n).astype(np.int64)
+        size = np.bincount(to, c).astype(np.int64)
+        moves.append((move, c))
+        contexts.append((context[size >= 2], size[size >= 2]))
+    tree = S.grow(moves, contexts, int(n.sum()))
+    expected = {i: tree.log10(list(S.segments(S.stream(w)))).sum() for i, w in split.items()}
+    for room in (S.ROOM, 3000, 0):
+        got = {r["doc_id"]: r["score"] for r in S.score(docs, room=room).collect()}
+        assert got == pytest.approx(expected)
+
+
+def test_the_floor_is_a_count(spark):
+    """A string seen a few times among ten million bytes has its states."""
+    common = [(i, "the river ran past the old mill " * 6000) for i in range(60)]
+    rare = [(i, "qzjxv") for i in range(1000, 1006)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in S.score(docs).collect()}
+    assert score[1001] / 6 > -1.5
