@@ -35,7 +35,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def in_proportion(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    return mixing.mixed(docs, cycle=(1, 2, 3), most=3, seed=7, rounds=3)
+    return mixing.mixed(docs, cycle=(1, 2, 3), most=3, seed=7)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,10 @@ odds, (u / (1 - u)) / (p / (1 - p)), with u from a hash of the id. In the order
 source takes documents until the words it still owes are reached.
 
 The documents that are taken are a prefix of that order; the one that would cross the target
-is passed over, and the order goes on with the documents that fit into what is left
-(``rounds`` times), so that what is missing in the end is less than any document passed over.
+is passed over, and the order goes on with the documents that fit into what is left, until none
+does, so that what is missing in the end is less than any document passed over. Each round takes at
+least one document of each source that it goes on with. With a number of ``rounds`` the order ends
+there, and what is missing can be more.
 
 Whole copies and the cut are found from running sums over ranges of (source, rank), so the
 size of a source does not matter. Sources are a small table, but not assumed to be one: their
@@ -24,6 +26,7 @@ words at all, nothing is taken; columns other than id, text, source and weight a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,7 +108,7 @@ def mix(
     cycle: Sequence[int] = (1, 2, 3),
     most: int = 3,
     seed: int = 7,
-    rounds: int = 3,
+    rounds: int | None = None,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies, taken, *extra)``, a row per document;
@@ -147,10 +150,10 @@ def mix(
         ranked.where(~draws).select(*names, F.col("_whole").alias("copies"))
     ]
     still = ranked.where(draws).select(*names, "_last", "_whole", "_owed", "_rank")
-    for step in range(rounds):
+    for step in count():
         cut = scratch.store(_take_prefix(still, scratch), "cut")
         settled.append(cut.where("_fits").select(*names, (F.col("_whole") + 1).alias("copies")))
-        if step == rounds - 1:
+        if rounds is not None and step == rounds - 1:
             settled.append(cut.where("NOT _fits").select(*names, F.col("_whole").alias("copies")))
             break
         used = cut.where("_fits").groupBy("source").agg(F.sum("size").alias("_used")).withColumnRenamed("source", "_source")
@@ -162,6 +165,8 @@ def mix(
         fits = F.col("size") <= F.col("_owed")
         settled.append(again.where(~fits).select(*names, F.col("_whole").alias("copies")))
         still = again.where(fits).drop("_used", "_source", "_fits")
+        if rounds is None and still.isEmpty():
+            break
     found = settled[0]
     for part in settled[1:]:
         found = found.unionByName(part)

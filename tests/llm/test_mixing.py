@@ -70,3 +70,18 @@ def test_against_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
     own = {tuple(r) for r in catalogue.op9_mixing(spark, folder).collect()}
     assert own == set(con.execute(catalogue.SQL["op9_mixing"]).fetchall())
+
+
+def test_no_document_that_fits_is_left(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    short = lambda **settings: (
+        mixing.mix(docs, **settings)
+        .groupBy("source", "target", "source_size")
+        .agg(
+            mixing.F.sum("taken").alias("n"),
+            mixing.F.expr("min(CASE WHEN size > 0 AND copies = floor(target / source_size) THEN size END)").alias("least"),
+        )
+        .where("target > source_size * floor(target / source_size) AND least <= target - n")
+        .count()
+    )
+    assert short() == 0 and short(rounds=3) > 0
