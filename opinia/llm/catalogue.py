@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinia.llm import ann, mixing, packing, quality, sharding, simhash, suffix_lm, toxicity, urlfilter, warc
+from opinia.llm import (
+    ann,
+    merkle,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    suffix_lm,
+    topk,
+    toxicity,
+    trie,
+    urlfilter,
+    warc,
+)
 from opinia.llm.common import Scratch, bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +251,121 @@ a AS (
 SELECT page_id, host, fetched_at, n_active IS NOT NULL AS blocked, coalesce(n_active, 0)::BIGINT AS n_active, entry, lists
 FROM p LEFT JOIN a USING (page_id)
 """
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an ASCII text, bit by bit."""
+    bit = "xor(h >> 1, (h & 1) * 3988292384::UBIGINT)"
+    step = f"list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), lambda h, i: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ord(x)::UBIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda c, b: {step}), 4294967295::UBIGINT)"
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    """The nodes of the trie of rebuilt conversations."""
+    return trie.nodes(trie.rebuilt(table(spark, sf, "conversations"), group=100, spread=6))
+
+
+SQL["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, {crc32_sql("conv_id::VARCHAR")} % 6 AS h FROM t),
+r AS (
+  SELECT c.conv_id, 0 AS part, k, turn FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND k <= h
+  UNION ALL SELECT c.conv_id, 1, k, turn FROM c JOIN t ON t.conv_id = c.conv_id AND k > h),
+w AS (
+  SELECT c.conv_id, coalesce(path, []) AS path
+  FROM c LEFT JOIN (SELECT conv_id, list(turn ORDER BY part, k) AS path FROM r GROUP BY conv_id) USING (conv_id)),
+m AS (SELECT conv_id, len(path) AS size, unnest(range(0, len(path) + 1)) AS depth, path FROM w),
+g AS (
+  SELECT path[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM m GROUP BY ALL),
+k AS (SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children FROM g WHERE depth > 0 GROUP BY ALL),
+f AS (
+  SELECT g.*, coalesce(n_children, 0) AS n_children, k.node IS NULL AS leaf,
+    CASE WHEN g.depth = 0 THEN 0 ELSE (n_convs - 1) * length(g.node[g.depth].text) END AS saved
+  FROM g LEFT JOIN k ON g.node = k.node AND g.depth = k.depth),
+s AS (
+  SELECT node[1:j] AS node, j AS depth, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS j FROM f) GROUP BY ALL)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM f JOIN s ON f.node = s.node AND f.depth = s.depth
+LEFT JOIN f p ON f.depth > 0 AND p.node = f.node[1:f.depth - 1] AND p.depth = f.depth - 1
+"""
+
+
+@query
+def op12_merkle(spark, sf):
+    """Every document's leaf, roots and proof, and what the proof gives for what is found."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    rows = merkle.manifest(table(spark, sf, "documents"), columns, "doc_id", "lang", found)
+    rows = rows.withColumn("folded_root", merkle.folded(F.col("found_leaf"), F.col("path")))
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _merkle_sql() -> str:
+    """The levels of a tree as lists; a leaf walks up along its siblings."""
+    shown = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR END"
+    leaf = lambda n: f"sha256({' || '.join(map(shown, ('doc_id', 'source', 'lang', n, 'text')))})"
+    tampered = f"n_chars + CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 7 = 0 THEN 1 ELSE 0 END"
+    parents = "list_transform(range(1, len(h) + 1, 2), lambda i: sha256(h[i] || coalesce(h[i + 1], '')))"
+    sibling = "coalesce(h[xor(slot, 1) + 1], '')"
+    step = f"""slot // 2, CASE WHEN slot % 2 = 0 THEN sha256(f || {sibling}) ELSE sha256({sibling} || f) END,
+    proof || {sibling}"""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {leaf("n_chars")} AS leaf, {leaf(tampered)} AS found FROM documents),
+s AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS slot FROM d),
+up(l, lang, h) AS (
+  SELECT 0, lang, list(leaf ORDER BY slot) FROM s GROUP BY lang
+  UNION ALL SELECT l + 1, lang, {parents} FROM up WHERE len(h) > 1),
+tops AS (SELECT lang, h[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS slot FROM up WHERE len(h) = 1),
+high(l, h) AS (SELECT 0, list(subroot ORDER BY slot) FROM tops UNION ALL SELECT l + 1, {parents} FROM high WHERE len(h) > 1),
+way(doc_id, leaf, lang, l, slot, f, proof) AS (
+  SELECT doc_id, leaf, lang, 0, slot, found, '' FROM s
+  UNION ALL SELECT doc_id, leaf, w.lang, w.l + 1, {step}
+  FROM way w JOIN up ON w.lang IS NOT DISTINCT FROM up.lang AND w.l = up.l WHERE len(h) > 1),
+a AS (
+  SELECT doc_id, leaf, subroot, tops.slot, f, proof
+  FROM way w JOIN up ON w.lang IS NOT DISTINCT FROM up.lang AND w.l = up.l AND len(h) = 1
+  JOIN tops ON w.lang IS NOT DISTINCT FROM tops.lang),
+way2(doc_id, leaf, subroot, l, slot, f, proof) AS (
+  SELECT doc_id, leaf, subroot, 0, slot, f, proof FROM a
+  UNION ALL SELECT doc_id, leaf, subroot, w.l + 1, {step} FROM way2 w JOIN high ON w.l = high.l WHERE len(h) > 1)
+SELECT doc_id, leaf, subroot, h[1] AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h[1] AS verified
+FROM way2 w JOIN high ON w.l = high.l WHERE len(h) = 1
+"""
+
+
+SQL["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op13_topk(spark, sf):
+    """The twenty highest integer inner products of every twentieth vector."""
+    return topk.search(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+SQL["op13_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score,
+  row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id)::INTEGER AS rank
+FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+QUALIFY rank <= 20
+"""
