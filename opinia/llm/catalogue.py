@@ -41,7 +41,8 @@ def pieces_of(docs: DataFrame, capacity: int = 2048) -> DataFrame:
     import public_tokenizers as public
 
     special = {"<|endoftext|>": 50256}
-    return packing.token_pieces(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, special, capacity)
+    ranks, vocabulary = public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json")
+    return packing.token_pieces(docs, ranks, public.PATTERN, special, vocabulary, capacity)
 
 
 @query
@@ -61,56 +62,54 @@ def op2_packing(spark, sf):
 @query
 def op9_mixing(spark, sf):
     """Whole copies and Pareto order samples of every source, to weights 1, 2, 3, repeating."""
-    found = mixing.mix(table(spark, sf, "documents"), cycle=(1, 2, 3), most=3, seed=7, rounds=3)
+    found = mixing.mix(table(spark, sf, "documents"), cycle=(1, 2, 3), most=3, seed=7)
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
-def _mixing_sql(rounds: int = 3) -> str:
-    """The targets by repeated sharing, the draws by one window a round."""
-    steps = []
-    for k in range(1, 13):
-        steps.append(f"""
-s{k} AS (
-  SELECT source, source_size, weight, cap, capped OR share > cap AS capped,
-    CASE WHEN capped OR share > cap THEN cap ELSE share END AS amount
-  FROM (SELECT *, CASE WHEN capped THEN cap ELSE weight * (n - taken)::DOUBLE / greatest(1, w - used)::DOUBLE END AS share
-        FROM (SELECT *, sum(source_size) OVER () AS n, sum(weight) OVER () AS w,
-                sum(CASE WHEN capped THEN cap ELSE 0 END) OVER () AS taken,
-                sum(CASE WHEN capped THEN weight ELSE 0 END) OVER () AS used FROM s{k - 1})))""")
-    cuts = []
-    for k in range(1, rounds + 1):
-        cuts.append(f"""
-c{k} AS (
-  SELECT * EXCLUDE (fits), fits, sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source) AS used
-  FROM (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) <= owed AS fits FROM o{k})),
-o{k + 1} AS (SELECT * EXCLUDE (owed, used, fits), owed - used AS owed FROM c{k} WHERE NOT fits AND size <= owed - used)""")
-    chosen = " UNION ALL ".join(f"SELECT doc_id, source FROM c{k} WHERE fits" for k in range(1, rounds + 1))
-    return f"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
-s0 AS (
-  SELECT source, source_size, weight, 3 * source_size AS cap, false AS capped, 0::DOUBLE AS amount
+MIXING_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+shares(k, source, source_size, weight, cap, capped, again) AS (
+  SELECT 0, source, source_size, weight, 3 * source_size, false, true
   FROM (SELECT source, sum(size)::BIGINT AS source_size,
           (1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3)::BIGINT AS weight
-        FROM d GROUP BY source)),{",".join(steps)},
+        FROM d GROUP BY source)
+  UNION ALL
+  SELECT k + 1, source, source_size, weight, cap, capped OR share > cap, bool_or(share > cap AND NOT capped) OVER ()
+  FROM (SELECT *, weight * (n - taken)::DOUBLE / greatest(1, w - used)::DOUBLE AS share
+    FROM (SELECT *, sum(source_size) OVER () AS n, sum(weight) OVER () AS w,
+        sum(CASE WHEN capped THEN cap ELSE 0 END) OVER () AS taken,
+        sum(CASE WHEN capped THEN weight ELSE 0 END) OVER () AS used FROM shares WHERE again))),
+targets AS (
+  SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE weight * (n - taken)::DOUBLE / greatest(1, w - used)::DOUBLE END AS target
+  FROM (SELECT *, sum(source_size) OVER () AS n, sum(weight) OVER () AS w,
+      sum(CASE WHEN capped THEN cap ELSE 0 END) OVER () AS taken,
+      sum(CASE WHEN capped THEN weight ELSE 0 END) OVER () AS used
+    FROM shares WHERE NOT again)),
 k AS (
-  SELECT d.*, source_size, amount::DOUBLE AS target,
-    CASE WHEN source_size > 0 THEN floor(amount::DOUBLE / source_size)::BIGINT ELSE 0 END AS whole
-  FROM d JOIN s12 s ON d.source IS NOT DISTINCT FROM s.source),
+  SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole
+  FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 p AS (
   SELECT *, least(CASE WHEN source_size > 0 THEN target / source_size - whole ELSE 0 END, 1 - 1e-9) AS p,
     target - whole * source_size AS owed,
     (('0x' || substr(md5('7:' || doc_id), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
   FROM k),
-o1 AS (
-  SELECT doc_id, source, size, owed, (u / (1 - u)) / (p / (1 - p)) AS rank FROM p
-  WHERE p > 0 AND size > 0 AND size <= owed),{",".join(cuts)},
-x AS ({chosen})
+open_(doc_id, source, size, rank, owed, fits) AS (
+  SELECT doc_id, source, size, rank, owed,
+    sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) <= owed
+  FROM (SELECT *, (u / (1 - u)) / (p / (1 - p)) AS rank FROM p WHERE p > 0 AND size > 0 AND size <= owed)
+  UNION ALL
+  SELECT doc_id, source, size, rank, owed,
+    sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) <= owed
+  FROM (SELECT doc_id, source, size, rank, fits, owed - sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source) AS owed FROM open_)
+  WHERE NOT fits AND size <= owed),
+x AS (SELECT doc_id FROM open_ WHERE fits)
 SELECT p.doc_id, p.size, p.source_size, p.target, (p.size * (p.whole + CASE WHEN x.doc_id IS NULL THEN 0 ELSE 1 END))::BIGINT AS taken
 FROM p LEFT JOIN x ON p.doc_id = x.doc_id
 """
 
 
-SQL["op9_mixing"] = _mixing_sql()
+SQL["op9_mixing"] = MIXING_SQL
 
 
 @query

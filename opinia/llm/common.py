@@ -119,6 +119,26 @@ def prefix_sums(
     )
 
 
+def with_next(df: DataFrame, order: Sequence[str], scratch: Scratch, name: str = "ordered") -> DataFrame:
+    """``df`` with ``next``, the ``order`` columns of the row that follows (null after the last).
+
+    Rows are split into ranges of the order, as in :func:`prefix_sums`; the last row of a range
+    is followed by the first of the next one that has rows.
+    """
+    parts = shuffle_partitions(df.sparkSession)
+    ranged = scratch.store(
+        df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), name
+    )
+    whole = F.struct(*order)
+    behind = Window.partitionBy(F.lit(0)).orderBy("_range")
+    firsts = ranged.groupBy("_range").agg(F.min(whole).alias("_first"))
+    firsts = firsts.select("_range", F.lead("_first").over(behind).alias("_behind"))
+    inside = Window.partitionBy("_range").orderBy(*order)
+    return ranged.withColumn("next", F.lead(whole).over(inside)).join(firsts, "_range").select(
+        *df.columns, F.coalesce("next", "_behind").alias("next")
+    )
+
+
 #: The struct column in which a whole row is carried through a Python task.
 ROW = "_row"
 
@@ -140,7 +160,39 @@ def texts_of(batch, carried: str | None) -> list[bytes]:
 
 
 def release() -> None:
-    """Gives memory that Arrow keeps for later batches back at the end of a task."""
+    """Gives memory that Arrow and the C library keep for later back at the end of a task, since a
+    worker goes on to serve other stages."""
+    import ctypes
+    import gc
+
     import pyarrow as pa
 
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def parts_by_bytes(batch, sizes, most_rows: int, most_bytes: int):
+    """A batch in slices of at most so many rows and, but for single rows, so many bytes."""
+    start, held = 0, 0
+    for k, size in enumerate(sizes):
+        if k > start and (k - start >= most_rows or held + size > most_bytes):
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += size
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, made of these."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

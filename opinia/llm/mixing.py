@@ -11,8 +11,7 @@ source takes documents until the words it still owes are reached.
 The documents that are taken are a prefix of that order; the one that would cross the target
 is passed over, and the order goes on with the documents that fit into what is left, until none
 does, so that what is missing in the end is less than any document passed over. Each round takes at
-least one document of each source that it goes on with. With a number of ``rounds`` the order ends
-there, and what is missing can be more.
+least one document of each source that it goes on with.
 
 Whole copies and the cut are found from running sums over ranges of (source, rank), so the
 size of a source does not matter. Sources are a small table, but not assumed to be one: their
@@ -26,12 +25,11 @@ words at all, nothing is taken; columns other than id, text, source and weight a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch, prefix_sums, word_count
+from opinia.llm.common import Scratch, prefix_sums, unused, word_count
 
 #: Range of the hash that gives random numbers.
 STEPS = 1 << 48
@@ -108,7 +106,6 @@ def mix(
     cycle: Sequence[int] = (1, 2, 3),
     most: int = 3,
     seed: int = 7,
-    rounds: int | None = None,
     extra: Sequence[Column] = (),
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies, taken, *extra)``, a row per document;
@@ -150,12 +147,9 @@ def mix(
         ranked.where(~draws).select(*names, F.col("_whole").alias("copies"))
     ]
     still = ranked.where(draws).select(*names, "_last", "_whole", "_owed", "_rank")
-    for step in count():
+    while True:
         cut = scratch.store(_take_prefix(still, scratch), "cut")
         settled.append(cut.where("_fits").select(*names, (F.col("_whole") + 1).alias("copies")))
-        if rounds is not None and step == rounds - 1:
-            settled.append(cut.where("NOT _fits").select(*names, F.col("_whole").alias("copies")))
-            break
         used = cut.where("_fits").groupBy("source").agg(F.sum("size").alias("_used")).withColumnRenamed("source", "_source")
         again = (
             cut.where("NOT _fits")
@@ -165,7 +159,7 @@ def mix(
         fits = F.col("size") <= F.col("_owed")
         settled.append(again.where(~fits).select(*names, F.col("_whole").alias("copies")))
         still = again.where(fits).drop("_used", "_source", "_fits")
-        if rounds is None and still.isEmpty():
+        if still.isEmpty():
             break
     found = settled[0]
     for part in settled[1:]:
@@ -179,11 +173,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     Decisions find their rows by a hash of all columns. Rows that are equal throughout share
     their copies, so each such group is joined once, with the sum.
     """
+    own, other, whose, n, copy = unused(docs, "_own", "_mark", "_id", "_copies", "_copy")
     mark = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(docs.columns)])
     decided = mix(docs, id_col, extra=(mark.alias("_mark"),), **settings)
-    copies = decided.groupBy("_mark", F.col("doc_id").alias("_id")).agg(F.sum("copies").alias("_copies")).where("_copies > 0")
-    marked = docs.withColumn("_mark", mark)
-    same = (marked["_mark"] == copies["_mark"]) & marked[id_col].eqNullSafe(copies["_id"])
-    found = marked.join(copies.hint("shuffle_merge"), same).drop("_id").drop(copies["_mark"])
-    once = found.dropDuplicates(["_mark", id_col])
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*docs.columns)
+    copies = decided.groupBy(F.col("_mark").alias(other), F.col("doc_id").alias(whose)).agg(F.sum("copies").alias(n)).where(F.col(n) > 0)
+    marked = docs.withColumn(own, mark)
+    same = (marked[own] == copies[other]) & marked[id_col].eqNullSafe(copies[whose])
+    found = marked.join(copies.hint("shuffle_merge"), same)
+    once = found.dropDuplicates([own, id_col])
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))
+    return once.withColumn(copy, again).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -12,9 +12,14 @@ run uses up a length or a group of equal sequences, or cuts one of these, so the
 thousand at most. Pieces are ranked within their length (in slices, where a length is frequent)
 and look up their run; nothing but the histogram reaches the driver.
 
-Defined results: a null or empty text is the single end token; repeated rows are packed as
-often as they come; a null id keeps its rows; an empty table gives no rows; columns other
-than the id and the text are not read.
+Token ids stay out of the ranking: places are decided for row numbers, and joined to the stored
+pieces in the end.
+
+Defined results: a null or empty text is the single end token; a text of any length is encoded whole (one
+that is too much for the faster tokenizer, such as a million blanks, by the library that defines the
+vocabulary, with the same ids); repeated rows are packed as often as they come; a null id keeps its rows;
+an empty table gives no rows; of documents, columns other than the id and the text are not read; of
+pieces, all are carried, whatever their names, but ``sequence_id`` and ``offset``, which are replaced.
 """
 
 from __future__ import annotations
@@ -25,13 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch, release, utf8
+from opinia.llm.common import Scratch, parts_by_bytes, release, unused, utf8
 
 #: Rows of one length that are ranked by one task.
 SLICE = 100_000
+#: Documents and bytes of text that a task encodes at once.
+DOCUMENTS, BYTES = 512, 4 << 20
 
 _encodings: dict[tuple[str, str], object] = {}
 
@@ -48,11 +56,21 @@ def encoding(ranks_path: str, pattern: str, special: dict[str, int]):
     return _encodings[key]
 
 
+def defining_ids(vocabulary_path: str, text: str) -> list[int]:
+    """The ids of a text by the vocabulary's own library, which is slower and has no limits."""
+    if vocabulary_path not in _encodings:
+        from tokenizers import Tokenizer
+
+        _encodings[vocabulary_path] = Tokenizer.from_file(vocabulary_path)
+    return _encodings[vocabulary_path].encode(text, add_special_tokens=False).ids
+
+
 def token_pieces(
     docs: DataFrame,
     ranks_path: str,
     pattern: str,
     special: dict[str, int],
+    vocabulary_path: str,
     capacity: int = 2048,
     end_id: int = 0,
     id_col: str = "doc_id",
@@ -61,19 +79,24 @@ def token_pieces(
     """``(doc_id, piece, start, length, ids)``: each document's tokens and the end token, in
     pieces of at most ``capacity``. All pieces of a longer document are full but the first.
     ``ids`` are little-endian unsigned 32-bit numbers. ``special`` tokens' strings in a text become
-    these tokens; leave it empty to make them ordinary text.
+    these tokens; leave it empty to make them ordinary text. ``vocabulary_path`` is the same
+    vocabulary for the library that defines it.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, allowed = encoding(ranks_path, pattern, special), set(special)
         for whole in found:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
+            sizes = pc.binary_length(whole.column("_text")).to_pylist()
+            for b in parts_by_bytes(whole, sizes, DOCUMENTS, BYTES):
                 rows, piece, start, length, ids = [], [], [], [], []
                 for k, text in enumerate(b.column("_text").to_pylist()):
                     text = text.decode("utf-8", "replace")
-                    tokens = np.array(tokenizer.encode(text, allowed_special=allowed, disallowed_special=()), "<u4")
+                    try:
+                        tokens = tokenizer.encode(text, allowed_special=allowed, disallowed_special=())
+                    except ValueError:  # the pattern needs more stack than there is
+                        tokens = defining_ids(vocabulary_path, text)
+                    tokens = np.array(tokens, "<u4")
                     tokens = tokens.tobytes() + end
                     n = len(tokens) // 4
                     cut = 0
@@ -208,25 +231,26 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """
     spark = pieces.sparkSession
     scratch = Scratch(spark, "packing")
-    stored = scratch.store(pieces, "pieces")
-    counts = {r["length"]: r["n"] for r in stored.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    pieces = pieces.drop("sequence_id", "offset")
+    row, placed_row = unused(pieces, "_row", "_placed_row")
+    stored = scratch.store(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
+    # Pieces that are equal in these are interchangeable.
+    order = ["doc_id", "piece", *[c for c in ("start", "ids_crc32") if c in pieces.columns]]
+    slim = stored.select(F.col(row).alias(placed_row), F.col("length").cast("long").alias("length"), F.struct(*order).alias("_order"))
+    counts = {r["length"]: r["n"] for r in slim.groupBy("length").agg(F.count("*").alias("n")).collect()}
     # A row for each length that occurs, at most `capacity`, with its runs in order.
     runs = spark.createDataFrame(
         plan(counts, capacity), "length long, first long, bins long, copies long, sequence long, at long"
     )
-    placed = runs.groupBy("length").agg(
+    by_length = runs.groupBy("length").agg(
         F.sort_array(F.collect_list(F.struct("first", "copies", "sequence", "at"))).alias("_runs")
     )
 
     # Lengths that more than one task should rank, and into how many slices; at most `capacity`.
     wide = {n: -(-c // SLICE) for n, c in sorted(counts.items()) if c > SLICE}
     slices = F.create_map(*[F.lit(x) for pair in wide.items() for x in pair])[F.col("length")] if wide else F.lit(None)
-    sliced = stored.withColumn(
-        "_slice", F.pmod(F.xxhash64("doc_id", "piece"), F.coalesce(slices.cast("long"), F.lit(1)))
-    )
-    # Pieces that are equal in these are interchangeable.
-    order = ["doc_id", "piece"] + [c for c in ("start", "ids_crc32", "ids") if c in pieces.columns][:2]
-    own = Window.partitionBy("length", "_slice").orderBy(*order)
+    sliced = slim.withColumn("_slice", F.pmod(F.xxhash64(placed_row), F.coalesce(slices.cast("long"), F.lit(1))))
+    own = Window.partitionBy("length", "_slice").orderBy("_order", placed_row)
     before = Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         sliced.groupBy("length", "_slice")
@@ -237,10 +261,17 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_own"))
     # The last run that begins at or before the piece's rank.
     run = F.element_at(F.filter("_runs", lambda r: r["first"] <= F.col("_rank")), -1)
-    found = ranked.join(F.broadcast(placed), "length").withColumn("_run", run)
+    found = ranked.join(F.broadcast(by_length), "length").withColumn("_run", run)
     along = F.col("_rank") - F.col("_run.first")
-    return found.select(
-        *pieces.columns,
-        (F.col("_run.sequence") + F.floor(along / F.col("_run.copies"))).cast("long").alias("sequence_id"),
-        (F.col("_run.at") + along % F.col("_run.copies") * F.col("length")).cast("long").alias("offset"),
+    places = scratch.store(
+        found.select(
+            placed_row,
+            (F.col("_run.sequence") + F.floor(along / F.col("_run.copies"))).cast("long").alias("sequence_id"),
+            (F.col("_run.at") + along % F.col("_run.copies") * F.col("length")).cast("long").alias("offset"),
+        ),
+        "places",
+    )
+    # The narrow side is hashed, so that the ids are dealt but not sorted.
+    return (
+        stored.join(places.hint("shuffle_hash"), stored[row] == places[placed_row]).drop(row, placed_row)
     )

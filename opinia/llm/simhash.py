@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch, split_words, utf8
+from opinia.llm.common import Scratch, split_words, unused, utf8
 from opinia.llm.components import components
 
 #: Fingerprints of a table key beyond which its pairs are found in blocks instead of by the join.
@@ -230,7 +230,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         .agg(F.min(order).alias("k"))
         .select(F.col("k.doc_id").alias("_id"), F.col("k._mark").alias("_m"))
     )
-    marked = docs.withColumn("_m", F.xxhash64(text_col))
-    same = marked[id_col].eqNullSafe(keepers["_id"]) & (marked["_m"] == keepers["_m"])
-    kept = marked.join(keepers, same, "left_semi")
-    return kept.dropDuplicates([id_col, "_m"]).drop("_m")
+    (own,) = unused(docs, "_m")
+    marked = docs.withColumn(own, F.xxhash64(text_col))
+    same = marked[id_col].eqNullSafe(keepers["_id"]) & (marked[own] == keepers["_m"])
+    # A keeper for every class is no side to broadcast.
+    kept = marked.join(keepers.hint("shuffle_merge"), same, "left_semi")
+    return kept.dropDuplicates([id_col, own]).drop(own)

@@ -6,12 +6,13 @@ PROSE = (
 )
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, fp string, size string, "
-    "score string, copies string, shard string, slot string, kept string, component_id string, piece string"
+    "score string, copies string, shard string, slot string, kept string, component_id string, piece string, "
+    "_row string, _key string, _old string, _own string, _m string, _mark string, _copies string, _file string, _before string"
 )
 
 
 def row(doc_id, text, source="a"):
-    return (doc_id, text, "en", source, None, "x", "x", "x", "x", "x", "x", "x", "x", "x")
+    return (doc_id, text, "en", source, None, *["x"] * 18)
 
 
 @pytest.fixture(scope="session")

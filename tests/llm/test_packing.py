@@ -71,6 +71,29 @@ def test_ids_are_those_of_the_tokenizer(awkward):
         assert [r["start"] for r in pieces] == np.cumsum([0] + [r["length"] for r in pieces])[:-1].tolist()
 
 
+def test_a_million_blanks(spark):
+    texts = [" " * 1_000_000, "a" + "\n" * 1_000_000 + "b", "short"]
+    own = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = packing.pack(catalogue.pieces_of(docs, 2048), 2048).collect()
+    check(found, 2048)
+    for k, text in enumerate(texts):
+        pieces = sorted((r["piece"], bytes(r["ids"])) for r in found if r["doc_id"] == k)
+        ids = np.frombuffer(b"".join(p for _, p in pieces), "<u4")
+        assert ids.tolist() == own.encode(text, add_special_tokens=False).ids + [0]
+
+
+def test_pieces_keep_their_columns(spark):
+    rows = [(i, 0, 1 + i * 37 % 100, "x", "y", i) for i in range(300)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, length int, _row string, _slice string, _rank int")
+    found = packing.pack(pieces, 100)
+    assert found.columns == [*pieces.columns, "sequence_id", "offset"]
+    placed = found.collect()
+    assert check(placed, 100) < 200 and {tuple(r)[:6] for r in placed} == set(rows)
+    again = packing.pack(found, 100)
+    assert again.columns == found.columns and again.count() == 300
+
+
 @pytest.mark.parametrize("special", ["a<|endoftext|> b", "  x\n\n y", "don't I'LL", "a" * 3000, " " * 9000 + "\n", "é　\x85z"])
 def test_odd_texts_are_encoded_alike(special):
     own = Tokenizer.from_file(public.path("byte_bpe_50k.json"))

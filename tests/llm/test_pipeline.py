@@ -1,5 +1,6 @@
 import corpus_pipeline
 from opinia.llm import catalogue
+from opinia.llm.common import Scratch
 
 
 def test_stages_work_on_what_is_kept(spark, tmp_path):
@@ -18,6 +19,17 @@ def test_stages_work_on_what_is_kept(spark, tmp_path):
     assert max(r[1] for r in ends) <= 2048
 
 
+def test_awkward_and_empty_tables(spark, awkward, nothing):
+    """Every stage ends on such rows, and keeps what it need not drop."""
+    sf = "/root/testdata/sf0.001"
+    for docs in (awkward, nothing):
+        columns, n = docs.columns, docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            docs = Scratch(spark, "test").store(stage(spark, docs, sf), name)
+            assert name == "packing" or docs.columns == columns
+        assert (docs.count() > 0) == (n > 0)
+
+
 def test_every_operator_has_a_query():
     assert {name.split("_")[0] for name in catalogue.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(catalogue.SQL) <= set(catalogue.QUERIES)
