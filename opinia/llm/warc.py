@@ -13,12 +13,14 @@ each split. Second pass: tasks walk their splits from there; whatever lies betwe
 a record's start and its end is its content. A record that runs over splits is put together
 from its pieces, which are few: at most one record begins and does not end in a split.
 
-Payloads are written once and never shuffled, but for the pieces just named. Broadcast: 16
-bytes a split, checked against ``MOST_SPLITS``.
+Payloads are written once and never shuffled, but for the pieces just named, and one payload of each
+group of rows that are alike in id, url and payload. Broadcast: 24 bytes a split, of at most
+``MOST_SPLITS`` splits at once.
 
 Defined results: a null html is an empty payload; a null url is an empty target; a null page id
 is written as an empty one and read back as null; of repeated rows with a payload of at least
-``least`` bytes one is the response; an empty table writes and reads no records; an archive
+``least`` bytes one is the response; a header whose length has more than 18 digits is none, so it
+is passed over in a payload like any other magic; an empty table writes and reads no records; an archive
 whose chain does not end at the end of the file raises an error, as does one with the magic in a
 header (written targets have it escaped); other columns are not read.
 """
@@ -38,8 +40,10 @@ from opinia.llm.common import Scratch
 
 MAGIC = b"WARC/1."
 END = "\r\n\r\n"
-LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*(?:\r\n|$)", re.IGNORECASE)
-#: Splits that one call reads at most (2 PB of 128 MB each); 16 bytes of each are broadcast.
+#: Lengths of more digits are none that a file could have.
+LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d{1,18})[ \t]*(?:\r\n|$)", re.IGNORECASE)
+#: Splits (2 PB of 128 MB each) whose places, 24 bytes of each, are broadcast at once; more are read in
+#: turns, by file.
 MOST_SPLITS = 16_000_000
 FIELDS = ("WARC-Type", "WARC-Record-ID", "WARC-Target-URI", "WARC-Date", "WARC-Refers-To", "WARC-Payload-Digest")
 
@@ -67,25 +71,33 @@ def as_records(
         F.coalesce(F.col(text_col), F.lit("")).alias("payload"),
     )
     base = base.withColumns({"digest": F.sha1(F.col("payload").cast("binary")), "bytes": F.octet_length("payload")})
-    # Only digests that come twice are looked up; with few of them, payloads are not shuffled.
+    # Only digests that come twice are looked up; with few of them, payloads are not shuffled. The
+    # response has the largest id and, of equal ids, the largest url; ``alike`` rows have both.
     again = scratch.store(
         base.where(F.col("bytes") >= least)
+        .groupBy("digest", "bytes", "id", "url")
+        .agg(F.count("*").alias("alike"))
         .groupBy(F.col("digest").alias("_digest"), F.col("bytes").alias("_bytes"))
-        .agg(F.max("id").alias("first"), F.count("*").alias("n"))
-        .where("n > 1"),
+        .agg(F.max(F.struct("id", "url", "alike")).alias("top"), F.sum("alike").alias("n"))
+        .where("n > 1")
+        .select("_digest", "_bytes", F.col("top.id").alias("first"), F.col("top.url").alias("first_url"), "top.alike"),
         "equal-payloads",
     )
     known = base.join(again, (F.col("digest") == F.col("_digest")) & (F.col("bytes") == F.col("_bytes")), "left")
-    later = F.col("n").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    # Rows that repeat the id of the response: all but one revisit it.
-    twins = scratch.store(
-        known.where(F.col("n").isNotNull() & ~later).groupBy("digest").count().where("count > 1"), "repeated-ids"
-    )
-    if not twins.isEmpty():
-        same = Window.partitionBy("digest", "id").orderBy("url")
-        rank = F.when(F.col("n").isNotNull() & ~later, F.row_number().over(same)).otherwise(1)
-        known = known.withColumn("_rank", rank)
-        later = later | (F.col("_rank") > 1)
+    is_top = F.col("id").eqNullSafe(F.col("first")) & (F.col("url") == F.col("first_url"))
+    later = F.col("alike").isNotNull() & ~is_top
+    if not again.where("alike > 1").isEmpty():
+        # Of rows that are alike throughout, one is made anew with its payload, and the others without.
+        twin = (F.coalesce("alike", F.lit(0)) > 1) & is_top
+        columns = [c for c in known.columns if c != "payload"]
+        once = known.where(twin).groupBy(*columns).agg(F.any_value("payload").alias("payload"))
+        copies = once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "alike")))
+        one = F.col("copy") == 1
+        copies = copies.withColumn("payload", F.when(one, F.col("payload")).otherwise(F.lit("")))
+        known = known.where(~twin).withColumn("repeats", F.lit(False)).unionByName(
+            copies.withColumn("repeats", ~one).drop("copy")
+        )
+        later = later | F.col("repeats")
     http = _lines(
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: ", F.col("bytes").cast("string"), END
     )
@@ -219,7 +231,9 @@ def entries(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
 
 
 def split_key(file: str, block: int) -> int:
-    return xxhash.xxh64_intdigest(f"{block} {file}") >> 1
+    """What ``xxhash64`` makes of the block and the file."""
+    key = xxhash.xxh64_intdigest(f"{block} {file}".encode(), 42)
+    return key - (1 << 64) if key >> 63 else key
 
 
 PIECES = pa.schema(
@@ -305,14 +319,23 @@ def read_warc(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
     """The records of all archives: file, offset, type, record_id, uri, date, refers_to, digest,
     payload_length and payload."""
     at = scratch.store(entries(spark, folder, scratch), "entries")
-    if at.count() > MOST_SPLITS:
-        raise ValueError("too many splits for one call; read the folder in parts")
-    known = at.toArrow()
-    keys = np.array([split_key(f, b) for f, b in zip(*(known.column(c).to_pylist() for c in ("file", "block")))], np.int64)
+    turns = -(-at.count() // MOST_SPLITS) or 1
+    found = [_read_turn(spark, folder, scratch, at, turn, turns) for turn in range(turns)]
+    records = found[0]
+    for more in found[1:]:
+        records = records.unionByName(more)
+    return records
+
+
+def _read_turn(spark: SparkSession, folder: str, scratch: Scratch, at: DataFrame, turn: int, turns: int) -> DataFrame:
+    """The records of the files of one turn."""
+    mine = F.pmod(F.xxhash64("file"), F.lit(turns)) == turn
+    at = at.where(mine)
+    key = F.xxhash64(F.concat(F.col("block").cast("string"), F.lit(" "), F.col("file")))
+    known = at.select(key.alias("key"), "base", F.coalesce("entry", F.lit(-1 << 40)).alias("entry")).toArrow()
+    keys, bases, firsts = (known.column(c).to_numpy() for c in ("key", "base", "entry"))
     order = np.argsort(keys)
-    bases = np.array(known.column("base").to_pylist(), np.int64)[order]
-    firsts = np.array([-1 << 40 if x is None else x for x in known.column("entry").to_pylist()], np.int64)[order]
-    shared = spark.sparkContext.broadcast((keys[order], bases, firsts))
+    shared = spark.sparkContext.broadcast((keys[order], bases[order], firsts[order]))
 
     def records(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         out = list(rows)
@@ -330,7 +353,7 @@ def read_warc(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECES)], schema=PIECES)
 
     schema = "file string, offset long, type string, record_id string, uri string, date string, refers_to string, digest string, payload_length long, payload binary"
-    source = fragments(spark, folder)
+    source = fragments(spark, folder).where(mine)
     found = source.mapInArrow(lambda b: whole(b, True), schema)
     # A record runs over splits where a later split does not begin with an entry.
     if at.where("block > 0 AND NOT entry <=> 0").isEmpty():

@@ -8,17 +8,19 @@ from opinia.llm import catalogue, warc
 from opinia.llm.common import Scratch
 
 INNER = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\nContent-Length: 20\r\n\r\n01234567890123456789\r\n\r\n"
+LONG = "WARC/1.1\r\nContent-Length: 99999999999999999999\r\n\r\n"
 BIG = "x" * 1500
 SCHEMA = "page_id long, url string, html string, digest string, payload string, file string"
 
 
 def pages():
     rng = random.Random(3)
-    html = [None, "", "a", BIG, BIG, BIG, INNER, INNER * 40, "WARC/1." * 500, "é" * 3000 + INNER + "z" * 4000, "\r\n\r\n" * 100]
+    html = [None, "", "a", BIG, BIG, BIG, INNER, INNER * 40, "WARC/1." * 500, "é" * 3000 + INNER + "z" * 4000, "\r\n\r\n" * 100, LONG, LONG * 30 + INNER]
     parts = ["WARC/1.1\r\n", "Content-Length: 12\r\n", "\r\n\r\n", "abc", INNER]
     html += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 60))) for _ in range(30)]
     rows = [(i, f"http://h/{i}\nWARC/1.0" if i % 2 else None, h) for i, h in enumerate(html)]
-    return rows + [(5, "u", BIG), (None, "n", "q" * 1200), (5, "u", BIG), (None, None, BIG)]
+    # Rows alike in all, in id only, and without an id.
+    return rows + [(500, "u", BIG), (None, "n", "q" * 1200), (500, "u", BIG), (500, "t", BIG), (None, None, BIG), (None, None, BIG)]
 
 
 def named(page_id):
@@ -30,16 +32,27 @@ def expected(rows):
     for page_id, _, html in rows:
         kind, refers, text = "response", "", html or ""
         if text == BIG:
-            if page_id == 5 and first:
+            if page_id == 500 and first:
                 first = False
             else:
-                kind, refers = "revisit", named(5)
+                kind, refers = "revisit", named(500)
         out.append((named(page_id), kind, len(text.encode()), hashlib.sha1(text.encode()).hexdigest(), refers))
     return sorted(out)
 
 
-@pytest.mark.parametrize("split", [20_000, 1 << 27])
-def test_round_trip(spark, split):
+def test_payloads_of_no_page_id(spark):
+    """Equal payloads whose ids are all null: one is the response."""
+    df = spark.createDataFrame([(None, f"http://{i % 3}", BIG, "x", "x", "x") for i in range(50)], SCHEMA)
+    scratch = Scratch(spark, "test")
+    folder = scratch.path("archives")
+    warc.write_warc(df, folder, scratch)
+    found = warc.read_warc(spark, folder, scratch).groupBy("type").count().collect()
+    assert {r["type"]: r["count"] for r in found} == {"response": 1, "revisit": 49}
+
+
+@pytest.mark.parametrize("split, most", [(20_000, 1 << 20), (20_000, 2), (1 << 27, 1 << 20)])
+def test_round_trip(spark, split, most, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_SPLITS", most)
     rows = pages()
     df = spark.createDataFrame([(*r, "x", "x", "x") for r in rows], SCHEMA)
     scratch = Scratch(spark, "test")
