@@ -5,26 +5,29 @@ become validity intervals, each up to the next change. A key is a domain (``d:ex
 which also covers its subdomains) or the start of a URL up to a path segment (``u:host/a/b``).
 A capture is held against the entries that were active when it was fetched: an as-of join on the
 key and the period (``PERIOD`` seconds) of the fetch, with the interval's bounds as the condition.
-Intervals are repeated for the periods they cover, so a key with many changes shows a
-capture only those of its period.
+Intervals are repeated for those of the periods they cover in which their key has a capture, so a key with
+many changes shows a capture only those of its period, and a capture at an odd time costs no more than
+others.
 
-Captures are reduced to distinct (url, time) first. A host that holds a third of them is one key
-of the join; its partition is split by the adaptive skew join, with the few intervals of
-that key repeated. Intervals are a stored table, which the planner broadcasts only if its
-size in bytes is below its threshold.
+Captures are reduced to distinct (url, time) first, and to keys that some list has. A host that holds a
+third of them is one key of the join for each period; its partitions are split by the adaptive skew join,
+with the few intervals of that key repeated. The next change of a key is found in ranges of
+the changes' order, so a key may have any number of them. Intervals are a stored table,
+which the planner broadcasts only if its size in bytes is below its threshold.
 
 Defined results: a null or malformed url, or a null time, matches nothing and is kept; changes
 with a null list, key or time are ignored; of changes of one key at one time a removal wins;
 a fetch at the very time of a change sees the change; repeated captures each keep their row;
-empty tables give no rows, or no matches; other columns of the captures are carried along.
+times may be any longs; empty tables give no rows, or no matches; the captures' columns are carried
+along, but for those named like a column of the result, which are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch
+from opinia.llm.common import Scratch, unused, with_next
 
 #: Seconds of a period: 30 days.
 PERIOD = 30 * 86_400
@@ -63,16 +66,15 @@ def keys_of(url: Column, depth: int) -> Column:
     return F.when(host.isNotNull(), F.concat(domains, starts)).otherwise(F.array().cast("array<string>"))
 
 
-def intervals(changes: DataFrame) -> DataFrame:
+def intervals(changes: DataFrame, scratch: Scratch) -> DataFrame:
     """``(list, key, changed_at, listed)`` to ``(list, key, since, until)`` of what is listed;
     ``until`` is null for the last."""
     known = changes.where("list IS NOT NULL AND key IS NOT NULL AND changed_at IS NOT NULL")
     once = known.groupBy("list", "key", "changed_at").agg(F.min(F.coalesce("listed", F.lit(False))).alias("listed"))
-    own = Window.partitionBy("list", "key").orderBy("changed_at")
-    return (
-        once.withColumn("until", F.lead("changed_at").over(own))
-        .where("listed")
-        .select("list", "key", F.col("changed_at").alias("since"), "until")
+    followed = with_next(once, ["list", "key", "changed_at"], scratch, "changes")
+    same = (F.col("next.list") == F.col("list")) & (F.col("next.key") == F.col("key"))
+    return followed.where("listed").select(
+        "list", "key", F.col("changed_at").alias("since"), F.when(same, F.col("next.changed_at")).alias("until")
     )
 
 
@@ -85,22 +87,26 @@ def filter_urls(
     Times are seconds as longs. ``changes`` has list, key, changed_at and listed.
     """
     scratch = Scratch(captures.sparkSession, "url-filter")
-    valid = scratch.store(intervals(changes), "intervals")
+    marked = captures.drop(*[c for c in ("host", "blocked", "n_active", "entry", "lists") if c not in (url_col, time_col)])
+    u, t = unused(marked, "_u", "_t")
+    valid = scratch.store(intervals(changes, scratch), "intervals")
     seen = captures.select(F.col(url_col).alias("_url"), F.col(time_col).cast("long").alias("_time")).where(
         "_url IS NOT NULL AND _time IS NOT NULL"
     )
-    # Only starts as deep as any of the list are looked up, and only periods with a capture.
+    # Only starts as deep as any of the list are looked up, and only keys that are listed.
     bounds = valid.agg(
         F.max(F.when(F.col("key").startswith("u:"), F.size(F.split("key", "/")) - 1)).alias("depth")
     ).first()
-    times = seen.agg(F.min("_time").alias("a"), F.max("_time").alias("b")).first()
-    first, last = (None if t is None else t // PERIOD for t in (times["a"], times["b"]))
+    listed = valid.select("key").distinct()
     period = lambda t: F.floor(t / PERIOD).cast("long")
-    from_ = F.greatest(period(F.col("since")), F.lit(first).cast("long"))
-    to = F.least(F.coalesce(period(F.col("until")), F.lit(last).cast("long")), F.lit(last).cast("long"))
-    by_period = valid.where(from_ <= to).withColumn("_period", F.explode(F.sequence(from_, to)))
     asked = seen.distinct().withColumn("_period", period(F.col("_time")))
     looked = asked.select("_url", "_time", "_period", F.explode(keys_of(F.col("_url"), bounds["depth"] or 0)).alias("key"))
+    looked = looked.join(listed, "key", "left_semi")
+    had = scratch.store(looked.select("key", "_period").distinct(), "periods")
+    inside = (had["_period"] >= period(F.col("since"))) & (
+        F.col("until").isNull() | (had["_period"] <= period(F.col("until")))
+    )
+    by_period = scratch.store(had.join(valid, "key").where(inside), "by-period")
     active = looked.join(by_period, ["key", "_period"]).where(
         (F.col("since") <= F.col("_time")) & (F.col("until").isNull() | (F.col("_time") < F.col("until")))
     )
@@ -109,8 +115,8 @@ def filter_urls(
         F.min(F.struct((-F.length("key")).alias("n"), F.col("key").alias("key")))["key"].alias("entry"),
         F.array_join(F.sort_array(F.collect_set("list")), ",").alias("lists"),
     )
-    marked = captures.drop("host", "blocked", "n_active", "entry", "lists")
-    same = (marked[url_col] == verdicts["_u"]) & (marked[time_col].cast("long") == verdicts["_t"])
+    verdicts = verdicts.withColumnsRenamed({"_u": u, "_t": t})
+    same = (marked[url_col] == verdicts[u]) & (marked[time_col].cast("long") == verdicts[t])
     return marked.join(verdicts, same, "left").select(
         *[marked[c] for c in marked.columns],
         host_of(marked[url_col]).alias("host"),

@@ -54,6 +54,31 @@ def test_against_brute_force(spark):
     assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_times_far_apart(spark):
+    """Of a capture in microseconds, or at the end of time, an open interval costs no more than others."""
+    times = [0, 100, 1_704_067_200, 1_704_067_200_000_000, 1 << 62, -(1 << 62)]
+    captures = spark.createDataFrame([(i, "http://a.b.com/x", t) for i, t in enumerate(times)], "page_id long, url string, fetched_at long")
+    changes = spark.createDataFrame([("l", "d:b.com", 50, True), ("m", "d:com", -(1 << 61), True), ("m", "d:com", 60, False)], CHANGES)
+    found = {r["page_id"]: (r["n_active"], r["lists"]) for r in urlfilter.filter_urls(captures, changes).collect()}
+    assert found == {0: (1, "m"), 1: (1, "l"), 2: (1, "l"), 3: (1, "l"), 4: (1, "l"), 5: (0, None)}
+
+
+def test_a_key_with_many_changes(spark):
+    """Its changes are spread over tasks, and each still finds the next one."""
+    changes = [("l", "d:com", t, t % 20 == 0) for t in range(0, 20_000, 10)] + [("l", "d:org", 5, True)]
+    captures = [(t, "http://a.com/", t) for t in range(0, 20_000, 7)]
+    df = spark.createDataFrame(captures, "page_id long, url string, fetched_at long")
+    found = urlfilter.filter_urls(df, spark.createDataFrame(changes, CHANGES)).collect()
+    assert len(found) == len(captures) and all(r["blocked"] == (r["page_id"] // 10 % 2 == 0) for r in found)
+
+
+def test_columns_are_carried_or_replaced(spark):
+    df = spark.createDataFrame([("http://a.com", 5, "h", 1, "u", "t")], "url string, fetched_at long, host string, n_active int, _u string, _t string")
+    found = urlfilter.filter_urls(df, spark.createDataFrame([("l", "d:a.com", 1, True)], CHANGES))
+    assert found.columns == ["url", "fetched_at", "_u", "_t", "host", "blocked", "n_active", "entry", "lists"]
+    assert tuple(found.first()) == ("http://a.com", 5, "u", "t", "a.com", True, 1, "d:a.com", "l")
+
+
 def test_against_sql(spark):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
