@@ -13,9 +13,9 @@ written once, into the folders of the shards whose content changes, balanced by
 keep their files. A document's slot is its row in the shard's files, in their order.
 
 Defined results: a null text has size 1 and no bytes; repeated rows are documents of their own,
-that share a hash and so a block; null ids are hashed like others; old shards outside the new ones
-are emptied; an empty table gives no rows; all columns are rewritten, and those named ``shard`` or
-``slot`` are replaced.
+that share a hash and so a block; null ids are hashed like others; a null old shard is the shard -1; old
+shards outside the new ones are emptied; an empty table gives no rows; all columns are rewritten,
+whatever their names, and those named ``shard`` or ``slot`` are replaced, after ``old`` has read them.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch, prefix_sums
+from opinia.llm.common import Scratch, prefix_sums, unused
 
 #: The share of the bytes that is held back for the second flow.
 FILLER = 0.1
@@ -108,14 +108,15 @@ def assign(
     text_col: str = "text",
     cost: np.ndarray | None = None,
 ) -> tuple[DataFrame, dict]:
-    """``docs`` with ``_old`` and ``shard``, and a report: the flow, bytes moved, the least that
+    """``docs`` with ``shard``, and a report: the flow, bytes moved, the least that
     could be moved, and the shards that change. ``capacities`` are relative sizes; ``cost``
     (old by new) replaces the cost of moving a byte.
     """
     spark = docs.sparkSession
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1
     key = F.xxhash64(F.col(id_col), F.col(text_col))
-    sized = scratch.store(docs.select(old.cast("int").alias("_old"), key.alias("_key"), size.alias("_size")), "sizes")
+    old = F.coalesce(old.cast("int"), F.lit(-1))
+    sized = scratch.store(docs.select(old.alias("_old"), key.alias("_key"), size.alias("_size")), "sizes")
     by_power = (
         sized.groupBy(F.floor(F.log2(F.col("_size"))).cast("int").alias("p")).agg(F.sum("_size").alias("n")).collect()
     )
@@ -176,14 +177,17 @@ def assign(
         .groupBy("_old", "_filler")
         .agg(F.sort_array(F.collect_list(F.struct("first", "shard"))).alias("_cuts"))
     )
-    marked = docs.drop("shard", "slot").withColumns(
-        {"_old": old.cast("int"), "_key": key, "_filler": (size < bound).cast("int")}
-    )
-    last = F.filter("_cuts", lambda x: x["first"] <= F.col("_key"))
+    marks, cuts_ = unused(docs, "_marks", "_cuts")
+    mark = F.struct(old.alias("old"), (size < bound).cast("int").alias("filler"), key.alias("key"))
+    marked = docs.withColumn(marks, mark).drop("shard", "slot")
+    table = table.withColumnRenamed("_cuts", cuts_).select(F.struct("_old", "_filler").alias(f"{cuts_}of"), cuts_)
+    whose = F.col(f"{cuts_}of")
+    same = (F.col(f"{marks}.old") == whose["_old"]) & (F.col(f"{marks}.filler") == whose["_filler"])
+    last = F.filter(cuts_, lambda x: x["first"] <= F.col(f"{marks}.key"))
     out = (
-        marked.join(F.broadcast(table), ["_old", "_filler"])
+        marked.join(F.broadcast(table), same)
         .withColumn("shard", F.element_at(last, -1)["shard"])
-        .drop("_cuts", "_key", "_filler")
+        .drop(cuts_, f"{cuts_}of", marks)
     )
     flow = flows[0] + flows[1]
     stays = cost == 0
@@ -203,9 +207,9 @@ def rewrite(assigned: DataFrame, affected: Sequence[int], folder: str, kept: dic
     all documents with ``shard`` and ``slot``. ``kept`` has the folders of the other shards.
     """
     spark = assigned.sparkSession
-    moving = assigned.drop("_old").where(F.col("shard").isin(*map(int, affected)))
+    moving = assigned.where(F.col("shard").isin(*map(int, affected)))
     moving.hint("rebalance", "shard").write.partitionBy("shard").parquet(folder)
-    schema = assigned.drop("_old").schema
+    schema = assigned.schema
     found = _numbered(spark.read.schema(schema).option("basePath", folder).parquet(folder))
     for shard, path in (kept or {}).items():
         plain = spark.read.parquet(path).withColumn("shard", F.lit(shard))
@@ -215,17 +219,18 @@ def rewrite(assigned: DataFrame, affected: Sequence[int], folder: str, kept: dic
 
 def _numbered(files: DataFrame) -> DataFrame:
     """With ``slot``: the row's place in the files of its shard, in the order of their names."""
-    rows = files.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    before = Window.partitionBy("shard").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    file, row, before = unused(files, "_file", "_row", "_before")
+    rows = files.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    so_far = Window.partitionBy("shard").orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        rows.groupBy("shard", "_file")
+        rows.groupBy("shard", file)
         .agg(F.count("*").alias("n"))
-        .select("shard", "_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+        .select("shard", file, F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias(before))
     )
     return (
-        rows.join(starts, ["shard", "_file"])
-        .withColumn("slot", (F.col("_before") + F.col("_row")).cast("long"))
-        .drop("_file", "_row", "_before")
+        rows.join(starts, ["shard", file])
+        .withColumn("slot", (F.col(before) + F.col(row)).cast("long"))
+        .drop(file, row, before)
     )
 
 
@@ -233,7 +238,8 @@ def reshard(
     docs: DataFrame, old: Column, capacities: Sequence[float], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` in new shards 0 .. len(capacities) - 1, written to the shared folder: all columns,
-    ``shard`` and ``slot``. ``old`` tells each document's present shard."""
+    ``shard`` and ``slot``. ``old`` tells each document's present shard. A table has no files that could
+    stay where they are, so all shards are written; :func:`reshard_files` writes the affected ones only."""
     scratch = Scratch(docs.sparkSession, "sharding")
     assigned, _ = assign(docs, old, capacities, scratch, id_col, text_col)
     return rewrite(assigned, range(len(capacities)), scratch.path("shards"))
@@ -242,10 +248,12 @@ def reshard(
 def reshard_files(spark, folders: dict[int, str], capacities: Sequence[float], folder: str, **columns) -> DataFrame:
     """The same for shards that are folders of parquet files: only the shards whose content
     changes are written, under ``folder``; the others are read where they are."""
+    parts = {shard: spark.read.parquet(path) for shard, path in folders.items()}
+    (at,) = unused(next(iter(parts.values())), "_at")
     docs = None
-    for shard, path in folders.items():
-        part = spark.read.parquet(path).withColumn("_at", F.lit(shard))
+    for shard, part in parts.items():
+        part = part.withColumn(at, F.lit(shard))
         docs = part if docs is None else docs.unionByName(part)
-    assigned, report = assign(docs, F.col("_at"), capacities, Scratch(spark, "sharding"), **columns)
+    assigned, report = assign(docs, F.col(at), capacities, Scratch(spark, "sharding"), **columns)
     kept = {s: folders[s] for s in folders if s not in report["affected"] and s < len(capacities)}
-    return rewrite(assigned.drop("_at"), report["affected"], folder, kept)
+    return rewrite(assigned.drop(at), report["affected"], folder, kept)

@@ -62,8 +62,37 @@ def test_only_changed_shards_are_written(spark, tmp_path):
         assert len(mine) == 100 and sorted(mine) == list(range(100))
 
 
+def test_the_present_shard_is_a_column_or_null(spark):
+    rows = [(i, "x" * 50, None if i % 7 == 0 else i % 3, i) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard int, slot int")
+    found = sharding.reshard(docs, F.col("shard"), [1, 1, 1]).collect()
+    sizes = [sum(r["shard"] == s for r in found) for s in range(3)]
+    assert sum(sizes) == 400 and max(sizes) - min(sizes) <= 6
+    # Only rows without a shard had to move.
+    assert all(r["shard"] == rows[r["doc_id"]][2] or rows[r["doc_id"]][2] is None for r in found)
+
+
+def test_cuts_follow_the_flow(spark):
+    """Blocks are runs of the hash order, cut where the flow cuts the bytes, but for the held-back part."""
+    rows = [(i, "x" * (1 + i * 31 % 400), i % 2) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k int")
+    found, report = sharding.assign(docs, F.col("k"), [1, 2, 3, 2], Scratch(spark, "t"))
+    loads = [0] * 4
+    for r in found.collect():
+        loads[r["shard"]] += len(r["text"]) + 1
+    assert loads == list(report["loads"])
+    total = sum(loads)
+    assert all(abs(n - total * w / 8) < 500 for n, w in zip(loads, [1, 2, 3, 2]))
+    # No less can move: each of the two old shards has more than its new capacity of 1 and 2 eighths.
+    least = sum(max(0, sum(len(t) + 1 for _, t, k in rows if k == s) - total * w / 8) for s, w in ((0, 1), (1, 2)))
+    assert least <= report["moved"] + 500 and report["moved"] <= least + 500
+
+
 def test_awkward_rows(spark, awkward, nothing):
-    found = sharding.reshard(awkward, F.lit(3), [1, 1]).collect()
+    kept = [c for c in awkward.columns if c not in ("shard", "slot")]
+    out = sharding.reshard(awkward, F.lit(3), [1, 1])
+    assert sorted(out.columns) == sorted([*kept, "shard", "slot"])
+    found = out.collect()
     assert len(found) == awkward.count() and {r["shard"] for r in found} <= {0, 1}
     for shard in (0, 1):
         mine = sorted(r["slot"] for r in found if r["shard"] == shard)
