@@ -35,8 +35,3 @@ def raw(spark):
 @pytest.fixture(scope="session")
 def reviews(raw):
     return raw.fillna("", ["text"]).cache()
-
-
-def by_doc(df, column):
-    """{doc_id: value}."""
-    return {r["doc_id"]: r[column] for r in df.select("doc_id", column).collect()}

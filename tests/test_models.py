@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from conftest import by_doc
+from helpers import by_doc
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import CountVectorizerModel

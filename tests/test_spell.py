@@ -2,7 +2,7 @@ import itertools
 import random
 
 import pytest
-from conftest import by_doc
+from helpers import by_doc
 from pyspark.sql import functions as F
 
 from opinia.functions import text as X

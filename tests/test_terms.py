@@ -2,7 +2,7 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import by_doc
+from helpers import by_doc
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF

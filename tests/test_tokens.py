@@ -1,5 +1,5 @@
 import pytest
-from conftest import by_doc
+from helpers import by_doc
 from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
