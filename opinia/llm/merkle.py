@@ -32,6 +32,8 @@ from opinia.llm.common import Scratch, prefix_sums
 
 #: Levels that one window makes; blocks have ``2 ** BITS`` rows.
 BITS = 8
+#: A run of ``2 ** RUN_BITS`` leaves looks up its tree at once.
+RUN_BITS = 10
 
 
 def encoded(column: Column) -> Column:
@@ -51,8 +53,14 @@ def _slots(nodes: DataFrame, order: Sequence[str], scratch: Scratch) -> DataFram
     """``nodes`` with their place ``slot`` in their tree, and its number of leaves, ``leaves``."""
     one = nodes.withColumn("one", F.lit(1).cast("long"))
     placed = scratch.store(prefix_sums(one, ["tree", *order], {"one": "before"}, scratch).drop("one"), "placed")
-    trees = placed.groupBy("tree").agg(F.min("before").alias("first"), F.count("*").alias("leaves"))
-    return placed.join(trees, "tree").withColumn("slot", F.col("before") - F.col("first")).drop("before", "first")
+    placed = placed.withColumn("run", F.shiftright("before", RUN_BITS))
+    runs = placed.groupBy("tree", "run").agg(F.min("before").alias("first"), F.count("*").alias("leaves"))
+    trees = runs.groupBy("tree").agg(F.min("first").alias("first"), F.sum("leaves").alias("leaves"))
+    # Leaves learn of their tree by its runs, so that a large tree is no hot key.
+    known = runs.select("tree", "run").join(trees, "tree")
+    return placed.join(known, ["tree", "run"]).select(
+        "leaves", (F.col("before") - F.col("first")).alias("slot"), *nodes.columns
+    )
 
 
 def _block_levels(nodes: DataFrame) -> DataFrame:
