@@ -302,14 +302,19 @@ def term_label_assoc(spark, sf):
     )
 
 
-@query
-def strategy_stats(spark, sf):
-    dropped = {
+def dropped_words() -> dict[str, list[str]]:
+    """The stop words of each strategy."""
+    return {
         "sw_pre": lists.without(lists.default_stop_words()),
         "sw_cstm": lists.CUSTOM_STOP_WORDS,
         "sw_none": [],
     }
-    return insight.strategy_stats(terms.term_stats(doc_words(spark, sf)), docs(spark, sf).count(), dropped)
+
+
+@query
+def strategy_stats(spark, sf):
+    stats = terms.term_stats(doc_words(spark, sf))
+    return insight.strategy_stats(stats, docs(spark, sf).count(), dropped_words())
 
 
 # Split, naive Bayes and its evaluation
@@ -349,6 +354,36 @@ def auc(spark, sf):
     return evaluate.auc(nb_predictions(spark, sf)).withColumn("auc", rounded("auc"))
 
 
+@query
+def auc_binned(spark, sf):
+    """Bounds of the AUC from 400 bins of the score."""
+    counts = evaluate.histogram(nb_predictions(spark, sf), -100.0, 100.0, 400)
+    found = evaluate.auc_bounds(counts)
+    return found.withColumns({c: rounded(c) for c in ("auc_low", "auc_high")})
+
+
+def training_words(spark, sf) -> DataFrame:
+    return models.split_train_test(labelled_words(spark, sf))[0]
+
+
+@query
+def tune_nb_cv(spark, sf):
+    found = select.tune_nb(training_words(spark, sf), how="cv", folds=3)
+    return found.withColumn("value", rounded("value"))
+
+
+@query
+def tune_nb_tvs(spark, sf):
+    found = select.tune_nb(training_words(spark, sf), how="tvs", train_percent=75)
+    return found.withColumn("value", rounded("value"))
+
+
+@query
+def experiment_matrix_nb(spark, sf):
+    found = select.experiment_matrix_nb(labelled_words(spark, sf), dropped_words())
+    return found.withColumn("value", rounded("value"))
+
+
 # Spark ML classifiers, at the default width and with the default iterations and trees. The
 # label imbalance of the data matters here, not the score: see the tests for learnability.
 NUM_FEATURES = 1 << 18

@@ -315,6 +315,75 @@ BODIES: dict[str, str] = {
             FROM (SELECT label, rank() OVER (ORDER BY score)
                 + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS mid FROM preds))""",
 }
+HASHED_ID = f"CAST('0x' || substr(md5('{SPLIT_SEED}|' || doc_id), 1, 8) AS UBIGINT)"
+
+
+def metrics_of(scores: str, by: str) -> str:
+    """AUC and accuracy of the groups ``by`` of a table (label, score, prediction)."""
+    ranks = f"""SELECT {by}, label, rank() OVER (PARTITION BY {by} ORDER BY score)
+        + (count(*) OVER (PARTITION BY {by}, score) - 1) / 2.0 AS mid FROM {scores}"""
+    return f"""SELECT {by}, 'auc' AS metric, CASE WHEN np > 0 AND nn > 0
+            THEN (ranks - np * (np + 1) / 2.0) / (CAST(np AS DOUBLE) * nn) END AS value
+        FROM (SELECT {by}, count(*) FILTER (label = 1) AS np, count(*) FILTER (label = 0) AS nn,
+            sum(mid) FILTER (label = 1) AS ranks FROM ({ranks}) GROUP BY {by})
+        UNION ALL SELECT {by}, 'accuracy', avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END)
+        FROM {scores} GROUP BY {by}"""
+
+
+def nb_search(fold: str, held_out: str) -> str:
+    """Every fold's model is counted from the documents of the other folds."""
+    return f"""WITH f AS (SELECT *, CAST({fold} AS INTEGER) AS fold FROM parts WHERE split = 'train'),
+        t AS (SELECT p.doc_id, p.label, p.token, p.tf, f.fold FROM ptf p JOIN f USING (doc_id)),
+        h AS (SELECT unnest({held_out}) AS fold),
+        m AS (SELECT h.fold, token, coalesce(sum(tf) FILTER (label = 1), 0) AS p,
+            coalesce(sum(tf) FILTER (label = 0), 0) AS q FROM t JOIN h ON t.fold <> h.fold GROUP BY ALL),
+        z AS (SELECT fold, sum(p) AS sp, sum(q) AS sq, count(*) AS v FROM m GROUP BY fold),
+        pr AS (SELECT h.fold, ln(count(*) FILTER (label = 1) / CAST(count(*) FILTER (label = 0) AS DOUBLE)) AS prior
+            FROM f JOIN h ON f.fold <> h.fold GROUP BY h.fold),
+        s AS (SELECT CAST(unnest([0.1, 0.5, 1.0, 2.0]) AS DOUBLE) AS smoothing),
+        e AS (SELECT t.doc_id, smoothing, sum(tf * (ln((p + smoothing) / (sp + smoothing * v))
+                - ln((q + smoothing) / (sq + smoothing * v)))) AS evidence
+            FROM t JOIN m ON t.token = m.token AND t.fold = m.fold JOIN z ON t.fold = z.fold, s GROUP BY ALL),
+        c AS (SELECT f.doc_id, f.label, f.fold, s.smoothing, round(prior + coalesce(evidence, 0.0), 6) AS score
+            FROM f JOIN pr ON f.fold = pr.fold CROSS JOIN s
+            LEFT JOIN e ON f.doc_id = e.doc_id AND s.smoothing = e.smoothing),
+        d AS (SELECT *, CASE WHEN score > 0 THEN 1.0 ELSE 0.0 END AS prediction FROM c),
+        x AS ({metrics_of('d', 'smoothing, fold')}),
+        y AS (SELECT smoothing, metric, avg(value) AS value FROM x GROUP BY ALL),
+        b AS (SELECT smoothing FROM y WHERE metric = 'auc' ORDER BY round(value, 9) DESC, smoothing LIMIT 1)
+        SELECT 'smoothing=' || smoothing AS params, fold, metric, round(value, 6) + 0.0 AS value,
+            smoothing = (SELECT smoothing FROM b) AS is_best
+        FROM (SELECT smoothing, CAST(fold AS VARCHAR) AS fold, metric, value FROM x
+            UNION ALL SELECT smoothing, 'mean', metric, value FROM y)"""
+
+
+BODIES["tune_nb_cv"] = nb_search(f"{HASHED_ID} % 3", "[0, 1, 2]")
+BODIES["tune_nb_tvs"] = nb_search(f"CASE WHEN {HASHED_ID} % 100 >= 75 THEN 1 ELSE 0 END", "[1]")
+BODIES["experiment_matrix_nb"] = f"""WITH k AS (
+        SELECT 'sw_none' AS strategy, * FROM ptf
+        UNION ALL SELECT 'sw_pre', * FROM ptf WHERE token NOT IN ({STOP_KEPT})
+        UNION ALL SELECT 'sw_cstm', * FROM ptf WHERE token NOT IN ({STOP_CUSTOM})),
+    m AS (SELECT strategy, token, coalesce(sum(tf) FILTER (label = 1), 0) AS p,
+        coalesce(sum(tf) FILTER (label = 0), 0) AS q FROM k WHERE split = 'train' GROUP BY ALL),
+    w AS (SELECT strategy, token, ln((p + 1.0) / (sum(p) OVER (PARTITION BY strategy) + count(*) OVER (PARTITION BY strategy)))
+        - ln((q + 1.0) / (sum(q) OVER (PARTITION BY strategy) + count(*) OVER (PARTITION BY strategy))) AS weight FROM m),
+    e AS (SELECT strategy, doc_id, sum(tf * weight) AS evidence FROM k JOIN w USING (strategy, token) GROUP BY ALL),
+    d AS (SELECT s.strategy, p.doc_id, p.label, p.split AS part, round((SELECT ln(count(*) FILTER (label = 1)
+            / CAST(count(*) FILTER (label = 0) AS DOUBLE)) FROM parts WHERE split = 'train') + coalesce(evidence, 0.0), 6) AS score
+        FROM parts p CROSS JOIN (SELECT unnest(['sw_pre', 'sw_cstm', 'sw_none']) AS strategy) s
+        LEFT JOIN e ON p.doc_id = e.doc_id AND s.strategy = e.strategy),
+    g AS (SELECT *, CASE WHEN score > 0 THEN 1.0 ELSE 0.0 END AS prediction FROM d)
+    SELECT strategy AS pipeline, 'nb' AS model, '' AS params, metric || '_' || part AS metric,
+        round(value, 6) + 0.0 AS value FROM ({metrics_of('g', 'strategy, part')})"""
+BODIES["auc_binned"] = """WITH h AS (
+        SELECT least(greatest(floor((score + 100.0) / 0.5), 0), 399) AS bin, count(*) FILTER (label = 1) AS p,
+            count(*) FILTER (label = 0) AS n FROM preds GROUP BY 1),
+    s AS (SELECT sum(p) AS np, sum(n) AS nn FROM h)
+    SELECT CAST(np AS BIGINT) AS n_pos, CAST(nn AS BIGINT) AS n_neg,
+        round(sure / (CAST(np AS DOUBLE) * nn), 6) + 0.0 AS auc_low,
+        round((sure + open_) / (CAST(np AS DOUBLE) * nn), 6) + 0.0 AS auc_high
+    FROM s, (SELECT CAST(sum(a.p * b.n) FILTER (b.bin < a.bin) AS DOUBLE) AS sure,
+            CAST(sum(a.p * b.n) FILTER (b.bin = a.bin) AS DOUBLE) AS open_ FROM h a, h b)"""
 NB_METRICS = f"""SELECT 'accuracy' AS metric, accuracy AS value FROM ({BODIES['accuracy']})
     UNION ALL SELECT 'auc_test', auc FROM ({BODIES['auc']})"""
 BODIES["results_frame"] = f"""SELECT 'sw_none' AS pipeline, 'nb' AS model, '' AS params, metric, value
@@ -339,6 +408,9 @@ def statement(name: str) -> str:
             need(cte)
     if not needed:
         return body
+    # A body's own tables come after those it stands on.
+    if body.startswith("WITH "):
+        body = f"SELECT * FROM ({body})"
     return "WITH " + ",\n".join(f"{c} AS ({CTES[c][1]})" for c in needed) + "\n" + body
 
 

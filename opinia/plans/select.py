@@ -9,9 +9,11 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinia.operators.bayes import SMOOTHING, fold_scores, strategy_scores
+from opinia.operators.evaluate import accuracy, auc
 from opinia.operators.features import STRATEGIES, cleaning_stages, vector_stages
 from opinia.operators.models import SEED, estimator, hash_bucket, split_column
 from opinia.session import materialize
@@ -106,6 +108,68 @@ def tune(
     return rows, best_model
 
 
+def group_metrics(predictions: DataFrame, group: Sequence[str], name: str) -> DataFrame:
+    """``(*group, metric, value)``: ``auc`` and ``accuracy`` of every group, from one stored table."""
+    stored = materialize(predictions.select(*group, "label", "score", "prediction"), name)
+    areas = auc(stored, name=f"{name}-scores", group=group)
+    hits = accuracy(stored, group)
+    return areas.select(*group, F.lit("auc").alias("metric"), F.col("auc").alias("value")).unionByName(
+        hits.select(*group, F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
+    )
+
+
+def tune_nb(
+    df: DataFrame,
+    how: str = "cv",
+    folds: int = 3,
+    train_percent: int = 75,
+    smoothing: Sequence[float] = SMOOTHING,
+    seed: int = SEED,
+    key: str = "doc_id",
+) -> DataFrame:
+    """Search the smoothing of naive Bayes on ``(doc_id, label, words)``: ``(params, fold, metric, value,
+    is_best)``, a row for each smoothing value, fold and metric, and the means of all folds
+    as fold 'mean'. ``how='tvs'`` has one fold, the held-out part.
+
+    The best point has the largest mean AUC, of equal ones the least smoothing.
+    """
+    if how == "cv":
+        fold, held_out = hash_bucket(key, seed, folds), range(folds)
+    elif how == "tvs":
+        fold, held_out = (split_column(key, train_percent, seed) == "test").cast("int"), [1]
+    else:
+        raise ValueError(f"unknown search {how!r}; known: tvs, cv")
+    scores = fold_scores(df, fold, held_out, smoothing)
+    by_fold = materialize(group_metrics(scores, ["smoothing", "fold"], f"nb-{how}"), "fold-metrics")
+    means = by_fold.groupBy("smoothing", "metric").agg(F.avg("value").alias("value"))
+    every = by_fold.withColumn("fold", F.col("fold").cast("string")).unionByName(means.withColumn("fold", F.lit("mean")))
+    # A row for each smoothing value.
+    best = means.where("metric = 'auc'").agg(F.max(F.struct(F.round("value", 9), -F.col("smoothing")))).first()[0]
+    chosen = F.lit(None if best is None or best[0] is None else -best[1]).cast("double")
+    return every.select(
+        F.concat(F.lit("smoothing="), F.col("smoothing").cast("string")).alias("params"),
+        "fold",
+        "metric",
+        "value",
+        F.coalesce(F.col("smoothing") == chosen, F.lit(False)).alias("is_best"),
+    )
+
+
+def experiment_matrix_nb(df: DataFrame, dropped: dict[str, list[str]], part: Column | None = None) -> DataFrame:
+    """``(pipeline, model, params, metric, value)`` of naive Bayes under each strategy's stop words, on both
+    parts of ``(doc_id, label, words)``: AUC and accuracy of all of them from one pass.
+    A part without one of the classes has no AUC, which is null."""
+    scores = strategy_scores(df, split_column() if part is None else part, dropped)
+    found = group_metrics(scores, ["strategy", "part"], "nb-matrix")
+    return found.select(
+        F.col("strategy").alias("pipeline"),
+        F.lit("nb").alias("model"),
+        F.lit("").alias("params"),
+        F.concat_ws("_", "metric", "part").alias("metric"),
+        "value",
+    )
+
+
 def experiment_matrix(
     train: DataFrame,
     test: DataFrame,
