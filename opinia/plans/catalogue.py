@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from opinia.functions import lists
 from opinia.functions import text as X
-from opinia.operators import evaluate, features, insight, lemma, models, spell, stopwords, terms, tokens
-from opinia.operators.stages import StableCountVectorizer
+from opinia.operators import bayes, evaluate, features, insight, lemma, models, sparse, spell, stopwords, terms, tokens
 from opinia.plans import select
 from opinia.session import materialize
 from opinia.sources import reviews
@@ -389,14 +388,20 @@ def experiment_matrix_nb(spark, sf):
 NUM_FEATURES = 1 << 18
 
 
+def spread_words(spark, sf) -> DataFrame:
+    """The labelled words in the partitions that learners should use, whatever the files' layout."""
+    labelled = reviews.labelled_docs(spark, sf).repartition(select.learner_partitions(spark), "doc_id")
+    return labelled.select("doc_id", "label", X.extract(F.col("text"), X.TOKENS, True).alias("words"))
+
+
 def hashed_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     """TF-IDF vectors of the two parts, with the IDF of the training part."""
-    train, test = models.split_train_test(labelled_words(spark, sf))
     tf = HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=NUM_FEATURES)
-    fitted = IDF(inputCol="rawFeatures", outputCol="features").fit(tf.transform(train))
+    raw = tf.transform(spread_words(spark, sf)).select("doc_id", "label", "rawFeatures")
+    train, test = models.split_train_test(materialize(raw, "hashed"))
+    fitted = IDF(inputCol="rawFeatures", outputCol="features").fit(train)
     columns = ["doc_id", "label", "features"]
-    vectors = fitted.transform(tf.transform(train)).select(*columns)
-    return materialize(vectors, "vectors"), fitted.transform(tf.transform(test)).select(*columns)
+    return materialize(fitted.transform(train).select(*columns), "vectors"), fitted.transform(test).select(*columns)
 
 
 def ml_scores(spark, sf, name: str, **params) -> DataFrame:
@@ -427,17 +432,67 @@ def score_svc(spark, sf):
     return ml_scores(spark, sf, "svc")
 
 
+def stored_parts(spark, sf, *more: Column) -> DataFrame:
+    """``(doc_id, label, part, ..., terms)`` of the labelled documents, stored."""
+    return bayes.stored_terms(spread_words(spark, sf), [models.split_column().alias("part"), *more])
+
+
+def hashed_strategies(spark, sf) -> DataFrame:
+    """``(strategy, doc_id, part, bucket, tf, tf_idf)``, with the IDF of the training part."""
+    parts = stored_parts(spark, sf)
+    buckets = sparse.token_buckets(sparse.token_stats(parts), NUM_FEATURES)
+    counts = materialize(sparse.hashed_counts(parts, buckets, ["doc_id", "part"], dropped_words()), "hashed-counts")
+    n_train = parts.where("part = 'train'").count()
+    return sparse.weighted(counts, "part = 'train'", n_train, ["strategy"], "bucket")
+
+
+@query
+def hashed_features(spark, sf):
+    """Hashed TF-IDF of the three strategies, in long form."""
+    found = hashed_strategies(spark, sf)
+    return found.select("strategy", "doc_id", "part", "bucket", "tf", rounded("tf_idf").alias("tf_idf"))
+
+
+def counted_parts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored parts, the vocabulary of the training part, and ``(doc_id, index, tf_idf)`` by it."""
+    parts = stored_parts(spark, sf)
+    vocab = sparse.train_vocabulary(sparse.token_stats(parts, "part = 'train'"), NUM_FEATURES)
+    n_train = parts.where("part = 'train'").count()
+    counts = sparse.vocabulary_counts(parts, vocab, ["doc_id"])
+    entries = counts.withColumn("tf_idf", F.col("tf") * terms.idf_column(F.col("df"), n_train))
+    return parts, vocab, entries.select("doc_id", "index", "tf_idf")
+
+
+@query
+def count_vectors(spark, sf):
+    """The TF-IDF of both parts by the training part's vocabulary, in long form."""
+    return counted_parts(spark, sf)[2].withColumn("tf_idf", rounded("tf_idf"))
+
+
+@query
+def train_vocabulary(spark, sf):
+    return counted_parts(spark, sf)[1].select("index", "token", "n", "df")
+
+
+def fitted_counts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Count vectors to a fitted logistic regression: coefficients by index, vocabulary, and the
+    predictions of the test part."""
+    parts, vocab, entries = counted_parts(spark, sf)
+    vectors = sparse.stored_vectors(parts.drop("terms"), entries, NUM_FEATURES, "tf_idf", "index")
+    model = models.estimator("lr", regParam=0.01).fit(vectors.where("part = 'train'"))
+    return select.coefficients(spark, model), vocab, model.transform(vectors.where("part = 'test'"))
+
+
+@query
+def count_vector_accuracy(spark, sf):
+    """Vocabulary, counts, IDF, logistic regression and its accuracy on the test part."""
+    return evaluate.accuracy(fitted_counts(spark, sf)[2])
+
+
 @query
 def coef_terms(spark, sf):
-    train, _ = models.split_train_test(labelled_words(spark, sf))
-    counter = StableCountVectorizer(input="words", vocab_size=NUM_FEATURES).fit(train)
-    counted = counter.transform(train)
-    weighted = IDF(inputCol="rawFeatures", outputCol="features").fit(counted).transform(counted)
-    weighted = materialize(weighted.select("label", "features"), "vectors")
-    model = models.estimator("lr", regParam=0.01).fit(weighted)
-    # One row per vocabulary entry; a model on the driver needs the bound NUM_FEATURES.
-    rows = [(i, t, float(c)) for i, (t, c) in enumerate(zip(counter.vocabulary, model.coefficients))]
-    return spark.createDataFrame(rows, "index int, token string, coefficient double")
+    weights, vocab, _ = fitted_counts(spark, sf)
+    return vocab.select("index", "token").join(weights, "index")
 
 
 def search(spark, sf, how: str) -> DataFrame:
@@ -455,6 +510,33 @@ def tune_cv(spark, sf):
     return search(spark, sf, "cv")
 
 
+FOLDS = 3
+
+
+def folded_counts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The training part with its fold, and ``(doc_id, label, fold, bucket, tf)`` of all its tokens."""
+    fold = models.hash_bucket("doc_id", models.SEED, FOLDS).cast("int").alias("fold")
+    train = bayes.stored_terms(models.split_train_test(spread_words(spark, sf))[0], [fold])
+    buckets = sparse.token_buckets(sparse.token_stats(train), NUM_FEATURES)
+    counts = sparse.hashed_counts(train, buckets, ["doc_id", "fold"], {"sw_none": []}).drop("strategy")
+    return train.drop("terms"), materialize(counts, "folded-counts")
+
+
+@query
+def fold_doc_freq(spark, sf):
+    """What each fold's IDF is learned from: the document frequencies of the other folds."""
+    return sparse.leave_out_df(folded_counts(spark, sf)[1], FOLDS)
+
+
+@query
+def tune_lr_refit(spark, sf):
+    """The logistic-regression grid, with an IDF of its own in every fold."""
+    docs, counts = folded_counts(spark, sf)
+    vectors = sparse.stored_vectors(docs, counts, NUM_FEATURES, "tf", "bucket")
+    df = sparse.leave_out_df(counts, FOLDS)
+    return select.tune_refit(vectors, df, models.estimator("lr"), FOLDS, NUM_FEATURES)
+
+
 @query
 def experiment_matrix(spark, sf):
     train, test = models.split_train_test(reviews.labelled_docs(spark, sf))

@@ -384,6 +384,30 @@ BODIES["auc_binned"] = """WITH h AS (
         round((sure + open_) / (CAST(np AS DOUBLE) * nn), 6) + 0.0 AS auc_high
     FROM s, (SELECT CAST(sum(a.p * b.n) FILTER (b.bin < a.bin) AS DOUBLE) AS sure,
             CAST(sum(a.p * b.n) FILTER (b.bin = a.bin) AS DOUBLE) AS open_ FROM h a, h b)"""
+CTES["buckets"] = (
+    ("ptf",),
+    f"""SELECT token, CAST((h % 262144 + 262144) % 262144 AS INTEGER) AS bucket
+        FROM (SELECT token, {murmur('token')} AS h FROM (SELECT DISTINCT token FROM ptf))""",
+)
+BODIES["hashed_features"] = f"""WITH k AS (
+        SELECT 'sw_none' AS strategy, * FROM ptf
+        UNION ALL SELECT 'sw_pre', * FROM ptf WHERE token NOT IN ({STOP_KEPT})
+        UNION ALL SELECT 'sw_cstm', * FROM ptf WHERE token NOT IN ({STOP_CUSTOM})),
+    c AS (SELECT strategy, doc_id, split AS part, bucket, CAST(sum(tf) AS BIGINT) AS tf
+        FROM k JOIN buckets USING (token) GROUP BY ALL),
+    v AS (SELECT strategy, bucket, count(*) AS df FROM c WHERE part = 'train' GROUP BY ALL)
+    SELECT c.strategy, doc_id, part, c.bucket, tf, round(tf * ln(((SELECT count(*) FROM parts WHERE split = 'train') + 1.0)
+        / (coalesce(df, 0) + 1)), 6) + 0.0 AS tf_idf
+    FROM c LEFT JOIN v ON c.strategy = v.strategy AND c.bucket = v.bucket"""
+TRAIN_VOCABULARY = """SELECT CAST(row_number() OVER (ORDER BY n DESC, token) - 1 AS BIGINT) AS index, token, n, df
+    FROM (SELECT token, CAST(sum(tf) AS BIGINT) AS n, count(*) AS df FROM ptf WHERE split = 'train' GROUP BY token)"""
+BODIES["train_vocabulary"] = f"""WITH v AS (FROM ptf) {TRAIN_VOCABULARY} QUALIFY index < 262144"""
+BODIES["count_vectors"] = f"""WITH v AS ({TRAIN_VOCABULARY})
+    SELECT doc_id, index, round(tf * ln(((SELECT count(*) FROM parts WHERE split = 'train') + 1.0) / (df + 1)), 6) + 0.0 AS tf_idf
+    FROM ptf JOIN v USING (token) WHERE index < 262144"""
+BODIES["fold_doc_freq"] = f"""WITH c AS (SELECT DISTINCT doc_id, CAST({HASHED_ID} % 3 AS INTEGER) AS own, bucket
+        FROM ptf JOIN buckets USING (token) WHERE split = 'train')
+    SELECT fold, bucket, count(*) AS df FROM c, (SELECT unnest([0, 1, 2]) AS fold) WHERE own <> fold GROUP BY ALL"""
 NB_METRICS = f"""SELECT 'accuracy' AS metric, accuracy AS value FROM ({BODIES['accuracy']})
     UNION ALL SELECT 'auc_test', auc FROM ({BODIES['auc']})"""
 BODIES["results_frame"] = f"""SELECT 'sw_none' AS pipeline, 'nb' AS model, '' AS params, metric, value

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import IDF
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +18,7 @@ from pyspark.sql import functions as F
 from opinia.operators.bayes import SMOOTHING, fold_scores, strategy_scores
 from opinia.operators.evaluate import accuracy, auc
 from opinia.operators.features import STRATEGIES, cleaning_stages, vector_stages
+from opinia.operators.sparse import scaled
 from opinia.operators.models import SEED, estimator, hash_bucket, split_column
 from opinia.session import materialize
 from opinia.sources.reviews import results_frame
@@ -50,6 +54,65 @@ def evaluator(num_bins: int = 0) -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(numBins=num_bins)
 
 
+def learner_partitions(spark) -> int:
+    """Partitions of a learner's table: one for each shuffle partition of the session."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def coefficients(spark, model) -> DataFrame:
+    """``(index, coefficient)`` of a fitted linear model, stored; the model itself is on the driver."""
+    values = model.coefficients.toArray()
+    table = pa.table({"index": np.arange(len(values), dtype=np.int64), "coefficient": values})
+    return materialize(spark.createDataFrame(table), "coefficients")
+
+
+def tune_refit(
+    vectors: DataFrame,
+    fold_df: DataFrame,
+    model,
+    folds: int,
+    num_features: int,
+    points: Sequence[dict] | None = None,
+    index: str = "bucket",
+    parallelism: int = 4,
+) -> DataFrame:
+    """Cross-validate ``points`` with an IDF that is refitted in every fold: ``(params, fold, metric, value,
+    is_best)``, a row for each point and fold, and the means as fold 'mean'.
+
+    ``vectors (doc_id, label, fold, features)`` hold plain term counts, ``fold_df (fold, bucket, df)`` the
+    document frequencies without each fold (:func:`opinia.operators.sparse.leave_out_df`). A
+    fold's weights come from its own rows of that table, so neither the text nor the vectors are
+    read again to fit them, and its documents have no part in them. The driver holds one array
+    of ``num_features`` numbers for each fold.
+    """
+    spark = vectors.sparkSession
+    points = list(points or param_grid(model))
+    sizes = {r["fold"]: r["n"] for r in vectors.groupBy("fold").agg(F.count("*").alias("n")).collect()}
+    score = evaluator()
+    jobs = []
+    for f in range(folds):
+        found = fold_df.where(F.col("fold") == f).select(index, "df").toArrow()
+        df = np.zeros(num_features)
+        df[found.column(index).to_numpy()] = found.column("df").to_numpy()
+        n_docs = sum(n for g, n in sizes.items() if g != f)
+        weighted = scaled(vectors, np.log((n_docs + 1) / (df + 1)))
+        fits = model.fitMultiple(weighted.where(F.col("fold") != f), points)
+        jobs += [(f, fits, weighted.where(F.col("fold") == f))] * len(points)
+
+    def next_value(job):
+        f, fits, check_on = job
+        at, fitted = next(fits)
+        return at, f, float(score.evaluate(fitted.transform(check_on)))
+
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        values = pool.map(inheritable_thread_target(spark)(next_value), jobs, chunksize=1)
+    means = [float(np.mean([v for at, _, v in values if at == i])) for i in range(len(points))]
+    best = means.index(max(means))
+    rows = [(describe(points[at]), str(f), "auc", v, at == best) for at, f, v in sorted(values)]
+    rows += [(describe(p), "mean", "auc", means[i], i == best) for i, p in enumerate(points)]
+    return spark.createDataFrame(rows, "params string, fold string, metric string, value double, is_best boolean")
+
+
 def tune(
     features: DataFrame,
     model,
@@ -63,11 +126,13 @@ def tune(
 ):
     """Search ``points`` on ``(doc_id, label, features)``; returns ``(rows, best fitted model)``.
 
+    ``model`` may be a :class:`Pipeline`, with the points of its last stage; then ``features`` is the
+    table that its first stage reads, and all its stages are fitted inside each part or fold.
     ``rows`` is ``(params, value, is_best)``. ``how='tvs'`` scores once on a held-out part,
     ``how='cv'`` averages over folds. Parts and folds follow the document id, so the search
     does not depend on the data layout. Ties go to the earlier point.
     """
-    points = list(points or param_grid(model))
+    points = list(points or param_grid(model.getStages()[-1] if isinstance(model, Pipeline) else model))
     for point in points:
         for param, value in point.items():
             if param.name == "maxDepth" and value > DEEPEST_TREE:
@@ -197,20 +262,22 @@ def experiment_matrix(
     def of_strategy(strategy: str) -> list[tuple]:
         fitted = Pipeline(stages=vector_stages(strategy, vectorizer, num_features)).fit(clean_train)
         parts = {
-            part: materialize(fitted.transform(df).select("doc_id", "label", "features"), f"vectors-{part}")
+            part: materialize(fitted.transform(df).select("doc_id", "label", "rawFeatures", "features"), f"vectors-{part}")
             for part, df in (("train", clean_train), ("test", clean_test))
         }
         rows = []
         for name, params in models.items():
             model = estimator(name, **params)
             if search:
-                found, best = tune(parts["train"], model, how=search)
+                # The IDF is fitted again on what each point learns from.
+                refitted = Pipeline(stages=[IDF(inputCol="rawFeatures", outputCol="features"), model])
+                found, best = tune(parts["train"].drop("features"), refitted, how=search)
                 described = found.where("is_best").first()["params"]
             else:
                 best = model.fit(parts["train"])
                 described = ",".join(f"{k}={v}" for k, v in sorted(params.items()))
             for part, frame in parts.items():
-                value = float(score.evaluate(best.transform(frame)))
+                value = float(score.evaluate(best.transform(frame.drop("features") if search else frame)))
                 rows.append((strategy, name, described, f"auc_{part}", value))
         return rows
 
@@ -227,8 +294,10 @@ def clean_parts(train: DataFrame, test: DataFrame, spelling: str = "context") ->
     transforming would each compute it again. A document is in one of the parts only.
     """
     columns = ["doc_id", "label", "part"]
+    parts = learner_partitions(train.sparkSession)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    both = both.select(*columns, "text")
+    # Laid out for the learners, which pass over what comes of this with one task a file.
+    both = both.select(*columns, "text").repartition(parts, "doc_id")
     for stage in cleaning_stages(spelling):
         fitted = stage.fit(both.where("part = 'train'")) if isinstance(stage, Estimator) else stage
         name = type(stage).__name__.lower()

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: int | str = 8, app: str = "opinia", memory: str = "12g") -> SparkSession:
@@ -65,14 +66,15 @@ class Scope:
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used for what several branches or passes of one job read: corpus-level aggregates
     (vocabulary, bigram counts, candidates), which each branch would otherwise compute from
     the text again, and training vectors, which learners pass over many times. The
     written table outlives executors and keeps column pruning and size statistics, which a
-    cached or checkpointed RDD would not. An open :class:`Scope` removes it at its end.
+    cached or checkpointed RDD would not. An open :class:`Scope` removes it at its end. ``schema``
+    is another type for columns of the same storage form.
     """
     spark = df.sparkSession
     base = scratch_dir(spark).rstrip("/")
@@ -80,4 +82,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     if Scope._open:
         Scope._open[-1].paths.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
