@@ -26,8 +26,10 @@ SENTENCE_GAP = r"\s(?<=[.!?]\s)\s*"
 BLANKS = " \t\n\x0b\f\r"
 
 WILD = "\u0001"
-# Pairs of up to this length meet by patterns of one edit, longer ones by halves.
+# Pairs of up to this length meet by patterns of the whole token, longer ones by those of its blocks.
 LONG_TOKEN = 48
+# At two edits, pairs of up to this length meet by deletions, longer ones by segments.
+SHORT_TOKEN = 16
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -214,27 +216,48 @@ def apply_edits(tokens: Column, edits: Column) -> Column:
     return let(tokens, cut)
 
 
-def _variants(token: Column, replacement: str, kind: str = "") -> Column:
-    """``kind`` followed by the token with each character in turn replaced."""
-    marked = F.concat(F.lit(kind), token) if kind else token
-    first = len(kind) + 1
-    return F.transform(
-        F.sequence(F.lit(first), F.length(token) + len(kind)),
-        lambda i: F.overlay(marked, F.lit(replacement), i, F.lit(1)),
-    )
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
 
-def _swaps(token: Column, kind: str) -> Column:
+def _variants(token: Column, replacement: str, kind: Column | str = "") -> Column:
+    """``kind`` followed by the token with each character in turn replaced; none for an empty token."""
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    return F.when(
+        F.length(token) > 0,
+        F.transform(
+            F.sequence(F.lit(1), F.length(token)),
+            lambda i: F.concat(kind, F.overlay(token, F.lit(replacement), i, F.lit(1))),
+        ),
+    ).otherwise(_none())
+
+
+def _swaps(token: Column, kind: Column) -> Column:
     """``kind`` followed by the token with each two neighbours in turn exchanged."""
-    marked = F.concat(F.lit(kind), token)
-    pair = lambda i: F.concat(F.substring(marked, i + 1, F.lit(1)), F.substring(marked, i, F.lit(1)))
+    pair = lambda i: F.concat(F.substring(token, i + 1, F.lit(1)), F.substring(token, i, F.lit(1)))
     return F.when(
         F.length(token) > 1,
         F.transform(
-            F.sequence(F.lit(len(kind) + 1), F.length(token) + len(kind) - 1),
-            lambda i: F.overlay(marked, pair(i), i, F.lit(2)),
+            F.sequence(F.lit(1), F.length(token) - 1),
+            lambda i: F.concat(kind, F.overlay(token, pair(i), i, F.lit(2))),
         ),
-    ).otherwise(F.array().cast("array<string>"))
+    ).otherwise(_none())
+
+
+# Kinds of keys: the suspect is longer (or has two neighbours exchanged), shorter, or as long.
+TOO_LONG, TOO_SHORT, SUBSTITUTED = "+", "-", "*"
+
+
+def _patterns(token: Column, is_suspect: bool, transpositions: bool, prefix: Column) -> Column:
+    """The patterns that a token shares with those one edit away, but for what it shares as it is
+    with longer ones."""
+    kind = lambda k: F.concat(F.lit(k), prefix)
+    same = _variants(token, WILD, kind(SUBSTITUTED))
+    if not is_suspect:
+        # Words are met as they are by suspects that are swapped.
+        return F.concat(F.array(F.concat(kind(TOO_LONG), token)), _variants(token, "", kind(TOO_SHORT)), same)
+    shorter = _variants(token, "", kind(TOO_LONG))
+    return F.concat(shorter, _swaps(token, kind(TOO_LONG)), same) if transpositions else F.concat(shorter, same)
 
 
 def edit_keys(token: Column, is_suspect: bool, transpositions: bool) -> Column:
@@ -246,47 +269,66 @@ def edit_keys(token: Column, is_suspect: bool, transpositions: bool) -> Column:
     plain delete neighbourhood no pair at a larger distance is produced, and each pair is
     produced once.
 
-    All patterns of a token take the square of its length, so pairs whose longer token has more
-    than ``LONG_TOKEN`` characters meet by halves instead: an edit leaves the first or the last
-    half of the shorter length as it was. These four keys are digests, and such pairs have to be
-    verified (:func:`one_edit`).
+    All patterns of a token take the square of its length. Pairs whose longer token has more than
+    ``LONG_TOKEN`` characters meet by blocks instead: the edit lies in one block of the longer
+    token, and what is before and after the block is equal, so a key is these two, as digests,
+    and a pattern of the block. Blocks have at least ``LONG_TOKEN`` characters, and no fewer than the
+    root of the length. However much tokens have in common, a key is shared only by those that one
+    edit separates; a pair with several equal keys counts once (:func:`met_once`).
     """
-    too_long, too_short, substituted = "+", "-", "*"
-    none = F.array().cast("array<string>")
-    if is_suspect:
-        own = [_variants(token, "", too_long)]
-        if transpositions:
-            own.append(_swaps(token, too_long))
-        # The word is the longer one of this pair.
-        below = F.when(F.length(token) < LONG_TOKEN, F.array(F.concat(F.lit(too_short), token))).otherwise(none)
-    else:
-        own = [F.array(F.concat(F.lit(too_long), token)), _variants(token, "", too_short)]
-        below = none
-    own.append(_variants(token, WILD, substituted))
+    plain = _patterns(token, is_suspect, transpositions, F.lit(""))
+    # The other token of the pair is the longer one here.
+    as_is = TOO_SHORT if is_suspect else TOO_LONG
+    below = F.when(F.length(token) < LONG_TOKEN, F.array(F.concat(F.lit(as_is), token))).otherwise(_none())
+    whole = F.when(F.length(token) <= LONG_TOKEN, F.concat(plain, below) if is_suspect else plain).otherwise(_none())
     size = F.length(token)
-    patterns = F.when(size <= LONG_TOKEN, F.concat(*own)).otherwise(none)
-    return F.array_distinct(F.concat(patterns, below, _halves(token, size), _halves(token, size + 1)))
+    own = _block_keys(token, size, lambda part, prefix: _patterns(part, is_suspect, transpositions, prefix))
+    longer = _block_keys(token, size + 1, lambda part, prefix: F.array(F.concat(F.lit(as_is), prefix, part)))
+    return F.array_distinct(F.concat(whole, own, longer))
+
+
+def _block(longest: Column) -> Column:
+    """Characters of a block of a token of this length."""
+    return F.greatest(F.lit(LONG_TOKEN), F.ceil(F.sqrt(longest.cast("double")))).cast("int")
 
 
-def _halves(token: Column, longest: Column) -> Column:
-    """Digests of the first and the last half, for pairs whose longer token has ``longest`` characters."""
-    half = F.floor((longest - 2) / 2).cast("int")
+def _block_keys(token: Column, longest: Column, keys: Callable[[Column, Column], Column]) -> Column:
+    """Keys of the blocks, for pairs whose longer token has ``longest`` characters. Blocks run one
+    character into the next, so that two neighbours are always in one."""
 
-    def key(kind: str, part: Column) -> Column:
-        return F.concat(F.lit(kind), longest.cast("string"), F.lit(":"), F.md5(part.cast("binary")))
+    def of_block(j: Column) -> Column:
+        size = _block(longest)
+        start = j * size
+        after = F.greatest(longest - start - size - 1, F.lit(0))
+        part = F.substring(token, start + 1, F.greatest(F.length(token) - start - after, F.lit(0)))
+        before = F.substring(token, F.lit(1), start)
+        rest = F.substring(token, F.length(token) - after + 1, after)
+        prefix = F.concat_ws(
+            ":", F.lit("#"), longest.cast("string"), j.cast("string"),
+            F.md5(before.cast("binary")), F.md5(rest.cast("binary")), F.lit(""),
+        )
+        return let(part, lambda p: keys(p, prefix))
 
-    ends = F.array(key("<", F.substring(token, F.lit(1), half)), key(">", F.substring(token, F.length(token) - half + 1, half)))
-    return F.when(longest > LONG_TOKEN, ends).otherwise(F.array().cast("array<string>"))
+    blocks = F.sequence(F.lit(0), F.floor((longest - 1) / _block(longest)).cast("int"))
+    return F.when(longest > LONG_TOKEN, F.flatten(F.transform(blocks, of_block))).otherwise(_none())
+
+
+def met_by_block(key: Column) -> Column:
+    return F.substring(key, F.lit(2), F.lit(1)) == "#"
 
 
 def met_once(key: Column, a: Column, b: Column) -> Column:
-    """Whether a pair that met by halves did so by their own length, and by the first half if
-    that is equal, so that of up to four meetings one counts."""
+    """Whether a pair that met by blocks did so in the one in which it first differs."""
     longest = F.greatest(F.length(a), F.length(b))
-    half = F.floor((longest - 2) / 2).cast("int")
-    named = F.substring_index(F.substring(key, F.lit(2), F.length(key)), ":", 1)
-    same = F.substring(a, F.lit(1), half) == F.substring(b, F.lit(1), half)
-    return (named == longest.cast("string")) & (key.startswith("<") | ~same)
+    block = F.split(key, ":")
+    first = F.floor((first_difference(a, b) - 1) / _block(longest)).cast("string")
+    return (F.get(block, F.lit(1)) == longest.cast("string")) & (F.get(block, F.lit(2)) == first)
+
+
+def first_difference(a: Column, b: Column) -> Column:
+    """The first place, from 1, at which two texts differ; that after the shorter if it is a prefix."""
+    differs = F.array_position(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), F.lit(True))
+    return F.when(differs > 0, differs).otherwise(F.least(F.length(a), F.length(b)) + 1).cast("int")
 
 
 def one_edit(a: Column, b: Column, transpositions: bool) -> Column:
@@ -306,10 +348,7 @@ def one_edit(a: Column, b: Column, transpositions: bool) -> Column:
             found |= same & (one(a, 0) == one(b, 1)) & (one(a, 1) == one(b, 0)) & (rest(a, 2) == rest(b, 2))
         return found
 
-    differs = F.array_position(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), F.lit(True))
-    # Without a difference in what both have, it is at the end of the shorter one.
-    first = F.when(differs > 0, differs).otherwise(F.least(F.length(a), F.length(b)) + 1).cast("int")
-    return (a != b) & let(first, from_first)
+    return (a != b) & let(first_difference(a, b), from_first)
 
 
 def delete_keys(token: Column, depth: int) -> Column:
@@ -317,10 +356,48 @@ def delete_keys(token: Column, depth: int) -> Column:
     level = F.array(token)
     reached = level
     for _ in range(depth):
-        level = F.array_distinct(F.flatten(F.transform(level, _variants_or_none)))
+        level = F.array_distinct(F.flatten(F.transform(level, lambda t: _variants(t, ""))))
         reached = F.concat(reached, level)
     return F.array_distinct(reached)
 
 
-def _variants_or_none(token: Column) -> Column:
-    return F.when(F.length(token) > 0, _variants(token, "")).otherwise(F.array().cast("array<string>"))
+def segment_keys(token: Column, is_suspect: bool, edits: int) -> Column:
+    """Keys that a suspect and a word share if at most ``edits`` edits separate them, and the longer
+    one has more than ``SHORT_TOKEN`` characters.
+
+    A word is cut into one more segment than there are edits, so one of them is untouched. The edits
+    before it move it by as many places at most, so a suspect looks for each segment of a word
+    of each possible length at these places only. Pairs that meet have to be verified.
+    """
+    parts = edits + 1
+
+    def bounds(length: Column, i: int) -> tuple[Column, Column]:
+        """Start from 0 and size; all segments but the last have a ``parts``-th."""
+        step = F.floor(length / parts).cast("int")
+        return step * i, (length - step * i if i == parts - 1 else step)
+
+    def key(length: Column, i: int, part: Column) -> Column:
+        return F.concat_ws(":", length.cast("string"), F.lit(str(i)), part)
+
+    size = F.length(token)
+    if not is_suspect:
+        own = []
+        for i in range(parts):
+            start, length = bounds(size, i)
+            own.append(key(size, i, F.substring(token, start + 1, length)))
+        return F.when(size > SHORT_TOKEN - edits, F.array(*own)).otherwise(_none())
+
+    def of_length(other: Column) -> Column:
+        found = []
+        for i in range(parts):
+            start, length = bounds(other, i)
+            for shift in range(-edits, edits + 1):
+                at = start + shift
+                inside = (at >= 0) & (at + length <= size)
+                found.append(F.when(inside, key(other, i, F.substring(token, at + 1, length))))
+        return F.when(F.greatest(size, other) > SHORT_TOKEN, F.array_compact(F.array(*found))).otherwise(_none())
+
+    lengths = F.filter(F.sequence(size - edits, size + edits), lambda n: n >= parts)
+    return F.when(
+        size > SHORT_TOKEN - edits, F.array_distinct(F.flatten(F.transform(lengths, of_length)))
+    ).otherwise(_none())

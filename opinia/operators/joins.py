@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from opinia.session import materialize
 
@@ -20,11 +21,35 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCA
 
     A plain aggregate, added up in every task; ``df`` should be a stored table.
     """
-    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    size = F.lit(0)
+    for field in df.schema.fields:
+        if field.dataType.simpleString() == "string":
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0)) + 8
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+        else:
+            size = size + 8
     rows, total = df.agg(F.count("*"), F.sum(size)).first()
     return rows <= max_rows and (total or 0) <= max_bytes
 
 
+# Keys of at most so many characters, as many as that, are broadcast to drop rows without a partner.
+IDLE_KEYS, IDLE_LENGTH = 100_000, 64
+
+
+def drop_idle(left: DataFrame, counts: DataFrame, wanted: DataFrame, on: str, weight: str = "n") -> DataFrame:
+    """``left`` without the rows of its most frequent keys that ``wanted`` lacks, before a join that would
+    move them for nothing.
+
+    ``counts`` has the rows of ``left`` by key. What is broadcast has at most ``IDLE_KEYS`` keys of
+    ``IDLE_LENGTH`` characters, which is bounded whatever the data; rarer and longer keys without
+    a partner are left to the join.
+    """
+    idle = counts.where(F.length(on) <= IDLE_LENGTH).select(on, weight)
+    idle = idle.join(wanted.select(on), on, "left_anti").orderBy(F.desc(weight), on).limit(IDLE_KEYS).select(on)
+    return left.join(F.broadcast(idle), on, "left_anti")
+
+
 def heavy_keys(counts: DataFrame, on: Sequence[str], weight: str) -> DataFrame | None:
     """The keys that hold more than one shuffle partition's fair share of the rows, and into
     how many slices (``_slices``) to cut each; None when there is no such key.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from opinia.functions import rows
 from opinia.functions import text as X
-from opinia.operators.joins import lookup_join
+from opinia.operators.joins import drop_idle, heavy_keys, lookup_join, sliced_join
 from opinia.operators.tokens import map_tokens
 from opinia.session import materialize
 
@@ -38,45 +38,74 @@ def candidates(
 ) -> DataFrame:
     """``(token, candidate, distance, freq)``: dictionary words near each suspect.
 
-    Both sides emit edit keys and are joined on them. How many words can share a key is
-    bounded by the alphabet and the word length, so no key is hot and no pair is capped.
-    A swap of two neighbouring letters counts as one edit. At distance 2 the keys are
-    repeated deletions and the pairs are checked by edit distance.
+    Both sides emit keys and are joined on them. At distance 1 a key is shared exactly by what one
+    edit separates, so no key is hot and no pair is capped. A swap of two neighbouring letters
+    counts as one edit. At distance 2 short words meet by deletions, and long ones by segments,
+    of which many words can have the same; the pairs are verified in time linear in their
+    length, and a key that holds more than its share of them is cut into slices.
     """
     longest = dictionary.agg(F.max(F.length("word"))).first()[0] or 0
     # A longer suspect has no partner, whatever the dictionary holds.
     odd = odd.where(F.length("token") <= longest + max_distance)
     words = dictionary.select(F.col("word").alias("candidate"), "freq")
     if max_distance == 1:
-        left = rows.explode(odd, ["token"], X.edit_keys(F.col("token"), True, transpositions), "key")
-        right = rows.explode(
-            words, ["candidate", "freq"], X.edit_keys(F.col("candidate"), False, transpositions), "key"
-        )
-        # The optimizer does not see that the keys multiply the rows, and would broadcast them.
-        pairs = left.join(right.hint("merge"), "key")
-        a, b = F.col("token"), F.col("candidate")
-        # Long pairs meet by halves, and have to be checked.
-        checked = X.met_once(F.col("key"), a, b) & X.one_edit(a, b, transpositions)
-        return pairs.where(~F.col("key").rlike("^[<>]") | checked).select(
-            "token", "candidate", F.lit(1).alias("distance"), "freq"
-        )
-    left = rows.explode(odd, ["token"], X.delete_keys(F.col("token"), max_distance), "key")
+        return _one_edit(odd, words, transpositions)
+    near = _by_deletions(odd, words, max_distance).unionByName(_by_segments(odd, words, max_distance))
+    if transpositions:
+        near = near.unionByName(_one_edit(odd, words, True))
+    # A pair can meet by several keys.
+    return near.groupBy("token", "candidate").agg(F.min("distance").alias("distance"), F.max("freq").alias("freq"))
+
+
+def _one_edit(odd: DataFrame, words: DataFrame, transpositions: bool) -> DataFrame:
+    left = rows.explode(odd, ["token"], X.edit_keys(F.col("token"), True, transpositions), "key")
     right = rows.explode(
-        words, ["candidate", "freq"], X.delete_keys(F.col("candidate"), max_distance), "key"
+        words, ["candidate", "freq"], X.edit_keys(F.col("candidate"), False, transpositions), "key"
+    )
+    # The optimizer does not see that the keys multiply the rows, and would broadcast them.
+    pairs = left.join(right.hint("merge"), "key")
+    a, b = F.col("token"), F.col("candidate")
+    # Long pairs meet by digests, and maybe by several.
+    checked = X.met_once(F.col("key"), a, b) & X.one_edit(a, b, transpositions)
+    return pairs.where(~X.met_by_block(F.col("key")) | checked).select(
+        "token", "candidate", F.lit(1).alias("distance"), "freq"
     )
-    near = (
-        left.join(right.hint("merge"), "key")
-        .withColumn("distance", F.levenshtein("token", "candidate", max_distance))
+
+
+def _verified(pairs: DataFrame, max_distance: int) -> DataFrame:
+    return (
+        pairs.withColumn("distance", F.levenshtein("token", "candidate", max_distance))
         .where(F.col("distance") >= 0)
         .select("token", "candidate", "distance", "freq")
-        .distinct()
     )
-    if not transpositions:
-        return near
-    one_edit = candidates(odd, dictionary, 1, True)
-    return near.unionByName(one_edit).groupBy("token", "candidate").agg(
-        F.min("distance").alias("distance"), F.max("freq").alias("freq")
+
+
+def _by_deletions(odd: DataFrame, words: DataFrame, edits: int) -> DataFrame:
+    """Pairs in which neither token is longer than ``SHORT_TOKEN``."""
+    left = rows.explode(
+        odd.where(F.length("token") <= X.SHORT_TOKEN), ["token"], X.delete_keys(F.col("token"), edits), "key"
+    )
+    right = rows.explode(
+        words.where(F.length("candidate") <= X.SHORT_TOKEN), ["candidate", "freq"], X.delete_keys(F.col("candidate"), edits), "key"
     )
+    # At most two edits apart, and so are their lengths.
+    fits = F.abs(F.length("token") - F.length("candidate")) <= edits
+    return _verified(left.join(right.hint("merge"), "key").where(fits), edits)
+
+
+def _by_segments(odd: DataFrame, words: DataFrame, edits: int) -> DataFrame:
+    """Pairs in which a token is longer than ``SHORT_TOKEN``."""
+    left = rows.explode(odd, ["token"], X.segment_keys(F.col("token"), True, edits), "key")
+    right = rows.explode(words, ["candidate", "freq"], X.segment_keys(F.col("candidate"), False, edits), "key")
+    left, right = materialize(left, "suspect-segments"), materialize(right, "word-segments")
+    # A key is as heavy as the pairs that it makes.
+    a = left.groupBy("key").agg(F.count("*").alias("a"))
+    b = right.groupBy("key").agg(F.count("*").alias("b"))
+    pairs = materialize(a.join(b.hint("merge"), "key").select("key", (F.col("a") * F.col("b")).alias("n")), "segment-pairs")
+    heavy = heavy_keys(pairs, ["key"], "n")
+    if heavy is None:
+        return _verified(left.join(right.hint("merge"), "key"), edits)
+    return _verified(sliced_join(left, right, ["key"], "inner", heavy, ["token"]), edits)
 
 
 def best_candidates(cands: DataFrame) -> DataFrame:
@@ -94,11 +123,27 @@ def best_candidates(cands: DataFrame) -> DataFrame:
     )
 
 
+def compose(words: DataFrame, corrections: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """``(token, corrected, n)``: what becomes of each distinct token that a correction, and then a
+    lemma, change in the end; so that a text needs one lookup and is edited once.
+
+    ``words`` is ``(token, n, ...)``, ``corrections`` ``(token, corrected)``, ``lemmas`` ``(form, lemma)``.
+    """
+    spelled = words.select("token", "n").join(corrections.select("token", "corrected"), "token", "left")
+    spelled = spelled.withColumn("form", F.coalesce("corrected", "token")).drop("corrected")
+    ends = lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
+    both = spelled.join(ends, "form", "left").withColumn("corrected", F.coalesce("lemma", "form"))
+    return materialize(both.where(F.col("corrected") != F.col("token")).select("token", "corrected", "n"), "composed")
+
+
 def correct_wide(
     df: DataFrame, corrections: DataFrame, tokens: str = "tokens", counts: DataFrame | None = None
 ) -> DataFrame:
-    """Apply ``(token, corrected)`` to an annotation array."""
+    """Apply ``(token, corrected)`` to an annotation array. ``counts (token, n)`` are the term
+    statistics of ``df``."""
     places = rows.posexplode(df, ["doc_id"], f"{tokens}.result", "i", "token")
+    if counts is not None:
+        places = drop_idle(places, counts, corrections, "token")
     hits = lookup_join(
         places, corrections.select("token", "corrected"), ["token"], "inner", ["doc_id", "i"], counts
     )
@@ -179,11 +224,14 @@ def correct_in_context(
     seen_after = _seen(bigrams, "prev", pairs, odd, "after")
     seen_before = _seen(followed, "next", pairs, odd, "before")
     shortest = pairs.agg(F.min(F.length("token"))).first()[0] or 0
-    places = lookup_join(
-        neighbours(df, tokens, shortest), listed, ["token"], "inner", ["doc_id", "i"], counts
-    )
-    places = lookup_join(places, seen_after, ["prev", "token"], "left", ["doc_id", "i"])
-    places = lookup_join(places, seen_before, ["token", "next"], "left", ["doc_id", "i"])
+    # Most occurrences are of frequent tokens that are no suspects; they go before anything moves.
+    suspected = drop_idle(neighbours(df, tokens, shortest), counts, odd, "token")
+    # Stored, as the occurrences of suspects are counted by pair and then joined twice.
+    found = materialize(lookup_join(suspected, odd.select("token"), ["token"], "inner", ["doc_id", "i"], odd), "places")
+    places = lookup_join(found, listed, ["token"], "inner", ["doc_id", "i"], odd)
+    for seen, on in ((seen_after, ["prev", "token"]), (seen_before, ["token", "next"])):
+        by_pair = materialize(found.groupBy(*on).agg(F.count("*").alias("n")), "pair-counts")
+        places = lookup_join(places, seen, on, "left", ["doc_id", "i"], by_pair)
 
     def count_in(seen, word):
         return F.coalesce(F.try_element_at(F.col(seen), word), F.lit(0))

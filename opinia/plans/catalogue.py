@@ -57,7 +57,11 @@ def labelled_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_stats(df: DataFrame) -> DataFrame:
-    return materialize(terms.term_stats(df), "words")
+    """Term statistics in as many files as there are shuffle partitions: a word becomes dozens of
+    keys downstream, so a small table of words is not a small piece of work."""
+    stats = terms.term_stats(df)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(stats.repartition(parts, "token"), "words")
 
 
 # Sources
@@ -159,22 +163,33 @@ def lemmatize(spark, sf):
     return lemma.lemmatize(tokens.token_table(docs(spark, sf)), lemmas, stats)
 
 
-def spelling_tables(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Words, dictionary and candidates, with frequent words of the corpus as dictionary."""
-    stats = stored_stats(doc_words(spark, sf))
+def found_candidates(stats: DataFrame, max_distance: int = 1) -> DataFrame:
+    """Candidates for the suspects among the words, with frequent words as dictionary."""
     dictionary = spell.corpus_dictionary(stats)
-    cands = spell.candidates(spell.suspects(stats, dictionary), dictionary)
-    return stats, dictionary, cands
+    return spell.candidates(spell.suspects(stats, dictionary), dictionary, max_distance)
 
 
 @query
 def spell_candidates(spark, sf):
-    return spelling_tables(spark, sf)[2]
+    return found_candidates(stored_stats(doc_words(spark, sf)))
+
+
+@query
+def spell_candidates_2(spark, sf):
+    """Candidates at up to two edits."""
+    return found_candidates(stored_stats(doc_words(spark, sf)), max_distance=2)
 
 
 @query
 def spell_correct(spark, sf):
-    return spell.best_candidates(spelling_tables(spark, sf)[2])
+    return spell.best_candidates(found_candidates(stored_stats(doc_words(spark, sf))))
+
+
+def stored_annotations(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Annotated documents, tokenized once and bucketed by document, and their term statistics."""
+    annotated = materialize(tokens.annotate(docs(spark, sf)).select("doc_id", "tokens"), "annotated", by="doc_id")
+    words = annotated.select("doc_id", F.col("tokens.result").alias("words"))
+    return annotated, stored_stats(words)
 
 
 @query
@@ -184,21 +199,19 @@ def bigram_lm(spark, sf):
 
 @query
 def spell_context(spark, sf):
-    stats, _, cands = spelling_tables(spark, sf)
-    annotated = tokens.annotate(docs(spark, sf))
+    annotated, stats = stored_annotations(spark, sf)
     pairs = materialize(spell.bigram_lm(annotated), "bigrams")
-    fixed = spell.correct_in_context(annotated, stats, pairs, materialize(cands, "candidates"))
+    fixed = spell.correct_in_context(annotated, stats, pairs, materialize(found_candidates(stats), "candidates"))
     return fixed.select("doc_id", "sent", "pos", "token", "corrected")
 
 
 @query
 def finish(spark, sf):
     """Spelling, lemmas, stop words and the finisher in a row."""
-    stats, _, cands = spelling_tables(spark, sf)
-    fixes = materialize(spell.best_candidates(cands), "corrections")
-    lemmas = materialize(lemma.derive_lemmas(stats), "lemmas")
-    cleaned = spell.correct_wide(tokens.annotate(docs(spark, sf)), fixes, "tokens", stats)
-    cleaned = lemma.lemmatize_wide(cleaned, lemmas, "tokens", stats)
+    annotated, stats = stored_annotations(spark, sf)
+    fixes = materialize(spell.best_candidates(found_candidates(stats)), "corrections")
+    changed = spell.compose(stats, fixes, lemma.derive_lemmas(stats))
+    cleaned = spell.correct_wide(annotated, changed, "tokens", stats)
     cleaned = stopwords.drop_annotated(cleaned, "tokens", lists.default_stop_words(), lists.NEGATIONS)
     return tokens.finish(cleaned).select(
         "doc_id", F.size("finished").alias("n_finished"), F.array_join("finished", " ").alias("finished")

@@ -408,6 +408,17 @@ BODIES["count_vectors"] = f"""WITH v AS ({TRAIN_VOCABULARY})
 BODIES["fold_doc_freq"] = f"""WITH c AS (SELECT DISTINCT doc_id, CAST({HASHED_ID} % 3 AS INTEGER) AS own, bucket
         FROM ptf JOIN buckets USING (token) WHERE split = 'train')
     SELECT fold, bucket, count(*) AS df FROM c, (SELECT unnest([0, 1, 2]) AS fold) WHERE own <> fold GROUP BY ALL"""
+BODIES["spell_candidates_2"] = """WITH o1 AS (SELECT token, token AS k FROM odd WHERE length(token) <= (SELECT max(length(word)) + 2 FROM dict)),
+    o2 AS (FROM o1 UNION SELECT token, unnest(list_transform(range(1, length(k) + 1), lambda i: substr(k, 1, i - 1) || substr(k, i + 1))) FROM o1),
+    o3 AS (FROM o2 UNION SELECT token, unnest(list_transform(range(1, length(k) + 1), lambda i: substr(k, 1, i - 1) || substr(k, i + 1))) FROM o2),
+    w2 AS (SELECT word, freq, word AS k FROM dict UNION SELECT word, freq, unnest(list_transform(
+        range(1, length(word) + 1), lambda i: substr(word, 1, i - 1) || substr(word, i + 1))) FROM dict),
+    w3 AS (FROM w2 UNION SELECT word, freq, unnest(list_transform(
+        range(1, length(k) + 1), lambda i: substr(k, 1, i - 1) || substr(k, i + 1))) FROM w2),
+    p AS (SELECT DISTINCT token, word AS candidate, freq FROM o3 JOIN w3 USING (k))
+    SELECT token, candidate, freq, CAST(CASE WHEN length(token) = length(candidate)
+        AND damerau_levenshtein(token, candidate) = 1 THEN 1 ELSE levenshtein(token, candidate) END AS INTEGER) AS distance
+    FROM p WHERE levenshtein(token, candidate) <= 2"""
 NB_METRICS = f"""SELECT 'accuracy' AS metric, accuracy AS value FROM ({BODIES['accuracy']})
     UNION ALL SELECT 'auc_test', auc FROM ({BODIES['auc']})"""
 BODIES["results_frame"] = f"""SELECT 'sw_none' AS pipeline, 'nb' AS model, '' AS params, metric, value

@@ -54,6 +54,7 @@ class Scope:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.paths: list[str] = []
+        self.tables: list[str] = []
 
     def __enter__(self) -> Scope:
         Scope._open.append(self)
@@ -61,12 +62,14 @@ class Scope:
 
     def __exit__(self, *_) -> None:
         Scope._open.remove(self)
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         for path in self.paths:
             where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialize(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, schema: StructType | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used for what several branches or passes of one job read: corpus-level aggregates
@@ -75,11 +78,24 @@ def materialize(df: DataFrame, name: str, schema: StructType | None = None) -> D
     written table outlives executors and keeps column pruning and size statistics, which a
     cached or checkpointed RDD would not. An open :class:`Scope` removes it at its end. ``schema``
     is another type for columns of the same storage form.
+
+    ``by`` names a column to bucket the table by, one bucket for each shuffle partition: what is computed
+    from it by that column can be joined back to it without moving it again.
     """
     spark = df.sparkSession
     base = scratch_dir(spark).rstrip("/")
     path = f"{base}/opinia/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if by:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"opinia_{uuid.uuid4().hex}"
+        dealt = df.repartition(parts, by)
+        dealt.write.bucketBy(parts, by).option("path", path).format("parquet").saveAsTable(table)
+    else:
+        df.write.parquet(path)
     if Scope._open:
         Scope._open[-1].paths.append(path)
+        if by:
+            Scope._open[-1].tables.append(table)
+    if by:
+        return spark.table(table)
     return spark.read.schema(schema or df.schema).parquet(path)
