@@ -7,6 +7,9 @@ the cost follows the vocabulary and not the corpus.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,8 +224,12 @@ def correct_in_context(
     odd = counts.join(pairs.select("token").distinct(), "token", "left_semi").select("token", "n")
     odd = materialize(odd, "suspect-counts")
     followed = bigrams.select(F.col("prev").alias("token"), F.col("token").alias("next"), "n")
-    seen_after = _seen(bigrams, "prev", pairs, odd, "after")
-    seen_before = _seen(followed, "next", pairs, odd, "before")
+    # Neither reads the other, and both are many small steps.
+    with ThreadPool(2) as pool:
+        seen_after, seen_before = pool.starmap(
+            inheritable_thread_target(df.sparkSession)(_seen),
+            [(bigrams, "prev", pairs, odd, "after"), (followed, "next", pairs, odd, "before")],
+        )
     shortest = pairs.agg(F.min(F.length("token"))).first()[0] or 0
     # Most occurrences are of frequent tokens that are no suspects; they go before anything moves.
     suspected = drop_idle(neighbours(df, tokens, shortest), counts, odd, "token")

@@ -187,7 +187,8 @@ def spell_correct(spark, sf):
 
 def stored_annotations(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Annotated documents, tokenized once and bucketed by document, and their term statistics."""
-    annotated = materialize(tokens.annotate(docs(spark, sf)).select("doc_id", "tokens"), "annotated", by="doc_id")
+    dealt = docs(spark, sf).repartition(select.learner_partitions(spark), "doc_id")
+    annotated = materialize(tokens.annotate(dealt).select("doc_id", "tokens"), "annotated", by="doc_id")
     words = annotated.select("doc_id", F.col("tokens.result").alias("words"))
     return annotated, stored_stats(words)
 

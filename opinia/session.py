@@ -80,7 +80,8 @@ def materialize(df: DataFrame, name: str, schema: StructType | None = None, by:
     is another type for columns of the same storage form.
 
     ``by`` names a column to bucket the table by, one bucket for each shuffle partition: what is computed
-    from it by that column can be joined back to it without moving it again.
+    from it by that column can be joined back to it without moving it again. ``df`` should be dealt by
+    that column already, below whatever makes its rows larger.
     """
     spark = df.sparkSession
     base = scratch_dir(spark).rstrip("/")
@@ -88,8 +89,7 @@ def materialize(df: DataFrame, name: str, schema: StructType | None = None, by:
     if by:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         table = f"opinia_{uuid.uuid4().hex}"
-        dealt = df.repartition(parts, by)
-        dealt.write.bucketBy(parts, by).option("path", path).format("parquet").saveAsTable(table)
+        df.write.bucketBy(parts, by).option("path", path).format("parquet").saveAsTable(table)
     else:
         df.write.parquet(path)
     if Scope._open:
