@@ -524,6 +524,13 @@ def tune_cv(spark, sf):
     return search(spark, sf, "cv")
 
 
+@query
+def tune_dt(spark, sf):
+    """The decision-tree grid; what an earlier, stopped run finished is not fitted again."""
+    train, _ = hashed_parts(spark, sf)
+    return select.tune_resumed(train, models.estimator("dt"))
+
+
 FOLDS = 3
 
 

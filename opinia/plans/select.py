@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -18,10 +19,10 @@ from pyspark.sql import functions as F
 from opinia.operators.bayes import SMOOTHING, fold_scores, strategy_scores
 from opinia.operators.evaluate import accuracy, auc
 from opinia.operators.features import STRATEGIES, cleaning_stages, vector_stages
-from opinia.operators.sparse import scaled
 from opinia.operators.models import SEED, estimator, hash_bucket, split_column
-from opinia.session import materialize
-from opinia.sources.reviews import results_frame
+from opinia.operators.sparse import scaled
+from opinia.session import exists, materialize, scratch_dir
+from opinia.sources.reviews import RESULT_SCHEMA, results_frame, write_results
 
 # The grids. The deepest tree that Spark ML accepts has depth 30, which stands
 # for the larger depths of the grid.
@@ -173,6 +174,60 @@ def tune(
     return rows, best_model
 
 
+def search_key(features: DataFrame, model, train_percent: int, seed: int, key: str) -> str:
+    """What a search's results depend on besides the points: the rows, the model's own settings, the split."""
+    mark = F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*features.columns)).alias("x"))
+    rows = features.agg(mark.alias("m")).first()["m"]
+    own = sorted((p.name, str(v)) for p, v in model.extractParamMap().items())
+    told = repr((type(model).__name__, own, tuple(rows), features.columns, train_percent, seed, key))
+    return hashlib.md5(told.encode()).hexdigest()
+
+
+def tune_resumed(
+    features: DataFrame,
+    model,
+    points: Sequence[dict] | None = None,
+    train_percent: int = 75,
+    seed: int = SEED,
+    key: str = "doc_id",
+    store: str | None = None,
+    parallelism: int = 3,
+) -> DataFrame:
+    """Search ``points`` on a held-out part, as :func:`tune` does, a point at a time: ``(params, value, is_best)``.
+
+    Every point that is finished goes to the result store, the folder ``store`` (by default in the
+    session's shared folder), under a key of the data and the parameters. A search that was
+    stopped, on this or another driver, fits only what is missing when it is run again; other
+    data, another split or other settings have another key.
+    """
+    spark = features.sparkSession
+    points = list(points or param_grid(model))
+    marked = materialize(features.withColumn("part", split_column(key, train_percent, seed)), "parts")
+    fit_on, check_on = (marked.where(F.col("part") == part).drop("part") for part in ("train", "test"))
+    run = search_key(marked, model, train_percent, seed, key)
+    base = f"{(store or f'{scratch_dir(spark)}/opinia/results').rstrip('/')}/{run}"
+    # A folder for each point, so that points can be written at the same time.
+    place = {describe(p): f"{base}/{hashlib.md5(describe(p).encode()).hexdigest()}" for p in points}
+    known = {name: path for name, path in place.items() if exists(spark, f"{path}/_SUCCESS")}
+    score = evaluator()
+
+    def finish(point: dict) -> None:
+        name = describe(point)
+        value = float(score.evaluate(model.fit(fit_on, point).transform(check_on)))
+        row = results_frame(spark, [(run, type(model).__name__, name, "auc", value)])
+        write_results(row.coalesce(1), place[name], mode="overwrite")
+
+    missing = [p for p in points if describe(p) not in known]
+    if missing:
+        with ThreadPool(max(1, min(parallelism, len(missing)))) as pool:
+            pool.map(inheritable_thread_target(spark)(finish), missing, chunksize=1)
+    found = spark.read.schema(RESULT_SCHEMA).parquet(*place.values())
+    value = {r["params"]: r["value"] for r in found.collect()}
+    values = [value[describe(p)] for p in points]
+    rows = [(describe(p), v, i == values.index(max(values))) for i, (p, v) in enumerate(zip(points, values))]
+    return spark.createDataFrame(rows, "params string, value double, is_best boolean")
+
+
 def group_metrics(predictions: DataFrame, group: Sequence[str], name: str) -> DataFrame:
     """``(*group, metric, value)``: ``auc`` and ``accuracy`` of every group, from one stored table."""
     stored = materialize(predictions.select(*group, "label", "score", "prediction"), name)

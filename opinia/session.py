@@ -43,6 +43,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 class Scope:
     """Removes the tables that :func:`materialize` wrote inside it, when it is left.
 
