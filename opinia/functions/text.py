@@ -272,9 +272,10 @@ def edit_keys(token: Column, is_suspect: bool, transpositions: bool) -> Column:
     All patterns of a token take the square of its length. Pairs whose longer token has more than
     ``LONG_TOKEN`` characters meet by blocks instead: the edit lies in one block of the longer
     token, and what is before and after the block is equal, so a key is these two, as digests,
-    and a pattern of the block. Blocks have at least ``LONG_TOKEN`` characters, and no fewer than the
-    root of the length. However much tokens have in common, a key is shared only by those that one
-    edit separates; a pair with several equal keys counts once (:func:`met_once`).
+    and a pattern of the block. However much tokens have in common, a key is shared only by those that
+    one edit separates; a pair with several equal keys counts once (:func:`met_once`). Beyond the square
+    of ``LONG_TOKEN`` the blocks grow with the token, so that it has no more of them, and a key
+    is the digests alone: those who share it are equal but for one block, and are verified.
     """
     plain = _patterns(token, is_suspect, transpositions, F.lit(""))
     # The other token of the pair is the longer one here.
@@ -282,14 +283,22 @@ def edit_keys(token: Column, is_suspect: bool, transpositions: bool) -> Column:
     below = F.when(F.length(token) < LONG_TOKEN, F.array(F.concat(F.lit(as_is), token))).otherwise(_none())
     whole = F.when(F.length(token) <= LONG_TOKEN, F.concat(plain, below) if is_suspect else plain).otherwise(_none())
     size = F.length(token)
-    own = _block_keys(token, size, lambda part, prefix: _patterns(part, is_suspect, transpositions, prefix))
-    longer = _block_keys(token, size + 1, lambda part, prefix: F.array(F.concat(F.lit(as_is), prefix, part)))
+    digests = lambda prefix: F.array(F.concat(F.lit("="), prefix))
+    huge = lambda length: length > LONG_TOKEN * LONG_TOKEN
+    own = _block_keys(
+        token, size,
+        lambda part, prefix: F.when(huge(size), digests(prefix)).otherwise(_patterns(part, is_suspect, transpositions, prefix)),
+    )
+    longer = _block_keys(
+        token, size + 1,
+        lambda part, prefix: F.when(huge(size + 1), digests(prefix)).otherwise(F.array(F.concat(F.lit(as_is), prefix, part))),
+    )
     return F.array_distinct(F.concat(whole, own, longer))
 
 
 def _block(longest: Column) -> Column:
     """Characters of a block of a token of this length."""
-    return F.greatest(F.lit(LONG_TOKEN), F.ceil(F.sqrt(longest.cast("double")))).cast("int")
+    return F.greatest(F.lit(LONG_TOKEN), F.ceil(longest / LONG_TOKEN)).cast("int")
 
 
 def _block_keys(token: Column, longest: Column, keys: Callable[[Column, Column], Column]) -> Column:
@@ -361,6 +370,15 @@ def delete_keys(token: Column, depth: int) -> Column:
     return F.array_distinct(reached)
 
 
+def bigram_mask(token: Column) -> Column:
+    """64 bits that the pairs of neighbouring characters of a token set. An edit replaces two of the
+    pairs by two others at most, so it changes no more than four bits."""
+    bit = lambda i: F.pmod(F.xxhash64(F.substring(token, i, F.lit(2))), F.lit(64)).cast("int")
+    pairs = F.sequence(F.lit(1), F.greatest(F.length(token) - 1, F.lit(1)))
+    one = F.lit(1).cast("long")
+    return F.aggregate(pairs, F.lit(0).cast("long"), lambda mask, i: mask.bitwiseOR(F.call_function("shiftleft", one, bit(i))))
+
+
 def segment_keys(token: Column, is_suspect: bool, edits: int) -> Column:
     """Keys that a suspect and a word share if at most ``edits`` edits separate them, and the longer
     one has more than ``SHORT_TOKEN`` characters.

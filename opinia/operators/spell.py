@@ -44,8 +44,9 @@ def candidates(
     Both sides emit keys and are joined on them. At distance 1 a key is shared exactly by what one
     edit separates, so no key is hot and no pair is capped. A swap of two neighbouring letters
     counts as one edit. At distance 2 short words meet by deletions, and long ones by segments,
-    of which many words can have the same; the pairs are verified in time linear in their
-    length, and a key that holds more than its share of them is cut into slices.
+    of which many words can have the same; a key that holds more than its share of the pairs is cut into
+    slices, and pairs are verified by a mask of their letter pairs first, and then in time linear in their
+    length.
     """
     longest = dictionary.agg(F.max(F.length("word"))).first()[0] or 0
     # A longer suspect has no partner, whatever the dictionary holds.
@@ -98,8 +99,10 @@ def _by_deletions(odd: DataFrame, words: DataFrame, edits: int) -> DataFrame:
 
 def _by_segments(odd: DataFrame, words: DataFrame, edits: int) -> DataFrame:
     """Pairs in which a token is longer than ``SHORT_TOKEN``."""
-    left = rows.explode(odd, ["token"], X.segment_keys(F.col("token"), True, edits), "key")
-    right = rows.explode(words, ["candidate", "freq"], X.segment_keys(F.col("candidate"), False, edits), "key")
+    odd = odd.withColumn("odd_mask", X.bigram_mask(F.col("token")))
+    words = words.withColumn("mask", X.bigram_mask(F.col("candidate")))
+    left = rows.explode(odd, ["token", "odd_mask"], X.segment_keys(F.col("token"), True, edits), "key")
+    right = rows.explode(words, ["candidate", "freq", "mask"], X.segment_keys(F.col("candidate"), False, edits), "key")
     left, right = materialize(left, "suspect-segments"), materialize(right, "word-segments")
     # A key is as heavy as the pairs that it makes.
     a = left.groupBy("key").agg(F.count("*").alias("a"))
@@ -107,8 +110,12 @@ def _by_segments(odd: DataFrame, words: DataFrame, edits: int) -> DataFrame:
     pairs = materialize(a.join(b.hint("merge"), "key").select("key", (F.col("a") * F.col("b")).alias("n")), "segment-pairs")
     heavy = heavy_keys(pairs, ["key"], "n")
     if heavy is None:
-        return _verified(left.join(right.hint("merge"), "key"), edits)
-    return _verified(sliced_join(left, right, ["key"], "inner", heavy, ["token"]), edits)
+        met = left.join(right.hint("merge"), "key")
+    else:
+        met = sliced_join(left, right, ["key"], "inner", heavy, ["token"])
+    # Most pairs that only have a segment in common are told apart by two numbers.
+    near = F.bit_count(F.col("odd_mask").bitwiseXOR(F.col("mask"))) <= 4 * edits
+    return _verified(met.where(near), edits)
 
 
 def best_candidates(cands: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """One extreme row: time has to stay linear in its length, and nothing may crash."""
 
+import random
 import time
 
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def test_trim_set_is_white_space(spark):
     assert tokens.assemble(blanks).first()["document"][0]["result"] == "x "
 
 
-def test_long_tokens_meet_by_halves(spark):
+def test_long_tokens_meet_by_blocks(spark):
     word = "".join(chr(97 + i * 7 % 26) for i in range(100_000))
     odd = [word[:-1], word[:50_000] + "Z" + word[50_000:], word[:10] + "Z" + word[11:], word[1] + word[0] + word[2:], word[2:], word]
     suspects = spark.createDataFrame([(t, 1) for t in odd], "token string, n long")
@@ -44,15 +45,52 @@ def test_long_tokens_meet_by_halves(spark):
     assert found == {t: word for t in odd[:4]} and took < 60
 
 
-def test_patterns_and_halves_agree_at_the_border(spark):
+def test_tokens_with_a_long_part_in_common(spark):
+    """Half of each word is the same in all of them; none is near another, and no key is shared."""
+    rng = random.Random(6)
+    stem = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(30))
+    words = [stem + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(30)) for _ in range(8000)]
+    suspects = spark.createDataFrame([(w, 1) for w in words[:4000]], "token string, n long")
+    dictionary = spark.createDataFrame([(w, 5) for w in words[4000:]], "word string, freq long")
+    found = []
+    assert seconds(lambda: found.extend(spell.candidates(suspects, dictionary).collect())) < 60 and not found
+    # At two edits the common segments are verified pair by pair, in slices.
+    assert seconds(lambda: found.extend(spell.candidates(suspects, dictionary, 2).collect())) < 90 and not found
+
+
+def test_keys_are_shared_by_near_words_only(spark):
+    """Words that differ in the middle only, between long equal parts."""
+    rng = random.Random(7)
+    head, tail = "h" * 45 + "xyz" * 10, "qrs" * 20
+    middles = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(1500)]
+    frame = lambda ms, names: spark.createDataFrame([(head + m + tail, 5) for m in sorted(set(ms))], names)
+    near = [m[:2] + "K" + m[2:] for m in middles[:50]]
+    found = spell.candidates(frame(near + middles[700:], "token string, n long"), frame(middles[:700], "word string, freq long"))
+    pairs = {(r["token"], r["candidate"]) for r in found.collect()}
+    assert {(head + n + tail, head + m + tail) for n, m in zip(near, middles)} <= pairs and len(pairs) < 200
+    left = X.edit_keys(F.col("token"), True, True)
+    odd = frame(middles[700:], "token string, n long").select(F.explode(left).alias("key"))
+    known = frame(middles[:700], "token string, n long").select(F.explode(X.edit_keys(F.col("token"), False, True)).alias("key"))
+    assert odd.join(known, "key").count() < 400
+
+
+def test_patterns_and_blocks_agree_at_the_borders(spark):
     rows = []
-    for size in range(X.LONG_TOKEN - 2, X.LONG_TOKEN + 4):
+    square = X.LONG_TOKEN * X.LONG_TOKEN
+    for size in [*range(X.LONG_TOKEN - 2, X.LONG_TOKEN + 4), 95, 96, 97, 98, 145, square - 1, square, square + 1, square + 60]:
         word = "".join(chr(97 + i * 5 % 26) for i in range(size))
         rows.append((word, word[:20] + "Z" + word[20:]))
         rows.append((word, word[:30] + word[31:]))
         rows.append((word, word[:5] + word[6] + word[5] + word[7:]))
         rows.append((word, word[:-2] + "Z" + word[-1]))
-    suspects = spark.createDataFrame([(s, 1) for _, s in rows], "token string, n long")
+        # At the edges of blocks, and at both ends.
+        for at in (0, 46, 47, 48, 49, size - 2):
+            if at + 1 < size:
+                rows.append((word, word[:at] + "Z" + word[at:]))
+                rows.append((word, word[:at] + word[at + 1 :]))
+                rows.append((word, word[:at] + word[at + 1] + word[at] + word[at + 2 :]))
+        rows.append((word, word + "Z"))
+    suspects = spark.createDataFrame([(s, 1) for s in {s for _, s in rows}], "token string, n long")
     dictionary = spark.createDataFrame([(w, 5) for w in {w for w, _ in rows}], "word string, freq long")
     found = [(r["candidate"], r["token"]) for r in spell.candidates(suspects, dictionary).collect()]
     assert len(found) == len(set(found)) and set(rows) <= set(found)

@@ -124,10 +124,9 @@ def test_chi_square_equals_the_ml_test(learnable):
 @pytest.mark.parametrize("name", ["lr", "dt", "nb", "rf", "svc"])
 def test_every_classifier_learns(learnable, name):
     train, test = models.split_train_test(learnable)
-    # Which rows and features a forest draws depends on the layout of its input; with few trees, so
-    # does whether it finds the four words out of 512 columns.
-    params = {"numTrees": 200} if name == "rf" else {}
-    pipeline = build_pipeline("sw_none", models.estimator(name, **params), spelling="none", num_features=512)
+    # A forest of the default size finds the four words that matter among the twelve that there are.
+    columns = {"vectorizer": "count"} if name == "rf" else {"num_features": 512}
+    pipeline = build_pipeline("sw_none", models.estimator(name), spelling="none", **columns)
     scored = pipeline.fit(train).transform(test)
     scored = scored.withColumn("score", models.score_column(scored))
     assert evaluate.accuracy(scored).first()["accuracy"] > 0.9

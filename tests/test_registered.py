@@ -64,6 +64,22 @@ def test_strategies_share_one_pass(spark):
     assert plan.count("FileScan") == 1
 
 
+def test_binned_auc_encloses_the_exact_one(spark):
+    bounds = QUERIES["auc_binned"](spark, FOLDER).first()
+    assert bounds["auc_low"] <= QUERIES["auc"](spark, FOLDER).first()["auc"] <= bounds["auc_high"]
+
+
+def test_coefficients_have_their_tokens(spark):
+    found = {r["token"]: r["index"] for r in QUERIES["coef_terms"](spark, FOLDER).collect()}
+    assert found == {r["token"]: r["index"] for r in QUERIES["train_vocabulary"](spark, FOLDER).collect()}
+
+
+def test_documents_are_not_moved_again_for_their_edits(spark):
+    """The annotated table is bucketed by document, so only the edits are shuffled."""
+    plan = plan_of(QUERIES["finish"](spark, FOLDER))
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning(doc_id") <= 1
+
+
 def test_arrays_are_computed_once(spark):
     for name in ("term_counts", "token_table", "sentences"):
         assert "DataFilters: []" in plan_of(QUERIES[name](spark, FOLDER))
@@ -72,7 +88,8 @@ def test_arrays_are_computed_once(spark):
 @pytest.mark.parametrize(
     "name",
     ["corpus_profile", "vocabulary", "tf_idf", "spell_correct", "spell_context", "finish", "buzzwords",
-     "split_train_test", "score_nb", "auc"],
+     "split_train_test", "score_nb", "auc", "spell_candidates_2", "tune_nb_cv", "tune_nb_tvs", "experiment_matrix_nb",
+     "hashed_features", "count_vectors", "fold_doc_freq", "train_vocabulary", "auc_binned"],
 )
 def test_layout_does_not_matter(spark, sql, monkeypatch, name):
     read = reviews.read_table

@@ -82,6 +82,57 @@ def test_candidates_at_distance_two(spark, made_up):
     assert sorted((r["token"], r["candidate"], r["distance"]) for r in found) == sorted(expected)
 
 
+@pytest.mark.parametrize("swaps", [False, True])
+def test_distance_two_against_brute_force(spark, swaps):
+    """Around the length from which pairs meet by segments, and at long words."""
+    rng = random.Random(21)
+    known, odd = [], []
+    for size in [3, 4, 5, 13, 14, 15, 16, 17, 18, 19, 20, 33, 60, 120]:
+        for _ in range(4):
+            word = "".join(rng.choice("abc") for _ in range(size))
+            known.append(word)
+            for edits in (0, 1, 2, 3):
+                other = list(word)
+                for _ in range(edits):
+                    at = rng.randrange(len(other)) if other else 0
+                    kind = rng.choice("ids")
+                    if kind == "i":
+                        other.insert(at, rng.choice("abcd"))
+                    elif kind == "d" and len(other) > 1:
+                        del other[at]
+                    else:
+                        other[at] = rng.choice("abcd")
+                odd.append("".join(other))
+            odd.append(word[1:2] + word[:1] + word[2:])
+    known, odd = sorted(set(known)), sorted(set(odd))
+    found = spell.candidates(
+        spark.createDataFrame([(t,) for t in odd], "token string"),
+        spark.createDataFrame([(w, 1) for w in known], "word string, freq long"),
+        max_distance=2,
+        transpositions=swaps,
+    ).collect()
+    expected = {
+        (a, b): 1 if swaps and one_edit(a, b, True) else levenshtein(a, b)
+        for a, b in itertools.product(odd, known) if levenshtein(a, b) <= 2
+    }
+    assert len(found) == len({(r["token"], r["candidate"]) for r in found})
+    assert {(r["token"], r["candidate"]): r["distance"] for r in found} == expected
+
+
+def test_composed_lookups_equal_two_rounds(spark):
+    rows = [(1, "the ravoli was goood and cars moved"), (2, "ravoli cars carz"), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    annotated = tokens.annotate(docs)
+    stats = terms.term_stats(annotated.select("doc_id", F.col("tokens.result").alias("words")))
+    fixes = spark.createDataFrame([("ravoli", "ravioli"), ("goood", "goods"), ("carz", "cars")], "token string, corrected string")
+    lemmas = spark.createDataFrame([("cars", "car"), ("goods", "good"), ("moved", "move"), ("unseen", "x")], "form string, lemma string")
+    once = spell.correct_wide(annotated, spell.compose(stats, fixes, lemmas), "tokens", stats)
+    twice = lemma.lemmatize_wide(spell.correct_wide(annotated, fixes), lemmas)
+    words = by_doc(tokens.finish(once), "finished")
+    assert words == by_doc(tokens.finish(twice), "finished")
+    assert words[1] == ["the", "ravioli", "was", "good", "and", "car", "move"] and words[2] == ["ravioli", "car", "car"]
+
+
 def words_of(spark, rows):
     return spark.createDataFrame(rows, "token string, n long")
 
