@@ -350,9 +350,9 @@ def nb_search(fold: str, held_out: str) -> str:
         d AS (SELECT *, CASE WHEN score > 0 THEN 1.0 ELSE 0.0 END AS prediction FROM c),
         x AS ({metrics_of('d', 'smoothing, fold')}),
         y AS (SELECT smoothing, metric, avg(value) AS value FROM x GROUP BY ALL),
-        b AS (SELECT smoothing FROM y WHERE metric = 'auc' ORDER BY round(value, 9) DESC, smoothing LIMIT 1)
+        b AS (SELECT smoothing FROM y WHERE metric = 'auc' AND value IS NOT NULL ORDER BY round(value, 9) DESC, smoothing LIMIT 1)
         SELECT 'smoothing=' || smoothing AS params, fold, metric, round(value, 6) + 0.0 AS value,
-            smoothing = (SELECT smoothing FROM b) AS is_best
+            coalesce(smoothing = (SELECT smoothing FROM b), false) AS is_best
         FROM (SELECT smoothing, CAST(fold AS VARCHAR) AS fold, metric, value FROM x
             UNION ALL SELECT smoothing, 'mean', metric, value FROM y)"""
 

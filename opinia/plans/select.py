@@ -251,7 +251,8 @@ def tune_nb(
     is_best)``, a row for each smoothing value, fold and metric, and the means of all folds
     as fold 'mean'. ``how='tvs'`` has one fold, the held-out part.
 
-    The best point has the largest mean AUC, of equal ones the least smoothing.
+    The best point has the largest mean AUC, of equal ones the least smoothing; without any AUC
+    there is none.
     """
     if how == "cv":
         fold, held_out = hash_bucket(key, seed, folds), range(folds)
