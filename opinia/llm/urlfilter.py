@@ -3,17 +3,16 @@
 A list change says that from a time on a key is, or is no longer, in a list. Changes of a key
 become validity intervals, each up to the next change. A key is a domain (``d:example.com``,
 which also covers its subdomains) or the start of a URL up to a path segment (``u:host/a/b``).
-A capture is held against the entries that were active when it was fetched: an as-of join on the
-key and the period (``PERIOD`` seconds) of the fetch, with the interval's bounds as the condition.
-Intervals are repeated for those of the periods they cover in which their key has a capture, so a key with
-many changes shows a capture only those of its period, and a capture at an odd time costs no more than
-others.
-
-Captures are reduced to distinct (url, time) first, and to keys that some list has. A host that holds a
-third of them is one key of the join for each period; its partitions are split by the adaptive skew join,
-with the few intervals of that key repeated. The next change of a key is found in ranges of
-the changes' order, so a key may have any number of them. Intervals are a stored table,
-which the planner broadcasts only if its size in bytes is below its threshold.
+A capture is held against the entries that were active when it was fetched, by an as-of join: its keys
+and the intervals are sorted together by list, key and time, and the last interval that begins before
+a capture, or with it, is the only one of its list and key that can be active. So a capture meets one
+interval of a list and key, however many these have had.
+
+Captures are reduced to distinct (url, time) first, and to keys that some list has; a key of many captures is
+cut into slices for that lookup, and the keys are broadcast only if they are counted to be few. The sorted
+rows are dealt by ranges of their whole order, so neither a key with many changes nor one that
+covers a third of the captures is one task; a range begins with the last interval of those before it. The
+next change of a key is found in the same way.
 
 Defined results: a null or malformed url, or a null time, matches nothing and is kept; changes
 with a null list, key or time are ignored; of changes of one key at one time a removal wins;
@@ -24,13 +23,12 @@ along, but for those named like a column of the result, which are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch, unused, with_next
+from opinia.llm.common import Scratch, shuffle_partitions, unused, with_next
+from opinia.operators.joins import lookup_join
 
-#: Seconds of a period: 30 days.
-PERIOD = 30 * 86_400
 #: The authority of a URL without user and port, and its path.
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(/[^?#]*)"
@@ -78,6 +76,29 @@ def intervals(changes: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
+def active_entries(asked: DataFrame, valid: DataFrame, scratch: Scratch) -> DataFrame:
+    """``asked (list, key, _time, _url)``, without nulls, where an interval of that list and key has
+    begun and not ended at that time. ``valid`` comes from :func:`intervals`."""
+    order = ["list", "key", "_time", "_url"]
+    interval = F.struct("list", "key", "since", "until")
+    # Nulls sort first, so an interval stands before the captures of the second it begins in.
+    begins = valid.select("list", "key", F.col("since").alias("_time"), interval.alias("_begun"))
+    both = asked.select(*order).unionByName(begins, allowMissingColumns=True)
+    parts = shuffle_partitions(asked.sparkSession)
+    ranged = scratch.store(both.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "sorted")
+    # One row a range: the last interval of all ranges before it.
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranged.groupBy("_range").agg(F.max("_begun").alias("_last"))
+    carried = carried.select("_range", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = ranged.withColumn("_begun", F.last("_begun", ignorenulls=True).over(inside)).join(F.broadcast(carried), "_range")
+    last = F.coalesce("_begun", "_carried")
+    own = (last["list"] == F.col("list")) & (last["key"] == F.col("key"))
+    return found.where(
+        F.col("_url").isNotNull() & own & (last["until"].isNull() | (F.col("_time") < last["until"]))
+    ).select(*order)
+
+
 def filter_urls(
     captures: DataFrame, changes: DataFrame, url_col: str = "url", time_col: str = "fetched_at"
 ) -> DataFrame:
@@ -97,19 +118,10 @@ def filter_urls(
     bounds = valid.agg(
         F.max(F.when(F.col("key").startswith("u:"), F.size(F.split("key", "/")) - 1)).alias("depth")
     ).first()
-    listed = valid.select("key").distinct()
-    period = lambda t: F.floor(t / PERIOD).cast("long")
-    asked = seen.distinct().withColumn("_period", period(F.col("_time")))
-    looked = asked.select("_url", "_time", "_period", F.explode(keys_of(F.col("_url"), bounds["depth"] or 0)).alias("key"))
-    looked = looked.join(listed, "key", "left_semi")
-    had = scratch.store(looked.select("key", "_period").distinct(), "periods")
-    inside = (had["_period"] >= period(F.col("since"))) & (
-        F.col("until").isNull() | (had["_period"] <= period(F.col("until")))
-    )
-    by_period = scratch.store(had.join(valid, "key").where(inside), "by-period")
-    active = looked.join(by_period, ["key", "_period"]).where(
-        (F.col("since") <= F.col("_time")) & (F.col("until").isNull() | (F.col("_time") < F.col("until")))
-    )
+    listed = scratch.store(valid.select("list", "key").distinct(), "listed")
+    looked = seen.distinct().select("_url", "_time", F.explode(keys_of(F.col("_url"), bounds["depth"] or 0)).alias("key"))
+    asked = scratch.store(lookup_join(looked, listed, ["key"], "inner", ["_url", "_time"]), "asked")
+    active = active_entries(asked, valid, scratch)
     verdicts = active.groupBy(F.col("_url").alias("_u"), F.col("_time").alias("_t")).agg(
         F.count("*").alias("n_active"),
         F.min(F.struct((-F.length("key")).alias("n"), F.col("key").alias("key")))["key"].alias("entry"),

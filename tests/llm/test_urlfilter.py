@@ -1,8 +1,10 @@
 import random
 
 import duckdb
+from pyspark.sql import functions as F
 
 from opinia.llm import catalogue, urlfilter
+from opinia.llm.common import Scratch
 
 CAPTURES = "page_id long, url string, fetched_at long, host string, lists string, key string"
 CHANGES = "list string, key string, changed_at long, listed boolean"
@@ -72,6 +74,31 @@ def test_a_key_with_many_changes(spark):
     assert len(found) == len(captures) and all(r["blocked"] == (r["page_id"] // 10 % 2 == 0) for r in found)
 
 
+def test_a_host_of_most_captures_and_changes(spark):
+    """Its rows are spread over tasks by their times, with the key lookup broadcast or cut into slices."""
+    changes = [("l0", "d:a.com", t, t // 20 % 2 == 0) for t in range(0, 20_000, 10)]
+    changes += [("l0", f"d:{i}.org", 5, True) for i in range(20)]
+    captures = [(t, f"http://w{t % 3}.a.com/{t % 7}", t // 2) for t in range(20_000)] + [(-i, f"http://{i}.org/", i) for i in range(1, 20)]
+    df = spark.createDataFrame(captures, "page_id long, url string, fetched_at long")
+    listed = spark.createDataFrame(changes, CHANGES)
+    found = {r["page_id"]: r["n_active"] for r in urlfilter.filter_urls(df, listed).collect()}
+    expected = {}
+    for i, _, at in captures:
+        if i < 0:
+            expected[i] = int(at >= 5)
+            continue
+        # On for 20 seconds, then off for 20.
+        expected[i] = int(at // 20 % 2 == 0)
+    assert found == expected
+    valid = urlfilter.intervals(listed, Scratch(spark, "test")).cache()
+    asked = df.select(F.lit("l0").alias("list"), F.lit("d:a.com").alias("key"), F.col("fetched_at").alias("_time"), F.col("url").alias("_url"))
+    scratch = Scratch(spark, "test")
+    assert urlfilter.active_entries(asked, valid, scratch).count() == sum(at // 20 % 2 == 0 for _, _, at in captures)
+    stored = spark.read.parquet(next(iter(scratch.paths.values())))
+    sizes = [r["count"] for r in stored.groupBy("_range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
+
+
 def test_columns_are_carried_or_replaced(spark):
     df = spark.createDataFrame([("http://a.com", 5, "h", 1, "u", "t")], "url string, fetched_at long, host string, n_active int, _u string, _t string")
     found = urlfilter.filter_urls(df, spark.createDataFrame([("l", "d:a.com", 1, True)], CHANGES))
