@@ -301,7 +301,7 @@ def top_bigrams(spark, sf):
 @query
 def buzzwords(spark, sf):
     counts = materialize(insight.class_counts(labelled_words(spark, sf)), "class-counts")
-    found = insight.buzzwords(counts)
+    found = insight.buzzwords(counts, k=25, min_count=5)
     return found.withColumnRenamed("class", "label").withColumn("log_odds", rounded("log_odds"))
 
 

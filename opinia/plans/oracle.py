@@ -16,9 +16,19 @@ def quoted(words: list[str]) -> str:
     return ", ".join("'" + w.lower().replace("'", "''") + "'" for w in words)
 
 
-STOP_DEFAULT = quoted(lists.default_stop_words())
-STOP_KEPT = quoted(lists.without(lists.default_stop_words()))
-STOP_CUSTOM = quoted(lists.CUSTOM_STOP_WORDS)
+# Stand for lists that are filled in when a statement is asked for: importing this module reads no file.
+STOP_DEFAULT, STOP_KEPT, STOP_CUSTOM = "<stop_default>", "<stop_kept>", "<stop_custom>"
+
+
+def with_lists(sql: str) -> str:
+    """The statement with the words in place of the marks."""
+    if STOP_CUSTOM in sql:
+        sql = sql.replace(STOP_CUSTOM, quoted(lists.CUSTOM_STOP_WORDS))
+    if STOP_DEFAULT in sql or STOP_KEPT in sql:
+        default = lists.default_stop_words()
+        sql = sql.replace(STOP_DEFAULT, quoted(default)).replace(STOP_KEPT, quoted(lists.without(default)))
+    return sql
+
 
 WS_WORDS = r"""CASE WHEN regexp_matches(lower(text), '^\s+$') THEN []
     ELSE string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s') END"""
@@ -450,4 +460,4 @@ def statement(name: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    return {name: statement(name) for name in BODIES}
+    return {name: with_lists(statement(name)) for name in BODIES}
