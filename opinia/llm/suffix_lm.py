@@ -33,10 +33,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinia.llm.common import Scratch, bucket, split_words, utf8
+from opinia.llm.common import Scratch, bucket, parts_by_bytes, release, split_words, utf8
 
 DEPTH = 5
 WINDOW_BITS = 8 * (DEPTH + 1)
@@ -45,6 +46,8 @@ BEFORE = b"\0" * (DEPTH - 1) + b"\n"
 STEP = 1 << 20
 #: Distinct windows and words that a task gathers before it passes them on.
 GATHER = 1 << 20
+#: Counts that a task passes on, and texts and bytes that it scores, at once.
+PASS_ROWS, SCORE_ROWS, SCORE_BYTES = 1 << 16, 512, 4 * STEP
 WORD, WINDOW = 0, 1
 #: What a retained transition has to gain, in logs of the number of training bytes.
 PRICE = 0.1
@@ -103,49 +106,60 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
         seen: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
 
-        def rows(kind: int, keys, n) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(n), kind, np.int32)), keys, pa.array(n, pa.int64())], names=["kind", "key", "n"]
-            )
+        def rows(kind: int, keys: pa.Array, n) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(n), PASS_ROWS):
+                some = pa.array(n[at : at + PASS_ROWS], pa.int64())
+                kinds = pa.array(np.full(len(some), kind, np.int32))
+                part = keys.slice(at, PASS_ROWS).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([kinds, part, some], names=["kind", "key", "n"])
 
         def pass_words() -> Iterator[pa.RecordBatch]:
             if words:
-                yield rows(WORD, pa.array(list(words), pa.binary()), list(words.values()))
+                yield from rows(WORD, pa.array(list(words), pa.binary()), list(words.values()))
                 words.clear()
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            code, at = np.unique(np.concatenate([c for c, _ in seen]), return_inverse=True)
-            return code, np.bincount(at, np.concatenate([n for _, n in seen])).astype(np.int64)
+        def merge() -> None:
+            code, n = (np.concatenate(x) for x in zip(*seen))
+            seen.clear()
+            order = np.argsort(code)
+            code = code[order]
+            n = n[order]
+            del order
+            first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+            seen.append((code[first], np.add.reduceat(n, first)))
 
         def pass_windows() -> Iterator[pa.RecordBatch]:
             if seen:
-                code, n = merged()
+                merge()
+                code, n = seen.pop()
                 big = code.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 8 - DEPTH - 1 :]
-                raw = pa.py_buffer(np.ascontiguousarray(big).tobytes())
-                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(DEPTH + 1), len(code), [None, raw])
-                yield rows(WINDOW, fixed.cast(pa.binary()), n)
-                seen.clear()
+                raw = pa.py_buffer(np.ascontiguousarray(big).data)
+                del code, big
+                yield from rows(WINDOW, pa.FixedSizeBinaryArray.from_buffers(pa.binary(DEPTH + 1), len(n), [None, raw]), n)
 
         def split(batches) -> Iterator[list[bytes]]:
             for b in batches:
-                for text in b.column("_text").to_pylist():
-                    some = split_words(text.lower())
+                for text in b.column("_text"):
+                    some = split_words(text.as_py().lower())
                     words.update(some)
                     yield some
 
-        for _, group in _groups(split(found)):
-            seen.append(np.unique(windows(group)[0], return_counts=True))
-            held += len(seen[-1][0])
-            if held > 4 * GATHER:
-                seen[:] = [merged()]
-                held = len(seen[0][0])
-                if held > 2 * GATHER:
-                    yield from pass_windows()
-                    held = 0
-            if len(words) > GATHER // 2:
-                yield from pass_words()
-        yield from pass_words()
-        yield from pass_windows()
+        try:
+            for _, group in _groups(split(found)):
+                seen.append(np.unique(windows(group)[0], return_counts=True))
+                held += len(seen[-1][0])
+                if held > 4 * GATHER:
+                    merge()
+                    held = len(seen[0][0])
+                    if held > 2 * GATHER:
+                        yield from pass_windows()
+                        held = 0
+                if len(words) > GATHER // 2:
+                    yield from pass_words()
+            yield from pass_words()
+            yield from pass_windows()
+        finally:
+            release()
 
     return docs.select("_text").mapInArrow(run, "kind int, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
@@ -427,42 +441,45 @@ def score(
         row = TaskContext.get().partitionId() << 33
         rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         away_type = pa.struct([("code", pa.int64()), ("n", pa.int64()), ("base", pa.float64())])
-        for whole in found:
-            for at in range(0, whole.num_rows, 512):
-                b = whole.slice(at, 512)
-                split = [split_words(t.lower()) for t in b.column("_text").to_pylist()]
-                rare, sums, seen = [], [], []
-                for some in split:
-                    hits = [logs[w] for w in some if w in logs]
-                    rest = Counter([w for w in some if w not in logs])
-                    rare.append([{"word": w, "n": k} for w, k in rest.items()])
-                    sums.append(sum(hits) + end)
-                    seen.append(len(hits) + (1 if ends else 0))
-                scores = np.zeros(len(split))
-                away = []
-                for owners, group in _groups(iter(split)):
-                    sums_of, more = tree.log10_held(owners, group)
-                    np.add.at(scores, owners, sums_of)
-                    away.append(more)
-                owner, *values = (np.concatenate(x) for x in zip(*away))
-                order = np.argsort(owner, kind="stable")
-                edges = np.searchsorted(owner[order], np.arange(len(split) + 1))
-                entries = pa.StructArray.from_arrays([pa.array(x[order]) for x in values], fields=list(away_type))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(row, row + b.num_rows)),
-                        b.column("doc_id"),
-                        b.column("held_out"),
-                        pa.array([len(x) + 1 for x in split], pa.int64()),
-                        pa.array(seen, pa.int64()),
-                        pa.array(sums, pa.float64()),
-                        pa.array(scores),
-                        pa.array(rare, rare_type),
-                        pa.ListArray.from_arrays(pa.array(edges, pa.int32()), entries),
-                    ],
-                    names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_base", "score", "_rare", "_away"],
-                )
-                row += b.num_rows
+        try:
+            for whole in found:
+                sizes = pc.binary_length(whole.column("_text")).to_pylist()
+                for b in parts_by_bytes(whole, sizes, SCORE_ROWS, SCORE_BYTES):
+                    split = [split_words(t.lower()) for t in b.column("_text").to_pylist()]
+                    rare, sums, seen = [], [], []
+                    for some in split:
+                        hits = [logs[w] for w in some if w in logs]
+                        rest = Counter([w for w in some if w not in logs])
+                        rare.append([{"word": w, "n": k} for w, k in rest.items()])
+                        sums.append(sum(hits) + end)
+                        seen.append(len(hits) + (1 if ends else 0))
+                    scores = np.zeros(len(split))
+                    away = []
+                    for owners, group in _groups(iter(split)):
+                        sums_of, more = tree.log10_held(owners, group)
+                        np.add.at(scores, owners, sums_of)
+                        away.append(more)
+                    owner, *values = (np.concatenate(x) for x in zip(*away))
+                    order = np.argsort(owner, kind="stable")
+                    edges = np.searchsorted(owner[order], np.arange(len(split) + 1))
+                    entries = pa.StructArray.from_arrays([pa.array(x[order]) for x in values], fields=list(away_type))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.arange(row, row + b.num_rows)),
+                            b.column("doc_id"),
+                            b.column("held_out"),
+                            pa.array([len(x) + 1 for x in split], pa.int64()),
+                            pa.array(seen, pa.int64()),
+                            pa.array(sums, pa.float64()),
+                            pa.array(scores),
+                            pa.array(rare, rare_type),
+                            pa.ListArray.from_arrays(pa.array(edges, pa.int32()), entries),
+                        ],
+                        names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_base", "score", "_rare", "_away"],
+                    )
+                    row += b.num_rows
+        finally:
+            release()
 
     kind = named.schema["doc_id"].dataType.simpleString()
     scored = scratch.store(
