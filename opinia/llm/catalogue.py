@@ -130,7 +130,7 @@ def op5_toxicity(spark, sf):
 @query
 def op8_suffix_lm(spark, sf):
     """Base score and suffix-tree score of every document; a tenth is not learnt from."""
-    return suffix_lm.score(table(spark, sf, "documents"), held_out=10, least=2, frequent=4e-6)
+    return suffix_lm.score(table(spark, sf, "documents"), held_out=10, frequent=4e-6)
 
 
 @query

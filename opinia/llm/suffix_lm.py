@@ -1,404 +1,533 @@
-"""Language-model scores by a probabilistic suffix tree over the bytes of a token sequence.
-
-A text's tokens (lower-cased words and an end) are written as bytes: words, one blank between
-them, a line feed at the end. Neither occurs in words, so the bytes and the tokens determine each
-other, and the tree's probability of the bytes is one of the tokens, unseen words included.
-
-All strings of ``DEPTH`` bytes and the byte after them are counted over the whole training part.
-A context of up to ``DEPTH`` bytes is a candidate if it was seen ``least`` times, whatever the
-size of the corpus, and all its transitions are listed. A candidate is retained if its next-byte
-distribution diverges enough from that of its suffix one byte shorter (the gain in
-log-likelihood has to pay a price for each transition), or if it has a retained child.
-Distributions are interpolated with the suffix's, with as much weight as the context has
-transitions. A byte is scored in the state of the longest retained suffix of what precedes it.
-
-Counts, tests and retained states are tables. The tasks hold the states of the most frequent
-contexts, at most ``room`` transitions, and know of each whether it has a retained child that
-is not among them. Bytes after such a child are looked up by a join, all others in the task, so
-``room`` does not change a score.
+"""Language-model scores by a probabilistic suffix tree over the tokens of a text.
+
+Symbols are the tokens: lower-cased words and an end, which also stands before each text. A
+context is the run of tokens before a token, of any length. The root is the base distribution,
+(c + pseudo) / (N + pseudo * (V + 1)), with one symbol for all words that were not seen.
+
+The divergence test is made for each transition, a context and the token after it: n occurrences
+in a context of ``size`` occurrences are listed if n ln(n / size / p) + ln p exceeds ``PRICE``,
+p being the token's probability after the context one token shorter; so the gain in likelihood
+pays for naming the token. A context is retained if it lists a transition. With m listed
+ones, a listed token has probability (n + m p) / (size + m); all others share what is left in
+proportion to p. A token is scored in the state of the longest retained suffix of what precedes it.
+
+Contexts grow without a limit of length. A transition is open while (n - 1) ln(1 / p), the most
+that one more token of context can gain on it, exceeds ``PRICE``, and those of a longer context
+are looked at if they occur twice and the one of the shorter context is open. Growth needs
+information, or a repeated line would be followed to its first copy: a transition is open only up to
+``AHEAD`` times the length of the longest suffix of its context that lists one (1 at least). Pairs of
+tokens are counted over the whole training part, then the triples that extend open pairs, then,
+for contexts with open transitions, lengths up to four times the last, until nothing is open.
+
+Runs of tokens are known by 64-bit hashes, made of the words' from the last token to the first; of
+x runs about x^2 / 2^65 pairs fall together and count as one. Tasks learn which runs to
+follow from bitmaps of ``1 << BITS`` bits; where a bitmap lets others pass, tables drop them.
+
+Counts, tests and states are tables. Where the transitions of some lengths are at most
+``held``, the driver makes their tests in one go, by the same rules. Tasks hold the states of
+the most frequent contexts, at most ``room`` contexts and transitions; what other states
+change is found by joins, so neither bound changes a score.
 
 The base score needs the count of each token. Words that make up at least ``frequent`` of the
 training tokens (at most 1 / frequent of them) are looked up in the task; all others are joined.
 
-Defined results: a null or empty text is the end token alone; without training documents the
-tree is uniform, N and V are 0 and the base score counts only the pseudo-count; repeated rows are each
-counted and scored; a null id hashes as ''; columns other than the id and the text are not read.
+Defined results: a null or empty text is the end token alone; without training documents N and V
+are 0 and every token is the one symbol, so both scores are 0; repeated rows are each counted and
+scored; a null id hashes as ''; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinia.llm.common import Scratch, bucket, parts_by_bytes, release, split_words, utf8
 
-DEPTH = 5
-WINDOW_BITS = 8 * (DEPTH + 1)
-BEFORE = b"\0" * (DEPTH - 1) + b"\n"
-#: Bytes whose windows are sorted at once.
-STEP = 1 << 20
-#: Distinct windows and words that a task gathers before it passes them on.
-GATHER = 1 << 20
+END = b"\n"
+#: Tokens that are worked on at once, and pairs that a task gathers before it passes them on.
+STEP, GATHER = 1 << 20, 1 << 22
 #: Counts that a task passes on, and texts and bytes that it scores, at once.
-PASS_ROWS, SCORE_ROWS, SCORE_BYTES = 1 << 16, 512, 4 * STEP
-WORD, WINDOW = 0, 1
-#: What a retained transition has to gain, in logs of the number of training bytes.
-PRICE = 0.1
-#: Transitions that the tasks hold; the states of other contexts are joined.
-ROOM = 1 << 21
-
-
-def stream(words: list[bytes]) -> bytes:
-    return b" ".join(words) + b"\n"
-
-
-def segments(text: bytes) -> Iterator[tuple[bytes, bytes]]:
-    """A stream in parts of at most ``STEP`` bytes, each with the ``DEPTH`` bytes before it."""
-    before = BEFORE
-    for k in range(0, len(text), STEP):
-        yield before, text[k : k + STEP]
-        before = (before + text[k : k + STEP])[-DEPTH:]
-
-
-def windows(parts: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The window that ends at each byte, as a number (the byte itself is the lowest), and the
-    first window of each part."""
-    data = np.frombuffer(b"".join(x for part in parts for x in part), np.uint8)
-    n = len(data) - DEPTH
-    code = np.zeros(n, np.int64)
-    for k in range(DEPTH + 1):
-        code = (code << 8) | data[k : k + n]
-    sizes = np.array([len(body) for _, body in parts])
-    ends = np.cumsum(sizes + DEPTH) - DEPTH
-    keep = np.ones(n, bool)
-    for e in ends[:-1]:
-        keep[e : e + DEPTH] = False
-    return code[keep], np.concatenate(([0], np.cumsum(sizes)[:-1]))
-
-
-def _groups(words_of: Iterator[list[bytes]]) -> Iterator[tuple[list[int], list[tuple[bytes, bytes]]]]:
-    """Parts of streams in groups of at most two ``STEP`` bytes, with the numbers of their texts."""
-    owners, group, size = [], [], 0
-    for k, words in enumerate(words_of):
-        for part in segments(stream(words)):
-            owners.append(k)
-            group.append(part)
-            size += len(part[1])
+PASS_ROWS, SCORE_ROWS, SCORE_BYTES = 1 << 16, 4096, 1 << 23
+#: Words that a task keeps numbers of; it starts anew beyond.
+VOCABULARY = 400_000
+#: What a transition has to gain, in nats.
+PRICE = 6.0
+#: How many times longer than its longest suffix that lists a transition a context may get.
+AHEAD = 16
+#: Contexts and transitions that the tasks hold; those of other contexts are joined.
+ROOM = 1 << 22
+#: Transitions that the driver tests in one go.
+HELD = 1 << 18
+#: Bits of a bitmap of hashes, as a power of two.
+BITS = 27
+#: Fixed values of the public hash function XXH64, and its seed in Spark.
+PRIMES = [np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+SEED = 42
+COUNTS = "k int, gram long, context long, shorter long, n long"
+LEVEL = ["k", "gram", "context", "size", "share", "chance", "base", "last", "listed", "open"]
+
+
+def _turn(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def longer(run: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a run of tokens with one more token before it; Spark's is :func:`longer_column`."""
+    p1, p2, p3, p4, p5 = PRIMES
+    x = run ^ _turn(word, 17)
+    h = (np.uint64(SEED + 8) + p5) ^ (_turn(x * p2, 31) * p1)
+    h = _turn(h, 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
+def longer_column(run: Column, word: Column) -> Column:
+    return F.xxhash64(run.bitwiseXOR(F.shiftleft(word, 17).bitwiseOR(F.shiftrightunsigned(word, 47))))
+
+
+class Words(dict):
+    """Numbers of words from 0, the end first; a word that is new gets the next one."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.names: list[bytes] = []
+        self._hashes = np.zeros(0, np.uint64)
+        self[END]
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.names)
+        self.names.append(word)
+        return number
+
+    def hashes(self) -> np.ndarray:
+        new = [xxhash.xxh64_intdigest(w, SEED) for w in self.names[len(self._hashes) :]]
+        if new:
+            self._hashes = np.concatenate((self._hashes, np.array(new, np.uint64)))
+        return self._hashes
+
+
+@dataclass
+class Group:
+    """Tokens of some texts in a row: the number of each, its place in its text (0 for the end that
+    stands before it), the number of the text, and whether the token is to be counted here."""
+
+    ids: np.ndarray
+    at: np.ndarray
+    owner: np.ndarray
+    new: np.ndarray
+
+
+def groups(texts: Iterator[bytes], words: Words, back: int) -> Iterator[Group]:
+    """Texts in groups of ``STEP`` to two ``STEP`` tokens. A longer text is cut, and each part begins
+    with the ``back`` tokens before it."""
+    parts: list[tuple] = []
+    size = 0
+
+    def whole() -> Group:
+        ids, at, owner, new = zip(*parts)
+        sizes = [len(x) for x in ids]
+        return Group(np.concatenate(ids), np.concatenate(at), np.repeat(owner, sizes), np.concatenate(at) >= np.repeat(new, sizes))
+
+    for k, text in enumerate(texts):
+        some = split_words(text.lower())
+        tokens = np.zeros(len(some) + 2, np.int32)
+        tokens[1:-1] = np.fromiter(map(words.__getitem__, some), np.int32, len(some))
+        for start in range(1, len(tokens), STEP):
+            begin, end = max(0, start - back), min(len(tokens), start + STEP)
+            parts.append((tokens[begin:end], np.arange(begin, end), k, start))
+            size += end - begin
             if size >= STEP:
-                yield owners, group
-                owners, group, size = [], [], 0
-    if group:
-        yield owners, group
+                yield whole()
+                parts, size = [], 0
+    if parts:
+        yield whole()
+
 
+def _batches(names: list[str], columns: list) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(columns[0]), PASS_ROWS):
+        yield pa.RecordBatch.from_arrays([c[start : start + PASS_ROWS] for c in columns], names=names)
 
-def corpus_counts(docs: DataFrame) -> DataFrame:
-    """``(kind, key, n)`` of the training part's words and windows; ``docs``: ``_text`` bytes."""
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """``(word, context, token, n)`` of the training part: counts of words, and of pairs of words by their
+    hashes (``word`` is null then); ``docs``: ``_text`` bytes."""
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
-        seen: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
-
-        def rows(kind: int, keys: pa.Array, n) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(n), PASS_ROWS):
-                some = pa.array(n[at : at + PASS_ROWS], pa.int64())
-                kinds = pa.array(np.full(len(some), kind, np.int32))
-                part = keys.slice(at, PASS_ROWS).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([kinds, part, some], names=["kind", "key", "n"])
-
-        def pass_words() -> Iterator[pa.RecordBatch]:
-            if words:
-                yield from rows(WORD, pa.array(list(words), pa.binary()), list(words.values()))
-                words.clear()
-
-        def merge() -> None:
-            code, n = (np.concatenate(x) for x in zip(*seen))
-            seen.clear()
-            order = np.argsort(code)
-            code = code[order]
-            n = n[order]
-            del order
-            first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-            seen.append((code[first], np.add.reduceat(n, first)))
-
-        def pass_windows() -> Iterator[pa.RecordBatch]:
-            if seen:
-                merge()
-                code, n = seen.pop()
-                big = code.astype(">i8").view(np.uint8).reshape(-1, 8)[:, 8 - DEPTH - 1 :]
-                raw = pa.py_buffer(np.ascontiguousarray(big).data)
-                del code, big
-                yield from rows(WINDOW, pa.FixedSizeBinaryArray.from_buffers(pa.binary(DEPTH + 1), len(n), [None, raw]), n)
-
-        def split(batches) -> Iterator[list[bytes]]:
-            for b in batches:
-                for text in b.column("_text"):
-                    some = split_words(text.as_py().lower())
-                    words.update(some)
-                    yield some
+        names = ["word", "context", "token", "n"]
+
+        def out(words: Words, pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            # By the number of the context, so that equal ones follow each other.
+            pair, n = np.unique(np.concatenate(pairs), return_counts=True)
+            pairs.clear()
+            first, second = pair >> 32, pair & 0xFFFFFFFF
+            count = np.bincount(second, n, len(words.names)).astype(np.int64)
+            nothing = pa.nulls(len(count), pa.int64())
+            yield from _batches(names, [pa.array(words.names, pa.binary()), nothing, nothing, pa.array(count)])
+            hashes = words.hashes().view(np.int64)
+            for start in range(0, len(pair), PASS_ROWS):
+                part = slice(start, start + PASS_ROWS)
+                columns = [pa.array(x) for x in (hashes[first[part]], hashes[second[part]], n[part].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(columns[0]), pa.binary()), *columns], names=names)
 
         try:
-            for _, group in _groups(split(found)):
-                seen.append(np.unique(windows(group)[0], return_counts=True))
-                held += len(seen[-1][0])
-                if held > 4 * GATHER:
-                    merge()
-                    held = len(seen[0][0])
-                    if held > 2 * GATHER:
-                        yield from pass_windows()
-                        held = 0
-                if len(words) > GATHER // 2:
-                    yield from pass_words()
-            yield from pass_words()
-            yield from pass_windows()
+            words, pairs, held = Words(), [], 0
+            for batch in found:
+                for part in parts_by_bytes(batch, pc.binary_length(batch.column("_text")).to_pylist(), SCORE_ROWS, SCORE_BYTES):
+                    for g in groups(iter(part.column("_text").to_pylist()), words, 1):
+                        some = np.flatnonzero(g.new)
+                        pairs.append(g.ids[some - 1].astype(np.int64) << 32 | g.ids[some])
+                        held += len(some)
+                    if held > GATHER or len(words) > VOCABULARY:
+                        yield from out(words, pairs)
+                        words, held = Words(), 0
+            if pairs:
+                yield from out(words, pairs)
         finally:
             release()
 
-    return docs.select("_text").mapInArrow(run, "kind int, key binary, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counts = docs.select("_text").mapInArrow(run, "word binary, context long, token long, n long")
+    return counts.groupBy("word", "context", "token").agg(F.sum("n").alias("n"))
+
+
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bits that the first ``BITS`` bits of hashes name, of a DataFrame of one column."""
+    slot = F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - BITS)
+    parts = hashes.select(slot.alias("s")).groupBy(F.shiftright("s", 15).alias("part"))
+    found = parts.agg(F.bitmap_construct_agg(F.col("s").bitwiseAND(F.lit(32767).cast("long"))).alias("bits")).toArrow()
+    out = np.zeros(1 << (BITS - 3), np.uint8)
+    for part, bits in zip(found.column("part").to_pylist(), found.column("bits").to_pylist()):
+        out[part * 4096 : (part + 1) * 4096] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = hashes >> np.uint64(64 - BITS)
+    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
+def _triples(h: np.ndarray, g: Group, seen: np.ndarray, follow: np.ndarray) -> Iterator[tuple]:
+    """Contexts of two tokens that were seen twice, where the pair of the second and the token is open."""
+    at = np.flatnonzero(g.new & (g.at >= 2))
+    shorter = longer(h[at], h[at - 1])
+    some = marked(follow, shorter)
+    at, shorter = at[some], shorter[some]
+    context = longer(h[at - 1], h[at - 2])
+    some = marked(seen, context)
+    at, shorter, context = at[some], shorter[some], context[some]
+    yield 2, longer(shorter, h[at - 2]), context, shorter
+
+
+def _deeper(h: np.ndarray, g: Group, gates: list[tuple[int, np.ndarray]], upto: int) -> Iterator[tuple]:
+    """Contexts of more tokens than the last gate's, up to ``upto``, behind those that pass all gates."""
+    at = np.flatnonzero(g.new)
+    context, gram, k = h[at - 1], h[at], 1
+    for length, bits in gates:
+        while k < length:
+            some = g.at[at] > k
+            at = at[some]
+            gram, context = longer(gram[some], h[at - k]), longer(context[some], h[at - k - 1])
+            k += 1
+        some = marked(bits, context)
+        at, context, gram = at[some], context[some], gram[some]
+    while k < upto:
+        # ``gram`` has the token and k - 1 tokens before it, ``context`` the k tokens before it.
+        some = g.at[at] > k
+        at = at[some]
+        gram, context = longer(gram[some], h[at - k]), longer(context[some], h[at - k - 1])
+        k += 1
+        yield k, longer(gram, h[at - k]), context, gram
+
+
+def counts_of(docs: DataFrame, runs, back: int) -> DataFrame:
+    """``COUNTS`` of the transitions that ``runs`` (of hashes and a group) finds in the training part."""
 
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["k", "gram", "context", "shorter", "n"]
+        words = Words()
+        try:
+            for batch in found:
+                for part in parts_by_bytes(batch, pc.binary_length(batch.column("_text")).to_pylist(), SCORE_ROWS, SCORE_BYTES):
+                    for g in groups(iter(part.column("_text").to_pylist()), words, back):
+                        for k, gram, context, shorter in runs(words.hashes()[g.ids], g):
+                            some, first, n = np.unique(gram, return_index=True, return_counts=True)
+                            columns = [some.view(np.int64), context[first].view(np.int64), shorter[first].view(np.int64), n.astype(np.int64)]
+                            yield from _batches(names, [pa.array(np.full(len(n), k, np.int32)), *map(pa.array, columns)])
+                    if len(words) > VOCABULARY:
+                        words = Words()
+        finally:
+            release()
 
-@dataclass
-class Tree:
-    """By length k of the context: the retained contexts and what of their mass goes to the
-    shorter context; the listed transitions (context and byte in one number) and their probability.
-    A context that is known not to be retained passes all its mass on. ``more`` marks those with
-    a retained child that the tree does not hold."""
-
-    root: np.ndarray
-    contexts: list[np.ndarray]
-    share: list[np.ndarray]
-    moves: list[np.ndarray]
-    chance: list[np.ndarray]
-    more: list[np.ndarray] = field(default_factory=list)
-
-    def probability(self, code: np.ndarray) -> np.ndarray:
-        """Of the lowest byte of each window, after the bytes above it."""
-        return self.look_up(code)[0]
-
-    def look_up(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """:meth:`probability`, and whether a state that the tree does not hold may change it."""
-        p = self.root[code & 255]
-        away = np.full(len(code), bool(len(self.more) and self.more[0][0]))
-        for k in range(1, len(self.contexts)):
-            if not len(self.contexts[k]):
-                break
-            context = (code >> 8) & ((1 << 8 * k) - 1)
-            at = np.minimum(np.searchsorted(self.contexts[k], context), len(self.contexts[k]) - 1)
-            state = self.contexts[k][at] == context
-            p = np.where(state, p * self.share[k][at], p)
-            if self.more:
-                away = np.where(state, self.more[k][at], away)
-            if len(self.moves[k]):
-                move = code & ((1 << 8 * (k + 1)) - 1)
-                to = np.minimum(np.searchsorted(self.moves[k], move), len(self.moves[k]) - 1)
-                p = np.where(state & (self.moves[k][to] == move), self.chance[k][to], p)
-        return p, away
-
-    def log10(self, parts: list[tuple[bytes, bytes]]) -> np.ndarray:
-        """log10 probability of each part, given what precedes it."""
-        code, starts = windows(parts)
-        some, at = np.unique(code, return_inverse=True)
-        return np.add.reduceat(np.log10(self.probability(some))[at], starts)
-
-    def log10_held(
-        self, owners: list[int], parts: list[tuple[bytes, bytes]]
-    ) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """:meth:`log10` of the bytes that the tree decides alone; and of the others the owner of the
-        part, the window, how often it is there, and its log10 probability as far as the tree knows."""
-        code, starts = windows(parts)
-        some, at = np.unique(code, return_inverse=True)
-        p, away = self.look_up(some)
-        logs = np.log10(p)
-        sums = np.add.reduceat(np.where(away, 0.0, logs)[at], starts)
-        # A window has (DEPTH + 1) * 8 bits; the owner is a number within a batch.
-        out = np.flatnonzero(away[at])
-        owner = np.repeat(np.array(owners, np.int64), np.diff(np.append(starts, len(code))))[out]
-        pairs, n = np.unique(owner << WINDOW_BITS | code[out], return_counts=True)
-        window = pairs & ((1 << WINDOW_BITS) - 1)
-        return sums, (pairs >> WINDOW_BITS, window, n, logs[np.searchsorted(some, window)])
+    return docs.select("_text").mapInArrow(run, COUNTS).groupBy("k", "gram", "context", "shorter").agg(F.sum("n").alias("n"))
 
 
-def grow(
-    moves: list[tuple[np.ndarray, np.ndarray]],
-    contexts: list[tuple[np.ndarray, np.ndarray]],
-    total: int,
-    price: float = PRICE,
-) -> Tree:
-    """The tree from the transitions and contexts of each length 0 .. DEPTH, as sorted numbers with
-    counts, in one process. :func:`train` makes the same tree of tables; tests hold it to this."""
-    codes, n = moves[0]
-    listed = np.zeros(256)
-    listed[codes] = n
-    root = (listed + (256 + total - listed.sum()) / 256) / (total + 256)
-    empty = np.zeros(0, np.int64)
-    tree = Tree(root, [empty], [np.zeros(0)], [empty], [np.zeros(0)])
-    gains: list[np.ndarray] = [np.zeros(0)]
-    for k in range(1, DEPTH + 1):
-        context, size = contexts[k]
-        move, n = moves[k]
-        known = np.isin(move >> 8, context)
-        move, n = move[known], n[known]
-        at = np.searchsorted(context, move >> 8)
-        sums = lambda x: np.bincount(at, x, minlength=len(context))  # noqa: B023, E731
-        spread = np.bincount(at, minlength=len(context))
-        # What is not listed keeps its mass, which goes to the bytes that are not listed.
-        rest = size - sums(n)
-        # The shorter context of a frequent one is frequent, so it is in the tree so far.
-        shorter = tree.probability(move)
-        others = np.maximum(1 - sums(shorter), 1e-9)
-        tree.contexts.append(context)
-        tree.share.append((spread + rest / others) / (size + spread))
-        tree.moves.append(move)
-        tree.chance.append((n + spread[at] * shorter) / (size + spread)[at])
-        gains.append(sums(n * np.log(n / size[at] / shorter)) - price * np.log(max(total, 2)) * spread)
-    needed = empty
-    for k in range(DEPTH, 0, -1):
-        context = tree.contexts[k]
-        kept = (gains[k] > 0) | np.isin(context, needed)
-        of_kept = kept[np.searchsorted(context, tree.moves[k] >> 8)] if len(context) else np.zeros(0, bool)
-        needed = np.unique(context[kept] & ((1 << 8 * (k - 1)) - 1)) if k > 1 else empty
-        tree.contexts[k], tree.share[k] = context[kept], tree.share[k][kept]
-        tree.moves[k], tree.chance[k] = tree.moves[k][of_kept], tree.chance[k][of_kept]
-    return tree
-
-
-def _low(column: str, n_bytes: int) -> Column:
-    return F.col(column).bitwiseAND(F.lit((1 << 8 * n_bytes) - 1).cast("long"))
-
-
-def grow_table(counts: DataFrame, scratch: Scratch, least: int, price: float = PRICE) -> tuple[DataFrame, int, np.ndarray]:
-    """The candidates' transitions ``(k, context, move, size, spread, chance, kept)``, of all
-    lengths k from 1; the number of training bytes; and the counts of single bytes."""
-    found = counts.where(F.col("kind") == WINDOW).select(F.conv(F.hex("key"), 16, 10).cast("long").alias("code"), "n")
-    total = found.agg(F.sum("n").alias("n")).first()["n"] or 0
-    every = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _low("code", k + 1).alias("move")) for k in range(DEPTH + 1)]))
-    moves = scratch.store(
-        found.select("n", every.alias("e")).groupBy("e.k", "e.move").agg(F.sum("n").alias("n")), "transitions"
+def settle(rows: DataFrame, scratch: Scratch, price: float) -> DataFrame:
+    """The level of ``(k, gram, context, size, n, p, base, last)``, transitions of one length of context: those
+    that are listed or open, as ``LEVEL``."""
+    pays = F.col("n") * F.log(F.col("n") / F.col("size") / F.col("p")) + F.log("p") > price
+    tested = scratch.store(rows.withColumn("listed", pays), "tested")
+    of_context = (
+        tested.where("listed")
+        .groupBy(F.col("context").alias("_context"))
+        .agg(F.count("*").alias("_m"), F.sum("n").alias("_n"), F.sum("p").alias("_p"))
     )
-    singles = np.zeros(256)
-    for r in moves.where("k = 0").collect():
-        singles[r["move"]] = r["n"]
-    cost = price * float(np.log(max(total, 2)))
-    within = Window.partitionBy("context")
-    before = moves.where("k = 0").select("move", ((F.col("n") + 1) / F.lit(float(total + 256))).alias("chance"))
-    levels = []
-    for k in range(1, DEPTH + 1):
-        shorter = before.select(F.col("move").alias("_move"), F.col("chance").alias("_shorter"))
-        # A context has at most 256 transitions, and a transition at most 256 one byte longer.
-        level = (
-            moves.where(F.col("k") == k)
-            .withColumn("_move", _low("move", k))
-            .join(shorter, "_move")
-            .withColumn("context", F.shiftright("move", 8))
-            .withColumn("size", F.sum("n").over(within))
-            .withColumn("spread", F.count("*").over(within))
-            .withColumn("_sum", F.sum(F.col("n") * F.log(F.col("n") / F.col("_shorter"))).over(within))
-            .where(F.col("size") >= least)
-            .withColumn("chance", (F.col("n") + F.col("spread") * F.col("_shorter")) / (F.col("size") + F.col("spread")))
-            .withColumn("gains", F.col("_sum") - F.col("size") * F.log("size") - F.lit(cost) * F.col("spread") > 0)
-            .select("k", "context", "move", "size", "spread", "chance", "gains")
-        )
-        before = scratch.store(level, f"level-{k}")
-        levels.append(before)
-    # Retained contexts are those that gain, and their suffixes.
-    retained = None
-    for k, level in enumerate(levels, 1):
-        suffixes = F.array(*[F.struct(F.lit(j).alias("k"), _low("context", j).alias("context")) for j in range(1, k + 1)])
-        some = level.where("gains").select("context").distinct().select(F.inline(suffixes))
-        retained = some if retained is None else retained.unionByName(some)
-    candidates = levels[0]
-    for level in levels[1:]:
-        candidates = candidates.unionByName(level)
-    retained = retained.distinct().withColumn("_kept", F.lit(True))
-    kept = candidates.join(retained, ["k", "context"], "left").withColumn("kept", F.coalesce("_kept", F.lit(False)))
-    return scratch.store(kept.drop("_kept", "gains"), "states"), total, singles
+    m = F.coalesce("_m", F.lit(0))
+    rest = F.col("size") - F.coalesce("_n", F.lit(0))
+    others = F.greatest(1 - F.coalesce("_p", F.lit(0.0)), F.lit(1e-9))
+    level = (
+        tested.join(of_context, F.col("context") == F.col("_context"), "left")
+        .withColumn("share", (m + rest / others) / (F.col("size") + m))
+        .withColumn("chance", F.when(F.col("listed"), (F.col("n") + m * F.col("p")) / (F.col("size") + m)).otherwise(F.col("share") * F.col("p")))
+        .withColumn("last", F.when(m > 0, F.col("k")).otherwise(F.col("last")))
+        .withColumn("open", ((F.col("n") - 1) * F.log(1 / F.col("chance")) > price) & (F.col("k") < AHEAD * F.col("last")))
+    )
+    stored = scratch.store(level.where("listed OR open").select(*LEVEL), "level")
+    scratch.drop(tested)
+    return stored
 
 
-def train(counts: DataFrame, scratch: Scratch, least: int, room: int = ROOM) -> tuple[Tree, DataFrame | None]:
-    """The tree of the most frequent contexts, from :func:`corpus_counts`, and the other retained
-    states, ``(k, context, share, chances)``, if there are any. The driver gets the former: at
-    most ``room`` transitions and contexts without one."""
-    states, total, singles = grow_table(counts, scratch, least)
-    # By powers of two of the number of occurrences: what a tree with all from there on has.
-    weight = F.when(F.col("kept"), F.lit(1.0)).otherwise(1 / F.col("spread"))
-    sizes = states.groupBy(F.floor(F.log2("size") + F.lit(1e-9)).alias("power")).agg(F.sum(weight).alias("n")).collect()
-    floor, held = 1 << 62, 0.0
-    for r in sorted(sizes, key=lambda r: -r["power"]):
-        held += r["n"]
-        if held > room:
-            break
-        floor = 1 << r["power"]
-    else:
-        floor = least
-    inside = states.where(F.col("size") >= floor)
-    outside = states.where((F.col("size") < floor) & F.col("kept"))
-    whole = floor <= least
-    parents = outside.select((F.col("k") - 1).alias("k"), F.when(F.col("k") > 1, _shorter_context()).otherwise(0).alias("context"))
-    parents = parents.distinct().withColumn("more", F.lit(True))
-    contexts = inside.groupBy("k", "context").agg(
-        F.max("kept").alias("kept"), F.max(F.col("spread") / (F.col("size") + F.col("spread"))).alias("share")
-    )
-    contexts = contexts.withColumn("more", F.lit(False)) if whole else contexts.join(parents, ["k", "context"], "left")
-    contexts = contexts.select(
-        "k", "context", F.when(F.col("kept"), F.col("share")).otherwise(1.0).alias("share"), F.coalesce("more", F.lit(False)).alias("more")
+def settle_held(rows: pa.Table, price: float) -> pa.Table:
+    """:func:`settle` for consecutive lengths; ``p``, ``base`` and ``last`` are there for the first one only."""
+    ks, grams, contexts, shorters, sizes, ns, ps, bases, lasts = (
+        rows.column(c).to_numpy() for c in ("k", "gram", "context", "shorter", "size", "n", "p", "base", "last")
     )
+    before, found = None, []
+    for k in np.unique(ks):
+        mine = np.flatnonzero(ks == k)
+        if before is None:
+            p, base, last = (x[mine].astype(float) for x in (ps, bases, lasts))
+        else:
+            known, *values = before
+            at = np.minimum(np.searchsorted(known, shorters[mine]), max(len(known) - 1, 0))
+            hit = known[at] == shorters[mine] if len(known) else np.zeros(len(mine), bool)
+            mine, at = mine[hit], at[hit]
+            p, base, last = (x[at] for x in values)
+        n, size = ns[mine], sizes[mine]
+        one, of = np.unique(contexts[mine], return_inverse=True)
+        listed = n * np.log(n / size / p) + np.log(p) > price
+        sums = lambda x: np.bincount(of[listed], x[listed], len(one))[of]  # noqa: B023, E731
+        m, rest = sums(np.ones(len(n))), size - sums(n)
+        share = (m + rest / np.maximum(1 - sums(p), 1e-9)) / (size + m)
+        chance = np.where(listed, (n + m * p) / (size + m), share * p)
+        last = np.where(m > 0, k, last)
+        is_open = ((n - 1) * np.log(1 / chance) > price) & (k < AHEAD * last)
+        order = np.argsort(grams[mine])
+        order = order[is_open[order]]
+        before = grams[mine][order], chance[order], base[order], last[order]
+        out = np.flatnonzero(listed | is_open)
+        length = np.full(len(out), k, np.int32)
+        found.append([length, grams[mine][out], contexts[mine][out], size[out], *(x[out] for x in (share, chance, base, last, listed, is_open))])
+    return pa.table([pa.array(np.concatenate(x)) for x in zip(*found)], names=LEVEL)
+
+
+def open_before(level: DataFrame) -> DataFrame:
+    return level.where("open").select(F.col("gram").alias("_gram"), F.col("chance").alias("p"), "base", "last")
 
-    def by_length(df: DataFrame) -> list[list[np.ndarray]]:
-        k, code, *values = (c.to_numpy() for c in df.toArrow().columns)
-        order = np.lexsort((code, k))
-        edges = np.searchsorted(k[order], np.arange(1, DEPTH + 2))
-        parts = [order[a:b] for a, b in zip(edges, edges[1:])]
-        return [[np.zeros(0, x.dtype), *(x[p] for p in parts)] for x in (code, *values)]
-
-    codes, share, more = by_length(contexts)
-    moves, chance = by_length(inside.where("kept").select("k", "move", "chance"))
-    top = not whole and bool(parents.where("k = 0").head(1))
-    more[0] = np.array([top])
-    tree = Tree((singles + 1) / (total + 256), codes, share, moves, chance, more)
-    if whole:
-        return tree, None
-    byte = F.col("move").bitwiseAND(F.lit(255).cast("long"))
-    return tree, outside.groupBy("k", "context").agg(
-        F.max(F.col("spread") / (F.col("size") + F.col("spread"))).alias("share"),
-        F.map_from_entries(F.collect_list(F.struct(byte, F.col("chance")))).alias("chances"),
+
+def grow(
+    docs: DataFrame, pairs: DataFrame, words: DataFrame, norm: float, pseudo: float, scratch: Scratch, price: float, held: int
+) -> DataFrame:
+    """The levels of all lengths, ``LEVEL``; ``words``: ``(gram, n)``, ``pairs``: ``(context, token, n)``."""
+    spark = docs.sparkSession
+    known = words.select(F.col("gram").alias("_gram"), ((F.col("n") + F.lit(pseudo)) / F.lit(norm)).alias("p"))
+    sizes = words.select(F.col("gram").alias("_context"), F.col("n").alias("size"))
+    rows = (
+        pairs.join(sizes, F.col("context") == F.col("_context"))
+        .join(known, F.col("token") == F.col("_gram"))
+        .select(F.lit(1).alias("k"), longer_column(F.col("token"), F.col("context")).alias("gram"), "context", "size", "n", "p", F.col("p").alias("base"), F.lit(1).alias("last"))
     )
+    level = settle(rows, scratch, price)
+    levels = [level]
+    if level.where("open").isEmpty():
+        return level
+    seen = pairs.select(longer_column(F.col("token"), F.col("context")).alias("gram"), "n")
+    shared = spark.sparkContext.broadcast((bitmap(seen.select("gram")), bitmap(level.where("open").select("gram"))))
+    counts = scratch.store(counts_of(docs, lambda h, g: _triples(h, g, *shared.value), 2).where("n > 1"), "triples")
+    shared.destroy()
+    sizes = seen.select(F.col("gram").alias("_context"), F.col("n").alias("size"))
+    rows = counts.join(sizes, F.col("context") == F.col("_context")).join(open_before(level), F.col("shorter") == F.col("_gram"))
+    level = settle(rows.select("k", "gram", "context", "size", "n", "p", "base", "last"), scratch, price)
+    scratch.drop(counts)
+    levels.append(level)
+    gates: list[tuple[int, np.ndarray]] = []
+    k = 2
+    while not level.where(f"open AND k = {k}").isEmpty():
+        upto = 4 * k
+        contexts = level.where(f"open AND k = {k}").select("context")
+        gates = [*gates[:1], (k, bitmap(contexts))]
+        shared = spark.sparkContext.broadcast(gates)
+        counts = scratch.store(counts_of(docs, lambda h, g: _deeper(h, g, shared.value, upto), upto), "runs")  # noqa: B023
+        shared.destroy()
+        sizes = counts.groupBy(F.col("context").alias("_context")).agg(F.sum("n").alias("size"))
+        # Only contexts whose shorter one is open go on, so of the first length those known are enough.
+        rows = counts.where("n > 1").join(sizes, F.col("context") == F.col("_context")).drop("_context")
+        rows = scratch.store(rows.join(open_before(level), F.col("shorter") == F.col("_gram"), "left").drop("_gram"), "rows")
+        scratch.drop(counts)
+        rows_of_first = rows.where((F.col("k") > k + 1) | F.col("p").isNotNull())
+        if rows.count() <= held:
+            found = rows_of_first.toArrow()
+            if not found.num_rows or not (found.column("k").to_numpy() == k + 1).any():
+                break
+            level = scratch.store(spark.createDataFrame(settle_held(found, price)).select(*level_columns()), "level")
+            levels.append(level)
+        else:
+            for length in range(k + 1, upto + 1):
+                some = rows.where(F.col("k") == length).drop("p", "base", "last").join(open_before(level), F.col("shorter") == F.col("_gram"))
+                level = settle(some.select("k", "gram", "context", "size", "n", "p", "base", "last"), scratch, price)
+                levels.append(level)
+                if level.where("open").isEmpty():
+                    break
+        scratch.drop(rows)
+        k = upto
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionByName(level)
+    return found
 
 
-def _shorter_context() -> Column:
-    """The context of length k without its first byte."""
-    found = F.lit(0).cast("long")
-    for k in range(2, DEPTH + 1):
-        found = F.when(F.col("k") == k, _low("context", k - 1)).otherwise(found)
-    return found
+def level_columns() -> list[Column]:
+    kinds = dict(zip(LEVEL, ["int", "long", "long", "long", "double", "double", "double", "int", "boolean", "boolean"]))
+    return [F.col(c).cast(kind).alias(c) for c, kind in kinds.items()]
+
+
+class Lookup:
+    """Places of hashes among sorted ones, -1 for others. Hashes are even, so their first bits tell
+    nearly where they are."""
 
+    def __init__(self, keys: np.ndarray) -> None:
+        self.n = len(keys)
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+        bits = max(1, int(self.n).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.start = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
-def look_up_rest(windows_: DataFrame, rest: DataFrame) -> DataFrame:
-    """``(code, factor, alone)`` of the distinct windows for which ``rest`` has a state: what the
-    probability by the tree is to be multiplied with, or, where ``alone``, the probability."""
-    contexts = F.array(
-        *[
-            F.struct(F.lit(k).alias("k"), F.shiftright(_low("code", k + 1), 8).alias("context"))
-            for k in range(1, DEPTH + 1)
-        ]
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        at = self.start[hashes >> self.shift]
+        late = np.flatnonzero(self.keys[at] < hashes)
+        while len(late):
+            at[late] += 1
+            late = late[self.keys[at[late]] < hashes[late]]
+        return np.where((self.keys[at] == hashes) & (at < self.n), at, -1)
+
+
+@dataclass
+class Tree:
+    """The states that the tasks hold, by context: the logarithm of the share that goes to tokens that are
+    not listed, and whether there are longer contexts; by transition: the logarithm of its
+    probability over that of the root. ``outside`` marks contexts that are not held."""
+
+    contexts: Lookup
+    share: np.ndarray
+    more: np.ndarray
+    moves: Lookup
+    lift: np.ndarray
+    outside: np.ndarray | None
+
+    def lifts(self, h: np.ndarray, g: Group) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
+        """The new tokens' places, their lifts, and of contexts that may be outside: the number of the
+        place, the length, the context and the transition."""
+        places = np.flatnonzero(g.new)
+        lift = np.zeros(len(places))
+        live, at = np.arange(len(places)), places
+        run, context, k = h[at], h[at - 1], 1
+        away = []
+        while len(live):
+            state = self.contexts.find(context)
+            inside = state >= 0
+            some = inside if self.outside is None else inside | marked(self.outside, context)
+            live, at, run, context, state, inside = (x[some] for x in (live, at, run, context, state, inside))
+            run = longer(run, h[at - k])
+            move = self.moves.find(run)
+            held = np.where(move >= 0, self.lift[move], lift[live] + self.share[state])
+            lift[live] = np.where(inside, held, lift[live])
+            if not inside.all():
+                out = ~inside
+                away.append((live[out], np.full(int(out.sum()), k), context[out], run[out]))
+            some = (~inside | self.more[state]) & (g.at[at] > k)
+            live, at, run, context = live[some], at[some], run[some], context[some]
+            context = longer(context, h[at - k - 1])
+            k += 1
+        return places, lift, away
+
+
+def hold(states: DataFrame, scratch: Scratch, room: int) -> tuple[Tree, int, tuple[DataFrame, DataFrame] | None]:
+    """The tree of the most frequent contexts, the length of the longest context, and the other
+    contexts ``(context, share)`` and transitions ``(gram, lift)``, if there are any."""
+    contexts = scratch.store(
+        states.groupBy("context").agg(
+            F.max("k").alias("k"),
+            F.max("size").alias("size"),
+            F.log(F.max("share")).alias("share"),
+            F.max("open").alias("more"),
+            F.sum(F.col("listed").cast("long")).alias("m"),
+        ),
+        "contexts",
     )
-    exploded = windows_.select("code").distinct().select("code", F.inline(contexts))
-    byte = F.col("code").bitwiseAND(F.lit(255).cast("long"))
-    found = exploded.join(rest.hint("merge"), ["k", "context"]).withColumn("chance", F.try_element_at("chances", byte))
-    start = F.struct(F.lit(1.0).alias("factor"), F.lit(False).alias("alone"))
-    step = lambda a, x: F.struct(
-        F.coalesce(x["chance"], a["factor"] * x["share"]).alias("factor"),
-        (a["alone"] | x["chance"].isNotNull()).alias("alone"),
+    # By powers of two of the number of occurrences: what a tree with all from there on has.
+    power = F.floor(F.log2("size") + F.lit(1e-9)).cast("int")
+    sizes = contexts.groupBy(power.alias("power")).agg((F.sum("m") + F.count("*")).alias("n"), F.max("k").alias("k")).collect()
+    depth = max([r["k"] for r in sizes], default=0)
+    floor, kept, whole = 1 << 62, 0, True
+    for r in sorted(sizes, key=lambda r: -r["power"]):
+        kept += r["n"]
+        if kept > room:
+            whole = False
+            break
+        floor = 1 << r["power"]
+    inside, outside = F.col("size") >= floor, F.col("size") < floor
+    lift = F.log(F.col("chance") / F.col("base")).alias("lift")
+
+    def sorted_by(df: DataFrame) -> list[np.ndarray]:
+        key, *values = (c.to_numpy() for c in df.toArrow().columns)
+        key = key.view(np.uint64)
+        order = np.argsort(key)
+        return [key[order], *(x[order] for x in values)]
+
+    key, share, more = sorted_by(contexts.where(inside).select("context", "share", "more"))
+    gram, lifts = sorted_by(states.where(inside & F.col("listed")).select("gram", lift))
+    # An entry beyond the last is what a place of -1 reads.
+    share, more, lifts = np.append(share, 0.0), np.append(more, True), np.append(lifts, 0.0)
+    if whole:
+        return Tree(Lookup(key), share, more, Lookup(gram), lifts, None), depth, None
+    others = contexts.where(outside).select("context", "share")
+    tree = Tree(Lookup(key), share, more, Lookup(gram), lifts, bitmap(others.select("context")))
+    return tree, depth, (others, states.where(outside & F.col("listed")).select("gram", lift))
+
+
+def look_up_rest(away: DataFrame, contexts: DataFrame, moves: DataFrame) -> DataFrame:
+    """``(_row, _deeper)``: what the contexts outside the tree add to the lifts of a text's tokens."""
+    states = contexts.select(F.col("context").alias("_context"), "share")
+    listed = moves.select(F.col("gram").alias("_gram"), "lift")
+    found = away.join(states.hint("merge"), F.col("context") == F.col("_context")).join(
+        listed.hint("merge"), F.col("gram") == F.col("_gram"), "left"
     )
     # From the shortest context to the longest.
-    by_window = found.groupBy("code").agg(F.sort_array(F.collect_list(F.struct("k", "share", "chance"))).alias("_states"))
-    return by_window.select("code", F.aggregate("_states", start, step).alias("_f")).select("code", "_f.*")
+    path = F.sort_array(F.collect_list(F.struct("k", "share", (F.col("lift") - F.col("base")).alias("instead"))))
+    added = F.aggregate("path", F.lit(0.0), lambda sum_, x: F.coalesce(x["instead"], sum_ + x["share"]))
+    return found.groupBy("_row", "place").agg(path.alias("path")).groupBy("_row").agg(F.sum(added).alias("_deeper"))
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Here each result is written as a table, after which Spark can remove the files of its shuffles."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def score(
@@ -406,28 +535,36 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     held_out: int = 10,
-    least: int = 2,
     frequent: float = 4e-6,
     pseudo: float = 0.1,
+    price: float = PRICE,
     room: int = ROOM,
+    held: int = HELD,
 ) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, a row per document.
 
     Documents whose crc32(id) modulo ``held_out`` is 0 are scored, but not learnt from.
     """
+    with shuffles_removed(docs.sparkSession):
+        return _score(docs, id_col, text_col, held_out, frequent, pseudo, price, room, held)
+
+
+def _score(docs, id_col, text_col, held_out, frequent, pseudo, price, room, held) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffix-tree")
     named = docs.select(
         F.col(id_col).alias("doc_id"), (bucket(id_col, held_out) == 0).alias("held_out"), utf8(text_col).alias("_text")
     )
     learnt = named.where(~F.col("held_out"))
-    counts = scratch.store(corpus_counts(learnt), "counts")
-    tree, rest = train(counts, scratch, least, room)
-    words = counts.where(F.col("kind") == WORD).select(F.col("key").alias("word"), F.col("n").alias("c"))
+    counts = scratch.store(pair_counts(learnt).where("word IS NOT NULL AND n > 0 OR n > 1"), "counts")
+    words = counts.where("word IS NOT NULL").select("word", F.col("n").alias("c"))
     sizes = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    ends = learnt.count()
-    n, v = (sizes["n"] or 0) + ends, sizes["v"] + (1 if ends else 0)
+    n, v = sizes["n"] or 0, sizes["v"]
     norm = n + pseudo * (v + 1)
+    pairs = counts.where("word IS NULL").select("context", "token", "n")
+    hashed = words.select(F.xxhash64("word").alias("gram"), F.col("c").alias("n"))
+    states = grow(learnt, pairs, hashed, norm, pseudo, scratch, price, held)
+    tree, depth, rest = hold(states, scratch, room)
     top = words.where(F.col("c") >= max(2.0, frequent * n)).toArrow()
     known = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
     shared = spark.sparkContext.broadcast((tree, known))
@@ -436,48 +573,59 @@ def score(
         from pyspark import TaskContext
 
         tree, known = shared.value
-        logs = dict(zip(known, np.log10((np.array(list(known.values()), float) + pseudo) / norm).tolist()))
-        end = float(np.log10((ends + pseudo) / norm))
         row = TaskContext.get().partitionId() << 33
-        rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-        away_type = pa.struct([("code", pa.int64()), ("n", pa.int64()), ("base", pa.float64())])
+        rare_type = pa.struct([("word", pa.binary()), ("n", pa.int64())])
+        away_type = pa.struct([("place", pa.int64()), ("k", pa.int32()), ("context", pa.int64()), ("gram", pa.int64()), ("base", pa.float64())])
+
+        def lists(owner: np.ndarray, entries: pa.Array, size: int) -> pa.Array:
+            """Entries, in the order of their texts, as a list for each text."""
+            return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(size + 1)), pa.int32()), entries)
+
+        words, logs = Words(), np.zeros(0)
         try:
             for whole in found:
                 sizes = pc.binary_length(whole.column("_text")).to_pylist()
                 for b in parts_by_bytes(whole, sizes, SCORE_ROWS, SCORE_BYTES):
-                    split = [split_words(t.lower()) for t in b.column("_text").to_pylist()]
-                    rare, sums, seen = [], [], []
-                    for some in split:
-                        hits = [logs[w] for w in some if w in logs]
-                        rest = Counter([w for w in some if w not in logs])
-                        rare.append([{"word": w, "n": k} for w, k in rest.items()])
-                        sums.append(sum(hits) + end)
-                        seen.append(len(hits) + (1 if ends else 0))
-                    scores = np.zeros(len(split))
-                    away = []
-                    for owners, group in _groups(iter(split)):
-                        sums_of, more = tree.log10_held(owners, group)
-                        np.add.at(scores, owners, sums_of)
-                        away.append(more)
-                    owner, *values = (np.concatenate(x) for x in zip(*away))
-                    order = np.argsort(owner, kind="stable")
-                    edges = np.searchsorted(owner[order], np.arange(len(split) + 1))
-                    entries = pa.StructArray.from_arrays([pa.array(x[order]) for x in values], fields=list(away_type))
+                    size = b.num_rows
+                    tokens, hits, base, lift = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+                    rare, away, place = [np.zeros(0, np.int64)], [], 0
+                    for g in groups(iter(b.column("_text").to_pylist()), words, depth + 1):
+                        h = words.hashes()[g.ids]
+                        new = [known.get(w, 0) for w in words.names[len(logs) :]]
+                        with np.errstate(divide="ignore"):
+                            logs = np.append(logs, np.where(np.array(new) > 0, np.log10((np.array(new) + pseudo) / norm), np.nan)) if new else logs
+                        places, lifted, outside = tree.lifts(h, g)
+                        owner, ids = g.owner[places], g.ids[places]
+                        log = logs[ids]
+                        here = ~np.isnan(log)
+                        tokens += np.bincount(owner, minlength=size)
+                        hits += np.bincount(owner[here], minlength=size)
+                        base += np.bincount(owner[here], log[here], size)
+                        lift += np.bincount(owner, lifted, size)
+                        rare.append(owner[~here] << 32 | ids[~here])
+                        away += [(owner[x], x + place, k, c.view(np.int64), m.view(np.int64), lifted[x]) for x, k, c, m in outside]
+                        place += len(places)
+                    pair, n_rare = np.unique(np.concatenate(rare), return_counts=True)
+                    rare_words = pa.array([words.names[k] for k in (pair & 0xFFFFFFFF).tolist()], pa.binary())
+                    rare_rows = pa.StructArray.from_arrays([rare_words, pa.array(n_rare, pa.int64())], fields=list(rare_type))
+                    columns = [np.concatenate(x) for x in zip(*away)] if away else [np.zeros(0, np.int64)] * 6
+                    order = np.argsort(columns[0], kind="stable")
+                    entries = [pa.array(x[order]).cast(f.type) for x, f in zip(columns[1:], away_type)]
+                    away_rows = pa.StructArray.from_arrays(entries, fields=list(away_type))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.arange(row, row + b.num_rows)),
+                            pa.array(np.arange(row, row + size)),
                             b.column("doc_id"),
                             b.column("held_out"),
-                            pa.array([len(x) + 1 for x in split], pa.int64()),
-                            pa.array(seen, pa.int64()),
-                            pa.array(sums, pa.float64()),
-                            pa.array(scores),
-                            pa.array(rare, rare_type),
-                            pa.ListArray.from_arrays(pa.array(edges, pa.int32()), entries),
+                            *map(pa.array, (tokens, hits, base, lift)),
+                            lists(pair >> 32, rare_rows, size),
+                            lists(columns[0][order], away_rows, size),
                         ],
-                        names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_base", "score", "_rare", "_away"],
+                        names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_base", "_lift", "_rare", "_away"],
                     )
-                    row += b.num_rows
+                    row += size
+                    if len(words) > VOCABULARY:
+                        words, logs = Words(), np.zeros(0)
         finally:
             release()
 
@@ -485,15 +633,16 @@ def score(
     scored = scratch.store(
         named.mapInArrow(
             run,
-            f"_row long, doc_id {kind}, held_out boolean, n_tokens long, _known long, _base double, score double, "
-            "_rare array<struct<word: binary, n: bigint>>, _away array<struct<code: bigint, n: bigint, base: double>>",
+            f"_row long, doc_id {kind}, held_out boolean, n_tokens long, _known long, _base double, _lift double, "
+            "_rare array<struct<word: binary, n: bigint>>, "
+            "_away array<struct<place: bigint, k: int, context: bigint, gram: bigint, base: double>>",
         ),
         "scored",
     )
-    rare = scored.select("_row", F.inline("_rare"))
     c = F.coalesce("c", F.lit(0))
     part = (
-        rare.join(words.hint("merge"), "word", "left")
+        scored.select("_row", F.inline("_rare"))
+        .join(words.hint("merge"), "word", "left")
         .groupBy("_row")
         .agg(
             F.sum(F.col("n") * F.log10((c + F.lit(pseudo)) / F.lit(norm))).alias("_more"),
@@ -503,21 +652,14 @@ def score(
     if rest is None:
         deeper = scored.select("_row", F.lit(0.0).alias("_deeper")).limit(0)
     else:
-        away = scored.select("_row", F.inline("_away"))
-        states = look_up_rest(away, scratch.store(rest, "rest"))
-        log = F.log10("factor")
-        term = F.when(F.col("alone"), log).otherwise(F.col("base") + F.coalesce(log, F.lit(0.0)))
-        deeper = (
-            away.join(states.hint("merge"), "code", "left")
-            .groupBy("_row")
-            .agg(F.sum(F.col("n") * term).alias("_deeper"))
-        )
+        deeper = look_up_rest(scored.select("_row", F.inline("_away")), *rest)
+    base = F.col("_base") + F.coalesce("_more", F.lit(0.0))
     return scored.drop("_rare", "_away").join(part, "_row", "left").join(deeper, "_row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("_known") + F.coalesce("_found", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_more", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("_deeper", F.lit(0.0))).alias("score"),
+        base.alias("base_score"),
+        (base + (F.col("_lift") + F.coalesce("_deeper", F.lit(0.0))) / F.lit(float(np.log(10)))).alias("score"),
     )

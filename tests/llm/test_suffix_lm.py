@@ -5,49 +5,155 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opinia.llm import suffix_lm as S
 
+UNSEEN = "a word that was not seen"
+
+
+def held(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 10 == 0
+
+
+def tokens(text):
+    return ["\n", *(text or "").encode().lower().split(), "\n"]
+
+
+class Plain:
+    """The tree by its definition, with contexts as tuples, and no limit of their length."""
+
+    def __init__(self, texts, price=S.PRICE, pseudo=0.1):
+        rows = [tokens(t) for t in texts]
+        counts = Counter(w for r in rows for w in r[1:])
+        norm = sum(counts.values()) + pseudo * (len(counts) + 1)
+        self.root = {w: (c + pseudo) / norm for w, c in counts.items()} | {UNSEEN: pseudo / norm}
+        self.levels = []
+        before, last, k = None, {}, 1
+        while True:
+            seen = Counter(tuple(r[i - k : i + 1]) for r in rows for i in range(k, len(r)))
+            sizes = Counter()
+            for run, n in seen.items():
+                sizes[run[:-1]] += n
+            p = {}
+            for run, n in seen.items():
+                if n > 1 and (before is None or run[1:] in before):
+                    p[run] = self.root[run[-1]] if before is None else before[run[1:]]
+            listed = {r for r in p if seen[r] * math.log(seen[r] / sizes[r[:-1]] / p[r]) + math.log(p[r]) > price}
+            state = {}
+            for run in p:
+                mine = [r for r in p if r[:-1] == run[:-1] and r in listed] if run[:-1] not in state else None
+                if mine is not None:
+                    m, size = len(mine), sizes[run[:-1]]
+                    left, others = size - sum(seen[r] for r in mine), 1 - sum(p[r] for r in mine)
+                    state[run[:-1]] = [m, size, (m + left / max(others, 1e-9)) / (size + m), False]
+            chance = {}
+            for run in p:
+                m, size, share, _ = state[run[:-1]]
+                chance[run] = (seen[run] + m * p[run]) / (size + m) if run in listed else share * p[run]
+            last = {c: k if x[0] else last.get(c[1:], 1) for c, x in state.items()}
+            goes_on = {r for r, c in chance.items() if (seen[r] - 1) * math.log(1 / c) > price}
+            before = {r: chance[r] for r in goes_on if k < S.AHEAD * last[r[:-1]]}
+            for run in before:
+                state[run[:-1]][3] = True
+            state = {c: x for c, x in state.items() if x[0] or x[3]}
+            self.levels.append((state, {r: chance[r] for r in listed}))
+            if not before:
+                return
+            k += 1
+
+    def chance(self, before, token):
+        found = self.root.get(token, self.root[UNSEEN])
+        for k, (state, listed) in enumerate(self.levels, 1):
+            context = tuple(before[len(before) - k :])
+            if len(before) < k or context not in state:
+                break
+            found = listed.get((*context, token), found * state[context][2])
+            if not state[context][3]:
+                break
+        return found
+
+    def score(self, text):
+        row = tokens(text)
+        return sum(math.log10(self.chance(row[:i], row[i])) for i in range(1, len(row)))
 
-def tree_of(docs, least=5):
-    found, n = np.unique(S.windows([p for d in docs for p in S.segments(S.stream(d))])[0], return_counts=True)
-    moves, contexts = [], []
-    for k in range(S.DEPTH + 1):
-        move, at = np.unique(found & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
-        c = np.bincount(at, n).astype(np.int64)
-        context, at = np.unique(move >> 8, return_inverse=True)
-        size = np.bincount(at, c).astype(np.int64)
-        moves.append((move[c >= least], c[c >= least]))
-        contexts.append((context[size >= 2 * least], size[size >= 2 * least]))
-    return S.grow(moves, contexts, int(n.sum()))
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Sentences in which words depend on up to twelve before them, copies, and noise."""
+    rng = np.random.default_rng(3)
+    verbs = ["saw", "met", "left"]
+    out = []
+    for i in range(240):
+        who = ["alice", "bob", "carol"][rng.integers(3)]
+        middle = "then walked down to the river by the old mill and"
+        words = [who, *middle.split(), verbs[["alice", "bob", "carol"].index(who)], f"w{rng.integers(40)}"]
+        if rng.random() < 0.2:
+            words[rng.integers(1, 11)] = f"w{rng.integers(40)}"
+        out.append((i, " ".join(words * rng.integers(1, 3))))
+    return [*out, (500, None), (501, ""), (502, "Alice THEN never"), (502, "Alice THEN never")]
 
 
 @pytest.fixture(scope="module")
-def tree():
-    rng = np.random.default_rng(1)
-    words = [b"ab", b"abc", b"the", b"thing", b"x"]
-    return tree_of([[words[k] for k in rng.integers(0, 5, 20)] for _ in range(80)])
+def plain(corpus):
+    return Plain([t for i, t in corpus if not held(i)])
+
+
+def test_the_hash_is_sparks(spark):
+    rows = spark.createDataFrame([(1, 2), (-5, 7), (2**62, -(2**63))], "a long, b long")
+    found = [r[0] for r in rows.select(S.longer_column(F.col("a"), F.col("b"))).collect()]
+    a, b = (np.array(x, np.int64).view(np.uint64) for x in zip(*[(r["a"], r["b"]) for r in rows.collect()]))
+    assert S.longer(a, b).view(np.int64).tolist() == found
+    words = S.Words()
+    numbers = [words[w] for w in (b"one", b"two", b"one", S.END)]
+    hashed = spark.sql("SELECT xxhash64(CAST('two' AS BINARY))").first()[0]
+    assert numbers == [1, 2, 1, 0] and int(words.hashes().view(np.int64)[2]) == hashed
+
+
+def test_bitmaps_and_lookups_hold_what_they_were_given(spark):
+    rng = np.random.default_rng(0)
+    keys, others = np.unique(rng.integers(0, 2**64, 3000, np.uint64)), rng.integers(0, 2**64, 3000, np.uint64)
+    bits = S.bitmap(spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "k long"))
+    assert S.marked(bits, keys).all() and S.marked(bits, others).mean() < 0.01
+    found = S.Lookup(keys)
+    assert (found.find(keys) == np.arange(len(keys))).all() and (found.find(others) == -1).all()
+    assert (S.Lookup(keys[:0]).find(others) == -1).all()
+
+
+def test_long_texts_are_cut(monkeypatch):
+    text = b" ".join(b"w%d" % (k % 17) for k in range(100))
+    whole = next(S.groups(iter([text]), S.Words(), 3))
+    monkeypatch.setattr(S, "STEP", 7)
+    seen = []
+    for g in S.groups(iter([text, b"", text]), S.Words(), 3):
+        for i in np.flatnonzero(g.new):
+            back = min(3, g.at[i])
+            assert (g.ids[i - back : i + 1] == whole.ids[g.at[i] - back : g.at[i] + 1]).all() or g.owner[i] == 1
+            seen.append((int(g.owner[i]), int(g.at[i])))
+    assert sorted(seen) == [(0, k) for k in range(1, 102)] + [(1, 1)] + [(2, k) for k in range(1, 102)]
 
 
-def test_every_state_is_a_distribution(tree):
-    assert sum(map(len, tree.contexts)) > 20
-    for context in (b"the t", b"hing ", b"\0\0\0\0\n", b"zzzzz", b"c abc"):
-        code = (int.from_bytes(context, "big") << 8) + np.arange(256)
-        assert tree.probability(code).sum() == pytest.approx(1.0)
+def test_every_state_is_a_distribution(plain):
+    assert len(plain.levels) > 10 and sum(len(s) for s, _ in plain.levels) > 100
+    contexts = [list(c) for state, _ in plain.levels for c in state][::7]
+    for context in [*contexts, ["nowhere"], []]:
+        assert sum(plain.chance(context, w) for w in plain.root) == pytest.approx(1.0)
 
 
-def test_contexts_are_closed_under_suffixes(tree):
-    for k in range(2, S.DEPTH + 1):
-        assert set((tree.contexts[k] & ((1 << 8 * (k - 1)) - 1)).tolist()) <= set(tree.contexts[k - 1].tolist())
+def test_scores_by_definition(spark, corpus, plain):
+    """Whether the tasks hold all states, some or none of them, and wherever transitions are tested."""
+    docs = spark.createDataFrame(corpus, "doc_id long, text string")
+    expected = sorted((i, round(plain.score(t), 6)) for i, t in corpus)
+    for room, on_driver in ((S.ROOM, S.HELD), (60, S.HELD), (0, 0)):
+        found = S.score(docs, room=room, held=on_driver).collect()
+        assert sorted((r["doc_id"], round(r["score"], 6)) for r in found) == expected
 
 
-def test_parts_add_up(tree, monkeypatch):
-    text = S.stream([b"the", b"thing", b"abc"] * 20)
-    whole = tree.log10(list(S.segments(text))).sum()
-    monkeypatch.setattr(S, "STEP", 7)
-    assert tree.log10(list(S.segments(text))).sum() == pytest.approx(whole)
-    code = [int.from_bytes((S.BEFORE + text)[i : i + S.DEPTH + 1], "big") for i in range(len(text))]
-    assert whole == pytest.approx(np.log10(tree.probability(np.array(code))).sum())
+def test_a_context_of_nine_words_decides(spark):
+    rows = [(i, f"{'left' if i % 2 else 'right'} b c d e f g h i {'x' if i % 2 else 'y'}") for i in range(600)]
+    score = {r["doc_id"]: r["score"] for r in S.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # The first word is one of two; without the context of nine words the last would be so again.
+    assert all(s > -0.35 for s in score.values())
 
 
 def test_base_scores_by_definition(spark, awkward, nothing):
@@ -77,29 +183,6 @@ def test_better_than_the_base_on_held_out_documents(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
-def test_rare_contexts_are_retained_and_scored(spark):
-    """The tree of tables is the one of one process, with contexts seen twice; whether the tasks hold
-    all states, some or none of them, scores are the same."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
-    rows = docs.collect()
-    split = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in rows}
-    learnt = [w for i, w in split.items() if zlib.crc32(str(i).encode()) % 10]
-    found, n = np.unique(S.windows([p for d in learnt for p in S.segments(S.stream(d))])[0], return_counts=True)
-    moves, contexts = [], []
-    for k in range(S.DEPTH + 1):
-        move, at = np.unique(found & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
-        context, to = np.unique(move >> 8, return_inverse=True)
-        c = np.bincount(at, n).astype(np.int64)
-        size = np.bincount(to, c).astype(np.int64)
-        moves.append((move, c))
-        contexts.append((context[size >= 2], size[size >= 2]))
-    tree = S.grow(moves, contexts, int(n.sum()))
-    expected = {i: tree.log10(list(S.segments(S.stream(w)))).sum() for i, w in split.items()}
-    for room in (S.ROOM, 3000, 0):
-        got = {r["doc_id"]: r["score"] for r in S.score(docs, room=room).collect()}
-        assert got == pytest.approx(expected)
-
-
 def test_the_floor_is_a_count(spark):
     """A string seen a few times among ten million bytes has its states."""
     common = [(i, "the river ran past the old mill " * 6000) for i in range(60)]
@@ -107,3 +190,9 @@ def test_the_floor_is_a_count(spark):
     docs = spark.createDataFrame(common + rare, "doc_id long, text string")
     score = {r["doc_id"]: r["score"] for r in S.score(docs).collect()}
     assert score[1001] / 6 > -1.5
+
+
+def test_a_repeated_line_is_not_followed_to_its_first_copy(spark):
+    docs = spark.createDataFrame([(i, "the same words again\n" * 3000) for i in range(40)], "doc_id long, text string")
+    rows = S.score(docs).collect()
+    assert all(r["score"] / r["n_tokens"] > -0.01 for r in rows)
