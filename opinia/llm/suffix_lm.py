@@ -17,7 +17,8 @@ are looked at if they occur twice and the one of the shorter context is open. Gr
 information, or a repeated line would be followed to its first copy: a transition is open only up to
 ``AHEAD`` times the length of the longest suffix of its context that lists one (1 at least). Pairs of
 tokens are counted over the whole training part, then the triples that extend open pairs, then,
-for contexts with open transitions, lengths up to four times the last, until nothing is open.
+for contexts with open transitions, one more length, and lengths up to twice and then four times
+the last, until nothing is open.
 
 Runs of tokens are known by 64-bit hashes, made of the words' from the last token to the first; of
 x runs about x^2 / 2^65 pairs fall together and count as one. Tasks learn which runs to
@@ -53,7 +54,7 @@ from opinia.llm.common import Scratch, bucket, parts_by_bytes, release, split_wo
 
 END = b"\n"
 #: Tokens that are worked on at once, and pairs that a task gathers before it passes them on.
-STEP, GATHER = 1 << 20, 1 << 22
+STEP, GATHER = 1 << 20, 1 << 23
 #: Counts that a task passes on, and texts and bytes that it scores, at once.
 PASS_ROWS, SCORE_ROWS, SCORE_BYTES = 1 << 16, 4096, 1 << 23
 #: Words that a task keeps numbers of; it starts anew beyond.
@@ -333,10 +334,12 @@ def open_before(level: DataFrame) -> DataFrame:
 
 
 def grow(
-    docs: DataFrame, pairs: DataFrame, words: DataFrame, norm: float, pseudo: float, scratch: Scratch, price: float, held: int
+    docs: DataFrame, counts: DataFrame, words: DataFrame, norm: float, pseudo: float, scratch: Scratch, price: float, held: int
 ) -> DataFrame:
-    """The levels of all lengths, ``LEVEL``; ``words``: ``(gram, n)``, ``pairs``: ``(context, token, n)``."""
+    """The levels of all lengths, ``LEVEL``, from stored :func:`pair_counts`, which are dropped after use;
+    ``words``: ``(gram, n)``."""
     spark = docs.sparkSession
+    pairs = counts.where("word IS NULL").select("context", "token", "n")
     known = words.select(F.col("gram").alias("_gram"), ((F.col("n") + F.lit(pseudo)) / F.lit(norm)).alias("p"))
     sizes = words.select(F.col("gram").alias("_context"), F.col("n").alias("size"))
     rows = (
@@ -350,17 +353,19 @@ def grow(
         return level
     seen = pairs.select(longer_column(F.col("token"), F.col("context")).alias("gram"), "n")
     shared = spark.sparkContext.broadcast((bitmap(seen.select("gram")), bitmap(level.where("open").select("gram"))))
-    counts = scratch.store(counts_of(docs, lambda h, g: _triples(h, g, *shared.value), 2).where("n > 1"), "triples")
+    triples = scratch.store(counts_of(docs, lambda h, g: _triples(h, g, *shared.value), 2).where("n > 1"), "triples")
     shared.destroy()
     sizes = seen.select(F.col("gram").alias("_context"), F.col("n").alias("size"))
-    rows = counts.join(sizes, F.col("context") == F.col("_context")).join(open_before(level), F.col("shorter") == F.col("_gram"))
+    rows = triples.join(sizes, F.col("context") == F.col("_context")).join(open_before(level), F.col("shorter") == F.col("_gram"))
     level = settle(rows.select("k", "gram", "context", "size", "n", "p", "base", "last"), scratch, price)
+    scratch.drop(triples)
     scratch.drop(counts)
     levels.append(level)
     gates: list[tuple[int, np.ndarray]] = []
     k = 2
     while not level.where(f"open AND k = {k}").isEmpty():
-        upto = 4 * k
+        # Most contexts end early, so the first steps are small.
+        upto = {2: 3, 3: 6}.get(k, 4 * k)
         contexts = level.where(f"open AND k = {k}").select("context")
         gates = [*gates[:1], (k, bitmap(contexts))]
         shared = spark.sparkContext.broadcast(gates)
@@ -557,13 +562,12 @@ def _score(docs, id_col, text_col, held_out, frequent, pseudo, price, room, held
     )
     learnt = named.where(~F.col("held_out"))
     counts = scratch.store(pair_counts(learnt).where("word IS NOT NULL AND n > 0 OR n > 1"), "counts")
-    words = counts.where("word IS NOT NULL").select("word", F.col("n").alias("c"))
+    words = scratch.store(counts.where("word IS NOT NULL").select("word", F.col("n").alias("c")), "words")
     sizes = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = sizes["n"] or 0, sizes["v"]
     norm = n + pseudo * (v + 1)
-    pairs = counts.where("word IS NULL").select("context", "token", "n")
     hashed = words.select(F.xxhash64("word").alias("gram"), F.col("c").alias("n"))
-    states = grow(learnt, pairs, hashed, norm, pseudo, scratch, price, held)
+    states = grow(learnt, counts, hashed, norm, pseudo, scratch, price, held)
     tree, depth, rest = hold(states, scratch, room)
     top = words.where(F.col("c") >= max(2.0, frequent * n)).toArrow()
     known = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
