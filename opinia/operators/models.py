@@ -4,13 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LinearSVC,
-    LogisticRegression,
-    NaiveBayes,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +12,7 @@ from pyspark.sql import functions as F
 from opinia.operators.insight import class_counts
 from opinia.operators.joins import lookup_join
 from opinia.operators.terms import term_counts
+from opinia.operators.trees import SparseDecisionTree, SparseRandomForest
 from opinia.session import materialize
 
 SEED = 31415
@@ -25,15 +20,15 @@ SEED = 31415
 # A new estimator on every call, so that no two pipelines share a stage.
 ESTIMATORS: dict[str, Callable] = {
     "lr": LogisticRegression,
-    "dt": DecisionTreeClassifier,
+    "dt": SparseDecisionTree,
     "nb": NaiveBayes,
-    "rf": RandomForestClassifier,
+    "rf": SparseRandomForest,
     "svc": LinearSVC,
 }
 
 
 def estimator(name: str, **params):
-    """A fresh Spark ML classifier: lr, dt, nb, rf or svc."""
+    """A fresh classifier with Spark ML's parameters: lr, dt, nb, rf or svc."""
     if name not in ESTIMATORS:
         raise ValueError(f"unknown model {name!r}; known: {', '.join(ESTIMATORS)}")
     return ESTIMATORS[name](**params)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -21,6 +22,7 @@ from opinia.operators.evaluate import accuracy, auc
 from opinia.operators.features import STRATEGIES, cleaning_stages, vector_stages
 from opinia.operators.models import SEED, estimator, hash_bucket, split_column
 from opinia.operators.sparse import scaled
+from opinia.operators.trees import SparseDecisionTree
 from opinia.session import exists, materialize, scratch_dir
 from opinia.sources.reviews import RESULT_SCHEMA, results_frame, write_results
 
@@ -36,11 +38,10 @@ USABLE_DEPTHS = [10, 30]
 
 def param_grid(model) -> list[dict]:
     """The grid for a logistic regression or a decision tree; one empty point otherwise."""
-    name = type(model).__name__
     grid = ParamGridBuilder()
-    if name == "LogisticRegression":
+    if isinstance(model, LogisticRegression):
         grid = grid.addGrid(model.regParam, LR_REG_PARAM).addGrid(model.maxIter, LR_MAX_ITER)
-    elif name == "DecisionTreeClassifier":
+    elif isinstance(model, DecisionTreeClassifier):
         grid = grid.addGrid(model.maxBins, DT_MAX_BINS).addGrid(model.maxDepth, USABLE_DEPTHS)
     return grid.build()
 
@@ -210,6 +211,8 @@ def tune_resumed(
     place = {describe(p): f"{base}/{hashlib.md5(describe(p).encode()).hexdigest()}" for p in points}
     known = {name: path for name, path in place.items() if exists(spark, f"{path}/_SUCCESS")}
     score = evaluator()
+    # A deep tree holds the shallow ones.
+    model = model.sharing() if isinstance(model, SparseDecisionTree) else model
 
     def finish(point: dict) -> None:
         name = describe(point)
