@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from opinia.operators.insight import class_counts
 from opinia.operators.joins import lookup_join
 from opinia.operators.terms import term_counts
-from opinia.operators.trees import SparseDecisionTree, SparseRandomForest
+from opinia.operators.trees import SparseDecisionTree
 from opinia.session import materialize
 
 SEED = 31415
@@ -22,7 +22,7 @@ ESTIMATORS: dict[str, Callable] = {
     "lr": LogisticRegression,
     "dt": SparseDecisionTree,
     "nb": NaiveBayes,
-    "rf": SparseRandomForest,
+    "rf": RandomForestClassifier,
     "svc": LinearSVC,
 }
 

@@ -304,14 +304,14 @@ def experiment_matrix(
     num_features: int = 1 << 18,
     search: str | None = None,
     num_bins: int = 0,
-    parallelism: int = 3,
+    parallelism: int = 1,
 ) -> DataFrame:
     """``(pipeline, model, params, metric, value)`` for each strategy and model.
 
     ``models`` maps a model name to its parameters. Spelling and lemmas are learned from
     the training part and applied once for all strategies; features are fitted once per
-    strategy and kept for all models on it; ``parallelism`` strategies run at a time. AUC is
-    reported on both parts, under its name.
+    strategy and kept for all models on it; ``parallelism`` strategies run at a time, each of which
+    holds coefficients of its learners on the driver. AUC is reported on both parts, under its name.
     """
     spark = train.sparkSession
     models = {"lr": {}, "dt": {}} if models is None else models
