@@ -409,12 +409,13 @@ class TreeModel(Model):
             votes = nodes["counts"][descend(nodes, len(sizes), right)]
             return pa.FixedSizeListArray.from_arrays(pa.array(votes.ravel()), 2).cast(pa.list_(pa.float64()))
 
+        # Stored, since an aggregate over the result would take the function in, where it cannot be run.
+        voted = materialize(df.withColumn("_votes", raw("features")), "votes")
         votes = F.col("_votes")
         total = votes[0] + votes[1]
         share = F.when(total > 0, F.array(votes[0] / total, votes[1] / total)).otherwise(votes)
         return (
-            df.withColumn("_votes", raw("features"))
-            .withColumn("rawPrediction", array_to_vector(votes))
+            voted.withColumn("rawPrediction", array_to_vector(votes))
             .withColumn("probability", array_to_vector(share))
             .withColumn("prediction", (votes[1] > votes[0]).cast("double"))
             .drop("_votes")
