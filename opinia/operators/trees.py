@@ -154,6 +154,35 @@ def binned(vectors: DataFrame, starts: np.ndarray, limits: np.ndarray, zero: np.
     return materialize(found, "binned")
 
 
+#: Documents in blocks: how many, with label 1, entries of all; labels, entries per document, features and bins as arrays.
+BLOCK = "n long, ones long, held long, label binary, width binary, index binary, bin binary"
+BLOCK_KINDS = {"label": np.int8, "width": np.int32, "index": np.int32, "bin": np.int32}
+
+
+def in_blocks(stored: DataFrame) -> DataFrame:
+    """The table of :func:`binned` with many documents a row, stored, as every level reads it whole."""
+
+    def width(batch):
+        return batch.column("index").value_lengths().to_numpy(zero_copy_only=False)
+
+    def pack(batches):
+        for batch in chunks(batches, width):
+            arrays = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("index", "bin")}
+            arrays |= {"width": width(batch), "label": batch.column("label").to_numpy(zero_copy_only=False)}
+            sums = (batch.num_rows, arrays["label"].sum(), len(arrays["index"]))
+            columns = [pa.array([int(n)], pa.int64()) for n in sums]
+            columns += [pa.array([arrays[c].astype(kind).tobytes()], pa.binary()) for c, kind in BLOCK_KINDS.items()]
+            yield pa.RecordBatch.from_arrays(columns, ["n", "ones", "held", *BLOCK_KINDS])
+
+    return materialize(stored.mapInArrow(pack, BLOCK), "blocks")
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The arrays of the blocks of :func:`in_blocks`, one block at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield [np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in BLOCK_KINDS.items()]
+
 
 def gini(n0, n1):
     total = np.maximum(n0 + n1, 1)
@@ -231,12 +260,21 @@ class Sorted:
         return np.where(self.keys[at] == wanted, self.value[at], default)
 
 
-def best_splits(place, bin, n0, n1, held: dict) -> pa.RecordBatch:
-    """The best split of every slot among some of its features, all of whose counts are here."""
+def added(code: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct codes in order, and the sums of each of the counts by code."""
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
+    return code[first], *(np.add.reduceat(n[order], first) if len(first) else n for n in counts)
+
+
+def best_splits(code, n0, n1, held: dict) -> pa.RecordBatch:
+    """The best split of every slot among some of its features, all of whose counts are here; a ``code`` is
+    slot, feature and bin in one number."""
     size, bins = held["size"], held["bins"]
-    code, inverse = np.unique(place * bins + bin, return_inverse=True)
-    n0, n1 = np.bincount(inverse, n0), np.bincount(inverse, n1)
-    group, start = np.unique(code // bins, return_index=True)
+    code, n0, n1 = added(code, n0.astype(float), n1.astype(float))
+    start = np.flatnonzero(np.r_[True, np.diff(code // bins) != 0][: len(code)])
+    group = code[start] // bins
     # The documents that lack the feature.
     rest0 = held["n0"][group // size] - np.add.reduceat(n0, start)
     rest1 = held["n1"][group // size] - np.add.reduceat(n1, start)
@@ -244,7 +282,8 @@ def best_splits(place, bin, n0, n1, held: dict) -> pa.RecordBatch:
     code = np.concatenate([code, (group * bins + held["zero"][group % size])[some]])
     order = np.argsort(code, kind="stable")
     code, n0, n1 = code[order], np.concatenate([n0, rest0[some]])[order], np.concatenate([n1, rest1[some]])[order]
-    start, inverse = np.unique(code // bins, return_index=True, return_inverse=True)[1:]
+    first = np.r_[True, np.diff(code // bins) != 0][: len(code)]
+    start, inverse = np.flatnonzero(first), np.cumsum(first) - 1
     left0, left1 = np.cumsum(n0), np.cumsum(n1)
     left0, left1 = (s - (s[start] - n[start])[inverse] for s, n in ((left0, n0), (left1, n1)))
     slot = code // bins // size
@@ -266,7 +305,8 @@ def best_splits(place, bin, n0, n1, held: dict) -> pa.RecordBatch:
 class Growth:
     """A tree on ``(..., label, features)`` that grows a level at a time, and can be taken at any depth.
 
-    The driver and every task hold the thresholds, the zero bins and the nodes; nothing else.
+    The driver and every task hold the thresholds, the zero bins and the nodes; nothing else. ``counts`` gives the
+    :func:`value_counts` of the vectors where they may be known.
     """
 
     def __init__(
@@ -275,6 +315,7 @@ class Growth:
         max_bins: int,
         min_instances: int = 1,
         min_gain: float = 0.0,
+        counts: Callable[[], DataFrame] | None = None,
     ) -> None:
         self.least = (min_instances, min_gain)
         vectors = vectors.withColumn("label", F.col("label").cast("double"))
@@ -285,15 +326,18 @@ class Growth:
         if not facts["n"]:
             raise ValueError("trees need documents")
         self.size = size = vector_size(vectors)
-        self.starts, self.limits = thresholds(value_counts(vectors), facts["n"], max_bins, size)
+        self.starts, self.limits = thresholds(counts() if counts else value_counts(vectors), facts["n"], max_bins, size)
         zero = bins_of(np.arange(size), np.zeros(size), self.starts, self.limits)
         bins = int(np.diff(self.starts).max(initial=0)) + 1
-        self.stored = own_session(binned(vectors, self.starts, self.limits, zero))
+        self.stored = own_session(in_blocks(binned(vectors, self.starts, self.limits, zero)))
         self.steady = vectors.sparkSession.sparkContext.broadcast((zero, size, bins))
         self.tree, self.depth = Tree(), 0
-        sizes = {r["label"]: r["n"] for r in self.stored.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        facts = self.stored.agg(F.sum("n") - F.sum("ones"), F.sum("ones"), F.sum("held")).first()
+        #: Parts of the counts, so many that one is small; a level has no more counts than there are entries.
+        parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = max(4 * parts, facts[2] // (CHUNK // 8))
         #: Nodes to split.
-        self.open = [self.tree.add(sizes.get(0, 0), sizes.get(1, 0))]
+        self.open = [self.tree.add(facts[0], facts[1])]
 
     def at(self, depth: int) -> Tree:
         """The pruned tree of a depth; grows what is missing."""
@@ -307,7 +351,7 @@ class Growth:
         if not self.open:
             return
         following = []
-        for r in _level(self.stored, self.tree, self.open, self.steady, *self.least):
+        for r in _level(self.stored, self.tree, self.open, self.steady, self.buckets, *self.least):
             limit = float(self.limits[self.starts[r["index"]] + r["bin"]])
             following += self.tree.split(self.open[r["slot"]], r["index"], r["bin"], limit, r["n0"], r["n1"])
         self.open = following
@@ -318,67 +362,89 @@ def own_session(stored: DataFrame) -> DataFrame:
     is a hundred small queries, whose files would otherwise stay until the driver collects garbage."""
     spark = stored.sparkSession
     own = spark.newSession()
+    # Rows of packed counts are large.
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.execution.arrow.maxRecordsPerBatch"):
         own.conf.set(name, spark.conf.get(name))
     own.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return own.read.schema(stored.schema).parquet(*stored.inputFiles())
 
 
-def _level(stored, tree, open_nodes, steady, min_instances, min_gain) -> list:
+def _level(stored, tree, open_nodes, steady, buckets, min_instances, min_gain) -> list:
     """The best split of each open node that has one."""
     slot_of = np.full(len(tree.counts), -1)
     slot_of[open_nodes] = np.arange(len(open_nodes))
     n0, n1 = (np.array([tree.counts[node][k] for node in open_nodes], dtype=float) for k in (0, 1))
     here = stored.sparkSession.sparkContext.broadcast((tree.arrays(), slot_of, n0, n1))
 
-    def width(batch):
-        return batch.column("index").value_lengths().to_numpy(zero_copy_only=False)
-
     def count(batches):
         nodes, slot_of, _, _ = here.value
         zero, size, bins = steady.value
-        for batch in chunks(batches, width):
-            index = batch.column("index").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            value = batch.column("bin").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            row = np.repeat(np.arange(batch.num_rows), width(batch))
-            label = batch.column("label").to_numpy(zero_copy_only=False) == 1
+        for label, width, index, value in blocks(batches):
+            index, value = index.astype(np.int64), value.astype(np.int64)
+            row = np.repeat(np.arange(len(width)), width)
             known = Sorted(row, index, value, size)
+
             def right(rows, at):
                 f = nodes["feature"][at]
                 return known.get(rows, f, zero[f]) > nodes["bin"][at]
 
-            slot = slot_of[descend(nodes, batch.num_rows, right)][row]
+            slot = slot_of[descend(nodes, len(width), right)][row]
             use = slot >= 0
-            code, inverse = np.unique((slot[use] * size + index[use]) * bins + value[use], return_inverse=True)
-            both = np.bincount(inverse, minlength=len(code))
-            ones = np.bincount(inverse, label[row[use]], len(code)).astype(np.int64)
-            columns = [pa.array(code // bins), pa.array((code % bins).astype(np.int32))]
-            columns += [pa.array(n.astype(np.int32)) for n in (both - ones, ones)]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "bin", "n0", "n1"])
+            # Numbers alone are sorted several times faster than their order is found.
+            marked = np.sort(((slot[use] * size + index[use]) * bins + value[use]) * 2 + label[row[use]])
+            first = np.flatnonzero(np.r_[True, marked[1:] != marked[:-1]][: len(marked)])
+            n = np.diff(np.r_[first, len(marked)])
+            marked = marked[first]
+            ones = np.where(marked % 2 == 1, n, 0)
+            code, zeros, ones = added(marked // 2, n - ones, ones)
+            yield from packed(code, zeros.astype(np.int32), ones.astype(np.int32), bins, buckets)
 
     def choose(batches):
         _, _, n0, n1 = here.value
         zero, size, bins = steady.value
         held = {"size": size, "bins": bins, "zero": zero, "n0": n0, "n1": n1, "least": min_instances, "least_gain": min_gain}
-        left = None
-        for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("place", "bin", "n0", "n1")])
-            rows = rows if left is None else np.concatenate([left, rows], axis=1)
-            # The last feature of a node may go on in the next batch.
-            cut = np.searchsorted(rows[0], rows[0][-1]) if rows.shape[1] else 0
-            if cut:
-                yield best_splits(*rows[:, :cut], held)
-            left = rows[:, cut:]
-        if left is not None and left.shape[1]:
-            yield best_splits(*left, held)
-
-    counted = stored.mapInArrow(count, "place long, bin int, n0 int, n1 int")
-    dealt = counted.repartition("place").sortWithinPartitions("place")
+        for code, zeros, ones in whole_buckets(batches):
+            if len(code):
+                yield best_splits(code, zeros, ones, held)
+
+    dealt = stored.mapInArrow(count, "bucket int, code binary, n0 binary, n1 binary")
+    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
     found = dealt.mapInArrow(choose, "slot int, gain double, index int, bin int, n0 long, n1 long")
     first = F.min(F.struct((-F.col("gain")).alias("g"), "index", "bin", "n0", "n1")).alias("s")
-    rows = found.groupBy("slot").agg(first).select("slot", "s.*").orderBy("slot").collect()
+    rows = found.groupBy("slot").agg(first).select("slot", "s.*").collect()
     here.unpersist()
-    return rows
+    return sorted(rows, key=lambda r: r["slot"])
+
+
+def packed(code: np.ndarray, n0: np.ndarray, n1: np.ndarray, bins: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """``(bucket, code, n0, n1)``: the counts as arrays, a row a bucket, so that a shuffle moves few rows. A
+    bucket has all counts of its slots and features."""
+    bucket = code // bins % buckets
+    # Short numbers are sorted by digits.
+    bucket = bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    # An empty part is no row.
+    parts = np.split(order, cuts) if len(order) else []
+    columns = [pa.array([int(bucket[part[0]]) for part in parts], pa.int32())]
+    columns += [pa.array([numbers[part].tobytes() for part in parts], pa.binary()) for numbers in (code, n0, n1)]
+    yield pa.RecordBatch.from_arrays(columns, ["bucket", "code", "n0", "n1"])
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The counts of some whole buckets at a time, from :func:`packed` rows sorted by bucket."""
+    kinds, held, last, n = (np.int64, np.int32, np.int32), ([], [], []), None, 0
+    for batch in batches:
+        for bucket, *blobs in zip(*(batch.column(c).to_pylist() for c in ("bucket", "code", "n0", "n1"))):
+            if bucket != last and n >= CHUNK:
+                yield tuple(np.concatenate(h) for h in held)
+                held, n = ([], [], []), 0
+            for h, blob, kind in zip(held, blobs, kinds):
+                h.append(np.frombuffer(blob, kind))
+            last, n = bucket, n + len(held[0][-1])
+    if n:
+        yield tuple(np.concatenate(h) for h in held)
 
 
 def vector_size(vectors: DataFrame) -> int:
@@ -452,7 +518,15 @@ class SparseDecisionTree(ml.DecisionTreeClassifier):
         with self._lock:
             shared = {} if self._shared is None else self._shared
             growing, found = shared.setdefault(settings, (threading.Lock(), []))
+            counting, counted = shared.setdefault("counts", (threading.Lock(), []))
+
+        def counts() -> DataFrame:
+            with counting:
+                if not counted:
+                    counted.append(value_counts(dataset))
+            return counted[0]
+
         with growing:
             if not found:
-                found.append(Growth(dataset, settings[0], min_instances=settings[1], min_gain=settings[2]))
+                found.append(Growth(dataset, settings[0], settings[1], settings[2], counts))
             return TreeModel(found[0].at(self.getMaxDepth()), found[0].size)

@@ -95,3 +95,28 @@ def test_other_labels_and_settings_are_errors(spark):
         models.estimator("dt").fit(df.where("doc_id < 0"))
     with pytest.raises(ValueError):
         models.estimator("dt", impurity="entropy").fit(df)
+
+
+def test_counts_move_in_few_rows():
+    rng = np.random.default_rng(3)
+    code = np.unique(rng.integers(0, 5000, 4000))
+    n0, n1 = (rng.integers(1, 9, len(code)).astype(np.int32) for _ in range(2))
+    rows = list(trees.packed(code, n0, n1, bins=10, buckets=7))
+    assert [b.num_rows for b in rows] == [7]
+    # Two tasks with the same counts, sorted by bucket as after the shuffle.
+    both = pa.Table.from_batches(rows * 2).sort_by("bucket").combine_chunks().to_batches(max_chunksize=3)
+    parts = list(trees.whole_buckets(both))
+    found, zeros, ones = trees.added(*(np.concatenate(c) for c in zip(*parts)))
+    assert (found == code).all() and (zeros == 2 * n0).all() and (ones == 2 * n1).all()
+    assert list(trees.packed(code[:0], n0[:0], n1[:0], 10, 7))[0].num_rows == 0
+    assert list(trees.whole_buckets([])) == []
+
+
+def test_shared_fits_count_values_once(spark, monkeypatch):
+    df = vectors(spark, 60)
+    made, counts = [], trees.value_counts
+    monkeypatch.setattr(trees, "value_counts", lambda *a: made.append(1) or counts(*a))
+    dt = models.estimator("dt").sharing()
+    for bins in (4, 12):
+        dt.fit(df, {dt.maxBins: bins, dt.maxDepth: 3})
+    assert len(made) == 1
