@@ -164,24 +164,31 @@ def neighbours(df: DataFrame, tokens: str = "tokens", min_length: int = 0) -> Da
     """``(doc_id, i, sent, pos, prev, token, next)``: each token of some length with its
     neighbours in the same sentence, read from the array, so no window is needed."""
 
-    def with_neighbours(ts):
-        def place(t, i):
-            # The token just before position 0 and past the end is null.
-            before = F.when(i > 0, F.get(ts, i - 1))
-            after = F.get(ts, i + 1)
-            found = F.struct(
-                i.cast("int").alias("i"),
-                t["sent"].alias("sent"),
-                t["pos"].alias("pos"),
-                F.when(before["sent"] == t["sent"], before["result"]).alias("prev"),
-                t["result"].alias("token"),
-                F.when(after["sent"] == t["sent"], after["result"]).alias("next"),
-            )
-            return found if min_length <= 1 else F.when(F.length(t["result"]) >= min_length, found)
-
-        return F.transform(ts, place)
-
-    return rows.inline(df, ["doc_id"], X.let(F.col(tokens), with_neighbours), "token")
+    # Shifted lists beside each other; a function of each element would run outside generated code.
+    words, sents = F.col(f"{tokens}.result"), F.col(f"{tokens}.sent")
+    shifted = lambda values, kind: F.concat(F.array(F.lit(None).cast(kind)), values)
+    following = lambda values: F.slice(values, 2, F.greatest(F.size(values), F.lit(0)))
+    lists = {
+        "token": words,
+        "sent": sents,
+        "pos": F.col(f"{tokens}.pos"),
+        "_prev": shifted(words, "string"),
+        "_prev_sent": shifted(sents, "int"),
+        "_next": following(words),
+        "_next_sent": following(sents),
+    }
+    zipped = F.arrays_zip(*[values.alias(name) for name, values in lists.items()])
+    places = df.select("doc_id", F.posexplode_outer(zipped).alias("i", "_t")).select("doc_id", "i", "_t.*")
+    # The lists that begin with null are longer by one.
+    return places.where(F.col("token").isNotNull() & (F.length("token") >= min_length)).select(
+        "doc_id",
+        "i",
+        "sent",
+        "pos",
+        F.when(F.col("_prev_sent") == F.col("sent"), F.col("_prev")).alias("prev"),
+        "token",
+        F.when(F.col("_next_sent") == F.col("sent"), F.col("_next")).alias("next"),
+    )
 
 
 def bigram_lm(df: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -31,14 +31,16 @@ def term_freq(df: DataFrame, words: str = "words") -> DataFrame:
 def term_stats(df: DataFrame, words: str = "words") -> DataFrame:
     """``(token, df, n)``: documents that hold a token, and occurrences.
 
-    Each document contributes one row per distinct token, so the document frequency is a
-    plain count with map-side combining, not a distinct count.
+    A document's tokens are sorted inside its row, and each is beside the one before it, so the first of
+    its kind counts for the document frequency: plain counts with map-side combining, no distinct count.
     """
-    return (
-        term_counts(df.select("doc_id", words), words)
-        .groupBy("token")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("n"))
-    )
+    ordered = F.sort_array(words)
+    before = F.concat(F.array(F.lit(None).cast("string")), ordered)
+    pairs = F.arrays_zip(ordered.alias("token"), before.alias("before"))
+    # The second list is longer by one.
+    places = rows.inline(df, [], pairs, "token")
+    first = F.col("before").isNull() | (F.col("before") != F.col("token"))
+    return places.groupBy("token").agg(F.count_if(first).alias("df"), F.count("*").alias("n"))
 
 
 def idf_column(df: Column, n_docs: int) -> Column:

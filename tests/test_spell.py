@@ -240,3 +240,16 @@ def test_keys_do_not_multiply_inside_a_row(spark):
     keys = df.select(X.edit_keys(F.col("token"), True, True).alias("k")).first()["k"]
     # One deletion, the token itself, the token from swapping equal letters, four blanks.
     assert len(keys) == len(set(keys)) == 7
+
+
+def test_neighbours_are_read_without_a_function_of_each_token(spark, capsys):
+    docs = spark.createDataFrame([(1, "one two. three four five"), (2, ""), (3, "six")], "doc_id long, text string")
+    stored = materialize(tokens.annotate(docs).select("doc_id", "tokens"), "annotated")
+    found = spell.neighbours(stored)
+    found.explain()
+    assert "lambda" not in capsys.readouterr().out
+    rows = sorted((r["doc_id"], r["i"], r["sent"], r["pos"], r["prev"], r["token"], r["next"]) for r in found.collect() if r["i"])
+    assert rows[0] == (1, 1, 0, 1, "one", "two", None)
+    assert sorted(r["token"] for r in found.collect() if r["prev"] is None) == ["one", "six", "three"]
+    assert found.count() == 6
+    assert sorted(r["token"] for r in spell.neighbours(stored, min_length=4).collect()) == ["five", "four", "three"]

@@ -146,3 +146,11 @@ def test_heavy_keys_are_few_and_none_when_even(spark):
     uneven = spark.createDataFrame([("a", 100), ("b", 90), ("c", 1)], "token string, n long")
     found = {r["token"]: r["_slices"] for r in joins.heavy_keys(uneven, ["token"], "n").collect()}
     assert set(found) == {"a", "b"} and sum(found.values()) <= 2 * 4
+
+
+def test_term_stats_need_no_function_of_each_token(spark, capsys):
+    rows = [(1, ["b", "a", "b"]), (2, ["a"]), (3, []), (4, None), (5, ["", "a", ""])]
+    found = terms.term_stats(spark.createDataFrame(rows, "doc_id long, words array<string>"))
+    found.explain()
+    assert "lambda" not in capsys.readouterr().out
+    assert {r["token"]: (r["df"], r["n"]) for r in found.collect()} == {"a": (3, 3), "b": (1, 2), "": (1, 2)}
