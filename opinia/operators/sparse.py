@@ -22,6 +22,8 @@ from opinia.operators.joins import lookup_join
 from opinia.operators.terms import idf_column, vocabulary
 from opinia.session import materialize
 
+#: Weights are broadcast up to so many rows, and no more bytes than other lookups.
+WEIGHT_ROWS = 1 << 20
 #: The kind of a sparse vector in the storage form of Spark ML.
 SPARSE = 0
 
@@ -84,7 +86,8 @@ def weighted(counts: DataFrame, inside: str, n_docs: int, by: Sequence[str], ind
         F.sum(F.when(F.expr(inside), F.lit(1)).otherwise(0)).alias("df"), F.count("*").alias("rows")
     )
     learned = materialize(learned, "index-df")
-    known = lookup_join(counts, learned.drop("rows"), by, "inner", ["doc_id"], learned, "rows")
+    # One row for each bucket and setting, whatever the corpus, so a larger one than others is broadcast.
+    known = lookup_join(counts, learned.drop("rows"), by, "inner", ["doc_id"], learned, "rows", WEIGHT_ROWS)
     return known.withColumn("tf_idf", F.col("tf") * idf_column(F.col("df"), n_docs))
 
 
