@@ -260,3 +260,16 @@ def test_stopped_search_goes_on_where_it_was(labelled, tmp_path, monkeypatch):
     # Other data are another search.
     select.tune_resumed(vectors.where("doc_id <> 3"), dt, **(settings | {"points": points[:1]}))
     assert len(fitted) == 7
+
+
+def test_weights_of_all_buckets_move_no_counts(spark, capsys):
+    # One row a bucket, more buckets than other lookups may have rows.
+    n = 220_000
+    counts = spark.range(n).selectExpr("id AS doc_id", "'a' AS strategy", "CAST(id AS int) AS bucket", "2L AS tf")
+    found = sparse.weighted(counts, "doc_id < 10", 10, ["strategy"], "bucket")
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    some = {r["bucket"]: r["tf_idf"] for r in found.where("bucket in (3, 219999)").collect()}
+    assert found.count() == n
+    assert some == pytest.approx({3: 2 * math.log(11 / 2), 219999: 2 * math.log(11)})
