@@ -56,7 +56,7 @@ def chunks(batches: Iterator[pa.RecordBatch], width: Callable) -> Iterator[pa.Re
                 yield batch.slice(a, b - a)
 
 
-def _vector_width(batch: pa.RecordBatch) -> np.ndarray:
+def vector_width(batch: pa.RecordBatch) -> np.ndarray:
     values = batch.column("features").field("values")
     return values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
 
@@ -65,7 +65,7 @@ def value_counts(vectors: DataFrame) -> DataFrame:
     """``(index, value, n)`` of all entries but zeros, stored."""
 
     def count(batches):
-        for batch in chunks(batches, _vector_width):
+        for batch in chunks(batches, vector_width):
             _, index, value = entries(batch.column("features"))
             order = np.lexsort((value, index))
             index, value = index[order], value[order]
@@ -140,7 +140,7 @@ def binned(vectors: DataFrame, starts: np.ndarray, limits: np.ndarray, zero: np.
 
     def place(batches):
         starts, limits, zero = held.value
-        for batch in chunks(batches, _vector_width):
+        for batch in chunks(batches, vector_width):
             sizes, index, value = entries(batch.column("features"))
             bins = bins_of(index, value, starts, limits)
             kept = bins != zero[index]

@@ -17,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinia.operators import logistic
 from opinia.operators.bayes import SMOOTHING, fold_scores, strategy_scores
 from opinia.operators.evaluate import accuracy, auc
 from opinia.operators.features import STRATEGIES, cleaning_stages, vector_stages
@@ -68,6 +69,22 @@ def coefficients(spark, model) -> DataFrame:
     return materialize(spark.createDataFrame(table), "coefficients")
 
 
+def margin_values(scores: dict[int, DataFrame], n_points: int, parallelism: int) -> dict[int, list[float]]:
+    """The area under ROC of every point in each fold, from :func:`opinia.operators.logistic.search`."""
+    jobs = [(f, i) for f in scores for i in range(n_points)]
+    if not jobs:
+        return {}
+    spark = scores[jobs[0][0]].sparkSession
+
+    def value(job):
+        f, i = job
+        return float(evaluator().setRawPredictionCol(f"m{i}").evaluate(scores[f].select("label", f"m{i}")))
+
+    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+        values = pool.map(inheritable_thread_target(spark)(value), jobs, chunksize=1)
+    return {f: [v for (g, _), v in zip(jobs, values) if g == f] for f in scores}
+
+
 def tune_refit(
     vectors: DataFrame,
     fold_df: DataFrame,
@@ -85,29 +102,41 @@ def tune_refit(
     document frequencies without each fold (:func:`opinia.operators.sparse.leave_out_df`). A
     fold's weights come from its own rows of that table, so neither the text nor the vectors are
     read again to fit them, and its documents have no part in them. The driver holds one array
-    of ``num_features`` numbers for each fold.
+    of ``num_features`` numbers for each fold. A logistic regression's points and folds are fitted
+    together (:mod:`opinia.operators.logistic`).
     """
     spark = vectors.sparkSession
     points = list(points or param_grid(model))
     sizes = {r["fold"]: r["n"] for r in vectors.groupBy("fold").agg(F.count("*").alias("n")).collect()}
-    score = evaluator()
-    jobs = []
-    for f in range(folds):
-        found = fold_df.where(F.col("fold") == f).select(index, "df").toArrow()
+    found = fold_df.select("fold", index, "df").toArrow()
+    of_fold, at, counted = (found.column(c).to_numpy() for c in ("fold", index, "df"))
+
+    def weights(f: int) -> np.ndarray:
         df = np.zeros(num_features)
-        df[found.column(index).to_numpy()] = found.column("df").to_numpy()
+        df[at[of_fold == f]] = counted[of_fold == f]
         n_docs = sum(n for g, n in sizes.items() if g != f)
-        weighted = scaled(vectors, np.log((n_docs + 1) / (df + 1)))
-        fits = model.fitMultiple(weighted.where(F.col("fold") != f), points)
-        jobs += [(f, fits, weighted.where(F.col("fold") == f))] * len(points)
-
-    def next_value(job):
-        f, fits, check_on = job
-        at, fitted = next(fits)
-        return at, f, float(score.evaluate(fitted.transform(check_on)))
+        return np.log((n_docs + 1) / (df + 1))
 
-    with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        values = pool.map(inheritable_thread_target(spark)(next_value), jobs, chunksize=1)
+    parts = logistic.class_sizes(vectors, range(folds)) if logistic.shares(model, points) else None
+    if parts:
+        scores = logistic.search(vectors, model, points, parts, num_features, weights)
+        by_fold = margin_values(scores, len(points), parallelism)
+        values = [(i, f, v) for f, own in by_fold.items() for i, v in enumerate(own)]
+    else:
+        score = evaluator()
+        jobs = []
+        for f in range(folds):
+            weighted = scaled(vectors, weights(f))
+            fits = model.fitMultiple(weighted.where(F.col("fold") != f), points)
+            jobs += [(f, fits, weighted.where(F.col("fold") == f))] * len(points)
+
+        def next_value(job):
+            f, fits, check_on = job
+            at, fitted = next(fits)
+            return at, f, float(score.evaluate(fitted.transform(check_on)))
+
+        with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
+            values = pool.map(inheritable_thread_target(spark)(next_value), jobs, chunksize=1)
     means = [float(np.mean([v for at, _, v in values if at == i])) for i in range(len(points))]
     best = means.index(max(means))
     rows = [(describe(points[at]), str(f), "auc", v, at == best) for at, f, v in sorted(values)]
