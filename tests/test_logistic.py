@@ -41,6 +41,23 @@ def test_paths_equal_the_fits_of_spark_ml(vectors, tol, points):
             assert sorted(got) == pytest.approx(sorted(r[0][1] for r in expected), abs=1e-9)
 
 
+def test_points_and_folds_share_their_passes(vectors, monkeypatch):
+    passes = []
+    losses = logistic.losses
+    monkeypatch.setattr(logistic, "losses", lambda *args: passes.append(1) or losses(*args))
+    lr = models.estimator("lr")
+    rows, best = select.tune(vectors.drop("fold"), lr, how="cv", folds=3)
+    # 8 points in 3 folds ask for 25 iterations at most.
+    assert 1 < len(passes) <= 40
+    values = {r["params"]: r["value"] for r in rows.collect()}
+    assert len(values) == 8 and best.numFeatures == WIDTH
+    folded = vectors.drop("fold").withColumn("fold", models.hash_bucket("doc_id", models.SEED, 3).cast("int"))
+    point = {lr.maxIter: 10, lr.regParam: 0.01}
+    area = BinaryClassificationEvaluator(numBins=0)
+    expected = [area.evaluate(lr.fit(folded.where(f"fold <> {f}"), point).transform(folded.where(f"fold = {f}"))) for f in range(3)]
+    assert values[select.describe(point)] == pytest.approx(np.mean(expected), abs=1e-9)
+
+
 def test_weights_without_a_document_count_as_nothing(vectors):
     """A weight of zero takes a feature out; any other is undone by the scaling, as Spark ML's is."""
     lr = models.estimator("lr")
