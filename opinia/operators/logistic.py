@@ -38,9 +38,11 @@ CONSTANT = 1e-11
 #: Columns of a sum that move together.
 SLICE = 1 << 14
 
-#: Documents of one fold in blocks: labels, entries per document, features and values as arrays.
-BLOCK_KINDS = {"label": np.int8, "width": np.int32, "index": np.int32, "value": np.float64}
-BLOCK = ", ".join(["fold int", *(f"{c} binary" for c in BLOCK_KINDS)])
+#: Documents of one fold in blocks: labels, entries per document, features and values as arrays; values by the first
+#: of some kinds that holds all of them exactly, as a pass reads whole blocks, and most counts are small.
+BLOCK_KINDS = {"label": np.int8, "width": np.int32, "index": np.int32}
+VALUE_KINDS = ("u1", "f4", "f8")
+BLOCK = ", ".join(["fold int", *(f"{c} binary" for c in BLOCK_KINDS), "kind string", "value binary"])
 
 
 def shares(model, points: Sequence[dict]) -> bool:
@@ -71,6 +73,12 @@ def class_sizes(vectors: DataFrame, held_out: Sequence[int]) -> dict[int, tuple[
     return sizes if all(r["label"] in (0.0, 1.0) for r in found) else None
 
 
+def narrowed(value: np.ndarray) -> tuple[str, np.ndarray]:
+    """The values by the first of ``VALUE_KINDS`` that holds them exactly, and its name."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        return next((kind, short) for kind in VALUE_KINDS if ((short := value.astype(kind)) == value).all() or kind == "f8")
+
+
 def in_blocks(vectors: DataFrame) -> DataFrame:
     """``vectors (fold, label, features)`` with many documents of a fold a row, stored. Without a fold there is no place."""
 
@@ -81,9 +89,11 @@ def in_blocks(vectors: DataFrame) -> DataFrame:
             for f in np.unique(fold):
                 of = fold == f
                 kept = np.repeat(of, width)
-                arrays = {"label": label[of], "width": width[of], "index": index[kept], "value": value[kept]}
+                arrays = {"label": label[of], "width": width[of], "index": index[kept]}
                 columns = [pa.array([arrays[c].astype(kind).tobytes()], pa.binary()) for c, kind in BLOCK_KINDS.items()]
-                yield pa.RecordBatch.from_arrays([pa.array([int(f)], pa.int32()), *columns], ["fold", *BLOCK_KINDS])
+                kind, short = narrowed(value[kept])
+                columns = [pa.array([int(f)], pa.int32()), *columns, pa.array([kind]), pa.array([short.tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["fold", *BLOCK_KINDS, "kind", "value"])
 
     known = vectors.where("fold IS NOT NULL").select(F.col("fold").cast("int"), F.col("label").cast("double"), "features")
     return materialize(known.mapInArrow(pack, BLOCK), "blocks")
@@ -93,8 +103,10 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """``(fold, label, width, index, value)`` of one block at a time."""
     for batch in batches:
         for k in range(batch.num_rows):
-            arrays = (np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in BLOCK_KINDS.items())
-            yield batch.column("fold")[k].as_py(), *arrays
+            label, width, index = (np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in BLOCK_KINDS.items())
+            value = np.frombuffer(batch.column("value")[k].as_buffer(), batch.column("kind")[k].as_py())
+            # Stored short; numpy looks up and counts by its own kind of index several times faster.
+            yield batch.column("fold")[k].as_py(), label, width, index.astype(np.intp), value.astype(float)
 
 
 def summed(stored: DataFrame, add: Callable, shape: tuple[int, int]) -> np.ndarray:
@@ -157,7 +169,7 @@ def margins(weights: np.ndarray, intercept: float, width: np.ndarray, index: np.
     some = np.flatnonzero(width)
     if len(some):
         starts = (np.cumsum(width) - width)[some]
-        found[some] += np.add.reduceat(value * weights[index], starts)
+        found[some] += np.add.reduceat(value * weights.take(index), starts)
     return found
 
 

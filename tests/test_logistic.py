@@ -82,3 +82,9 @@ def test_other_learners_and_parts_are_left_to_spark_ml(vectors):
     # One class to learn from: Spark ML's answer, as before.
     rows, _ = select.tune(vectors.drop("fold").where("label = 1"), lr, select.param_grid(lr)[:1], how="tvs")
     assert [r["value"] for r in rows.collect()] == [1.0]
+
+
+@pytest.mark.parametrize("values, kind", [([1.0, 255.0], "u1"), ([0.5, 256.0], "f4"), ([-1.0, 3.0], "f4"), ([0.1], "f8"), ([1e300], "f8"), ([], "u1")])
+def test_values_are_stored_short_but_exactly(values, kind):
+    found, short = logistic.narrowed(np.array(values, dtype=float))
+    assert found == kind and short.astype(float).tolist() == values
