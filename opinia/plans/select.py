@@ -23,7 +23,7 @@ from opinia.operators.evaluate import accuracy, auc
 from opinia.operators.features import STRATEGIES, cleaning_stages, vector_stages
 from opinia.operators.models import SEED, estimator, hash_bucket, split_column
 from opinia.operators.sparse import scaled
-from opinia.operators.trees import SparseDecisionTree, vector_size
+from opinia.operators.trees import SparseDecisionTree
 from opinia.session import exists, materialize, scratch_dir
 from opinia.sources.reviews import RESULT_SCHEMA, results_frame, write_results
 
@@ -161,8 +161,7 @@ def tune(
     table that its first stage reads, and all its stages are fitted inside each part or fold.
     ``rows`` is ``(params, value, is_best)``. ``how='tvs'`` scores once on a held-out part,
     ``how='cv'`` averages over folds. Parts and folds follow the document id, so the search
-    does not depend on the data layout. Ties go to the earlier point. A logistic regression's points and
-    folds are fitted together (:mod:`opinia.operators.logistic`), and the best point once more on all rows.
+    does not depend on the data layout. Ties go to the earlier point.
     """
     points = list(points or param_grid(model.getStages()[-1] if isinstance(model, Pipeline) else model))
     for point in points:
@@ -170,18 +169,7 @@ def tune(
             if param.name == "maxDepth" and value > DEEPEST_TREE:
                 raise ValueError(f"depth {value}: Spark ML grows trees to depth {DEEPEST_TREE}")
     score = evaluator()
-    values = None
-    if how in ("cv", "tvs") and logistic.shares(model, points):
-        by_key = hash_bucket(key, seed, folds) if how == "cv" else split_column(key, train_percent, seed) == "test"
-        features = materialize(features.withColumn("fold", by_key.cast("int")), "folds")
-        sizes = logistic.class_sizes(features, range(folds) if how == "cv" else [1])
-        if sizes:
-            scores = logistic.search(features, model, points, sizes, vector_size(features))
-            values = np.mean(list(margin_values(scores, len(points), parallelism).values()), axis=0).tolist()
-            best_model = model.fit(features, points[values.index(max(values))])
-    if values is not None:
-        pass
-    elif how == "cv":
+    if how == "cv":
         folded = features.withColumn("fold", hash_bucket(key, seed, folds).cast("int"))
         search = CrossValidator(
             estimator=model,
