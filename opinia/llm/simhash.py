@@ -144,9 +144,10 @@ def links(fps: DataFrame, scratch: Scratch, distance: int = 3, segments: int = 2
     balls = F.concat(*[_ball(k, c, w, radius) for k, (c, (_, w)) in enumerate(zip(cut, spans))])
     probes = fps.select(F.col("fp").alias("probe"), F.explode(balls).alias("e")).select("e.seg", "e.key", "probe")
     near = F.bit_count(F.col("probe").bitwiseXOR(F.col("fp"))) <= distance
+    # A ball is dozens of rows for a fingerprint, which Spark's estimate takes for one: no side to broadcast.
     few = (
         entries.join(crowded, ["seg", "key"], "left_anti")
-        .join(probes, ["seg", "key"])
+        .join(probes.hint("shuffle_merge"), ["seg", "key"])
         .where((F.col("probe") != F.col("fp")) & near)
         .select(F.col("probe").alias("u"), F.col("fp").alias("v"))
     )
