@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinia.operators.forests import SparseRandomForest
 from opinia.operators.insight import class_counts
 from opinia.operators.joins import lookup_join
 from opinia.operators.terms import term_counts
@@ -22,7 +23,7 @@ ESTIMATORS: dict[str, Callable] = {
     "lr": LogisticRegression,
     "dt": SparseDecisionTree,
     "nb": NaiveBayes,
-    "rf": RandomForestClassifier,
+    "rf": SparseRandomForest,
     "svc": LinearSVC,
 }
 

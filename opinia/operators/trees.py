@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Model
 from pyspark.ml import classification as ml
 from pyspark.ml.functions import array_to_vector
@@ -79,7 +80,7 @@ def value_counts(vectors: DataFrame) -> DataFrame:
     return materialize(found.groupBy("index", "value").agg(F.sum("n").alias("n")), "value-counts")
 
 
-def thresholds_of(counted: list[tuple[float, int]], rest: int, n_docs: int, most: int) -> list[float]:
+def thresholds_of(counted: list[tuple[float, int]], rest: float, n_docs: float, most: int) -> list[float]:
     """The thresholds of a feature from its values and their counts; ``rest`` documents have zero.
 
     Between all values if at most ``most`` are needed, and otherwise near the quantiles.
@@ -98,14 +99,19 @@ def thresholds_of(counted: list[tuple[float, int]], rest: int, n_docs: int, most
     return found
 
 
-def thresholds(counts: DataFrame, n_docs: int, max_bins: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(starts, thresholds)``: those of feature ``i`` are ``thresholds[starts[i]:starts[i + 1]]``."""
+def thresholds(
+    counts: DataFrame, n_docs: int, max_bins: int, size: int, counted_docs: float | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """``(starts, thresholds)``: those of feature ``i`` are ``thresholds[starts[i]:starts[i + 1]]``. ``counted_docs``
+    are the documents that the counts stand for, where these are not those of all."""
     most = min(max_bins, n_docs) - 1
+    expected = n_docs if counted_docs is None else counted_docs
 
     def find(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("index", "values", "rest")))
-            found = [(i, thresholds_of([(v["value"], v["n"]) for v in vs], rest, n_docs, most)) for i, vs, rest in rows]
+            rows = zip(*(batch.column(c).to_pylist() for c in ("index", "values", "n")))
+            rows = ((i, vs, expected - n if expected - n > 100 * PURE * n else 0) for i, vs, n in rows)
+            found = [(i, thresholds_of([(v["value"], v["n"]) for v in vs], rest, expected, most)) for i, vs, rest in rows]
             kept = [(i, ts) for i, ts in found if ts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in kept], pa.int32()), pa.array([ts for _, ts in kept], pa.list_(pa.float64()))],
@@ -113,7 +119,7 @@ def thresholds(counts: DataFrame, n_docs: int, max_bins: int, size: int) -> tupl
             )
 
     by_index = counts.groupBy("index").agg(
-        F.collect_list(F.struct("value", "n")).alias("values"), (F.lit(n_docs) - F.sum("n")).alias("rest")
+        F.collect_list(F.struct("value", "n")).alias("values"), F.sum("n").alias("n")
     )
     table = by_index.mapInArrow(find, "index int, thresholds array<double>").toArrow().sort_by("index")
     lists = table.column("thresholds").combine_chunks()
@@ -134,29 +140,39 @@ def bins_of(index: np.ndarray, value: np.ndarray, starts: np.ndarray, limits: np
     return bins
 
 
-def binned(vectors: DataFrame, starts: np.ndarray, limits: np.ndarray, zero: np.ndarray) -> DataFrame:
-    """``(label, index, bin)`` of every document, stored: the entries whose bin is not that of zero."""
+def binned(
+    vectors: DataFrame, starts: np.ndarray, limits: np.ndarray, zero: np.ndarray, draws: Callable | None = None
+) -> DataFrame:
+    """``(label, index, bin)`` of every document, stored: the entries whose bin is not that of zero. With ``draws``, also
+    ``draws``: what the function that it gives for the number of a partition returns for its next documents."""
     held = vectors.sparkSession.sparkContext.broadcast((starts, limits, zero))
 
     def place(batches):
         starts, limits, zero = held.value
+        draw = draws(TaskContext.get().partitionId()) if draws else None
         for batch in chunks(batches, vector_width):
             sizes, index, value = entries(batch.column("features"))
+            if draws and not np.isfinite(value).all():
+                raise ValueError("vectors must not hold NaN or infinity")
             bins = bins_of(index, value, starts, limits)
             kept = bins != zero[index]
             row = np.repeat(np.arange(len(sizes)), sizes)[kept]
             ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(sizes)))])
             lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(a[kept], pa.int32())) for a in (index, bins)]
-            columns = [batch.column("label").cast(pa.int8()), *lists]
-            yield pa.RecordBatch.from_arrays(columns, ["label", "index", "bin"])
+            columns = {"label": batch.column("label").cast(pa.int8()), "index": lists[0], "bin": lists[1]}
+            if draws:
+                columns["draws"] = pa.array(draw(batch.num_rows), pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
-    found = vectors.select("label", "features").mapInArrow(place, "label byte, index array<int>, bin array<int>")
-    return materialize(found, "binned")
+    schema = "label byte, index array<int>, bin array<int>" + (", draws binary" if draws else "")
+    return materialize(vectors.select("label", "features").mapInArrow(place, schema), "binned")
 
 
-#: Documents in blocks: how many, with label 1, entries of all; labels, entries per document, features and bins as arrays.
+#: Documents in blocks: how many, with label 1, entries of all; labels, entries per document, features and bins as arrays,
+#: and draws where the table has them.
 BLOCK = "n long, ones long, held long, label binary, width binary, index binary, bin binary"
 BLOCK_KINDS = {"label": np.int8, "width": np.int32, "index": np.int32, "bin": np.int32}
+DRAWS_KIND = np.int16
 
 
 def in_blocks(stored: DataFrame) -> DataFrame:
@@ -172,16 +188,20 @@ def in_blocks(stored: DataFrame) -> DataFrame:
             sums = (batch.num_rows, arrays["label"].sum(), len(arrays["index"]))
             columns = [pa.array([int(n)], pa.int64()) for n in sums]
             columns += [pa.array([arrays[c].astype(kind).tobytes()], pa.binary()) for c, kind in BLOCK_KINDS.items()]
-            yield pa.RecordBatch.from_arrays(columns, ["n", "ones", "held", *BLOCK_KINDS])
+            if drawn:
+                columns.append(pa.array([b"".join(batch.column("draws").to_pylist())], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, ["n", "ones", "held", *BLOCK_KINDS, *drawn])
 
-    return materialize(stored.mapInArrow(pack, BLOCK), "blocks")
+    drawn = [c for c in stored.columns if c == "draws"]
+    return materialize(stored.mapInArrow(pack, BLOCK + "".join(f", {c} binary" for c in drawn)), "blocks")
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """The arrays of the blocks of :func:`in_blocks`, one block at a time."""
     for batch in batches:
+        kinds = BLOCK_KINDS | ({"draws": DRAWS_KIND} if "draws" in batch.schema.names else {})
         for k in range(batch.num_rows):
-            yield [np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in BLOCK_KINDS.items()]
+            yield [np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in kinds.items()]
 
 
 def gini(n0, n1):
@@ -270,7 +290,7 @@ def added(code: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def best_splits(code, n0, n1, held: dict) -> pa.RecordBatch:
     """The best split of every slot among some of its features, all of whose counts are here; a ``code`` is
-    slot, feature and bin in one number."""
+    slot, feature and bin in one number. ``zero`` has the bins of zero by feature, or by slot and feature."""
     size, bins = held["size"], held["bins"]
     code, n0, n1 = added(code, n0.astype(float), n1.astype(float))
     start = np.flatnonzero(np.r_[True, np.diff(code // bins) != 0][: len(code)])
@@ -279,7 +299,7 @@ def best_splits(code, n0, n1, held: dict) -> pa.RecordBatch:
     rest0 = held["n0"][group // size] - np.add.reduceat(n0, start)
     rest1 = held["n1"][group // size] - np.add.reduceat(n1, start)
     some = rest0 + rest1 > 0
-    code = np.concatenate([code, (group * bins + held["zero"][group % size])[some]])
+    code = np.concatenate([code, (group * bins + held["zero"][group % len(held["zero"])])[some]])
     order = np.argsort(code, kind="stable")
     code, n0, n1 = code[order], np.concatenate([n0, rest0[some]])[order], np.concatenate([n1, rest1[some]])[order]
     first = np.r_[True, np.diff(code // bins) != 0][: len(code)]
@@ -400,20 +420,33 @@ def _level(stored, tree, open_nodes, steady, buckets, min_instances, min_gain) -
             code, zeros, ones = added(marked // 2, n - ones, ones)
             yield from packed(code, zeros.astype(np.int32), ones.astype(np.int32), bins, buckets)
 
-    def choose(batches):
+    def held():
         _, _, n0, n1 = here.value
         zero, size, bins = steady.value
-        held = {"size": size, "bins": bins, "zero": zero, "n0": n0, "n1": n1, "least": min_instances, "least_gain": min_gain}
+        return {"size": size, "bins": bins, "zero": zero, "n0": n0, "n1": n1, "least": min_instances, "least_gain": min_gain}
+
+    rows = chosen(stored.mapInArrow(count, PACKED), held)
+    here.unpersist()
+    return rows
+
+
+#: What :func:`packed` makes.
+PACKED = "bucket int, code binary, n0 binary, n1 binary"
+
+
+def chosen(counted: DataFrame, held: Callable[[], dict]) -> list:
+    """The best split of each slot that has one, from all tasks' :func:`packed` counts; see :func:`best_splits`."""
+
+    def choose(batches):
+        known = held()
         for code, zeros, ones in whole_buckets(batches):
             if len(code):
-                yield best_splits(code, zeros, ones, held)
+                yield best_splits(code, zeros, ones, known)
 
-    dealt = stored.mapInArrow(count, "bucket int, code binary, n0 binary, n1 binary")
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = counted.repartition("bucket").sortWithinPartitions("bucket")
     found = dealt.mapInArrow(choose, "slot int, gain double, index int, bin int, n0 long, n1 long")
     first = F.min(F.struct((-F.col("gain")).alias("g"), "index", "bin", "n0", "n1")).alias("s")
     rows = found.groupBy("slot").agg(first).select("slot", "s.*").collect()
-    here.unpersist()
     return sorted(rows, key=lambda r: r["slot"])
 
 
@@ -459,20 +492,26 @@ class TreeModel(Model):
         super().__init__()
         self.tree, self.numFeatures = tree, size
 
+    def voters(self) -> list[dict[str, np.ndarray]]:
+        """The arrays of each tree, and in ``votes`` what its nodes say; the votes of all are added up in this order."""
+        nodes = self.tree.arrays()
+        return [nodes | {"votes": nodes["counts"]}]
+
     def _transform(self, df: DataFrame) -> DataFrame:
-        held = df.sparkSession.sparkContext.broadcast(self.tree.arrays())
+        held = df.sparkSession.sparkContext.broadcast(self.voters())
         size = self.numFeatures
 
         @F.arrow_udf("array<double>")
         def raw(features: pa.Array) -> pa.Array:
-            nodes = held.value
             sizes, index, value = entries(features)
             known = Sorted(np.repeat(np.arange(len(sizes)), sizes), index, value, size)
+            votes = np.zeros((len(sizes), 2))
+            for nodes in held.value:
 
-            def right(rows, at):
-                return known.get(rows, nodes["feature"][at], np.zeros(len(at))) > nodes["threshold"][at]
+                def right(rows, at, nodes=nodes):
+                    return known.get(rows, nodes["feature"][at], np.zeros(len(at))) > nodes["threshold"][at]
 
-            votes = nodes["counts"][descend(nodes, len(sizes), right)]
+                votes += nodes["votes"][descend(nodes, len(sizes), right)]
             return pa.FixedSizeListArray.from_arrays(pa.array(votes.ravel()), 2).cast(pa.list_(pa.float64()))
 
         # Stored, since an aggregate over the result would take the function in, where it cannot be run.
